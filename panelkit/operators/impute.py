@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.binning import edge_labels, labelled_bin
+from panelkit.functions.binning import labelled_bin
 from panelkit.functions.numeric import first_method, log1p_floor, round_half_up, within
-from panelkit.operators.quantiles import collect_quantiles, medians
+from panelkit.operators.quantiles import (coarser, collect_from_counts, collect_quantiles, medians,
+                                          medians_of_counts)
+from panelkit.operators.ranking import distinct_values
+from panelkit.session import materialize
 
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 MIN_AGE_GROUP = 20
@@ -27,10 +30,11 @@ def fill_from(df: DataFrame, column: str, table: DataFrame, keys: Sequence[str],
     return joined.withColumn(column, F.coalesce(column, "__fill")).select(*df.columns)
 
 
-def quartile_edges(df: DataFrame, column: str) -> list[float]:
-    """Distinct discrete quartiles of a column."""
-    found = collect_quantiles(df.select(F.col(column).cast("double").alias(column)), [column], QUARTILES,
-                              interpolate=False)[column]
+def quartile_edges(df: DataFrame, column: str, slices: list[float] | None = None) -> list[float]:
+    """Distinct discrete quartiles of a column; ``slices`` reuses known cut points."""
+    numbers = df.select(F.col(column).cast("double").alias(column))
+    found = collect_quantiles(numbers, [column], QUARTILES, interpolate=False,
+                              edges=None if slices is None else {column: slices})[column]
     return sorted(set(found))
 
 
@@ -62,23 +66,32 @@ def age_for_apply(df: DataFrame) -> DataFrame:
         "Age_was_invalid": (kept.isNull() & F.col("Age").isNotNull()).cast("int")})
 
 
+NO_SLICES: list[float] = []  # for a column whose valid range is a short list of integers, such as the age
+
+
 def fit_age(train: DataFrame, min_count: int = MIN_AGE_GROUP) -> dict:
-    """Income lookup per occupation and age bin, occupation medians, overall median."""
+    """Income lookup per occupation and age bin, occupation medians, overall median.
+
+    Ages are counted once per occupation; every age statistic comes from those counts (at most 83 ages).
+    """
     rows = (age_for_fit(train)
             .filter(F.col("Age_clean").isNotNull() & F.col("Annual_Income").isNotNull()
                     & F.col("Occupation").isNotNull())
             .select("Occupation", F.col("Age_clean").cast("double").alias("Age_clean"),
                     log1p_floor("Annual_Income").alias("log_income")))
-    edges = quartile_edges(rows, "Age_clean")
-    groups = medians(rows.withColumn("Age_Bin", labelled_bin("Age_clean", edges)), ["log_income", "Age_clean"],
-                     ["Occupation", "Age_Bin"])
-    lookup = (groups.filter(F.col("Age_clean_n") >= min_count)
+    ages = materialize(distinct_values(rows, ["Age_clean"], ["Occupation"], edges={"Age_clean": NO_SLICES}), "ages")
+    whole = collect_from_counts(coarser(ages, []), ["Age_clean"], QUARTILES, interpolate=False)["Age_clean"]
+    edges = sorted(set(whole))
+    age = medians_of_counts(coarser(ages.withColumn("Age_Bin", labelled_bin("value", edges)), ["Occupation", "Age_Bin"]),
+                            ["Age_clean"], ["Occupation", "Age_Bin"])
+    income = medians(rows.withColumn("Age_Bin", labelled_bin("Age_clean", edges)), ["log_income"], ["Occupation", "Age_Bin"])
+    lookup = (age.filter(F.col("Age_clean_n") >= min_count).join(income, ["Occupation", "Age_Bin"])
               .select("Occupation", "Age_Bin", F.col("log_income").alias("log_income_median"),
                       F.col("Age_clean").alias("age_median"), F.col("Age_clean_n").alias("count")))
-    overall = collect_quantiles(rows, ["Age_clean"], [0.5], interpolate=False)["Age_clean"]
-    return {"age_edges": edges, "age_income_lookup": lookup,
-            "occupation_age_median": fit_group_medians(rows, "Age_clean", ["Occupation"], "occupation_age_median"),
-            "overall_age_median": overall[0] if overall else None}
+    occupation = (medians_of_counts(ages, ["Age_clean"], ["Occupation"])
+                  .select("Occupation", F.col("Age_clean").alias("occupation_age_median")))
+    return {"age_edges": edges, "age_income_lookup": lookup, "occupation_age_median": occupation,
+            "overall_age_median": whole[2] if whole else None}
 
 
 def apply_age(df: DataFrame, lookup: DataFrame, occupation: DataFrame, overall: float | None,
@@ -115,16 +128,21 @@ def apply_age(df: DataFrame, lookup: DataFrame, occupation: DataFrame, overall:
 
 # ---- account counts -------------------------------------------------------------------------------------------------
 def fit_counts(train: DataFrame, column: str, min_count: int) -> dict:
-    """P95 cap and medians of a count column by (occupation, age bin), occupation and overall."""
-    numbers = train.select("Occupation", "Age_Bin", F.col(column).cast("double").alias("raw"))
-    cap = collect_quantiles(numbers, ["raw"], [0.95], interpolate=False)["raw"]
+    """P95 cap and medians of a count column by (occupation, age bin), occupation and overall.
+
+    Values are counted once at the finest level; the cap and all medians come from those counts.
+    """
+    keys = ["Occupation", "Age_Bin"]
+    counts = materialize(distinct_values(train.select(*keys, F.col(column).alias("raw")), ["raw"], keys), "counts")
+    cap = collect_from_counts(coarser(counts, []), ["raw"], [0.95], interpolate=False)["raw"]
     cap = cap[0] if cap else None
-    clean = numbers.withColumn("clean", within("raw", 0.0, cap) if cap is not None else F.lit(None).cast("double"))
-    groups = (medians(clean, ["clean"], ["Occupation", "Age_Bin"]).filter(F.col("clean_n") >= min_count)
-              .select("Occupation", "Age_Bin", F.col("clean").alias("median")))
-    overall = collect_quantiles(clean, ["clean"], [0.5], interpolate=False)["clean"]
-    return {"p95": cap, "group_stats": groups,
-            "occupation_median": fit_group_medians(clean, "clean", ["Occupation"], "occupation_median"),
+    clean = counts.filter(F.col("value").between(0.0, cap) if cap is not None else F.lit(False))
+    groups = (medians_of_counts(clean, ["raw"], keys).filter(F.col("raw_n") >= min_count)
+              .select(*keys, F.col("raw").alias("median")))
+    occupation = (medians_of_counts(coarser(clean, ["Occupation"]), ["raw"], ["Occupation"])
+                  .select("Occupation", F.col("raw").alias("occupation_median")))
+    overall = collect_from_counts(coarser(clean, []), ["raw"], [0.5], interpolate=False)["raw"]
+    return {"p95": cap, "group_stats": groups, "occupation_median": occupation,
             "overall_median": overall[0] if overall else None}
 
 
@@ -151,6 +169,3 @@ def median_fill(df: DataFrame, columns: Sequence[str], fitted: dict[str, float]
         fitted = {c: v[0] for c, v in collect_quantiles(df, columns, [0.5]).items() if v}
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in fitted.items()})
 
-
-__all__ = ["age_conflicts", "age_for_apply", "age_for_fit", "apply_age", "apply_counts", "edge_labels", "fill_from",
-           "fit_age", "fit_counts", "fit_group_medians", "median_fill", "quartile_edges", "valid_age"]

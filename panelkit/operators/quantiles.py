@@ -21,10 +21,20 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     Interpolated quantiles lie at position p * (n - 1); the others are the smallest value whose
     cumulative share reaches p.
     """
+    return quantiles_of_counts(distinct_values(df, columns, keys, edges=edges), probs, keys, interpolate)
+
+
+def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A value count table for fewer (or derived) keys, without another pass over the rows."""
+    return counts.groupBy(*keys, "feature", "slice", "value").agg(F.sum("n").alias("n"))
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str] = (),
+                        interpolate: bool = True) -> DataFrame:
+    """Quantiles from a table with one row per keys, feature, slice and distinct value and its count ``n``."""
     group = [*keys, "feature"]
-    base = distinct_values(df, columns, keys, edges=edges)
     # a few rows per group from here: one per slice
-    per_slice = base.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
+    per_slice = counts.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
     ordered = Window.partitionBy(*group).orderBy("slice")
     whole = Window.partitionBy(*group)
     located = per_slice.select(
@@ -47,7 +57,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.first("offset").alias("offset"), F.first("total").alias("total"),
         F.collect_list(F.struct("prob", "low", "high", "part")).alias("ranks"))  # at most len(probs) entries
     inside = Window.partitionBy(*slot).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    rows = (same_keys(base, needed, slot, "inner")
+    rows = (same_keys(counts, needed, slot, "inner")
             .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
     after = F.col("before") + F.col("n")
     hit = (rows.select(*group, "total", "value", "before", after.alias("after"), F.inline("ranks"))
@@ -60,17 +70,29 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             .select(*group, "prob", (F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))).alias("value"), "n"))
 
 
-def medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
+            edges: dict[str, list[float]] | None = None) -> DataFrame:
     """Wide table of discrete medians per key group, with ``<column>_n`` non-null rows."""
-    long = exact_quantiles(df, columns, [0.5], keys, interpolate=False)
+    return medians_of_counts(distinct_values(df, columns, keys, edges=edges), columns, keys)
+
+
+def medians_of_counts(counts: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Wide table of discrete medians from value counts of these keys."""
+    long = quantiles_of_counts(counts, [0.5], keys, interpolate=False)
     return long.groupBy(*keys).agg(
         *[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(c) for c in columns],
         *[F.coalesce(F.max(F.when(F.col("feature") == c, F.col("n"))), F.lit(0)).alias(f"{c}_n") for c in columns])
 
 
-def collect_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                      interpolate: bool = True) -> dict[str, list[float]]:
+def collect_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], interpolate: bool = True,
+                      edges: dict[str, list[float]] | None = None) -> dict[str, list[float]]:
     """Quantiles of whole columns as lists, to pin as fitted parameters: len(columns) * len(probs) numbers."""
-    rows = exact_quantiles(df, columns, probs, interpolate=interpolate).collect()
+    return collect_from_counts(distinct_values(df, columns, edges=edges), columns, probs, interpolate)
+
+
+def collect_from_counts(counts: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                        interpolate: bool = True) -> dict[str, list[float]]:
+    """The same from a value count table without keys."""
+    rows = quantiles_of_counts(counts, probs, interpolate=interpolate).collect()
     found = {(r["feature"], r["prob"]): r["value"] for r in rows}
     return {c: [found[(c, float(p))] for p in probs if (c, float(p)) in found] for c in columns}

@@ -14,7 +14,6 @@ from panelkit.operators.asof import asof_join
 from panelkit.operators.impute import apply_age, apply_counts, fill_from
 from panelkit.operators.lookback import lookback
 from panelkit.plans.params import FeatureParams, fit_params
-from panelkit.session import materialize
 from panelkit.sources.schema import prefixed
 
 # Lookback features the store keeps, and working columns it drops.
@@ -88,7 +87,6 @@ def feature_store(labels: DataFrame, attributes: DataFrame, financials: DataFram
     """
     joined = join_sources(labels, attributes, financials, point_in_time)
     rows = joined.withColumn("data_split", split_of("labels_snapshot_date", windows)).filter("data_split is not null")
-    rows = materialize(rows, "gold-rows")  # read by several fits
     params = fit_params(rows.filter(F.col("data_split") == windows[0].name), train_date, with_limit)
     made = apply_params(rows, params)
     if clicks is not None:

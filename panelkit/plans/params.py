@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions.binning import edge_labels, labelled_bin
-from panelkit.operators.impute import apply_age, apply_counts, fit_age, fit_counts, fit_group_medians, quartile_edges
+from panelkit.operators.impute import (NO_SLICES, apply_age, apply_counts, fit_age, fit_counts, fit_group_medians,
+                                       quartile_edges)
 from panelkit.session import materialize
 from panelkit.sources.sinks import write_partitions
 
@@ -87,9 +88,18 @@ def load_params(spark: SparkSession, path: str, train_date: str) -> FeatureParam
     return FeatureParams(train_date, tables, scalars, edges)
 
 
+# columns the fits read
+FIT_COLUMNS = ["Credit_Mix", "Payment_of_Min_Amount", "Changed_Credit_Limit", "Age", "Occupation", "Annual_Income",
+               "Credit_History_Age_Years", "Num_Bank_Accounts", "Num_Credit_Card"]
+
+
 def fit_params(train: DataFrame, train_date: str, with_limit: bool = True) -> FeatureParams:
-    """Fit every imputation step on the training rows, each step on the output of the one before."""
+    """Fit every imputation step on the training rows, each step on the output of the one before.
+
+    Only the columns the fits need are written once and read by each step.
+    """
     params = FeatureParams(train_date)
+    train = materialize(train.select(*FIT_COLUMNS), "fit-rows")
     if with_limit:
         params.tables["changed_credit_limit"] = materialize(fit_group_medians(
             train, "Changed_Credit_Limit", ["Credit_Mix", "Payment_of_Min_Amount"], "Changed_Credit_Limit_Median"))
@@ -100,7 +110,7 @@ def fit_params(train: DataFrame, train_date: str, with_limit: bool = True) -> Fe
     args = (params.tables["age_income_lookup"], params.tables["occupation_age_median"], age["overall_age_median"])
     aged = materialize(apply_age(train, *args).select("Occupation", "Age_imputed", "Num_Bank_Accounts",
                                                       "Num_Credit_Card"), "aged")
-    params.edges["age"] = quartile_edges(aged, "Age_imputed")
+    params.edges["age"] = quartile_edges(aged, "Age_imputed", NO_SLICES)
     binned = aged.withColumn("Age_Bin", labelled_bin("Age_imputed", params.edges["age"]))
     for kind, column, stem, least in (("bank", "Num_Bank_Accounts", "Bank_Accounts", 30),
                                       ("card", "Num_Credit_Card", "Credit_Cards", 10)):

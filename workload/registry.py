@@ -20,6 +20,6 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"{name} registered twice")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = re.sub(r"@(\w+)", lambda m: cte(m.group(1)), sql)
+            ORACLE[name] = re.sub(r"@\w+(?:,\s*@\w+)*", lambda m: cte(*re.findall(r"\w+", m.group(0))), sql)
         return fn
     return add

@@ -141,10 +141,11 @@ roles AS (SELECT as_of AS effective_from, max(CASE WHEN place = 1 THEN model_ver
 }
 
 
-def cte(name: str) -> str:
-    """The common table expression of a view, with those it needs, each once."""
+def cte(*names: str) -> str:
+    """The common table expressions of views, with those they need, each once."""
     seen: dict[str, str] = {}
-    _collect(name, seen)
+    for name in names:
+        _collect(name, seen)
     return ", ".join(seen.values())
 
 
