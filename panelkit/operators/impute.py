@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.binning import labelled_bin
 from panelkit.functions.numeric import first_method, log1p_floor, round_half_up, within
-from panelkit.operators.quantiles import (coarser, collect_from_counts, collect_quantiles, medians,
-                                          medians_of_counts)
+from panelkit.operators.quantiles import (SMALL, coarser, collect_from_counts, collect_quantiles, medians, medians_of_counts,
+                                          quantiles_of_counts)
 from panelkit.operators.ranking import distinct_values
 from panelkit.session import materialize
 
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 MIN_AGE_GROUP = 20
 MIN_GAP = 0.05
+NO_SLICES: list[float] = []  # for a column whose valid range is a short list of integers, such as the age
 
 
 def fit_group_medians(train: DataFrame, column: str, keys: Sequence[str], out: str) -> DataFrame:
@@ -30,12 +31,17 @@ def fill_from(df: DataFrame, column: str, table: DataFrame, keys: Sequence[str],
     return joined.withColumn(column, F.coalesce(column, "__fill")).select(*df.columns)
 
 
-def quartile_edges(df: DataFrame, column: str, slices: list[float] | None = None) -> list[float]:
-    """Distinct discrete quartiles of a column; ``slices`` reuses known cut points."""
+def quartile_edges(df: DataFrame, column: str) -> list[float]:
+    """Distinct discrete quartiles of a column."""
     numbers = df.select(F.col(column).cast("double").alias(column))
-    found = collect_quantiles(numbers, [column], QUARTILES, interpolate=False,
-                              edges=None if slices is None else {column: slices})[column]
-    return sorted(set(found))
+    return sorted(set(collect_quantiles(numbers, [column], QUARTILES, interpolate=False)[column]))
+
+
+def integer_quartiles(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """The same for imputed integers, whose few distinct values are counted first and need no slicing."""
+    counts = distinct_values(df, columns, edges={c: NO_SLICES for c in columns})
+    found = collect_from_counts(counts, columns, QUARTILES, interpolate=False, small=True)
+    return {c: sorted(set(v)) for c, v in found.items()}
 
 
 # ---- age ------------------------------------------------------------------------------------------------------------
@@ -66,9 +72,6 @@ def age_for_apply(df: DataFrame) -> DataFrame:
         "Age_was_invalid": (kept.isNull() & F.col("Age").isNotNull()).cast("int")})
 
 
-NO_SLICES: list[float] = []  # for a column whose valid range is a short list of integers, such as the age
-
-
 def fit_age(train: DataFrame, min_count: int = MIN_AGE_GROUP) -> dict:
     """Income lookup per occupation and age bin, occupation medians, overall median.
 
@@ -80,15 +83,15 @@ def fit_age(train: DataFrame, min_count: int = MIN_AGE_GROUP) -> dict:
             .select("Occupation", F.col("Age_clean").cast("double").alias("Age_clean"),
                     log1p_floor("Annual_Income").alias("log_income")))
     ages = materialize(distinct_values(rows, ["Age_clean"], ["Occupation"], edges={"Age_clean": NO_SLICES}), "ages")
-    whole = collect_from_counts(coarser(ages, []), ["Age_clean"], QUARTILES, interpolate=False)["Age_clean"]
+    whole = collect_from_counts(coarser(ages, []), ["Age_clean"], QUARTILES, interpolate=False, small=True)["Age_clean"]
     edges = sorted(set(whole))
     age = medians_of_counts(coarser(ages.withColumn("Age_Bin", labelled_bin("value", edges)), ["Occupation", "Age_Bin"]),
-                            ["Age_clean"], ["Occupation", "Age_Bin"])
+                            ["Age_clean"], ["Occupation", "Age_Bin"], small=True)
     income = medians(rows.withColumn("Age_Bin", labelled_bin("Age_clean", edges)), ["log_income"], ["Occupation", "Age_Bin"])
     lookup = (age.filter(F.col("Age_clean_n") >= min_count).join(income, ["Occupation", "Age_Bin"])
               .select("Occupation", "Age_Bin", F.col("log_income").alias("log_income_median"),
                       F.col("Age_clean").alias("age_median"), F.col("Age_clean_n").alias("count")))
-    occupation = (medians_of_counts(ages, ["Age_clean"], ["Occupation"])
+    occupation = (medians_of_counts(ages, ["Age_clean"], ["Occupation"], small=True)
                   .select("Occupation", F.col("Age_clean").alias("occupation_age_median")))
     return {"age_edges": edges, "age_income_lookup": lookup, "occupation_age_median": occupation,
             "overall_age_median": whole[2] if whole else None}
@@ -127,23 +130,38 @@ def apply_age(df: DataFrame, lookup: DataFrame, occupation: DataFrame, overall:
 
 
 # ---- account counts -------------------------------------------------------------------------------------------------
-def fit_counts(train: DataFrame, column: str, min_count: int) -> dict:
-    """P95 cap and medians of a count column by (occupation, age bin), occupation and overall.
+def fit_counts(train: DataFrame, columns: dict[str, int]) -> dict[str, dict]:
+    """P95 cap and medians of count columns by (occupation, age bin), occupation and overall.
 
-    Values are counted once at the finest level; the cap and all medians come from those counts.
+    ``columns`` maps each column to the least group size. Values are counted once at the finest level; the
+    caps and the medians of all levels come from those counts.
     """
-    keys = ["Occupation", "Age_Bin"]
-    counts = materialize(distinct_values(train.select(*keys, F.col(column).alias("raw")), ["raw"], keys), "counts")
-    cap = collect_from_counts(coarser(counts, []), ["raw"], [0.95], interpolate=False)["raw"]
-    cap = cap[0] if cap else None
-    clean = counts.filter(F.col("value").between(0.0, cap) if cap is not None else F.lit(False))
-    groups = (medians_of_counts(clean, ["raw"], keys).filter(F.col("raw_n") >= min_count)
-              .select(*keys, F.col("raw").alias("median")))
-    occupation = (medians_of_counts(coarser(clean, ["Occupation"]), ["raw"], ["Occupation"])
-                  .select("Occupation", F.col("raw").alias("occupation_median")))
-    overall = collect_from_counts(coarser(clean, []), ["raw"], [0.5], interpolate=False)["raw"]
-    return {"p95": cap, "group_stats": groups, "occupation_median": occupation,
-            "overall_median": overall[0] if overall else None}
+    keys, names = ["Occupation", "Age_Bin"], list(columns)
+    counts = materialize(distinct_values(train, names, keys), "counts")
+    small = counts.count() <= SMALL
+    caps = collect_from_counts(coarser(counts, []), names, [0.95], interpolate=False, small=small)
+    caps = {c: v[0] if v else None for c, v in caps.items()}
+    valid = F.lit(False)
+    for c, cap in caps.items():
+        if cap is not None:
+            valid = valid | ((F.col("feature") == c) & F.col("value").between(0.0, cap))
+    none = F.lit(None).cast("string")
+    level = F.explode(F.array(*[F.struct(F.lit(name).alias("level"), a.alias("k1"), b.alias("k2")) for name, a, b in (
+        ("group", F.col("Occupation"), F.col("Age_Bin")), ("occupation", F.col("Occupation"), none), ("overall", none, none))]))
+    spread = counts.filter(valid).select(level.alias("l"), "feature", "slice", "value", "n").select("l.*", "feature", "slice", "value", "n")
+    table = materialize(quantiles_of_counts(coarser(spread, ["level", "k1", "k2"]), [0.5], ["level", "k1", "k2"],
+                                            interpolate=False, small=small), "count-medians")
+    overall = {r["feature"]: r["value"] for r in table.filter("level = 'overall'").collect()}  # one row per column
+    out = {}
+    for c, least in columns.items():
+        rows = table.filter(F.col("feature") == c)
+        out[c] = {
+            "p95": caps[c], "overall_median": overall.get(c),
+            "group_stats": rows.filter((F.col("level") == "group") & (F.col("n") >= least))
+                               .select(F.col("k1").alias("Occupation"), F.col("k2").alias("Age_Bin"), F.col("value").alias("median")),
+            "occupation_median": rows.filter("level = 'occupation'")
+                                     .select(F.col("k1").alias("Occupation"), F.col("value").alias("occupation_median"))}
+    return out
 
 
 def apply_counts(df: DataFrame, column: str, stem: str, p95: float, group_stats: DataFrame,

@@ -29,45 +29,56 @@ def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.groupBy(*keys, "feature", "slice", "value").agg(F.sum("n").alias("n"))
 
 
+SMALL = 1_000_000  # value counts a single task orders without effort
+
+
 def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str] = (),
-                        interpolate: bool = True) -> DataFrame:
-    """Quantiles from a table with one row per keys, feature, slice and distinct value and its count ``n``."""
+                        interpolate: bool = True, small: bool = False) -> DataFrame:
+    """Quantiles from a table with one row per keys, feature, slice and distinct value and its count ``n``.
+
+    ``small`` orders each group as a whole; only for tables known to have few rows.
+    """
     group = [*keys, "feature"]
-    # a few rows per group from here: one per slice
-    per_slice = counts.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
-    ordered = Window.partitionBy(*group).orderBy("slice")
-    whole = Window.partitionBy(*group)
-    located = per_slice.select(
-        *group, "slice", "slice_n", F.sum("slice_n").over(whole).alias("total"),
-        F.coalesce(F.sum("slice_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    targets = located.withColumn("prob", wanted)
-    if interpolate:
-        position = F.col("prob") * (F.col("total") - 1)
-        targets = targets.withColumns({"low": F.floor(position), "high": F.ceil(position),
-                                       "part": position - F.floor(position)})
+    if small:
+        whole = Window.partitionBy(*group)
+        running = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        total = F.sum("n").over(whole)
+        rows = counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
+                                   "before": F.coalesce(F.sum("n").over(running), F.lit(0))})
     else:
-        rank = F.greatest(F.ceil(F.col("prob") * F.col("total")) - 1, F.lit(0))
-        targets = targets.withColumns({"low": rank, "high": rank, "part": F.lit(0.0)})
-    end = F.col("offset") + F.col("slice_n")
-    targets = targets.filter(((F.col("low") >= F.col("offset")) & (F.col("low") < end))
-                             | ((F.col("high") >= F.col("offset")) & (F.col("high") < end)))
-    slot = [*group, "slice"]
-    needed = targets.groupBy(*slot).agg(
-        F.first("offset").alias("offset"), F.first("total").alias("total"),
-        F.collect_list(F.struct("prob", "low", "high", "part")).alias("ranks"))  # at most len(probs) entries
-    inside = Window.partitionBy(*slot).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    rows = (same_keys(counts, needed, slot, "inner")
-            .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
-    after = F.col("before") + F.col("n")
-    hit = (rows.select(*group, "total", "value", "before", after.alias("after"), F.inline("ranks"))
-           .withColumns({"at_low": (F.col("low") >= F.col("before")) & (F.col("low") < F.col("after")),
-                         "at_high": (F.col("high") >= F.col("before")) & (F.col("high") < F.col("after"))})
-           .filter("at_low or at_high"))
-    low, high = F.max(F.when(F.col("at_low"), F.col("value"))), F.max(F.when(F.col("at_high"), F.col("value")))
-    return (hit.groupBy(*group, "prob", "part")
-            .agg(low.alias("lo"), high.alias("hi"), F.first("total").alias("n"))
-            .select(*group, "prob", (F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))).alias("value"), "n"))
+        slot = [*group, "slice"]
+        # one row per slice from here to the join: a few per group
+        per_slice = counts.groupBy(*slot).agg(F.sum("n").alias("slice_n"))
+        whole = Window.partitionBy(*group)
+        earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        total, start = F.sum("slice_n").over(whole), F.coalesce(F.sum("slice_n").over(earlier), F.lit(0))
+        located = per_slice.select(*slot, "slice_n", total.alias("total"), start.alias("offset"))
+        ranks = F.filter(_ranks(probs, F.col("total"), interpolate), lambda r: (
+            (r["low"] >= F.col("offset")) & (r["low"] < F.col("offset") + F.col("slice_n")))
+            | ((r["high"] >= F.col("offset")) & (r["high"] < F.col("offset") + F.col("slice_n"))))
+        needed = located.withColumn("ranks", ranks).filter(F.size("ranks") > 0).drop("slice_n")
+        inside = Window.partitionBy(*slot).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        rows = (same_keys(counts, needed, slot, "inner")
+                .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
+    hit = rows.select(*group, "total", "value", "before", (F.col("before") + F.col("n")).alias("after"), F.inline("ranks"))
+    at = {end: (F.col(end) >= F.col("before")) & (F.col(end) < F.col("after")) for end in ("low", "high")}
+    found = (hit.filter(at["low"] | at["high"]).groupBy(*group, "prob", "part")
+             .agg(F.max(F.when(at["low"], F.col("value"))).alias("lo"), F.max(F.when(at["high"], F.col("value"))).alias("hi"),
+                  F.first("total").alias("n")))
+    return found.select(*group, "prob", (F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))).alias("value"), "n")
+
+
+def _ranks(probs: Sequence[float], total, interpolate: bool):
+    """Zero-based ranks of each quantile among ``total`` values, with the share taken from the upper one."""
+    def one(p: float):
+        if interpolate:
+            position = F.lit(float(p)) * (total - 1)
+            low, high, part = F.floor(position), F.ceil(position), position - F.floor(position)
+        else:
+            low = F.greatest(F.ceil(F.lit(float(p)) * total) - 1, F.lit(0))
+            high, part = low, F.lit(0.0)
+        return F.struct(F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high"), part.alias("part"))
+    return F.array(*[one(p) for p in probs])
 
 
 def medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
@@ -76,9 +87,9 @@ def medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
     return medians_of_counts(distinct_values(df, columns, keys, edges=edges), columns, keys)
 
 
-def medians_of_counts(counts: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def medians_of_counts(counts: DataFrame, columns: Sequence[str], keys: Sequence[str], small: bool = False) -> DataFrame:
     """Wide table of discrete medians from value counts of these keys."""
-    long = quantiles_of_counts(counts, [0.5], keys, interpolate=False)
+    long = quantiles_of_counts(counts, [0.5], keys, interpolate=False, small=small)
     return long.groupBy(*keys).agg(
         *[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(c) for c in columns],
         *[F.coalesce(F.max(F.when(F.col("feature") == c, F.col("n"))), F.lit(0)).alias(f"{c}_n") for c in columns])
@@ -90,9 +101,9 @@ def collect_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     return collect_from_counts(distinct_values(df, columns, edges=edges), columns, probs, interpolate)
 
 
-def collect_from_counts(counts: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                        interpolate: bool = True) -> dict[str, list[float]]:
+def collect_from_counts(counts: DataFrame, columns: Sequence[str], probs: Sequence[float], interpolate: bool = True,
+                        small: bool = False) -> dict[str, list[float]]:
     """The same from a value count table without keys."""
-    rows = quantiles_of_counts(counts, probs, interpolate=interpolate).collect()
+    rows = quantiles_of_counts(counts, probs, interpolate=interpolate, small=small).collect()
     found = {(r["feature"], r["prob"]): r["value"] for r in rows}
     return {c: [found[(c, float(p))] for p in probs if (c, float(p)) in found] for c in columns}

@@ -13,7 +13,7 @@ from panelkit.functions.numeric import ratio
 from panelkit.operators.asof import asof_join
 from panelkit.operators.impute import apply_age, apply_counts, fill_from
 from panelkit.operators.lookback import lookback
-from panelkit.plans.params import FeatureParams, fit_params
+from panelkit.plans.params import COUNTS, FeatureParams, fit_params
 from panelkit.sources.schema import prefixed
 
 # Lookback features the store keeps, and working columns it drops.
@@ -67,8 +67,7 @@ def apply_params(df: DataFrame, params: FeatureParams) -> DataFrame:
         if "changed_credit_limit" in params.tables else df
     df = apply_age(df, params.tables["age_income_lookup"], params.tables["occupation_age_median"],
                    params.scalars["overall_age_median"], params.edges["age"])
-    for kind, column, stem in (("bank", "Num_Bank_Accounts", "Bank_Accounts"),
-                               ("card", "Num_Credit_Card", "Credit_Cards")):
+    for kind, (column, stem, _) in COUNTS.items():
         df = apply_counts(df, column, stem, params.scalars[f"{kind}_p95"], params.tables[f"{kind}_group_stats"],
                           params.tables[f"{kind}_occupation_median"], params.scalars[f"{kind}_overall_median"])
         df = df.withColumn(f"{stem}_Imputed_Bin", labelled_bin(f"{stem}_imputed", params.edges[kind]))

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions.binning import edge_labels, labelled_bin
-from panelkit.operators.impute import (NO_SLICES, apply_age, apply_counts, fit_age, fit_counts, fit_group_medians,
-                                       quartile_edges)
+from panelkit.operators.impute import apply_age, apply_counts, fit_age, fit_counts, fit_group_medians, integer_quartiles
 from panelkit.session import materialize
 from panelkit.sources.sinks import write_partitions
 
@@ -88,6 +87,8 @@ def load_params(spark: SparkSession, path: str, train_date: str) -> FeatureParam
     return FeatureParams(train_date, tables, scalars, edges)
 
 
+# count columns: raw column, stem of the made columns, least rows of a group
+COUNTS = {"bank": ("Num_Bank_Accounts", "Bank_Accounts", 30), "card": ("Num_Credit_Card", "Credit_Cards", 10)}
 # columns the fits read
 FIT_COLUMNS = ["Credit_Mix", "Payment_of_Min_Amount", "Changed_Credit_Limit", "Age", "Occupation", "Annual_Income",
                "Credit_History_Age_Years", "Num_Bank_Accounts", "Num_Credit_Card"]
@@ -110,16 +111,17 @@ def fit_params(train: DataFrame, train_date: str, with_limit: bool = True) -> Fe
     args = (params.tables["age_income_lookup"], params.tables["occupation_age_median"], age["overall_age_median"])
     aged = materialize(apply_age(train, *args).select("Occupation", "Age_imputed", "Num_Bank_Accounts",
                                                       "Num_Credit_Card"), "aged")
-    params.edges["age"] = quartile_edges(aged, "Age_imputed", NO_SLICES)
-    binned = aged.withColumn("Age_Bin", labelled_bin("Age_imputed", params.edges["age"]))
-    for kind, column, stem, least in (("bank", "Num_Bank_Accounts", "Bank_Accounts", 30),
-                                      ("card", "Num_Credit_Card", "Credit_Cards", 10)):
-        fitted = fit_counts(binned, column, least)
-        params.tables[f"{kind}_group_stats"] = materialize(fitted["group_stats"])
-        params.tables[f"{kind}_occupation_median"] = materialize(fitted["occupation_median"])
-        params.scalars[f"{kind}_p95"] = fitted["p95"]
-        params.scalars[f"{kind}_overall_median"] = fitted["overall_median"]
-        filled = apply_counts(binned, column, stem, fitted["p95"], params.tables[f"{kind}_group_stats"],
-                              params.tables[f"{kind}_occupation_median"], fitted["overall_median"])
-        params.edges[kind] = quartile_edges(filled, f"{stem}_imputed")
+    params.edges["age"] = integer_quartiles(aged, ["Age_imputed"])["Age_imputed"]
+    filled = aged.withColumn("Age_Bin", labelled_bin("Age_imputed", params.edges["age"]))
+    fitted = fit_counts(filled, {c: least for c, _, least in COUNTS.values()})
+    for kind, (column, stem, _) in COUNTS.items():
+        found = fitted[column]
+        params.tables[f"{kind}_group_stats"] = found["group_stats"]
+        params.tables[f"{kind}_occupation_median"] = found["occupation_median"]
+        params.scalars[f"{kind}_p95"] = found["p95"]
+        params.scalars[f"{kind}_overall_median"] = found["overall_median"]
+        filled = apply_counts(filled, column, stem, **found)
+    stems = {kind: f"{stem}_imputed" for kind, (_, stem, _) in COUNTS.items()}
+    edges = integer_quartiles(filled, list(stems.values()))
+    params.edges.update({kind: edges[column] for kind, column in stems.items()})
     return params

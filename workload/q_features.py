@@ -6,7 +6,7 @@ from panelkit.functions.binning import labelled_bin
 from panelkit.functions.dates import month_start, split_of, split_windows, two_way_windows
 from panelkit.functions.numeric import log1p_floor
 from panelkit.operators.asof import asof_join
-from panelkit.operators.impute import (NO_SLICES, age_for_apply, age_for_fit, apply_age, apply_counts, fill_from, fit_age, fit_counts,
+from panelkit.operators.impute import (integer_quartiles, age_for_apply, age_for_fit, apply_age, apply_counts, fill_from, fit_age, fit_counts,
                                        fit_group_medians, quartile_edges)
 from panelkit.operators.lookback import lookback
 from panelkit.plans.bronze import land
@@ -238,7 +238,7 @@ def fs11(spark, d):
     rows = materialize(joined(spark, d).select("loan_id", "data_split", "Age", "Occupation", "Annual_Income", "Credit_History_Age_Years"))
     fitted = fit_age(rows.filter("data_split = 'train'"))
     args = (materialize(fitted["age_income_lookup"]), materialize(fitted["occupation_age_median"]), fitted["overall_age_median"])
-    edges = quartile_edges(apply_age(rows.filter("data_split = 'train'"), *args), "Age_imputed", NO_SLICES)
+    edges = integer_quartiles(apply_age(rows.filter("data_split = 'train'"), *args), ["Age_imputed"])["Age_imputed"]
     return apply_age(rows, *args, edges).select("loan_id", "Age_imputed", "Age_imputation_method", "Age_Bin")
 
 
@@ -254,9 +254,9 @@ def fs13(spark, d):
     train = rows.filter("data_split = 'train'")
     fitted = fit_age(train)
     args = (materialize(fitted["age_income_lookup"]), materialize(fitted["occupation_age_median"]), fitted["overall_age_median"])
-    edges = quartile_edges(apply_age(train, *args), "Age_imputed", NO_SLICES)
+    edges = integer_quartiles(apply_age(train, *args), ["Age_imputed"])["Age_imputed"]
     aged = materialize(apply_age(rows, *args, edges))
-    found = fit_counts(aged.filter("data_split = 'train'"), "Num_Bank_Accounts", 30)
+    found = fit_counts(aged.filter("data_split = 'train'"), {"Num_Bank_Accounts": 30})["Num_Bank_Accounts"]
     return apply_counts(aged, "Num_Bank_Accounts", "Bank_Accounts", **found).select(
         "loan_id", "Bank_Accounts_clean", "Bank_Accounts_Was_Invalid", "Bank_Accounts_imputed", "Bank_Accounts_imputation_method")
 
