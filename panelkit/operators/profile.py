@@ -59,6 +59,13 @@ def mode_of(df: DataFrame, keys: Sequence[str], column: str, out: str = "mode")
             .groupBy(*keys).agg(F.min(column).alias(out)))
 
 
+def pair_correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows where both values are present; null when either does not vary."""
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y))))
+
+
 def label_correlations(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Pearson correlation of each column with the label over complete pairs, all columns in one pass."""
     stats = []
@@ -67,8 +74,7 @@ def label_correlations(df: DataFrame, columns: Sequence[str], label: str) -> Dat
         x = F.when(~(F.isnan(x) | (F.abs(x) == float("inf"))), x)
         y = F.when(x.isNotNull(), F.col(label).cast("double"))
         x = F.when(y.isNotNull(), x)
-        varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-        stats.append(F.struct(F.lit(c).alias("feature"), F.when(varies, F.corr(x, y)).alias("correlation"),
+        stats.append(F.struct(F.lit(c).alias("feature"), pair_correlation(x, y).alias("correlation"),
                               F.count(x).alias("valid_rows")).alias(c))
     return df.agg(*stats).select(F.inline(F.array(*[F.col(c) for c in columns])))
 
@@ -107,7 +113,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair over complete pairs, in long form, one aggregate."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     stats = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                      F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation")).alias(f"p{i}")
+                      pair_correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation")).alias(f"p{i}")
              for i, (a, b) in enumerate(pairs)]
     return df.agg(*stats).select(F.inline(F.array(*[F.col(f"p{i}") for i in range(len(pairs))])))
 

@@ -82,9 +82,9 @@ def distinct_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
             .agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in sums]))
 
 
-def average_ranks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-                  sums: Sequence[str] = ()) -> DataFrame:
+def average_ranks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), sums: Sequence[str] = (),
+                  edges: dict[str, list[float]] | None = None) -> DataFrame:
     """Per keys, feature and distinct value the average rank (1-based) that ties share."""
-    base = distinct_values(df, columns, keys, sums)
+    base = distinct_values(df, columns, keys, sums, edges)
     ranked = running_totals(base, [*keys, "feature"], "value", ["n"], "slice")
     return ranked.withColumn("avg_rank", F.col("n_before") + (F.col("n") + 1) / F.lit(2.0))

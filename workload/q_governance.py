@@ -1 +1,218 @@
-"""Queries."""
+"""Monitoring, drift, roles, refresh decisions and promotion."""
+
+from pyspark.sql import functions as F
+
+from panelkit.operators.asof import latest_per_key, role_intervals
+from panelkit.operators.drift import DECILES
+from panelkit.operators.metrics import discrimination
+from panelkit.plans.governance import (current_roles, manual_promotion, promotion, rank_candidates, refresh_decisions, roles_asof,
+                                       upsert_roles)
+from panelkit.plans.monitoring import build_baseline, drift_heatmap, known_labels, monitor_targets, monitored_rows, monitoring_summary
+from workload.q_statistics import _bin_sql, _edge_sql
+from workload.registry import query
+from workload.views import months, roles, runs, view
+
+NUMERIC, LEVELS = ["x2", "x3"], ["level"]
+AS_OF = "2001-06-30"
+
+
+def scored(spark, d):
+    """Predictions of two models on every loan; labels known up to a date."""
+    panel = view(spark, d, "panel")
+    models = F.explode(F.array(F.struct(F.lit("credit_model_a").alias("model_version"), F.lit(1.0).alias("w")),
+                               F.struct(F.lit("credit_model_b").alias("model_version"), F.lit(0.5).alias("w"))))
+    predictions = (panel.select("loan_id", "month", "score", models.alias("m"))
+                   .select("loan_id", F.col("month").alias("snapshot_date"), F.col("m.model_version"), (F.col("score") * F.col("m.w")).alias("model_predictions"))
+                   .withColumns({"predicted_default": (F.col("model_predictions") >= 0.4).cast("int"),
+                                 "model_role": F.when(F.col("model_version") == "credit_model_a", "champion").otherwise("challenger")}))
+    labels = known_labels(panel.select("loan_id", "label", "label_date"), AS_OF).drop("label_date")
+    features = panel.select("loan_id", *NUMERIC, *LEVELS, F.when(F.col("label_date") < "1999-01-01", "train").otherwise("production").alias("data_split"))
+    return monitored_rows(predictions, labels, features)
+
+
+def baseline(spark, d):
+    """Baseline of model a on the rows before 1999, with the AUC of the year 1999 as reference."""
+    rows = scored(spark, d).filter("model_version = 'credit_model_a'")
+    later = rows.filter("snapshot_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-01'")
+    reference = discrimination(later, "model_predictions", "label").first()["auc"]
+    return build_baseline(rows.filter("data_split = 'train'"), NUMERIC, LEVELS, reference)
+
+
+SCORED = """WITH @panel, mv(model_version, w, model_role) AS (VALUES ('credit_model_a', 1e0, 'champion'), ('credit_model_b', 0.5e0, 'challenger')),
+ s AS (SELECT loan_id, month AS snapshot_date, model_version, model_role, score * w AS p, CASE WHEN score * w >= 0.4 THEN 1 ELSE 0 END AS predicted_default,
+ CASE WHEN label_date <= DATE '2001-06-30' THEN label END AS label, x2, x3, level, CASE WHEN label_date < DATE '1999-01-01' THEN 'train' ELSE 'production' END AS data_split FROM panel, mv),
+ t AS (SELECT * FROM s WHERE model_version = 'credit_model_a' AND data_split = 'train')"""
+DRIFT = f"""{SCORED}, ep AS ({_edge_sql('p', 't')}), e2 AS ({_edge_sql('x2', 't')}), e3 AS ({_edge_sql('x3', 't')}),
+ b AS (SELECT model_version, snapshot_date, data_split, 'model_predictions' AS feature, {_bin_sql('p')} AS bin, false AS gone FROM s, ep
+ UNION ALL SELECT model_version, snapshot_date, data_split, 'x2', {_bin_sql('x2')}, x2 IS NULL FROM s, e2
+ UNION ALL SELECT model_version, snapshot_date, data_split, 'x3', {_bin_sql('x3')}, x3 IS NULL FROM s, e3
+ UNION ALL SELECT model_version, snapshot_date, data_split, 'level', coalesce(level, '__MISSING__'), level IS NULL FROM s),
+ tb AS (SELECT * FROM b WHERE model_version = 'credit_model_a' AND data_split = 'train'),
+ ex AS (SELECT feature, bin, count(*) * 1e0 / sum(count(*)) OVER (PARTITION BY feature) AS e FROM tb GROUP BY feature, bin),
+ base_missing AS (SELECT feature, avg(CASE WHEN gone THEN 1e0 ELSE 0 END) AS baseline_missing_rate FROM tb GROUP BY 1),
+ act AS (SELECT model_version, snapshot_date, feature, bin, count(*) * 1e0 / sum(count(*)) OVER (PARTITION BY model_version, snapshot_date, feature) AS a FROM b GROUP BY model_version, snapshot_date, feature, bin),
+ grid AS (SELECT DISTINCT model_version, snapshot_date, feature FROM act),
+ fb AS (SELECT model_version, snapshot_date, feature, bin FROM grid JOIN ex USING (feature) UNION SELECT model_version, snapshot_date, feature, bin FROM act),
+ ps AS (SELECT model_version, snapshot_date, feature, sum((coalesce(a, 0) - coalesce(e, 0)) * ln((coalesce(a, 0) + 1e-4) / (coalesce(e, 0) + 1e-4))) AS psi FROM fb
+ LEFT JOIN act USING (model_version, snapshot_date, feature, bin) LEFT JOIN ex USING (feature, bin) GROUP BY ALL),
+ mi AS (SELECT model_version, snapshot_date, feature, avg(CASE WHEN gone THEN 1e0 ELSE 0 END) AS missing_rate FROM b GROUP BY ALL),
+ dr AS (SELECT model_version, snapshot_date, feature, psi, missing_rate, baseline_missing_rate, CASE WHEN psi > 0.25 THEN 'alert' WHEN psi > 0.1 THEN 'watch' ELSE 'ok' END AS status
+ FROM ps JOIN mi USING (model_version, snapshot_date, feature) JOIN base_missing USING (feature) WHERE feature <> 'model_predictions')"""
+
+
+@query("mon1_baseline", f"{DRIFT} SELECT feature, bin, round(e, 9) AS share FROM ex")
+def mon1(spark, d):
+    return baseline(spark, d).table.withColumn("share", F.round("share", 9))
+
+
+@query("mon2_monthly_summary", f"""{DRIFT}, worst AS (SELECT model_version, snapshot_date, max(psi) AS max_feature_psi, max(struct_pack(psi := psi, feature := feature)).feature AS max_feature_psi_name,
+ count(*) FILTER (status = 'alert') AS n_features_psi_alert FROM dr GROUP BY ALL),
+ size AS (SELECT model_version, snapshot_date, any_value(model_role) AS model_role, count(*) AS n_scored, count(label) AS n_labelled, avg(p) AS mean_predicted_pd, avg(predicted_default) AS predicted_default_rate,
+ avg(label) AS observed_default_rate, avg((p - label) * (p - label)) AS brier, sum(label) * 1e0 AS nb, sum(1 - label) * 1e0 AS ng, max(data_split) AS one_split FROM s GROUP BY ALL),
+ periods AS (SELECT snapshot_date, model_version, data_split AS label_period FROM (SELECT *, row_number() OVER (PARTITION BY model_version, snapshot_date ORDER BY n DESC, data_split) AS rn
+ FROM (SELECT model_version, snapshot_date, data_split, count(*) AS n FROM s GROUP BY ALL)) WHERE rn = 1),
+ rk AS (SELECT model_version, snapshot_date, label, rank() OVER w + (count(*) OVER (PARTITION BY model_version, snapshot_date, p) - 1) / 2e0 AS r FROM s WHERE label IS NOT NULL WINDOW w AS (PARTITION BY model_version, snapshot_date ORDER BY p)),
+ au AS (SELECT model_version, snapshot_date, sum(CASE WHEN label = 1 THEN r END) AS sr FROM rk GROUP BY ALL),
+ ref AS (SELECT (sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2e0) / (sum(label) * 1e0 * sum(1 - label)) AS reference_auc FROM
+ (SELECT label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2e0 AS r FROM s WHERE model_version = 'credit_model_a' AND label IS NOT NULL AND snapshot_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-01')),
+ cv AS (SELECT model_version, snapshot_date, p, sum(label) AS b, sum(1 - label) AS g FROM s WHERE label IS NOT NULL GROUP BY ALL),
+ cu AS (SELECT model_version, snapshot_date, sum(b) OVER w AS tp, sum(g) OVER w AS fp, sum(b) OVER (PARTITION BY model_version, snapshot_date) * 1e0 AS nb, sum(g) OVER (PARTITION BY model_version, snapshot_date) * 1e0 AS ng FROM cv WINDOW w AS (PARTITION BY model_version, snapshot_date ORDER BY p DESC)),
+ ks AS (SELECT model_version, snapshot_date, greatest(max(tp / nb - fp / ng), 0) AS ks FROM cu WHERE nb > 0 AND ng > 0 GROUP BY ALL),
+ j AS (SELECT z.*, label_period, max_feature_psi, max_feature_psi_name, n_features_psi_alert, psi AS score_psi, reference_auc, n_labelled >= 100 AND nb > 0 AND ng > 0 AS enough,
+ (sr - nb * (nb + 1) / 2) / nullif(nb * ng, 0) AS auc0, ks AS ks0 FROM size z JOIN worst USING (model_version, snapshot_date) JOIN (SELECT * FROM ps WHERE feature = 'model_predictions') USING (model_version, snapshot_date)
+ LEFT JOIN au USING (model_version, snapshot_date) LEFT JOIN ks USING (model_version, snapshot_date) JOIN periods USING (model_version, snapshot_date), ref),
+ k AS (SELECT *, CASE WHEN enough THEN auc0 END AS auc, CASE WHEN NOT enough THEN 'no labels yet' WHEN reference_auc - auc0 > 0.05 THEN 'alert' WHEN reference_auc - auc0 > 0.03 THEN 'watch' ELSE 'ok' END AS performance_status,
+ CASE WHEN greatest(score_psi, max_feature_psi) > 0.25 THEN 'alert' WHEN greatest(score_psi, max_feature_psi) > 0.1 THEN 'watch' ELSE 'ok' END AS stability_status FROM j),
+ ord(state, place) AS (VALUES ('ok', 1), ('n/a', 2), ('no labels yet', 3), ('watch', 4), ('alert', 5))
+ SELECT model_version, snapshot_date, model_role, n_scored, n_labelled, label_period, round(mean_predicted_pd, 8) AS mean_predicted_pd, round(predicted_default_rate, 8) AS predicted_default_rate,
+ round(observed_default_rate, 8) AS observed_default_rate, round(auc, 8) AS auc, round(2 * auc - 1, 8) AS gini, CASE WHEN enough THEN round(ks0, 8) END AS ks, CASE WHEN enough THEN round(brier, 8) END AS brier,
+ round(reference_auc, 8) AS reference_auc, round(reference_auc - auc, 8) AS auc_drop_vs_reference, round(score_psi, 7) AS score_psi, round(max_feature_psi, 7) AS max_feature_psi, max_feature_psi_name, n_features_psi_alert,
+ performance_status, stability_status, CASE WHEN a.place >= b.place THEN performance_status ELSE stability_status END AS overall_status FROM k JOIN ord a ON a.state = performance_status JOIN ord b ON b.state = stability_status""")
+def mon2(spark, d):
+    summary, _ = monitoring_summary(scored(spark, d), baseline(spark, d))
+    digits = dict.fromkeys(["mean_predicted_pd", "predicted_default_rate", "observed_default_rate", "auc", "gini", "ks", "brier", "reference_auc",
+                            "auc_drop_vs_reference"], 8) | {"score_psi": 7, "max_feature_psi": 7}
+    return summary.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@query("mon3_feature_drift", f"{DRIFT} SELECT model_version, snapshot_date, feature, round(psi, 7) AS psi, round(missing_rate, 9) AS missing_rate, round(baseline_missing_rate, 9) AS baseline_missing_rate, status FROM dr")
+def mon3(spark, d):
+    _, drift = monitoring_summary(scored(spark, d), baseline(spark, d))
+    return drift.withColumns({"psi": F.round("psi", 7), "missing_rate": F.round("missing_rate", 9), "baseline_missing_rate": F.round("baseline_missing_rate", 9)})
+
+
+@query("mon4_targets_as_of", """WITH @roles, known AS (SELECT * FROM roles WHERE effective_from <= DATE '1999-08-01'), now AS (SELECT champion FROM known ORDER BY effective_from DESC LIMIT 1)
+ SELECT DISTINCT model_version, 'champion' AS role FROM runs WHERE model_version IN (SELECT champion FROM now)
+ UNION ALL SELECT DISTINCT model_version, 'challenger' FROM runs WHERE as_of <= DATE '1999-08-01' AND model_version NOT IN (SELECT champion FROM now)""")
+def mon4(spark, d):
+    models, day = runs(spark, d), "1999-08-01"
+    now = current_roles(roles(spark, d).filter(F.col("effective_from") <= day))
+    predicted = models.filter(F.col("as_of") <= day)
+    parts = [monitor_targets(models, now, predicted, r).withColumn("role", F.lit(r)) for r in ("champion", "challenger")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("mon5_drift_by_month", f"""{DRIFT} SELECT feature, round(avg(psi) FILTER (strftime(snapshot_date, '%Y-%m') = '2001-01'), 7) AS "2001-01", round(avg(psi) FILTER (strftime(snapshot_date, '%Y-%m') = '2001-02'), 7) AS "2001-02"
+ FROM dr WHERE model_version = 'credit_model_a' GROUP BY 1""")
+def mon5(spark, d):
+    rows = scored(spark, d)
+    _, drift = monitoring_summary(rows, baseline(spark, d))
+    in_force = rows.filter("model_role = 'champion'").select("snapshot_date", "model_version")
+    made = drift_heatmap(drift, in_force, ["2001-01", "2001-02"])
+    return made.select("feature", *[F.round(m, 7).alias(m) for m in ("2001-01", "2001-02")])
+
+
+@query("mon5_role_timeline", """WITH @roles SELECT champion, effective_from, coalesce(lead(effective_from) OVER (ORDER BY effective_from), DATE '2001-08-01') AS effective_to,
+ CAST(date_diff('day', effective_from, coalesce(lead(effective_from) OVER (ORDER BY effective_from), DATE '2001-08-01')) AS INTEGER) AS days,
+ coalesce(lag(champion) OVER (ORDER BY effective_from) <> champion, true) AS champion_changed FROM roles""")
+def mon5_roles(spark, d):
+    end = F.coalesce("effective_to", F.lit("2001-08-01").cast("date"))
+    return role_intervals(roles(spark, d)).select("champion", "effective_from", end.alias("effective_to"),
+                                                  F.datediff(end, "effective_from").alias("days"), "champion_changed")
+
+
+def gov_monitoring(spark, d):
+    """Monitoring rows of each champion, one per quarter, with statuses taken from the panel."""
+    champions = roles_asof(months(spark, d), roles(spark, d)).select("month", F.col("champion").alias("model_version"))
+    rates = view(spark, d, "panel").groupBy("month").agg(F.avg("label").alias("rate"), F.avg("x2").alias("level"))
+    joined = champions.join(rates, "month").filter("model_version IS NOT NULL")
+    return joined.select("model_version", F.col("month").alias("snapshot_date"),
+                         F.when(F.col("level") > 54, "alert").otherwise("ok").alias("stability_status"),
+                         F.when(F.col("rate") > 0.37, "alert").when(F.col("rate") > 0.31, "ok").otherwise("no labels yet").alias("performance_status"))
+
+
+GOV_STATE = """WITH @roles, @months, known_roles AS (SELECT * FROM roles WHERE effective_from <> DATE '1997-07-01' AND effective_from >= DATE '1996-07-01'),
+ known_runs AS (SELECT * FROM runs WHERE as_of >= DATE '1996-01-01' AND year(as_of) <> 1999),
+ r AS (SELECT month, champion FROM months ASOF LEFT JOIN known_roles ON month >= effective_from),
+ rates AS (SELECT month, avg(label) AS rate, avg(x2) AS level FROM panel GROUP BY 1),
+ mon AS (SELECT r.champion, r.month, CASE WHEN level > 54 THEN 'alert' ELSE 'ok' END AS stab, CASE WHEN rate > 0.37 THEN 'alert' WHEN rate > 0.31 THEN 'ok' ELSE 'no labels yet' END AS perf
+ FROM (SELECT month, champion FROM months ASOF LEFT JOIN roles ON month >= effective_from) r JOIN rates USING (month) WHERE champion IS NOT NULL),
+ st AS (SELECT m.month, r.champion, (SELECT max(as_of) FROM known_runs k WHERE k.as_of <= m.month) AS lt, (SELECT count(*) FROM months p WHERE p.month < m.month) AS labelled_months,
+ (SELECT min(as_of) FROM runs WHERE model_version = r.champion) AS td,
+ (SELECT max_by(stab, month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month) AS stab,
+ (SELECT max_by(perf, month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month AND perf <> 'no labels yet') AS perf
+ FROM months m JOIN r USING (month)),
+ ag AS (SELECT *, CAST((year(month) - year(td)) * 12 + month(month) - month(td) AS INTEGER) AS age, CAST(coalesce((year(month) - year(lt)) * 12 + month(month) - month(lt), 999) AS INTEGER) AS since,
+ coalesce(stab = 'alert', false) OR coalesce(perf = 'alert', false) AS alert FROM st),
+ tr AS (SELECT *, CASE WHEN champion IS NULL AND since < 2 THEN 'cooldown' WHEN champion IS NULL AND labelled_months >= 11 THEN 'initial' WHEN champion IS NULL THEN 'cold_start'
+ WHEN since >= 6 AND age >= 6 THEN 'scheduled' WHEN alert AND since >= 2 THEN 'triggered' WHEN alert THEN 'cooldown' ELSE 'healthy' END AS trigger FROM ag)"""
+
+
+@query("gov1_refresh_decisions", f"""{GOV_STATE} SELECT month, champion, CAST(labelled_months AS BIGINT) AS labelled_months, age AS champion_age, since AS months_since_training, alert,
+ CASE WHEN trigger IN ('initial', 'scheduled', 'triggered') THEN 'train' ELSE 'skip' END AS decision, trigger FROM tr""")
+def gov1(spark, d):
+    all_runs, all_roles = runs(spark, d), roles(spark, d)
+    models = all_runs.select("model_version", F.col("as_of").alias("model_train_date"))
+    made = refresh_decisions(months(spark, d), all_roles.filter("effective_from <> DATE '1997-07-01' AND effective_from >= DATE '1996-07-01'"),
+                             all_runs.filter("as_of >= DATE '1996-01-01' AND year(as_of) <> 1999"), models, view(spark, d, "panel"),
+                             gov_monitoring(spark, d), label_date="label_date")
+    return made.withColumn("labelled_months", F.col("labelled_months").cast("long"))
+
+
+def incumbents(spark, d):
+    """Champion before each run and its Gini on the newest rows, taken from its own runs' figures."""
+    champion = roles(spark, d).select(F.add_months("effective_from", 6).alias("as_of"), "champion")
+    gini = runs(spark, d).select(F.col("model_version").alias("champion"), (F.col("gini_oot") * 1.0).alias("champion_gini_oot"))
+    return champion.join(gini, "champion").select("as_of", "champion", "champion_gini_oot")
+
+
+@query("gov2_promotion_gate", """WITH @roles, inc AS (SELECT CAST(effective_from + to_months(6) AS DATE) AS as_of, champion, gini_oot AS champion_gini_oot FROM roles
+ JOIN (SELECT model_version AS champion, gini_oot FROM runs) USING (champion)),
+ c AS (SELECT as_of, max(CASE WHEN place = 1 THEN model_version END) AS model_version, max(CASE WHEN place = 1 THEN gini_test END) AS gini_test, max(CASE WHEN place = 1 THEN gini_oot END) AS gini_oot,
+ max(CASE WHEN place = 2 THEN model_version END) AS runner_up FROM placed WHERE place <= 2 GROUP BY 1),
+ g AS (SELECT *, gini_test >= 0.3 AND gini_oot >= 0.3 AND abs(gini_test - gini_oot) <= 0.1 AS passed FROM c LEFT JOIN inc USING (as_of)),
+ p AS (SELECT *, passed AND (champion IS NULL OR gini_oot >= champion_gini_oot) AS promoted FROM g)
+ SELECT as_of, model_version, champion, passed, promoted, round(gini_oot - champion_gini_oot, 8) AS uplift, CASE WHEN champion IS NULL AND promoted THEN 'initial deployment' WHEN champion IS NULL THEN 'initial candidate failed quality gates'
+ WHEN promoted THEN 'promoted: passes gates and OOT Gini >= champion' WHEN NOT passed THEN 'kept champion: candidate failed quality gates' ELSE 'kept champion: candidate not better on the same OOT window' END AS reason,
+ CASE WHEN promoted THEN model_version ELSE champion END AS champion_after, CASE WHEN promoted THEN runner_up WHEN champion IS NOT NULL THEN model_version END AS challenger_after FROM p""")
+def gov2(spark, d):
+    made = promotion(rank_candidates(runs(spark, d).drop("n_rows")), incumbents(spark, d))
+    return made.select("as_of", "model_version", "champion", "passed", "promoted", F.round("uplift", 8).alias("uplift"), "reason",
+                       "champion_after", "challenger_after")
+
+
+@query("gov3_role_upsert", """WITH @roles SELECT effective_from, champion, challenger, reason FROM roles WHERE effective_from < DATE '2000-01-01'
+ UNION ALL SELECT effective_from, 'credit_model_new', champion, 'triggered refresh' FROM roles WHERE effective_from >= DATE '2000-01-01'""")
+def gov3(spark, d):
+    history = roles(spark, d)
+    again = history.filter("effective_from >= DATE '2000-01-01'").select(
+        "effective_from", F.lit("credit_model_new").alias("champion"), F.col("champion").alias("challenger"), F.lit("triggered refresh").alias("reason"))
+    return upsert_roles(upsert_roles(history, again), again)
+
+
+@query("gov3_manual_promotion", """WITH @roles SELECT * FROM roles UNION ALL SELECT DATE '1999-03-15', 'credit_model_old', (SELECT champion FROM roles WHERE effective_from <= DATE '1999-03-15'
+ ORDER BY effective_from DESC LIMIT 1), 'manual override / rollback'""")
+def gov3_manual(spark, d):
+    return manual_promotion(roles(spark, d), "credit_model_old", "1999-03-15")
+
+
+@query("gov4_roles_by_month", """WITH @roles, @months SELECT month, champion AS model_version, 'champion' AS model_role FROM months ASOF JOIN roles ON month >= effective_from
+ UNION ALL SELECT month, challenger, 'challenger' FROM months ASOF JOIN roles ON month >= effective_from WHERE challenger IS NOT NULL""")
+def gov4(spark, d):
+    wide = roles_asof(months(spark, d), roles(spark, d)).select("month", "champion", "challenger")
+    return wide.unpivot(["month"], ["champion", "challenger"], "model_role", "model_version").filter("model_version IS NOT NULL")
+
+
+@query("gov5_current_state", "WITH @roles SELECT effective_from, champion, challenger FROM roles ORDER BY effective_from DESC LIMIT 1")
+def gov5(spark, d):
+    return current_roles(roles(spark, d))
