@@ -1 +1,187 @@
-"""Queries."""
+"""Preprocessing, training, evaluation and scoring."""
+
+from functools import lru_cache
+
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from panelkit.operators.drift import binned, contingency, decile_edges, information_value
+from panelkit.operators.metrics import discrimination, score_summary
+from panelkit.operators.quality import metric_gaps, missing_shares
+from panelkit.plans.inference import rows_to_score
+from panelkit.plans.modelling import (coefficient_table, evaluate, expanding_folds, fit_linear_prep, fit_tree_prep, monotonicity,
+                                      score_rows, search_logreg, train_logreg, train_trees, youden_cut)
+from panelkit.session import fresh_path
+from panelkit.sources.sinks import write_partitions
+from workload.q_aggregates import split_panel
+from workload.registry import query
+from workload.views import view
+
+NUMERIC, LEVELS = ["InterestRate_x_Debt", "Delay_from_due_date", "Age_imputed"], ["Credit_Mix"]
+DIRECTIONS = {"InterestRate_x_Debt": 1, "Delay_from_due_date": 1, "Age_imputed": -1}
+RISK = "CASE WHEN x1 / 5000 + x2 - coalesce(x3, 25) + (CAST(loan_id AS INT) * 37) % 97 > 130 THEN 1 ELSE 0 END"
+
+
+def training_rows(spark, d):
+    """Panel with named features and an outcome that depends on them."""
+    return split_panel(spark, d).selectExpr(
+        "loan_id", "Customer_ID", "label_date", "month", "data_split", f"{RISK} AS label", "x1 AS InterestRate_x_Debt",
+        "x2 AS Delay_from_due_date", "x3 AS Age_imputed", "level AS Credit_Mix")
+
+
+def part(spark, d, split):
+    return training_rows(spark, d).filter(F.col("data_split") == split)
+
+
+@lru_cache(maxsize=4)
+def linear(spark, d):
+    """Scorecard without a search, shared by the queries that only use it."""
+    train = part(spark, d, "train")
+    iv = {r["feature"]: r["iv"] for r in information_value(contingency(
+        binned(train, decile_edges(train, NUMERIC), LEVELS, keep=["label"]), "label")).collect()}
+    card = train_logreg(train, NUMERIC, LEVELS, iv, c=1.0, l1=0.0, directions=DIRECTIONS)
+    card.threshold = youden_cut(card.transform(part(spark, d, "validation")))
+    return card
+
+
+@lru_cache(maxsize=4)
+def trees(spark, d):
+    """Boosted trees with one setting and early stopping."""
+    train = part(spark, d, "train")
+    card = train_trees(train, part(spark, d, "validation"), NUMERIC, LEVELS, "label_date", None, rounds=10,
+                       settings=[{"maxDepth": 3, "stepSize": 0.2, "minInstancesPerNode": 5}])
+    card.threshold = youden_cut(card.transform(part(spark, d, "validation")))
+    return card
+
+
+CAPS = ", ".join(f"quantile_cont({c}, 0.01) FILTER (data_split = 'train') AS {c}_lo, quantile_cont({c}, 0.99) FILTER (data_split = 'train') AS {c}_hi" for c in ("x1", "x3", "x5"))
+PREP = f"""WITH @split_panel, s AS (SELECT *, exp(x2 / 20) AS x5 FROM split_panel WHERE data_split IS NOT NULL), q AS (SELECT {CAPS} FROM s),
+ c AS (SELECT loan_id, data_split, label, level, x3 IS NULL AS gone, """ + ", ".join(
+    f"CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, {c}_lo), {c}_hi) END AS {c}" for c in ("x1", "x3", "x5")) + """ FROM s, q),
+ k AS (SELECT abs(skewness(x1)) > 1 AS k1, abs(skewness(x3)) > 1 AS k3, abs(skewness(x5)) > 1 AS k5 FROM c WHERE data_split = 'train'),
+ l AS (SELECT c.* EXCLUDE (x1, x3, x5), CASE WHEN k1 THEN sign(x1) * ln(1 + abs(x1)) ELSE x1 END AS x1, CASE WHEN k3 THEN sign(x3) * ln(1 + abs(x3)) ELSE x3 END AS x3,
+ CASE WHEN k5 THEN sign(x5) * ln(1 + abs(x5)) ELSE x5 END AS x5 FROM c, k),
+ m AS (SELECT quantile_cont(x3, 0.5) AS m3 FROM l WHERE data_split = 'train'),"""
+
+
+@query("ml1_linear_preprocessing", PREP + """ tab AS (SELECT coalesce(level, '__MISSING__') AS bin, sum(label) + 0.5e0 AS b, sum(1 - label) + 0.5e0 AS g FROM l WHERE data_split = 'train' GROUP BY 1),
+ w AS (SELECT bin, ln((b / (SELECT sum(label) + 0.5e0 FROM l WHERE data_split = 'train')) / (g / (SELECT sum(1 - label) + 0.5e0 FROM l WHERE data_split = 'train'))) AS woe FROM tab),
+ f AS (SELECT loan_id, data_split, x1, coalesce(x3, m3) AS x3, x5, CASE WHEN gone THEN 1e0 ELSE 0e0 END AS x3_missing, coalesce(woe, 0) AS level_woe FROM l LEFT JOIN w ON coalesce(level, '__MISSING__') = bin, m),
+ z AS (SELECT avg(x1) AS a1, stddev_pop(x1) AS s1, avg(x3) AS a3, stddev_pop(x3) AS s3, avg(x5) AS a5, stddev_pop(x5) AS s5, avg(x3_missing) AS am, stddev_pop(x3_missing) AS sm, avg(level_woe) AS aw, stddev_pop(level_woe) AS sw
+ FROM f WHERE data_split = 'train') SELECT loan_id, round((x1 - a1) / s1, 6) AS x1, round((x3 - a3) / s3, 6) AS x3, round((x5 - a5) / s5, 6) AS x5, round((x3_missing - am) / sm, 6) AS x3_missing,
+ round((level_woe - aw) / sw, 6) AS level_woe FROM f, z""")
+def ml1(spark, d):
+    rows = split_panel(spark, d).withColumn("x5", F.exp(F.col("x2") / 20))
+    prep = fit_linear_prep(rows.filter("data_split = 'train'"), ["x1", "x3", "x5"], ["level"])
+    made = prep.transform(rows).select("loan_id", vector_to_array("features").alias("v"))
+    return made.select("loan_id", *[F.round(F.col("v")[i], 6).alias(n) for i, n in enumerate(prep.inputs)])
+
+
+@query("ml2_tree_preprocessing", """WITH @split_panel, s AS (SELECT * FROM split_panel WHERE data_split IS NOT NULL), q AS (SELECT quantile_cont(x3, 0.01) AS lo, quantile_cont(x3, 0.99) AS hi, quantile_cont(x3, 0.5) AS m FROM s WHERE data_split = 'train')
+ SELECT loan_id, round(coalesce(least(greatest(x3, lo), hi), m), 8) AS x3, CASE WHEN model = '1-URGENT' THEN 1e0 ELSE 0e0 END AS urgent, CASE WHEN model = '5-LOW' THEN 1e0 ELSE 0e0 END AS low FROM s, q""".replace(
+    "coalesce(least(greatest(x3, lo), hi), m)", "CASE WHEN x3 IS NULL THEN m ELSE least(greatest(x3, lo), hi) END"))
+def ml2(spark, d):
+    rows = split_panel(spark, d)
+    prep = fit_tree_prep(rows.filter("data_split = 'train'"), ["x3"], ["model"])
+    at = {n: i for i, n in enumerate(prep.inputs)}
+    made = prep.transform(rows).select("loan_id", vector_to_array("features").alias("v"))
+    return made.select("loan_id", F.round(F.col("v")[at["x3"]], 8).alias("x3"), F.col("v")[at["model_1_URGENT"]].alias("urgent"),
+                       F.col("v")[at["model_5_LOW"]].alias("low"))
+
+
+@query("ml3_expanding_folds", """WITH @split_panel, m AS (SELECT month, row_number() OVER (ORDER BY month) - 1 AS pos, count(*) OVER () AS total FROM (SELECT DISTINCT month FROM split_panel WHERE data_split = 'train')),
+ f AS (SELECT m.*, i, total - i * 2 AS cut FROM m, (SELECT unnest([4, 3, 2, 1]) AS i))
+ SELECT CAST(5 - i AS INTEGER) AS fold, month, CASE WHEN pos < cut THEN 'fit' ELSE 'score' END AS part FROM f WHERE pos < cut + 2""")
+def ml3(spark, d):
+    return expanding_folds(part(spark, d, "train"), "label_date")
+
+
+@query("ml4_penalty_search")
+def ml4(spark, d):
+    train = part(spark, d, "train")
+    found = search_logreg(train, NUMERIC, LEVELS, "label_date", expanding_folds(train, "label_date", n_splits=2), grid=[0.01, 1.0])
+    rows = [(c, l1, float(sum(v) / len(v))) for (c, l1), v in found["scores"].items()]
+    return spark.createDataFrame(rows, "c double, l1 double, cv_auc double")
+
+
+@query("ml5_sign_enforcement")
+def ml5(spark, d):
+    train = part(spark, d, "train")
+    wrong = {"InterestRate_x_Debt": 1, "Delay_from_due_date": -1, "Age_imputed": -1}
+    card = train_logreg(train, NUMERIC, [], {"Delay_from_due_date": 0.1}, 1.0, 0.0, directions=wrong)
+    return coefficient_table(card, spark).withColumn("dropped", F.lit(",".join(card.dropped)))
+
+
+@query("ml6_boosted_trees")
+def ml6(spark, d):
+    card = trees(spark, d)
+    return evaluate(card, training_rows(spark, d))
+
+
+@query("ml7_evaluation_by_split")
+def ml7(spark, d):
+    return evaluate(linear(spark, d), training_rows(spark, d))
+
+
+@query("ml8_monotonicity")
+def ml8(spark, d):
+    return monotonicity(trees(spark, d), part(spark, d, "oot"), part(spark, d, "train"), DIRECTIONS, n_rows=100, n_grid=10)
+
+
+@query("ml9_coefficients")
+def ml9(spark, d):
+    return coefficient_table(linear(spark, d), spark)
+
+
+@query("ml10_month_scored")
+def ml10(spark, d):
+    rows = training_rows(spark, d)
+    inference = rows.filter("month = DATE '2001-05-01'").drop("label", "data_split").withColumnRenamed("month", "financials_snapshot_date")
+    gold = rows.withColumnRenamed("month", "financials_snapshot_date")
+    month = rows_to_score(inference, gold).filter("financials_snapshot_date = DATE '2001-05-01'")
+    return score_rows(linear(spark, d), month, "financials_snapshot_date", "champion")
+
+
+@query("ml11_score_backfill", f"""WITH @split_panel SELECT month AS snapshot_date, count(*) AS n, count(*) AS n_scored FROM split_panel WHERE data_split IS NOT NULL GROUP BY 1""")
+def ml11(spark, d):
+    path = fresh_path(spark, "predictions")
+    write_partitions(score_rows(linear(spark, d), training_rows(spark, d), "month"), path, ["snapshot_date"])
+    return spark.read.parquet(path).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"), F.count("model_predictions").alias("n_scored"))
+
+
+@query("ml12_reloaded_models", """SELECT unnest(['logreg', 'trees']) AS model, true AS same_auc""")
+def ml12(spark, d):
+    out = []
+    for card, loader in ((linear(spark, d), LogisticRegressionModel), (trees(spark, d), GBTClassificationModel)):
+        path = fresh_path(spark, "model")
+        card.model.save(path)
+        oot = part(spark, d, "oot")
+        before = discrimination(card.transform(oot), "model_predictions", "label").select(F.col("auc").alias("a"), F.lit(card.name).alias("model"))
+        kept, card.model = card.model, loader.load(path)
+        after = discrimination(card.transform(oot), "model_predictions", "label").select(F.col("auc").alias("b"), F.lit(card.name).alias("model"))
+        card.model = kept
+        out.append(before.join(after, "model").select("model", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("same_auc")))
+    return out[0].unionByName(out[1])
+
+
+@query("dq8_backfill_reproduces_metrics", "SELECT unnest(['train', 'validation', 'test', 'oot']) AS data_split, true AS same")
+def dq8(spark, d):
+    card, rows = linear(spark, d), training_rows(spark, d)
+    path = fresh_path(spark, "predictions")
+    write_partitions(score_rows(card, rows, "month"), path, ["snapshot_date"])
+    back = spark.read.parquet(path).select("loan_id", "model_predictions").join(rows.select("loan_id", "label", "data_split"), "loan_id")
+    gaps = metric_gaps(discrimination(back, "model_predictions", "label", ["data_split"]), evaluate(card, rows), ["data_split"], "auc")
+    return gaps.select("data_split", (F.abs("difference") < 1e-9).alias("same"))
+
+
+@query("dq6_missing_at_scoring", """WITH @split_panel, m AS (SELECT month, avg(CASE WHEN x3 IS NULL THEN 1e0 ELSE 0 END) AS Age_imputed, avg(CASE WHEN level IS NULL THEN 1e0 ELSE 0 END) AS Credit_Mix FROM split_panel WHERE data_split IS NOT NULL GROUP BY 1)
+ SELECT month, feature, round(missing_rate, 9) AS missing_rate FROM (UNPIVOT m ON Age_imputed, Credit_Mix INTO NAME feature VALUE missing_rate)""")
+def dq6_scoring(spark, d):
+    return missing_shares(training_rows(spark, d), ["Age_imputed", "Credit_Mix"], ["month"]).withColumn("missing_rate", F.round("missing_rate", 9))
+
+
+@query("agg23_prediction_summary")
+def prediction_summary(spark, d):
+    card = linear(spark, d)
+    return score_summary(score_rows(card, training_rows(spark, d), "month"), "model_predictions", card.threshold, ["snapshot_date"])
