@@ -22,11 +22,11 @@ def latest_non_null(df: DataFrame, keys: Sequence[str], by: str, columns: Sequen
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(by, c))).alias(c) for c in columns])
 
 
-def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
-              columns: Sequence[str], strict: bool = False, grain: str = "MONTH") -> DataFrame:
-    """Adds to each left row the columns of the right row with the greatest time not after its own.
+def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
+                columns: Sequence[str], strict: bool = False, grain: str = "MONTH") -> DataFrame:
+    """Per distinct key and time the columns of the right row with the greatest time not after it, as one struct ``found``.
 
-    ``strict`` takes only times before the left time. Rows of a key are cut into calendar slices: within a
+    ``strict`` takes only times before the probe. Rows of a key are cut into calendar slices: within a
     slice one ordered pass finds the last row, and the last row of all earlier slices is carried over
     from a table with one row per key and slice. No pairs of rows are formed, and a key holding
     a large share of the data is spread over its slices. ``grain`` must be coarse enough that a key has
@@ -35,29 +35,45 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     payload = F.struct(F.col(right_time).alias("__at"), *columns)
     facts = (right.filter(F.col(right_time).isNotNull())
              .groupBy(*on, F.col(right_time).alias("__t")).agg(F.max(payload).alias("__row")))
-    probes = left.filter(F.col(left_time).isNotNull()).select(*on, F.col(left_time).alias("__t")).distinct()
-    slot = F.date_trunc(grain, F.col("__t"))
-    facts, probes = facts.withColumn("__slot", slot), probes.withColumn("__slot", slot)
+    asked = probes.filter(F.col(left_time).isNotNull()).select(*on, F.col(left_time).alias("__t")).distinct()
     empty = F.lit(None).cast(facts.schema["__row"].dataType)
-
-    # slices: last row of each one, then the last row of all slices before it
-    slots = (facts.groupBy(*on, "__slot").agg(F.max_by("__row", "__t").alias("__row"))
-             .unionByName(probes.select(*on, "__slot").distinct().withColumn("__row", empty))
-             .groupBy(*on, "__slot").agg(F.first("__row", ignorenulls=True).alias("__row")))
+    first, second = (0, 1) if strict else (1, 0)
+    both = (asked.select(*on, "__t", F.lit(first).alias("__side"), empty.alias("__row"))
+            .unionByName(facts.select(*on, "__t", F.lit(second).alias("__side"), "__row"))
+            .withColumn("__slot", F.date_trunc(grain, F.col("__t"))))
+    slots = both.groupBy(*on, "__slot").agg(F.max_by("__row", F.when(F.col("__side") == second, F.col("__t"))).alias("__row"))
     before = Window.partitionBy(*on).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.select(*on, "__slot", F.last("__row", ignorenulls=True).over(before).alias("__carried"))
-
-    first, second = (0, 1) if strict else (1, 0)
-    both = (probes.select(*on, "__slot", "__t", F.lit(first).alias("__side"), empty.alias("__row"))
-            .unionByName(facts.select(*on, "__slot", "__t", F.lit(second).alias("__side"), "__row")))
     upto = (Window.partitionBy(*on, "__slot").orderBy("__t", "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = (both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto))
-             .filter(F.col("__side") == first)
-             .join(carried, [*on, "__slot"], "left")
-             .select(*on, F.col("__t").alias(left_time), F.coalesce("__found", "__carried").alias("__found")))
+    inner = both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto)).filter(F.col("__side") == first)
+    return (inner.join(carried, [*on, "__slot"], "left")
+            .select(*on, F.col("__t").alias(left_time), F.coalesce("__found", "__carried").alias("found")))
+
+
+def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
+              columns: Sequence[str], strict: bool = False, grain: str = "MONTH") -> DataFrame:
+    """Adds to each left row the columns of the latest right row of its key; see ``asof_lookup``."""
+    found = asof_lookup(left, right, on, left_time, right_time, columns, strict, grain)
     return left.join(found, [*on, left_time], "left").select(
-        *left.columns, *[F.col(f"__found.{c}").alias(c) for c in columns])
+        *left.columns, *[F.col(f"found.{c}").alias(c) for c in columns])
+
+
+def asof_small(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
+               columns: Sequence[str], strict: bool = False) -> DataFrame:
+    """The same in one ordered pass per key, for calendars and histories with a row per month or decision."""
+    payload = F.struct(*columns)
+    kept = F.struct(*left.columns)
+    group = list(on) or ["__all"]
+    l = left.select(*on, F.col(left_time).alias("__t"), kept.alias("__left"), F.lit(1).alias("__all"))
+    r = (right.filter(F.col(right_time).isNotNull())
+         .select(*on, F.col(right_time).alias("__t"), payload.alias("__row"), F.lit(1).alias("__all")))
+    order = ["__t", "__side"]
+    both = (l.withColumn("__side", F.lit(0 if strict else 1))
+            .unionByName(r.withColumn("__side", F.lit(1 if strict else 0)), allowMissingColumns=True))
+    upto = Window.partitionBy(*group).orderBy(*order, "__row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto)).filter(F.col("__left").isNotNull())
+    return found.select("__left.*", *[F.col(f"__found.{c}").alias(c) for c in columns])
 
 
 def role_intervals(roles: DataFrame, start: str = "effective_from") -> DataFrame:

@@ -14,7 +14,7 @@ TINY = 2.220446049250313e-16  # double precision step, the clip bound of log los
 
 
 def score_table(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Per keys and distinct score the goods and bads at it and below it; unlabelled rows are left out."""
+    """Per keys and distinct score the goods and bads at it, below it and in all; unlabelled rows are left out."""
     rows = (df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
             .select(*keys, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("bads"))
             .withColumn("goods", 1 - F.col("bads")))
@@ -29,13 +29,7 @@ def discrimination(df: DataFrame, score: str, label: str, keys: Sequence[str] =
     Ranking metrics are null for a group with one class. With ``threshold``, precision, recall and F1 of
     ``score >= threshold`` are added.
     """
-    table = score_table(df, score, label, keys)
-    totals = table.groupBy(*keys).agg(F.sum("bads").alias("n_bad"), F.sum("goods").alias("n_good"))
-    if keys:
-        rows = same_keys(table, totals, keys, "inner")
-    else:  # both sides carry the same constant; the totals are one row
-        one = F.lit(1).alias("__one")
-        rows = table.select("*", one).join(totals.select("*", one), "__one").drop("__one")
+    rows = score_table(df, score, label, keys).withColumnsRenamed({"bads_total": "n_bad", "goods_total": "n_good"})
     bad, good = F.col("n_bad").cast("double"), F.col("n_good").cast("double")
     caught = F.col("n_bad") - F.col("bads_before")        # bads scored at this value or above
     false = F.col("n_good") - F.col("goods_before")

@@ -51,9 +51,10 @@ def top_value_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("top_value_share"))
 
 
-def mode_of(df: DataFrame, keys: Sequence[str], column: str, out: str = "mode") -> DataFrame:
-    """Most frequent non-null value per key group, the smallest on a tie."""
-    counts = (df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n")))
+def mode_of(df: DataFrame, keys: Sequence[str], column: str, out: str = "mode", weight: str | None = None) -> DataFrame:
+    """Most frequent non-null value per key group, the smallest on a tie; ``weight`` counts pre-counted rows."""
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(size.alias("n"))
     top = counts.groupBy(*keys).agg(F.max("n").alias("__top"))
     return (counts.join(top, list(keys)).filter(F.col("n") == F.col("__top"))
             .groupBy(*keys).agg(F.min(column).alias(out)))

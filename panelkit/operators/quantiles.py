@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.ranking import distinct_values, same_keys
+from panelkit.operators.ranking import distinct_values, packed
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
@@ -46,19 +46,19 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequenc
         rows = counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
                                    "before": F.coalesce(F.sum("n").over(running), F.lit(0))})
     else:
-        slot = [*group, "slice"]
+        counts = counts.withColumn("__k", packed(group))
         # one row per slice from here to the join: a few per group
-        per_slice = counts.groupBy(*slot).agg(F.sum("n").alias("slice_n"))
-        whole = Window.partitionBy(*group)
+        per_slice = counts.groupBy("__k", "slice").agg(F.sum("n").alias("slice_n"))
+        whole = Window.partitionBy("__k")
         earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         total, start = F.sum("slice_n").over(whole), F.coalesce(F.sum("slice_n").over(earlier), F.lit(0))
-        located = per_slice.select(*slot, "slice_n", total.alias("total"), start.alias("offset"))
+        located = per_slice.select("__k", "slice", "slice_n", total.alias("total"), start.alias("offset"))
         ranks = F.filter(_ranks(probs, F.col("total"), interpolate), lambda r: (
             (r["low"] >= F.col("offset")) & (r["low"] < F.col("offset") + F.col("slice_n")))
             | ((r["high"] >= F.col("offset")) & (r["high"] < F.col("offset") + F.col("slice_n"))))
         needed = located.withColumn("ranks", ranks).filter(F.size("ranks") > 0).drop("slice_n")
-        inside = Window.partitionBy(*slot).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        rows = (same_keys(counts, needed, slot, "inner")
+        inside = Window.partitionBy("__k", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        rows = (counts.join(needed, ["__k", "slice"])
                 .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
     hit = rows.select(*group, "total", "value", "before", (F.col("before") + F.col("n")).alias("after"), F.inline("ranks"))
     at = {end: (F.col(end) >= F.col("before")) & (F.col(end) < F.col("after")) for end in ("low", "high")}

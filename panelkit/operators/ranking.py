@@ -34,12 +34,13 @@ def with_slices(df: DataFrame, edges: dict[str, list[float]], suffix: str = "__s
     """Adds the slice number of each column."""
     cut = {c: e for c, e in edges.items() if e}
     flat = [c for c in edges if c not in cut]
-    df = df.withColumns({c + suffix: F.lit(0.0) for c in flat})
+    df = df.withColumns({c + suffix: F.lit(0) for c in flat})
     if not cut:
         return df
     inf = float("inf")
-    return Bucketizer(splitsArray=[[-inf, *e, inf] for e in cut.values()], inputCols=list(cut),
+    made = Bucketizer(splitsArray=[[-inf, *e, inf] for e in cut.values()], inputCols=list(cut),
                       outputCols=[c + suffix for c in cut], handleInvalid="keep").transform(df)
+    return made.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in cut})
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -51,23 +52,28 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], order: str, measures: Sequence[str],
-                   slice_col: str) -> DataFrame:
-    """Adds ``<m>_before``: the total of ``m`` over rows of the same keys with a smaller ``order``.
+def packed(keys: Sequence[str]):
+    """Keys as one struct: equal also where a field is null, and one partitioning serves grouping, window and join."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
 
-    ``df`` holds one row per keys and order value; ``slice_col`` never decreases with ``order``.
+
+def running_totals(df: DataFrame, keys: Sequence[str], order: str, measures: Sequence[str], slice_col: str) -> DataFrame:
+    """Adds ``<m>_before`` and ``<m>_total``: totals of ``m`` over smaller ``order`` values and over all rows of the same keys.
+
+    ``df`` holds one row per keys and order value; ``slice_col`` never decreases with ``order``. The table of
+    slice totals reads the same shuffled rows as the ordered pass, and joins on the partitioning that pass has.
     """
-    part = [*keys, slice_col]
-    group = [F.col(k) for k in keys] or [F.lit(0)]
-    earlier = Window.partitionBy(*group).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (df.groupBy(*part).agg(*[F.sum(m).alias(f"__{m}") for m in measures])
-               .select(*part, *[F.coalesce(F.sum(f"__{m}").over(earlier), F.lit(0)).alias(f"__{m}_offset")
-                                for m in measures]))
+    rows, part = df.withColumn("__k", packed(keys)), ["__k", slice_col]
+    whole = Window.partitionBy("__k")
+    earlier = whole.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = rows.groupBy(*part).agg(*[F.sum(m).alias(f"__{m}") for m in measures])
+    offsets = per_slice.select(*part, *[F.coalesce(F.sum(f"__{m}").over(earlier), F.lit(0)).alias(f"__{m}_offset") for m in measures],
+                               *[F.sum(f"__{m}").over(whole).alias(f"{m}_total") for m in measures])
     inside = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    inner = df.withColumns({f"__{m}_in": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
-    joined = same_keys(inner, offsets, part, "inner")
-    return (joined.withColumns({f"{m}_before": F.col(f"__{m}_in") + F.col(f"__{m}_offset") for m in measures})
-            .drop(*[f"__{m}_in" for m in measures], *[f"__{m}_offset" for m in measures]))
+    inner = rows.withColumns({f"__{m}_in": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
+    return (inner.join(offsets, part)
+            .withColumns({f"{m}_before": F.col(f"__{m}_in") + F.col(f"__{m}_offset") for m in measures})
+            .drop("__k", *[f"__{m}_in" for m in measures], *[f"__{m}_offset" for m in measures]))
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions.binning import labelled_bin
 from panelkit.functions.dates import Split, split_of
 from panelkit.functions.numeric import ratio
-from panelkit.operators.asof import asof_join
+from panelkit.operators.asof import asof_lookup
 from panelkit.operators.impute import apply_age, apply_counts, fill_from
 from panelkit.operators.lookback import lookback
 from panelkit.plans.params import COUNTS, FeatureParams, fit_params
@@ -45,10 +45,13 @@ def join_sources(labels: DataFrame, attributes: DataFrame, financials: DataFrame
     money = financials.withColumnRenamed("snapshot_date", "financials_snapshot_date")
     if not point_in_time:
         return base.join(people, "Customer_ID", "left").join(money, "Customer_ID", "left")
+    probes, out = base.select("Customer_ID", "labels_snapshot_date").distinct(), base
     for table, date in ((people, "attributes_snapshot_date"), (money, "financials_snapshot_date")):
         columns = [c for c in table.columns if c != "Customer_ID"]
-        base = asof_join(base, table, ["Customer_ID"], "labels_snapshot_date", date, columns, grain="YEAR")
-    return base
+        known = asof_lookup(probes, table, ["Customer_ID"], "labels_snapshot_date", date, columns, grain="YEAR")
+        out = (out.join(known, ["Customer_ID", "labels_snapshot_date"], "left")
+               .select(*out.columns, *[F.col(f"found.{c}").alias(c) for c in columns]))
+    return out
 
 
 def derived_ratios(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from panelkit.operators.drift import binned, decile_edges, psi, shares
 from panelkit.operators.metrics import discrimination
 from panelkit.operators.profile import mode_of
 from panelkit.operators.quality import missing_shares
-from panelkit.operators.ranking import same_keys
+from panelkit.session import materialize
 
 # Monitoring thresholds.
 PSI_WATCH, PSI_ALERT = 0.10, 0.25
@@ -45,38 +45,45 @@ def build_baseline(train: DataFrame, numeric: Sequence[str], levels: Sequence[st
 
 
 def feature_drift(rows: DataFrame, base: Baseline, keys: Sequence[str]) -> DataFrame:
-    """PSI, missing rate and status per key group and feature (the score counts as a feature here)."""
-    actual = shares(binned(rows, base.edges, base.levels, keep=keys), keys)
-    drift = psi(base.table, actual, keys)
-    missing = missing_shares(rows, base.features, keys)
-    return (drift.join(missing, [*keys, "feature"], "left").join(base.missing, "feature", "left")
-            .withColumn("status", status("psi", PSI_WATCH, PSI_ALERT)))
+    """PSI per key group and feature, the score among them."""
+    return psi(base.table, shares(binned(rows, base.edges, base.levels, keep=keys), keys), keys)
 
 
 def monitoring_summary(rows: DataFrame, base: Baseline, keys: Sequence[str] = ("model_version", "snapshot_date"),
                        label: str = "label") -> tuple[DataFrame, DataFrame]:
     """Summary per model and month, and the feature drift behind it.
 
-    ``rows`` are predictions with their label (null until matured), split and features.
+    ``rows`` are predictions with their label (null until matured), split and features. The columns read are
+    written once, as the joins behind them would otherwise run for each part. Counts, rates, missing values and the
+    usual role and period come from one table with a row per key group, role and split.
     """
     keys = list(keys)
+    rows = materialize(rows.select(*keys, "model_role", "data_split", label, SCORE, "predicted_default", *base.features), "monitored")
+    y = F.col(label).cast("double")
+    cells = materialize(rows.groupBy(*keys, "model_role", "data_split").agg(
+        F.count(F.lit(1)).alias("n"), F.count(label).alias("n_y"), F.sum(SCORE).alias("s"), F.sum(y).alias("y"),
+        F.sum("predicted_default").alias("p"), *[F.count(F.when(F.col(f).isNull(), 1)).alias(f"null_{f}") for f in base.features]), "cells")
     both = feature_drift(rows, base, keys)
     drift = both.filter(F.col("feature") != SCORE)
     score_psi = both.filter(F.col("feature") == SCORE).select(*keys, F.col("psi").alias("score_psi"))
+    total = F.sum("n")
+    missing = (cells.groupBy(*keys).agg(*[(F.sum(f"null_{f}") / total).alias(f) for f in base.features])
+               .unpivot(keys, base.features, "feature", "missing_rate"))
+    drift = (drift.join(missing, [*keys, "feature"], "left").join(base.missing, "feature", "left")
+             .withColumn("status", status("psi", PSI_WATCH, PSI_ALERT)))
     worst = drift.groupBy(*keys).agg(
         F.max("psi").alias("max_feature_psi"), F.max_by("feature", F.struct("psi", "feature")).alias("max_feature_psi_name"),
         F.count(F.when(F.col("status") == "alert", 1)).alias("n_features_psi_alert"))
-    size = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_scored"), F.count(label).alias("n_labelled"),
-        F.avg(SCORE).alias("mean_predicted_pd"), F.avg(F.col("predicted_default").cast("double")).alias("predicted_default_rate"),
-        F.avg(F.col(label).cast("double")).alias("observed_default_rate"))
+    size = cells.groupBy(*keys).agg(
+        total.alias("n_scored"), F.sum("n_y").alias("n_labelled"), (F.sum("s") / total).alias("mean_predicted_pd"),
+        (F.sum("p") / total).alias("predicted_default_rate"), F.try_divide(F.sum("y"), F.sum("n_y")).alias("observed_default_rate"))
     metrics = discrimination(rows, SCORE, label, keys).select(
         *keys, "n_bad", "n_good", *[F.col(c).alias(f"__{c}") for c in ("auc", "gini", "ks", "brier")])
     out = size
-    for table in (metrics, score_psi, worst, mode_of(rows, keys, "model_role", "model_role"),
-                  mode_of(rows, keys, "data_split", "label_period")):
-        out = same_keys(out, table, keys)
-    enough = (F.col("n_labelled") >= MIN_LABELLED) & (F.col("n_bad") > 0) & (F.col("n_good") > 0)
+    for table in (metrics, score_psi, worst, mode_of(cells, keys, "model_role", "model_role", "n"),
+                  mode_of(cells, keys, "data_split", "label_period", "n")):
+        out = out.join(table, keys, "left")
+    enough = F.coalesce((F.col("n_labelled") >= MIN_LABELLED) & (F.col("n_bad") > 0) & (F.col("n_good") > 0), F.lit(False))
     out = out.withColumns({c: F.when(enough, F.col(f"__{c}")) for c in ("auc", "gini", "ks", "brier")})
     out = out.withColumn("reference_auc", F.lit(base.reference_auc))
     out = out.withColumn("auc_drop_vs_reference", F.col("reference_auc") - F.col("auc"))
