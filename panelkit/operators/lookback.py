@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.asof import asof_join
+from panelkit.session import materialize
 
 DAY = "1970-01-01"
 
@@ -34,9 +35,12 @@ def pair_within(events: DataFrame, keys: DataFrame, on: Sequence[str], event_dat
             .filter(F.col("days_before").between(1, days)).drop("__slot"))
 
 
-def daily_moments(events: DataFrame, on: Sequence[str], date: str, columns: Sequence[str]) -> DataFrame:
-    """Per key and day: row count and, per column, count, mean, squared deviation, minimum and maximum."""
-    stats = [F.count(F.lit(1)).alias("rows")]
+def daily_moments(events: DataFrame, on: Sequence[str], date: str, columns: Sequence[str], last: bool = False) -> DataFrame:
+    """Per key and day: row count and, per column, count, mean, squared deviation, minimum and maximum.
+
+    ``last`` adds the day's greatest row, which stands for the day where only one row can.
+    """
+    stats = [F.count(F.lit(1)).alias("rows")] + ([F.max(F.struct(*columns)).alias("last")] if last else [])
     for c in columns:
         stats += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
                   (F.var_pop(c) * F.count(c)).alias(f"{c}__m2"), F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
@@ -80,7 +84,9 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
     if dedupe:
         events = events.dropDuplicates()
     raw = "median" in stats
-    source = events if raw else daily_moments(events, on, event_date, columns)
+    source = events if raw else daily_moments(events, on, event_date, columns, latest)
+    if latest and not raw:
+        source = materialize(source, "daily")  # read by the windows and by the latest values
     reach = max([*windows, 2 * trend if trend else 0])
     pairs = pair_within(source, keys, on, event_date, key_date, reach)
     before = F.col("days_before")
@@ -102,7 +108,8 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
     table = pairs.groupBy(*on, key_date).agg(*[v.alias(k) for k, v in out.items()])
     if not latest:
         return table
-    last = latest_before(events, keys, on, event_date, key_date, columns)
+    ends = events if raw else source.select(*on, event_date, "last.*")
+    last = latest_before(ends, keys, on, event_date, key_date, columns)
     return last.join(table, [*on, key_date], "full_outer")
 
 

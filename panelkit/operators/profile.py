@@ -95,8 +95,8 @@ def spearman_with_label(df: DataFrame, columns: Sequence[str], label: str, keys:
     ranks = average_ranks(rows, columns, keys, sums=["__y"])
     r, n, y = F.col("avg_rank"), F.col("n").cast("double"), F.col("__y").cast("double")
     m = ranks.groupBy(*keys, "feature").agg(
-        F.sum(n).alias("c"), F.sum(n * r).alias("sr"), F.sum(n * r * r).alias("srr"),
-        F.sum(y).alias("sy"), F.sum(y * r).alias("sry"))
+        F.max("n_total").cast("double").alias("c"), F.sum(n * r).alias("sr"), F.sum(n * r * r).alias("srr"),
+        F.max("__y_total").cast("double").alias("sy"), F.sum(y * r).alias("sry"))
     cov = F.col("sry") / F.col("c") - (F.col("sr") / F.col("c")) * (F.col("sy") / F.col("c"))
     vr = F.col("srr") / F.col("c") - F.pow(F.col("sr") / F.col("c"), 2)
     vy = F.col("sy") / F.col("c") - F.pow(F.col("sy") / F.col("c"), 2)

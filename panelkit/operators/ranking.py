@@ -83,14 +83,17 @@ def distinct_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     sliced = with_slices(numbers, edges or slice_edges(numbers, columns))
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
                                F.col(f"{c}__slice").alias("slice")) for c in columns])
-    long = sliced.select(*keys, *sums, F.inline(items)).filter(F.col("value").isNotNull())
+    # a slice that can not be null keeps join conditions from adding a filter to one branch only, so that
+    # branches reading these counts share one shuffle
+    long = (sliced.select(*keys, *sums, F.inline(items)).filter(F.col("value").isNotNull())
+            .withColumn("slice", F.coalesce("slice", F.lit(0))))
     return (long.groupBy(*keys, "feature", "slice", "value")
             .agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in sums]))
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), sums: Sequence[str] = (),
                   edges: dict[str, list[float]] | None = None) -> DataFrame:
-    """Per keys, feature and distinct value the average rank (1-based) that ties share."""
+    """Per keys, feature and distinct value the average rank (1-based) that ties share, and totals of all summed columns."""
     base = distinct_values(df, columns, keys, sums, edges)
-    ranked = running_totals(base, [*keys, "feature"], "value", ["n"], "slice")
+    ranked = running_totals(base, [*keys, "feature"], "value", ["n", *sums], "slice")
     return ranked.withColumn("avg_rank", F.col("n_before") + (F.col("n") + 1) / F.lit(2.0))
