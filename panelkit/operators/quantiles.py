@@ -1,7 +1,7 @@
 """Exact quantiles by distributed selection.
 
 Spark's exact percentile keeps every distinct value of a group in one task's memory. Selection instead
-counts rows per slice, finds the slice that holds each wanted rank, and orders only those slices.
+counts rows per slice, finds the slices that hold the wanted ranks, and shuffles and orders only the rows in those.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.ranking import distinct_values, packed
+from panelkit.operators.ranking import packed, sliced_values
+from panelkit.session import materialize
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
@@ -19,9 +20,17 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Long table (keys, feature, prob, value, n): quantiles of every column per key group, nulls ignored.
 
     Interpolated quantiles lie at position p * (n - 1); the others are the smallest value whose
-    cumulative share reaches p.
+    cumulative share reaches p. The first pass shuffles only slice counts. The slices found are written, so the planner
+    sees their size; where they are few they reach the second scan as a broadcast, and only the rows inside them
+    are shuffled.
     """
-    return quantiles_of_counts(distinct_values(df, columns, keys, edges=edges), probs, keys, interpolate)
+    group = [*keys, "feature"]
+    rows = sliced_values(df, columns, keys, edges=edges)
+    per_slice = rows.groupBy(*group, "slice").agg(F.count(F.lit(1)).alias("slice_n"))
+    needed = materialize(_located(per_slice, group, probs, interpolate), "ranks")
+    inside = rows.withColumn("__k", packed(group)).join(needed.select("__k", "slice"), ["__k", "slice"], "left_semi")
+    counts = inside.groupBy(*group, "slice", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _picked(_ordered(counts, needed, group), group)
 
 
 def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,23 +52,34 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequenc
         whole = Window.partitionBy(*group)
         running = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         total = F.sum("n").over(whole)
-        rows = counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
-                                   "before": F.coalesce(F.sum("n").over(running), F.lit(0))})
-    else:
-        counts = counts.withColumn("__k", packed(group))
-        # one row per slice from here to the join: a few per group
-        per_slice = counts.groupBy("__k", "slice").agg(F.sum("n").alias("slice_n"))
-        whole = Window.partitionBy("__k")
-        earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        total, start = F.sum("slice_n").over(whole), F.coalesce(F.sum("slice_n").over(earlier), F.lit(0))
-        located = per_slice.select("__k", "slice", "slice_n", total.alias("total"), start.alias("offset"))
-        ranks = F.filter(_ranks(probs, F.col("total"), interpolate), lambda r: (
-            (r["low"] >= F.col("offset")) & (r["low"] < F.col("offset") + F.col("slice_n")))
-            | ((r["high"] >= F.col("offset")) & (r["high"] < F.col("offset") + F.col("slice_n"))))
-        needed = located.withColumn("ranks", ranks).filter(F.size("ranks") > 0).drop("slice_n")
-        inside = Window.partitionBy("__k", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        rows = (counts.join(needed, ["__k", "slice"])
-                .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
+        return _picked(counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
+                                           "before": F.coalesce(F.sum("n").over(running), F.lit(0))}), group)
+    per_slice = counts.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
+    return _picked(_ordered(counts, _located(per_slice, group, probs, interpolate), group), group)
+
+
+def _located(per_slice: DataFrame, group: Sequence[str], probs: Sequence[float], interpolate: bool) -> DataFrame:
+    """Slices that hold a wanted rank, with the rows before them and those ranks: a few rows per group."""
+    whole = Window.partitionBy("__k")
+    earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    total, start = F.sum("slice_n").over(whole), F.coalesce(F.sum("slice_n").over(earlier), F.lit(0))
+    located = per_slice.withColumn("__k", packed(group)).select(
+        "__k", "slice", "slice_n", total.alias("total"), start.alias("offset"))
+    ranks = F.filter(_ranks(probs, F.col("total"), interpolate), lambda r: (
+        (r["low"] >= F.col("offset")) & (r["low"] < F.col("offset") + F.col("slice_n")))
+        | ((r["high"] >= F.col("offset")) & (r["high"] < F.col("offset") + F.col("slice_n"))))
+    return located.withColumn("ranks", ranks).filter(F.size("ranks") > 0).drop("slice_n")
+
+
+def _ordered(counts: DataFrame, needed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Value counts of the needed slices with the rows before each value."""
+    inside = Window.partitionBy("__k", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.withColumn("__k", packed(group)).join(needed, ["__k", "slice"])
+            .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
+
+
+def _picked(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Values at the wanted ranks."""
     hit = rows.select(*group, "total", "value", "before", (F.col("before") + F.col("n")).alias("after"), F.inline("ranks"))
     at = {end: (F.col(end) >= F.col("before")) & (F.col(end) < F.col("after")) for end in ("low", "high")}
     found = (hit.filter(at["low"] | at["high"]).groupBy(*group, "prob", "part")
@@ -81,29 +101,35 @@ def _ranks(probs: Sequence[float], total, interpolate: bool):
     return F.array(*[one(p) for p in probs])
 
 
+def _wide_medians(long: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    return long.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(c) for c in columns],
+        *[F.coalesce(F.max(F.when(F.col("feature") == c, F.col("n"))), F.lit(0)).alias(f"{c}_n") for c in columns])
+
+
 def medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
             edges: dict[str, list[float]] | None = None) -> DataFrame:
     """Wide table of discrete medians per key group, with ``<column>_n`` non-null rows."""
-    return medians_of_counts(distinct_values(df, columns, keys, edges=edges), columns, keys)
+    return _wide_medians(exact_quantiles(df, columns, [0.5], keys, False, edges), columns, keys)
 
 
 def medians_of_counts(counts: DataFrame, columns: Sequence[str], keys: Sequence[str], small: bool = False) -> DataFrame:
-    """Wide table of discrete medians from value counts of these keys."""
-    long = quantiles_of_counts(counts, [0.5], keys, interpolate=False, small=small)
-    return long.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(c) for c in columns],
-        *[F.coalesce(F.max(F.when(F.col("feature") == c, F.col("n"))), F.lit(0)).alias(f"{c}_n") for c in columns])
+    """The same from value counts of these keys."""
+    return _wide_medians(quantiles_of_counts(counts, [0.5], keys, False, small), columns, keys)
+
+
+def _as_lists(long: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    found = {(r["feature"], r["prob"]): r["value"] for r in long.collect()}
+    return {c: [found[(c, float(p))] for p in probs if (c, float(p)) in found] for c in columns}
 
 
 def collect_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], interpolate: bool = True,
                       edges: dict[str, list[float]] | None = None) -> dict[str, list[float]]:
     """Quantiles of whole columns as lists, to pin as fitted parameters: len(columns) * len(probs) numbers."""
-    return collect_from_counts(distinct_values(df, columns, edges=edges), columns, probs, interpolate)
+    return _as_lists(exact_quantiles(df, columns, probs, (), interpolate, edges), columns, probs)
 
 
 def collect_from_counts(counts: DataFrame, columns: Sequence[str], probs: Sequence[float], interpolate: bool = True,
                         small: bool = False) -> dict[str, list[float]]:
     """The same from a value count table without keys."""
-    rows = quantiles_of_counts(counts, probs, interpolate=interpolate, small=small).collect()
-    found = {(r["feature"], r["prob"]): r["value"] for r in rows}
-    return {c: [found[(c, float(p))] for p in probs if (c, float(p)) in found] for c in columns}
+    return _as_lists(quantiles_of_counts(counts, probs, (), interpolate, small), columns, probs)

@@ -76,18 +76,23 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str, measures: Seq
             .drop("__k", *[f"__{m}_in" for m in measures], *[f"__{m}_offset" for m in measures]))
 
 
-def distinct_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-                    sums: Sequence[str] = (), edges: dict[str, list[float]] | None = None) -> DataFrame:
-    """Long form: one row per keys, feature and distinct value, with its row count ``n`` and summed columns."""
+def sliced_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), sums: Sequence[str] = (),
+                  edges: dict[str, list[float]] | None = None) -> DataFrame:
+    """Long form (keys, summed columns, feature, value, slice) without nulls; part of the scan stage."""
     numbers = df.select(*keys, *sums, *[F.col(c).cast("double").alias(c) for c in columns])
     sliced = with_slices(numbers, edges or slice_edges(numbers, columns))
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
                                F.col(f"{c}__slice").alias("slice")) for c in columns])
     # a slice that can not be null keeps join conditions from adding a filter to one branch only, so that
-    # branches reading these counts share one shuffle
-    long = (sliced.select(*keys, *sums, F.inline(items)).filter(F.col("value").isNotNull())
+    # branches reading these rows share one shuffle
+    return (sliced.select(*keys, *sums, F.inline(items)).filter(F.col("value").isNotNull())
             .withColumn("slice", F.coalesce("slice", F.lit(0))))
-    return (long.groupBy(*keys, "feature", "slice", "value")
+
+
+def distinct_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
+                    sums: Sequence[str] = (), edges: dict[str, list[float]] | None = None) -> DataFrame:
+    """One row per keys, feature, slice and distinct value, with its row count ``n`` and summed columns."""
+    return (sliced_values(df, columns, keys, sums, edges).groupBy(*keys, "feature", "slice", "value")
             .agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in sums]))
 
 
