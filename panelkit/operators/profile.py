@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.quantiles import exact_quantiles
 from panelkit.operators.ranking import average_ranks
+from panelkit.session import materialize
 
 
 def sample_skewness(column: str) -> Column:
@@ -103,11 +104,50 @@ def spearman_with_label(df: DataFrame, columns: Sequence[str], label: str, keys:
     return m.select(*keys, "feature", F.when((vr > 0) & (vy > 0), cov / F.sqrt(vr * vy)).alias("spearman"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> np.ndarray:
-    """Correlation matrix over complete rows: one number per column pair reaches the driver."""
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Pearson correlation matrix over complete rows: one number per column pair reaches the driver."""
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
     vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows).select("features")
-    return Correlation.corr(vectors, "features", method).first()[0].toArray()
+    return Correlation.corr(vectors, "features", "pearson").first()[0].toArray()
+
+
+def rank_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns replaced by their average ranks.
+
+    Ranks are computed once per distinct value and joined back by value, so a value shared by many rows is one row
+    of the lookup and its rows need not meet in one task.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    ranks = materialize(average_ranks(rows, columns).select("feature", "value", "avg_rank"), "ranks")
+    for c in columns:
+        lookup = ranks.filter(F.col("feature") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"__{c}"))
+        rows = rows.join(lookup, c, "left").withColumn(c, F.col(f"__{c}")).drop(f"__{c}")
+    return rows
+
+
+def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Rank correlation matrix over complete rows."""
+    return correlation_matrix(rank_columns(df.select(*columns).dropna(), columns), columns)
+
+
+def spearman_lookup(df: DataFrame, columns: Sequence[str]):
+    """Function (a, b) -> rank correlation over the rows where both are present.
+
+    Columns without nulls are ranked together once; a pair with a nullable column is ranked on its own rows, when asked for.
+    """
+    counts = df.agg(F.count(F.lit(1)).alias("__all"), *[F.count(c).alias(c) for c in columns]).first()
+    full = [c for c in columns if counts[c] == counts["__all"]]
+    matrix = spearman_matrix(df, full) if len(full) > 1 else None
+    known: dict[frozenset, float] = {}
+
+    def pair(a: str, b: str) -> float:
+        if a in full and b in full:
+            return float(matrix[full.index(a), full.index(b)])
+        key = frozenset((a, b))
+        if key not in known:
+            known[key] = float(spearman_matrix(df, [a, b])[0, 1])
+        return known[key]
+    return pair
 
 
 def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:

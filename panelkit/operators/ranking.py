@@ -78,14 +78,14 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: str, measures: Seq
 
 def sliced_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), sums: Sequence[str] = (),
                   edges: dict[str, list[float]] | None = None) -> DataFrame:
-    """Long form (keys, summed columns, feature, value, slice) without nulls; part of the scan stage."""
+    """Long form (keys, summed columns, feature, value, slice) without missing values (null or NaN); part of the scan stage."""
     numbers = df.select(*keys, *sums, *[F.col(c).cast("double").alias(c) for c in columns])
     sliced = with_slices(numbers, edges or slice_edges(numbers, columns))
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
                                F.col(f"{c}__slice").alias("slice")) for c in columns])
     # a slice that can not be null keeps join conditions from adding a filter to one branch only, so that
     # branches reading these rows share one shuffle
-    return (sliced.select(*keys, *sums, F.inline(items)).filter(F.col("value").isNotNull())
+    return (sliced.select(*keys, *sums, F.inline(items)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
             .withColumn("slice", F.coalesce("slice", F.lit(0))))
 
 

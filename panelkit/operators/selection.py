@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.numeric import clip
 from panelkit.operators.drift import binned, contingency, decile_edges, information_value, psi, shares
-from panelkit.operators.impute import median_fill
-from panelkit.operators.profile import correlation_matrix, top_value_share, vif, vif_elimination
+from panelkit.operators.profile import spearman_lookup, top_value_share, vif, vif_elimination
 from panelkit.operators.quality import missing_shares
 from panelkit.operators.quantiles import collect_quantiles
 
@@ -64,12 +63,12 @@ def selection_base(df: DataFrame, roles: Mapping[str, str], label: str = "label"
     return table.withColumns({"drop_reason": reason, "iv_strength": iv_strength("iv")})
 
 
-def keep_first(names: Sequence[str], matrix, limit: float = 0.8) -> tuple[list[str], dict[str, str]]:
+def keep_first(names: Sequence[str], correlation: Callable[[str, str], float], limit: float = 0.8
+               ) -> tuple[list[str], dict[str, str]]:
     """Walk features in order and keep one unless it correlates with a kept one: kept names, dropped -> peer."""
-    at = {n: i for i, n in enumerate(names)}
     kept, dropped = [], {}
     for n in names:
-        peer = next((k for k in kept if abs(matrix[at[n], at[k]]) > limit), None)
+        peer = next((k for k in kept if abs(correlation(n, k)) > limit), None)
         if peer is None:
             kept.append(n)
         else:
@@ -89,8 +88,7 @@ def selection_report(df: DataFrame, roles: Mapping[str, str], label: str = "labe
     ordered = sorted((f for f, r in rows.items() if not r["drop_reason"] and r["type"] != "categorical"),
                      key=lambda f: (-rows[f]["iv"], f))
     if len(ordered) > 1:
-        filled = median_fill(train.select(*ordered), ordered)
-        kept, dropped = keep_first(ordered, correlation_matrix(filled, ordered, "spearman"), max_corr)
+        dropped = keep_first(ordered, spearman_lookup(train, ordered), max_corr)[1]
         for f, peer in dropped.items():
             rows[f]["drop_reason"] = f"5 |rho| with {peer}"
     linear = [f for f, r in rows.items() if not r["drop_reason"] and r["type"] == "numeric"]

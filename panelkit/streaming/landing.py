@@ -7,23 +7,31 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.session import materialize
+from panelkit.sources.readers import path_exists
 from panelkit.sources.schema import enforce, text_schema
 from panelkit.sources.sinks import write_partitions
 
 
 def land_new_files(spark: SparkSession, source: str, columns: Sequence[str], types: Mapping[str, str], target: str,
                    checkpoint: str, key: Sequence[str], date: str = "snapshot_date") -> None:
-    """Read files not seen before and replace the months they deliver.
+    """Read files not seen before and merge them into the months they deliver.
 
     The stream's checkpoint remembers processed files, so a restart after a lost driver goes on where it stopped.
-    A batch replaces whole partitions, so replaying it, or a file delivered again, changes nothing. Within a batch the same
-    key delivered twice is kept once.
+    A delivered row replaces the landed row of its key; other landed rows of the month stay. Replaying a batch, or a file
+    delivered again, therefore changes nothing. Only delivered months are read and rewritten.
     """
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        typed = enforce(batch, types).filter(F.col(date).isNotNull()).dropDuplicates(list(key))
-        write_partitions(typed, target, [date])
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        new = enforce(batch, types).filter(F.col(date).isNotNull()).dropDuplicates([date, *key])
+        if path_exists(spark, target):
+            new = materialize(new, "batch")
+            months = new.select(date).distinct()
+            landed = spark.read.schema(new.schema).parquet(target).join(months, date, "left_semi")
+            kept = landed.join(new.select(date, *key), [date, *key], "left_anti")
+            new = materialize(new.unionByName(kept), "merged")  # written before its own partitions are replaced
+        write_partitions(new, target, [date])
 
     stream = (spark.readStream.schema(text_schema(columns)).option("header", "true")
               .option("recursiveFileLookup", "true").csv(source))
-    (stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
+    (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

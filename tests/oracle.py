@@ -33,18 +33,24 @@ def _cell(v):
     return str(v)
 
 
-def _rows(names, rows):
-    order = sorted(range(len(names)), key=lambda i: names[i])
+def _rows(names, rows, floats):
+    order = sorted(range(len(names)), key=lambda i: (names[i] in floats, names[i]))
     return sorted((tuple(_cell(r[i]) for i in order) for r in rows), key=lambda t: tuple((x is not None, str(x)) for x in t))
 
 
-def compare(con, df, sql: str) -> list[str]:
+def _same(a, b, tolerance: float) -> bool:
+    return len(a) == len(b) and all(x == y or (isinstance(x, float) and isinstance(y, float)
+                                               and math.isclose(x, y, rel_tol=tolerance, abs_tol=tolerance)) for x, y in zip(a, b))
+
+
+def compare(con, df, sql: str, tolerance: float = 0.0) -> list[str]:
     """Differences between a Spark result and an SQL result, empty when they agree."""
     found = con.execute(sql)
     names = [d[0] for d in found.description]
-    theirs = _rows(names, found.fetchall())
+    floats = {n for n, kind in df.dtypes if kind == "double"}
+    theirs = _rows(names, found.fetchall(), floats)
     described = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
-    ours = _rows(df.columns, [tuple(r) for r in df.collect()])
+    ours = _rows(df.columns, [tuple(r) for r in df.collect()], floats)
     out = []
     if sorted(names) != sorted(df.columns):
         return [f"columns {sorted(df.columns)} != {sorted(names)}"]
@@ -53,7 +59,7 @@ def compare(con, df, sql: str) -> list[str]:
             out.append(f"type of {name}: {kind} != {described[name]}")
     if len(ours) != len(theirs):
         out.append(f"rows {len(ours)} != {len(theirs)}")
-    bad = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    bad = [(a, b) for a, b in zip(ours, theirs) if not _same(a, b, tolerance)]
     if bad:
         out.append(f"{len(bad)} rows differ, first: {bad[0]}")
     if not ours:

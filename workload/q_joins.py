@@ -9,7 +9,7 @@ from panelkit.operators.asof import asof_join, latest_non_null, latest_per_key,
 from panelkit.operators.drift import binned, contingency, information_value
 from panelkit.operators.impute import fill_from
 from panelkit.operators.lookback import lookback, pair_within
-from panelkit.operators.profile import by_strength, correlation_matrix, explained_variance, label_correlations
+from panelkit.operators.profile import by_strength, explained_variance, label_correlations, spearman_lookup
 from panelkit.operators.quality import one_to_one, with_labels
 from panelkit.operators.selection import keep_first
 from panelkit.plans.gold import join_sources
@@ -292,7 +292,7 @@ def win8(spark, d):
 def win9(spark, d):
     names = ["x1", "x2", "x4"]
     rows = view(spark, d, "panel").withColumn("x4", F.col("x1") * 2 + F.col("x2")).select(*names)
-    kept, dropped = keep_first(names, correlation_matrix(rows, names, "spearman"))
+    kept, dropped = keep_first(names, spearman_lookup(rows, names))
     return spark.createDataFrame([(n, True) for n in kept] + [(n, False) for n in dropped], "feature string, kept boolean")
 
 

@@ -223,7 +223,8 @@ def stm1(spark, d):
         part.write.option("header", "true").csv(f"{base}/incoming/{name}")
         land_new_files(spark, f"{base}/incoming", columns, STREAM_TYPES, f"{base}/table", f"{base}/offsets", ["loan_id"])
 
-    deliver(rows.filter("snapshot_date < '1999-01-01'"), "d1")
-    deliver(rows.filter("snapshot_date >= '1999-01-01'"), "d2")
+    late = "snapshot_date >= '1998-06-01' AND label = '1'"
+    deliver(rows.filter(f"snapshot_date < '1999-01-01' AND NOT ({late})"), "d1")
+    deliver(rows.filter(f"snapshot_date >= '1999-01-01' OR ({late})"), "d2")  # adds to months landed before
     deliver(rows.filter("snapshot_date >= '2001-01-01'"), "d3")  # delivered again
     return spark.read.parquet(f"{base}/table").select(*columns)

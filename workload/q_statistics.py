@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.drift import (apply_woe, binned, contingency, decile_edges, evidence, information_value, psi, shares)
 from panelkit.operators.metrics import calibration, discrimination
-from panelkit.operators.profile import (components_for, correlation_matrix, correlation_table, explained_variance,
-                                        label_correlations, sample_skewness, spearman_with_label, vif)
+from panelkit.operators.profile import (components_for, correlation_table, explained_variance,
+                                        label_correlations, sample_skewness, spearman_lookup, spearman_matrix,
+                                        spearman_with_label, vif)
 from panelkit.operators.ranking import average_ranks
 from panelkit.operators.selection import recheck, selection_base, selection_report
 from panelkit.plans.modelling import direction_table
@@ -161,11 +162,19 @@ def st13(spark, d):
 @query("st13_spearman_matrix", f"""WITH @panel, r AS (SELECT {_avg_rank('x1', 'panel')} AS a, {_avg_rank('x2', 'panel')} AS b, {_avg_rank('x3', 'panel')} AS c FROM panel WHERE x3 IS NOT NULL)
  SELECT round(corr(a, b), 8) AS x1_x2, round(corr(a, c), 8) AS x1_x3, round(corr(b, c), 8) AS x2_x3 FROM r""")
 def st13_matrix(spark, d):
-    m = correlation_matrix(view(spark, d, "panel"), ["x1", "x2", "x3"], "spearman")
+    m = spearman_matrix(view(spark, d, "panel"), ["x1", "x2", "x3"])
     return spark.createDataFrame([tuple(round(float(m[i, j]), 8) for i, j in ((0, 1), (0, 2), (1, 2)))],
                                  "x1_x2 double, x1_x3 double, x2_x3 double")
 
 
+@query("st13_spearman_pairs", f"""WITH @panel, r AS (SELECT {_avg_rank('x1', 'panel')} AS a, {_avg_rank('x3', 'panel')} AS c FROM panel WHERE x3 IS NOT NULL),
+ f AS (SELECT {_avg_rank('x1', 'panel')} AS a, {_avg_rank('x2', 'panel')} AS b FROM panel)
+ SELECT 'x1_x3' AS pair, round(corr(a, c), 8) AS spearman FROM r UNION ALL SELECT 'x1_x2', round(corr(a, b), 8) FROM f""")
+def st13_pairs(spark, d):
+    pair = spearman_lookup(view(spark, d, "panel"), ["x1", "x2", "x3"])
+    return spark.createDataFrame([(f"{a}_{b}", round(pair(a, b), 8)) for a, b in (("x1", "x2"), ("x1", "x3"))], "pair string, spearman double")
+
+
 @query("st13_average_ranks", f"""WITH s AS (SELECT p_size, {_avg_rank('p_size', 'part')} AS avg_rank FROM part)
  SELECT CAST(p_size AS DOUBLE) AS value, count(*) AS n, any_value(avg_rank) AS avg_rank FROM s GROUP BY p_size""")
 def st13_ranks(spark, d):
@@ -268,9 +277,14 @@ def st21(spark, d):
     return components_for(explained_variance(view(spark, d, "panel"), ["x1", "x2"]), (0.7, 0.8, 0.99))
 
 
-@query("st21_explained_variance")
+@query("st21_explained_variance", """WITH @clicks, c AS (SELECT corr(fe_1, fe_2) AS a, corr(fe_1, fe_3) AS b, corr(fe_2, fe_3) AS c FROM clicks WHERE fe_3 IS NOT NULL),
+ p AS (SELECT *, sqrt((a * a + b * b + c * c) / 3) AS p FROM c), f AS (SELECT p, acos(greatest(least(a * b * c / (p * p * p), 1), -1)) / 3 AS phi FROM p),
+ e AS (SELECT 1 + 2 * p * cos(phi) AS e1, 1 + 2 * p * cos(phi + 2 * pi() / 3) AS e3 FROM f)
+ SELECT 1 AS component, round(e1 / 3, 7) AS explained_variance, round(e1 / 3, 7) AS cumulative_variance FROM e
+ UNION ALL SELECT 2, round((3 - e1 - e3) / 3, 7), round((3 - e3) / 3, 7) FROM e UNION ALL SELECT 3, round(e3 / 3, 7), 1 FROM e""")
 def st21_all(spark, d):
-    return explained_variance(view(spark, d, "clicks"), ["fe_1", "fe_2", "fe_3"])
+    made = explained_variance(view(spark, d, "clicks"), ["fe_1", "fe_2", "fe_3"])
+    return made.withColumns({c: F.round(c, 7) for c in ("explained_variance", "cumulative_variance")})
 
 
 @query("st22_score_psi_by_split", f"""WITH @split_panel, t AS (SELECT * FROM split_panel WHERE data_split = 'train'), e AS ({_edge_sql('score', 't')}),
