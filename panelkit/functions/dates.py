@@ -85,3 +85,13 @@ def split_of(column, windows: list[Split]) -> Column:
         inside = day.between(F.lit(w.start), F.lit(w.end))
         chain = F.when(inside, w.name) if chain is None else chain.when(inside, w.name)
     return chain
+
+
+def in_windows(column, windows: list[Split]) -> Column:
+    """Whether a date lies between the first and the last day of the windows: a plain range the scan can prune by."""
+    return _c(column).between(F.lit(min(w.start for w in windows)), F.lit(max(w.end for w in windows)))
+
+
+def in_window(column, windows: list[Split], name: str) -> Column:
+    """Whether a date lies in the named window, as a plain range."""
+    return in_windows(column, [w for w in windows if w.name == name])

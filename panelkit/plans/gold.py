@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.binning import labelled_bin
-from panelkit.functions.dates import Split, split_of
+from panelkit.functions.dates import Split, in_window, in_windows, split_of
 from panelkit.functions.numeric import ratio
 from panelkit.operators.asof import asof_lookup
 from panelkit.operators.impute import apply_age, apply_counts, fill_from
@@ -87,9 +87,11 @@ def feature_store(labels: DataFrame, attributes: DataFrame, financials: DataFram
     One frame carries the split as a column, so every transform is planned once. The older variant without
     limit imputation and clickstream is ``with_limit=False, clicks=None``.
     """
+    labels = labels.filter(in_windows("snapshot_date", windows))
     joined = join_sources(labels, attributes, financials, point_in_time)
     rows = joined.withColumn("data_split", split_of("labels_snapshot_date", windows)).filter("data_split is not null")
-    params = fit_params(rows.filter(F.col("data_split") == windows[0].name), train_date, with_limit)
+    train = labels.filter(in_window("snapshot_date", windows, windows[0].name))
+    params = fit_params(join_sources(train, attributes, financials, point_in_time), train_date, with_limit)
     made = apply_params(rows, params)
     if clicks is not None:
         columns = prefixed(clicks, "fe_")

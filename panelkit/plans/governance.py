@@ -82,6 +82,23 @@ def promotion(ranked: DataFrame, incumbent: DataFrame, monotone: DataFrame | Non
                              .when(~first, F.col("model_version"))})
 
 
+def promotion_roles(gated: DataFrame, trigger: str, effective_from: str | None = None) -> DataFrame:
+    """Role rows a gate result adds: the new champion, or the old one with the candidate as challenger.
+
+    Before the first champion a failed gate adds none. ``effective_from`` back-dates the roles, so that a first champion
+    trained on the whole history can score it.
+    """
+    start = F.lit(effective_from).cast("date") if effective_from else F.col("as_of")
+    return gated.filter(F.col("champion_after").isNotNull()).select(
+        start.alias("effective_from"), F.col("champion_after").alias("champion"), F.col("challenger_after").alias("challenger"),
+        F.concat(F.lit(f"{trigger} refresh - "), F.col("reason")).alias("reason"))
+
+
+def upsert_runs(runs: DataFrame, new: DataFrame) -> DataFrame:
+    """Append training records; a record of the same date is replaced."""
+    return runs.join(new.select("as_of").distinct(), "as_of", "left_anti").unionByName(new, allowMissingColumns=True)
+
+
 def manual_promotion(roles: DataFrame, model: str, as_of: str, reason: str = "manual override / rollback") -> DataFrame:
     """Role history with a manual promotion; the champion in force becomes the challenger."""
     day = F.lit(as_of).cast("date")

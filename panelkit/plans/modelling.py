@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
+                                       LogisticRegressionModel)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import month_start
@@ -20,6 +22,7 @@ from panelkit.operators.metrics import discrimination
 from panelkit.operators.profile import sample_skewness, spearman_with_label
 from panelkit.operators.quantiles import collect_quantiles
 from panelkit.session import materialize
+from panelkit.sources.sinks import write_table
 
 # Prior sign of each feature's effect on default risk, and the search grids.
 EXPECTED_DIRECTION = {
@@ -202,6 +205,35 @@ class Scorecard:
         return scored.withColumn("model_predictions", positive()).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def save_card(card: Scorecard, spark: SparkSession, path: str) -> None:
+    """The model, its weight-of-evidence table and its fitted numbers."""
+    prep = card.prep
+    numbers = {k: v for k, v in vars(prep).items() if k != "woe"}
+    if isinstance(prep, LinearPrep):
+        numbers["logged"] = sorted(prep.logged)
+        if prep.woe is not None:
+            write_table(prep.woe, f"{path}/woe")
+    meta = {"kind": type(prep).__name__, "prep": numbers, "name": card.name, "threshold": card.threshold, "hyper": card.hyper,
+            "dropped": card.dropped, "has_woe": getattr(prep, "woe", None) is not None}
+    write_table(spark.createDataFrame([(json.dumps(meta),)], "meta string"), f"{path}/meta")
+    card.model.write().overwrite().save(f"{path}/model")
+
+
+def load_card(spark: SparkSession, path: str) -> Scorecard:
+    """A saved scorecard."""
+    meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
+    numbers = meta["prep"]
+    numbers["caps"] = {k: tuple(v) for k, v in numbers["caps"].items()}
+    if meta["kind"] == "LinearPrep":
+        numbers["logged"] = set(numbers["logged"])
+        numbers["scales"] = {k: tuple(v) for k, v in numbers["scales"].items()}
+        prep = LinearPrep(**numbers, woe=spark.read.parquet(f"{path}/woe") if meta["has_woe"] else None)
+        model = LogisticRegressionModel.load(f"{path}/model")
+    else:
+        prep, model = TreePrep(**numbers), GBTClassificationModel.load(f"{path}/model")
+    return Scorecard(meta["name"], prep, model, meta["threshold"], meta["hyper"], meta["dropped"])
+
+
 def _logreg(rows: DataFrame, label: str, c: float, l1: float, n: int):
     return LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=l1,
                               standardization=False, maxIter=200).fit(rows)

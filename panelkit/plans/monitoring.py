@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions.numeric import status, worst_status
+from panelkit.operators.asof import latest_per_key
 from panelkit.operators.drift import binned, decile_edges, psi, shares
 from panelkit.operators.metrics import discrimination
 from panelkit.operators.profile import mode_of
 from panelkit.operators.quality import missing_shares
 from panelkit.session import materialize
+from panelkit.sources.sinks import write_partitions
 
 # Monitoring thresholds.
 PSI_WATCH, PSI_ALERT = 0.10, 0.25
@@ -34,6 +36,37 @@ class Baseline:
         return [f for f in self.edges if f != SCORE] + self.levels
 
 
+    def save(self, spark: SparkSession, path: str, model_version: str) -> None:
+        """Shares, edges and missing rates, one partition per model."""
+        tag = F.lit(model_version).alias("model_version")
+        write_partitions(self.table.select("*", tag), f"{path}/shares", ["model_version"])
+        write_partitions(self.missing.select("*", tag), f"{path}/missing", ["model_version"])
+        rows = [(f, -1, None) for f in self.levels] + [(f, -2, None) for f, e in self.edges.items() if e is None]
+        rows += [(f, i, float(v)) for f, e in self.edges.items() if e is not None for i, v in [(0, self.reference_auc), *enumerate(e, 1)]]
+        write_partitions(spark.createDataFrame(rows, "feature string, pos int, edge double").select("*", tag),
+                         f"{path}/edges", ["model_version"])
+
+
+def load_baseline(spark: SparkSession, path: str, model_version: str) -> Baseline:
+    """The baseline saved for a model."""
+    def part(name: str) -> DataFrame:
+        return spark.read.parquet(f"{path}/{name}").filter(F.col("model_version") == model_version).drop("model_version")
+
+    edges: dict[str, list[float] | None] = {}
+    levels, reference = [], None
+    for r in part("edges").orderBy("feature", "pos").collect():  # edges of one model
+        if r["pos"] == -1:
+            levels.append(r["feature"])
+        elif r["pos"] == -2:
+            edges[r["feature"]] = None
+        elif r["pos"] == 0:
+            reference = r["edge"]
+            edges[r["feature"]] = []
+        else:
+            edges[r["feature"]].append(r["edge"])
+    return Baseline(edges, levels, part("shares"), part("missing"), reference)
+
+
 def build_baseline(train: DataFrame, numeric: Sequence[str], levels: Sequence[str], reference_auc: float) -> Baseline:
     """Decile edges of the score and each numeric feature, shares per bin, missing rates of the features."""
     edges = decile_edges(train, [SCORE, *numeric])
@@ -122,3 +155,23 @@ def drift_heatmap(drift: DataFrame, in_force: DataFrame, months: Sequence[str])
                       "left_semi")
     return (rows.withColumn("month", F.date_format("snapshot_date", "yyyy-MM"))
             .groupBy("feature").pivot("month", list(months)).agg(F.avg("psi")))
+
+
+def production_and_shadow(summary: DataFrame) -> DataFrame:
+    """Per month the champion's and the best challenger's figures side by side."""
+    champion, challenger = F.col("model_role") == "champion", F.col("model_role") == "challenger"
+    best = F.struct(F.coalesce("gini", F.lit(-2.0)), "model_version")
+    return summary.groupBy("snapshot_date").agg(
+        F.max(F.when(champion, F.col("model_version"))).alias("champion"), F.max(F.when(champion, F.col("gini"))).alias("champion_gini"),
+        F.max_by("model_version", F.when(challenger, best)).alias("challenger"),
+        F.max(F.when(challenger, F.col("gini"))).alias("challenger_gini"),
+        F.max(F.when(champion, F.col("score_psi"))).alias("score_psi"), F.max(F.when(champion, F.col("max_feature_psi"))).alias("max_feature_psi"),
+        F.max(F.when(champion, F.col("mean_predicted_pd"))).alias("mean_predicted_pd"),
+        F.max(F.when(champion, F.col("observed_default_rate"))).alias("observed_default_rate"),
+        F.sum(F.when(champion, F.col("n_scored"))).alias("n_scored"))
+
+
+def governance_timeline(events: DataFrame, as_of) -> DataFrame:
+    """Decisions and trainings up to a date, one row each, with the last record of a decision logged twice."""
+    known = events.filter(F.col("as_of_date").cast("date") <= F.lit(as_of).cast("date"))
+    return latest_per_key(known, ["as_of_date", "event"], ["logged_at"])

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from panelkit.operators.asof import latest_per_key, role_intervals
 from panelkit.operators.drift import DECILES
 from panelkit.operators.metrics import discrimination
-from panelkit.plans.governance import (current_roles, manual_promotion, promotion, rank_candidates, refresh_decisions, roles_asof,
-                                       upsert_roles)
-from panelkit.plans.monitoring import build_baseline, drift_heatmap, known_labels, monitor_targets, monitored_rows, monitoring_summary
+from panelkit.plans.governance import (current_roles, manual_promotion, promotion, promotion_roles, rank_candidates, refresh_decisions,
+                                       roles_asof, upsert_roles, upsert_runs)
+from panelkit.plans.monitoring import (build_baseline, drift_heatmap, governance_timeline, known_labels, load_baseline, monitor_targets,
+                                       monitored_rows, monitoring_summary, production_and_shadow)
+from panelkit.session import fresh_path
 from workload.q_statistics import _bin_sql, _edge_sql
 from workload.registry import query
 from workload.views import months, roles, runs, view
@@ -95,6 +97,16 @@ def mon2(spark, d):
     return summary.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
+@query("mon1_baseline_reloaded", f"""{DRIFT} SELECT feature, count(*) AS n_bins, round(sum(e), 9) AS total, any_value(round(baseline_missing_rate, 9)) AS missing
+ FROM ex LEFT JOIN base_missing USING (feature) WHERE feature <> 'model_predictions' GROUP BY feature""")
+def mon1_reloaded(spark, d):
+    path = fresh_path(spark, "baseline")
+    baseline(spark, d).save(spark, path, "credit_model_a")
+    base = load_baseline(spark, path, "credit_model_a")
+    totals = base.table.filter("feature <> 'model_predictions'").groupBy("feature").agg(F.count(F.lit(1)).alias("n_bins"), F.round(F.sum("share"), 9).alias("total"))
+    return totals.join(base.missing, "feature").select("feature", "n_bins", "total", F.round("baseline_missing_rate", 9).alias("missing"))
+
+
 @query("mon3_feature_drift", f"{DRIFT} SELECT model_version, snapshot_date, feature, round(psi, 7) AS psi, round(missing_rate, 9) AS missing_rate, round(baseline_missing_rate, 9) AS baseline_missing_rate, status FROM dr")
 def mon3(spark, d):
     _, drift = monitoring_summary(scored(spark, d), baseline(spark, d))
@@ -122,6 +134,29 @@ def mon5(spark, d):
     return made.select("feature", *[F.round(m, 7).alias(m) for m in ("2001-01", "2001-02")])
 
 
+@query("mon5_production_and_shadow", f"""{SCORED}, rk AS (SELECT model_version, model_role, snapshot_date, label, rank() OVER w + (count(*) OVER (PARTITION BY model_version, snapshot_date, p) - 1) / 2e0 AS r FROM s
+ WHERE label IS NOT NULL WINDOW w AS (PARTITION BY model_version, snapshot_date ORDER BY p)),
+ au AS (SELECT model_role, snapshot_date, count(*) AS n, sum(label) AS nb, (sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2e0) / nullif(sum(label) * 1e0 * sum(1 - label), 0) AS auc FROM rk GROUP BY ALL),
+ z AS (SELECT snapshot_date, model_role, model_version, count(*) AS n_scored, avg(p) AS pd, avg(label) AS rate FROM s GROUP BY ALL),
+ j AS (SELECT z.*, CASE WHEN n >= 100 AND nb > 0 AND nb < n THEN 2 * auc - 1 END AS gini FROM z LEFT JOIN au USING (model_role, snapshot_date))
+ SELECT snapshot_date, max(CASE WHEN model_role = 'champion' THEN model_version END) AS champion, round(max(CASE WHEN model_role = 'champion' THEN gini END), 8) AS champion_gini,
+ max(CASE WHEN model_role = 'challenger' THEN model_version END) AS challenger, round(max(CASE WHEN model_role = 'challenger' THEN gini END), 8) AS challenger_gini,
+ round(max(CASE WHEN model_role = 'champion' THEN pd END), 8) AS mean_predicted_pd, round(max(CASE WHEN model_role = 'champion' THEN rate END), 8) AS observed_default_rate,
+ CAST(sum(CASE WHEN model_role = 'champion' THEN n_scored END) AS BIGINT) AS n_scored FROM j GROUP BY 1""")
+def mon5_shadow(spark, d):
+    summary, _ = monitoring_summary(scored(spark, d), baseline(spark, d))
+    made = production_and_shadow(summary).drop("score_psi", "max_feature_psi")
+    return made.withColumns({c: F.round(c, 8) for c in ("champion_gini", "challenger_gini", "mean_predicted_pd", "observed_default_rate")})
+
+
+@query("mon5_governance_timeline", """WITH @runs, e AS (SELECT CAST(as_of AS VARCHAR) AS as_of_date, CASE WHEN n_rows % 2 = 0 THEN 'decision' ELSE 'training' END AS event, model_version AS logged_at, n_rows FROM runs)
+ SELECT as_of_date, event, max(logged_at) AS logged_at, max_by(n_rows, logged_at) AS n_rows FROM e WHERE CAST(as_of_date AS DATE) <= DATE '2000-07-01' GROUP BY ALL""")
+def mon5_timeline(spark, d):
+    log = runs(spark, d).selectExpr("CAST(as_of AS STRING) AS as_of_date", "CASE WHEN n_rows % 2 = 0 THEN 'decision' ELSE 'training' END AS event",
+                                    "model_version AS logged_at", "n_rows")
+    return governance_timeline(log, "2000-07-01")
+
+
 @query("mon5_role_timeline", """WITH @roles SELECT champion, effective_from, coalesce(lead(effective_from) OVER (ORDER BY effective_from), DATE '2001-08-01') AS effective_to,
  CAST(date_diff('day', effective_from, coalesce(lead(effective_from) OVER (ORDER BY effective_from), DATE '2001-08-01')) AS INTEGER) AS days,
  coalesce(lag(champion) OVER (ORDER BY effective_from) <> champion, true) AS champion_changed FROM roles""")
@@ -191,6 +226,27 @@ def gov2(spark, d):
                        "champion_after", "challenger_after")
 
 
+@query("gov2_role_rows", """WITH @roles, inc AS (SELECT CAST(effective_from + to_months(6) AS DATE) AS as_of, champion, gini_oot AS champion_gini_oot FROM roles
+ JOIN (SELECT model_version AS champion, gini_oot FROM runs) USING (champion)),
+ c AS (SELECT as_of, max(CASE WHEN place = 1 THEN model_version END) AS model_version, max(CASE WHEN place = 1 THEN gini_test END) AS gini_test, max(CASE WHEN place = 1 THEN gini_oot END) AS gini_oot,
+ max(CASE WHEN place = 2 THEN model_version END) AS runner_up FROM placed WHERE place <= 2 GROUP BY 1),
+ g AS (SELECT *, gini_test >= 0.3 AND gini_oot >= 0.3 AND abs(gini_test - gini_oot) <= 0.1 AS passed FROM c LEFT JOIN inc USING (as_of)),
+ p AS (SELECT *, passed AND (champion IS NULL OR gini_oot >= champion_gini_oot) AS promoted FROM g)
+ SELECT as_of AS effective_from, CASE WHEN promoted THEN model_version ELSE p.champion END AS champion, CASE WHEN promoted THEN runner_up ELSE model_version END AS challenger,
+ concat('scheduled refresh - ', CASE WHEN p.champion IS NULL THEN 'initial deployment' WHEN promoted THEN 'promoted: passes gates and OOT Gini >= champion' WHEN NOT passed THEN 'kept champion: candidate failed quality gates'
+ ELSE 'kept champion: candidate not better on the same OOT window' END) AS reason FROM p WHERE promoted OR p.champion IS NOT NULL""")
+def gov2_rows(spark, d):
+    return promotion_roles(promotion(rank_candidates(runs(spark, d).drop("n_rows")), incumbents(spark, d)), "scheduled")
+
+
+@query("gov3_run_upsert", """WITH @runs SELECT as_of, model_version, n_rows FROM runs WHERE as_of < DATE '2000-01-01'
+ UNION ALL SELECT as_of, 'again', CAST(sum(n_rows) AS BIGINT) FROM runs WHERE as_of >= DATE '2000-01-01' GROUP BY as_of""")
+def gov3_runs(spark, d):
+    known = runs(spark, d).select("as_of", "model_version", "n_rows")
+    again = known.filter("as_of >= DATE '2000-01-01'").groupBy("as_of").agg(F.lit("again").alias("model_version"), F.sum("n_rows").alias("n_rows"))
+    return upsert_runs(upsert_runs(known, again), again)
+
+
 @query("gov3_role_upsert", """WITH @roles SELECT effective_from, champion, challenger, reason FROM roles WHERE effective_from < DATE '2000-01-01'
  UNION ALL SELECT effective_from, 'credit_model_new', champion, 'triggered refresh' FROM roles WHERE effective_from >= DATE '2000-01-01'""")
 def gov3(spark, d):

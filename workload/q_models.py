@@ -2,7 +2,6 @@
 
 from functools import lru_cache
 
-from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,8 +9,8 @@ from panelkit.operators.drift import binned, contingency, decile_edges, informat
 from panelkit.operators.metrics import discrimination, score_summary
 from panelkit.operators.quality import metric_gaps, missing_shares
 from panelkit.plans.inference import rows_to_score
-from panelkit.plans.modelling import (coefficient_table, evaluate, expanding_folds, fit_linear_prep, fit_tree_prep, monotonicity,
-                                      score_rows, search_logreg, train_logreg, train_trees, youden_cut)
+from panelkit.plans.modelling import (coefficient_table, evaluate, expanding_folds, fit_linear_prep, fit_tree_prep, load_card, monotonicity,
+                                      save_card, score_rows, search_logreg, train_logreg, train_trees, youden_cut)
 from panelkit.session import fresh_path
 from panelkit.sources.sinks import write_partitions
 from workload.q_aggregates import split_panel
@@ -152,15 +151,12 @@ def ml11(spark, d):
 
 @query("ml12_reloaded_models", """SELECT unnest(['logreg', 'trees']) AS model, true AS same_auc""")
 def ml12(spark, d):
-    out = []
-    for card, loader in ((linear(spark, d), LogisticRegressionModel), (trees(spark, d), GBTClassificationModel)):
+    out, oot = [], part(spark, d, "oot")
+    for card in (linear(spark, d), trees(spark, d)):
         path = fresh_path(spark, "model")
-        card.model.save(path)
-        oot = part(spark, d, "oot")
-        before = discrimination(card.transform(oot), "model_predictions", "label").select(F.col("auc").alias("a"), F.lit(card.name).alias("model"))
-        kept, card.model = card.model, loader.load(path)
-        after = discrimination(card.transform(oot), "model_predictions", "label").select(F.col("auc").alias("b"), F.lit(card.name).alias("model"))
-        card.model = kept
+        save_card(card, spark, path)
+        before, after = (discrimination(c.transform(oot), "model_predictions", "label").select(F.lit(card.name).alias("model"), F.col("auc").alias(n))
+                         for c, n in ((card, "a"), (load_card(spark, path), "b")))
         out.append(before.join(after, "model").select("model", (F.abs(F.col("a") - F.col("b")) < 1e-9).alias("same_auc")))
     return out[0].unionByName(out[1])
 
