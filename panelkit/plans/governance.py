@@ -15,6 +15,11 @@ COOLDOWN_MONTHS = 2
 MIN_GINI = 0.30
 MAX_GINI_GAP = 0.10
 MIN_UPLIFT = 0.0
+# Outcome texts of the gate.
+FIRST, FIRST_FAILED = "initial deployment", "initial candidate failed quality gates"
+PROMOTED = "promoted: passes gates and OOT Gini >= champion"
+KEPT_FAILED = "kept champion: candidate failed quality gates"
+KEPT_NOT_BETTER = "kept champion: candidate not better on the same OOT window"
 
 
 def roles_asof(dates: DataFrame, roles: DataFrame, date: str = "month") -> DataFrame:
@@ -70,11 +75,8 @@ def promotion(ranked: DataFrame, incumbent: DataFrame, monotone: DataFrame | Non
     first = F.col("champion").isNull()
     better = F.col("gini_oot") >= F.col("champion_gini_oot") + MIN_UPLIFT
     rows = rows.withColumns({"passed": passed, "promoted": passed & (first | F.coalesce(better, F.lit(False)))})
-    reason = (F.when(first & F.col("promoted"), "initial deployment")
-              .when(first, "initial candidate failed quality gates")
-              .when(F.col("promoted"), "promoted: passes gates and OOT Gini >= champion")
-              .when(~F.col("passed"), "kept champion: candidate failed quality gates")
-              .otherwise("kept champion: candidate not better on the same OOT window"))
+    reason = (F.when(first, F.when(F.col("promoted"), FIRST).otherwise(FIRST_FAILED))
+              .when(F.col("promoted"), PROMOTED).when(F.col("passed"), KEPT_NOT_BETTER).otherwise(KEPT_FAILED))
     return rows.withColumns({
         "uplift": F.col("gini_oot") - F.col("champion_gini_oot"), "reason": reason,
         "champion_after": F.when(F.col("promoted"), F.col("model_version")).otherwise(F.col("champion")),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel)
 from pyspark.ml.feature import VectorAssembler
@@ -240,21 +242,29 @@ def _logreg(rows: DataFrame, label: str, c: float, l1: float, n: int):
 
 
 def search_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], date: str, folds: DataFrame,
-                  label: str = "label", grid: Sequence[float] = C_GRID, penalties: Sequence[float] = (0.0, 1.0)) -> dict:
-    """Penalty strength and type with the best mean AUC over the time folds."""
-    scores: dict[tuple[float, float], list[float]] = {}
+                  label: str = "label", grid: Sequence[float] = C_GRID, penalties: Sequence[float] = (0.0, 1.0),
+                  parallelism: int = 4) -> dict:
+    """Penalty strength and type with the best mean AUC over the time folds; fits of a fold run side by side."""
+    settings = [(c, l1) for c in grid for l1 in penalties]
+    scores: dict[tuple[float, float], list[float]] = {s: [] for s in settings}
     for fit, score in _fold_parts(train, date, folds):
         prep = fit_linear_prep(fit, numeric, categorical, label)
         rows = materialize(prep.transform(fit).select("features", label), "fold-fit")
         held = materialize(prep.transform(score).select("features", label), "fold-score")
         n = rows.count()
-        for c in grid:
-            for l1 in penalties:
-                scores.setdefault((c, l1), []).append(_auc(_logreg(rows, label, c, l1, n).transform(held), label))
+        found = _side_by_side(lambda s: _auc(_logreg(rows, label, *s, n).transform(held), label), settings, parallelism)
+        for s, auc in zip(settings, found):
+            scores[s].append(auc)
     best = max(scores, key=lambda k: float(np.mean(scores[k])))
     return {"C": best[0], "l1": best[1], "cv_auc": float(np.mean(scores[best])), "scores": scores}
 
 
+def _side_by_side(fit, settings: Sequence, parallelism: int) -> list[float]:
+    """Results in the order of the settings; the jobs of several fits share the cluster."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(fit), settings))
+
+
 def train_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], iv: Mapping[str, float],
                  c: float, l1: float, label: str = "label", directions: Mapping[str, int] = EXPECTED_DIRECTION) -> Scorecard:
     """Penalised logistic regression; a wrong-sign feature with the least information value is dropped until none is left."""
@@ -288,7 +298,7 @@ def random_settings(n: int, seed: int = 42, grid: Mapping[str, Sequence] = TREE_
 
 def train_trees(train: DataFrame, valid: DataFrame, numeric: Sequence[str], categorical: Sequence[str], date: str,
                 folds: DataFrame, n_iter: int = 4, label: str = "label", rounds: int = 100, seed: int = 42,
-                settings: Sequence[Mapping] | None = None) -> Scorecard:
+                settings: Sequence[Mapping] | None = None, parallelism: int = 2) -> Scorecard:
     """Boosted trees: random search over time folds, then early stopping on the validation rows."""
     settings = list(settings or random_settings(n_iter, seed))
     scores = [[] for _ in settings]
@@ -297,9 +307,10 @@ def train_trees(train: DataFrame, valid: DataFrame, numeric: Sequence[str], cate
             prep = fit_tree_prep(fit, numeric, categorical)
             rows = materialize(prep.transform(fit).select("features", label), "fold-fit")
             held = materialize(prep.transform(score).select("features", label), "fold-score")
-            for i, s in enumerate(settings):
-                model = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **s).fit(rows)
-                scores[i].append(_auc(model.transform(held), label))
+            found = _side_by_side(lambda s: _auc(GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **s).fit(rows)
+                                                 .transform(held), label), settings, parallelism)
+            for i, auc in enumerate(found):
+                scores[i].append(auc)
         best = settings[int(np.argmax([np.mean(s) for s in scores]))]
     else:
         best = settings[0]

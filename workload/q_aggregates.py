@@ -4,14 +4,15 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.dates import split_of, split_windows
 from panelkit.functions.numeric import within
-from panelkit.operators.asof import latest_per_key
 from panelkit.operators.drift import binned, contingency, decile_edges, shares
-from panelkit.operators.impute import QUARTILES, fit_group_medians
+from panelkit.operators.impute import QUARTILES, fill_from, fit_group_medians
 from panelkit.operators.lookback import history_mean, lookback
 from panelkit.operators.metrics import score_summary
 from panelkit.operators.profile import column_profile, mode_of, top_value_share
-from panelkit.operators.quality import (duplicate_keys, later_than, missing_shares, mostly_missing, require_splits, split_check)
+from panelkit.operators.quality import duplicate_keys, later_than, missing_shares, mostly_missing, require_splits, split_check
 from panelkit.operators.quantiles import exact_quantiles, medians
+from panelkit.plans.gold import join_sources
+from panelkit.plans.silver import delinquency
 from panelkit.sources.schema import require_columns
 from workload.q_joins import WINDOW_SQL, financials, labels, people
 from workload.registry import query
@@ -127,7 +128,6 @@ def agg12(spark, d):
 
 @query("agg13_rate_by_group", """WITH @silver_loans SELECT mob, round(avg(CASE WHEN dpd >= 30 THEN 1e0 ELSE 0e0 END), 9) AS bad_rate, count(*) AS n FROM silver_loans GROUP BY mob""")
 def agg13(spark, d):
-    from panelkit.plans.silver import delinquency
     return delinquency(view(spark, d, "ledger")).groupBy("mob").agg(
         F.round(F.avg(F.when(F.col("dpd") >= 30, 1.0).otherwise(0.0)), 9).alias("bad_rate"), F.count(F.lit(1)).alias("n"))
 
@@ -243,7 +243,6 @@ def agg27(spark, d):
 @query("agg28_remaining_nulls", """WITH @split_panel, m AS (SELECT level, quantile_disc(x3, 0.5) AS m FROM split_panel WHERE data_split = 'train' AND level IS NOT NULL GROUP BY 1)
  SELECT data_split, count(*) FILTER (coalesce(x3, m) IS NULL) AS remaining FROM split_panel LEFT JOIN m USING (level) WHERE data_split IS NOT NULL GROUP BY 1""")
 def agg28(spark, d):
-    from panelkit.operators.impute import fill_from
     rows = split_panel(spark, d).select("loan_id", "data_split", "level", "x3")
     filled = fill_from(rows, "x3", fit_group_medians(rows.filter("data_split = 'train'"), "x3", ["level"], "m"), ["level"], "m")
     return filled.groupBy("data_split").agg(F.count(F.when(F.col("x3").isNull(), 1)).alias("remaining"))
@@ -286,7 +285,6 @@ def dq4(spark, d):
 
 def join_sources_of(spark, d):
     """Panel labels with all sources."""
-    from panelkit.plans.gold import join_sources
     return join_sources(labels(spark, d), people(spark, d), financials(spark, d))
 
 

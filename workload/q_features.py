@@ -4,25 +4,22 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.binning import labelled_bin
 from panelkit.functions.dates import month_start, split_of, split_windows, two_way_windows
-from panelkit.functions.numeric import log1p_floor
-from panelkit.operators.asof import asof_join
-from panelkit.operators.impute import (integer_quartiles, age_for_apply, age_for_fit, apply_age, apply_counts, fill_from, fit_age, fit_counts,
-                                       fit_group_medians, quartile_edges)
+from panelkit.operators.impute import (age_for_apply, age_for_fit, apply_age, apply_counts, fill_from, fit_age, fit_counts,
+                                       fit_group_medians, integer_quartiles, quartile_edges)
 from panelkit.operators.lookback import lookback
 from panelkit.plans.bronze import land
 from panelkit.plans.cleaning import clean_rows
 from panelkit.plans.gold import derived_ratios, feature_store, join_sources, label_store
 from panelkit.plans.inference import inference_features, params_in_force
 from panelkit.plans.params import load_params
-from panelkit.plans.silver import (financial_vocabulary, silver_all, silver_attributes, silver_clicks, silver_financials,
-                                   silver_loans)
+from panelkit.plans.silver import (delinquency, financial_vocabulary, silver_all, silver_attributes, silver_clicks,
+                                   silver_financials, silver_loans)
 from panelkit.session import fresh_path, materialize
-from panelkit.sources.schema import CLICK_TYPES
 from workload.q_aggregates import LOOKBACK_PAIRS, _window_sql
 from workload.q_joins import labels, people
 from workload.q_scalars import LOANS, financials
 from workload.registry import query
-from workload.views import (DATA_START, TRAIN_DATE, as_text, label_keys, months, roles, runs, table, view)
+from workload.views import DATA_START, TRAIN_DATE, as_text, label_keys, months, roles, runs, table, view
 
 WINDOWS = split_windows(TRAIN_DATE, DATA_START)
 
@@ -91,7 +88,6 @@ def fs7(spark, d):
 @query("fs7_label_rate_by_month", f"WITH @silver_loans, {LABELS} SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS month, count(*) AS n, "
        "CAST(sum(label) AS BIGINT) AS bads, round(avg(label), 9) AS bad_rate FROM lab GROUP BY 1")
 def label_rate(spark, d):
-    from panelkit.plans.silver import delinquency
     made = label_store(delinquency(view(spark, d, "ledger")))
     return made.groupBy(month_start("snapshot_date").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("bads"), F.round(F.avg("label"), 9).alias("bad_rate"))

@@ -2,13 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from panelkit.operators.asof import latest_per_key, role_intervals
-from panelkit.operators.drift import DECILES
+from panelkit.operators.asof import role_intervals
 from panelkit.operators.metrics import discrimination
-from panelkit.plans.governance import (current_roles, manual_promotion, promotion, promotion_roles, rank_candidates, refresh_decisions,
-                                       roles_asof, upsert_roles, upsert_runs)
-from panelkit.plans.monitoring import (build_baseline, drift_heatmap, governance_timeline, known_labels, load_baseline, monitor_targets,
-                                       monitored_rows, monitoring_summary, production_and_shadow)
+from panelkit.plans.governance import (current_roles, manual_promotion, promotion, promotion_roles, rank_candidates,
+                                       refresh_decisions, roles_asof, upsert_roles, upsert_runs)
+from panelkit.plans.monitoring import (build_baseline, drift_heatmap, governance_timeline, known_labels, load_baseline,
+                                       monitor_targets, monitored_rows, monitoring_summary, production_and_shadow)
 from panelkit.session import fresh_path
 from workload.q_statistics import _bin_sql, _edge_sql
 from workload.registry import query

@@ -1,21 +1,22 @@
 """Joins, windows, sorts and set operations."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelkit.functions.dates import month_start, split_of, split_windows
+from panelkit.functions.dates import split_of, split_windows
 from panelkit.functions.numeric import log1p_floor
 from panelkit.operators.asof import asof_join, latest_non_null, latest_per_key, role_intervals
-from panelkit.operators.drift import binned, contingency, information_value
-from panelkit.operators.impute import fill_from
+from panelkit.operators.drift import shares
+from panelkit.operators.impute import fill_from, fit_group_medians
 from panelkit.operators.lookback import lookback, pair_within
 from panelkit.operators.profile import by_strength, explained_variance, label_correlations, spearman_lookup
 from panelkit.operators.quality import one_to_one, with_labels
+from panelkit.operators.quantiles import medians
 from panelkit.operators.selection import keep_first
 from panelkit.plans.gold import join_sources
-from panelkit.plans.governance import rank_candidates, roles_asof
+from panelkit.plans.governance import latest_training, rank_candidates, roles_asof
 from panelkit.plans.inference import rows_to_monitor, rows_to_score
-from panelkit.plans.monitoring import monitored_rows
+from panelkit.plans.monitoring import known_labels, monitored_rows
+from panelkit.plans.silver import silver_attributes
 from workload.q_scalars import financials
 from workload.registry import query
 from workload.views import DATA_START, TRAIN_DATE, label_keys, months, roles, runs, table, view
@@ -28,7 +29,6 @@ def labels(spark, d):
 
 def people(spark, d):
     """Silver attributes."""
-    from panelkit.plans.silver import silver_attributes
     return silver_attributes(view(spark, d, "attributes_raw"))
 
 
@@ -74,7 +74,6 @@ def jn4(spark, d):
 @query("jn5_parameter_lookup", """WITH @panel, g AS (SELECT level, model, quantile_disc(x3, 0.5) AS m FROM panel WHERE level IS NOT NULL GROUP BY ALL)
  SELECT loan_id, coalesce(x3, m) AS x3 FROM panel LEFT JOIN g USING (level, model)""")
 def jn5(spark, d):
-    from panelkit.operators.impute import fit_group_medians
     panel = view(spark, d, "panel").select("loan_id", "level", "model", "x3")
     return fill_from(panel, "x3", fit_group_medians(panel, "x3", ["level", "model"], "m"), ["level", "model"], "m").select("loan_id", "x3")
 
@@ -102,7 +101,6 @@ def jn6_orders(spark, d):
  g AS (SELECT c_mktsegment, bin, quantile_disc(li, 0.5) AS m FROM c WHERE c_custkey % 5 <> 0 GROUP BY ALL)
  SELECT c_custkey, CAST(g.bin AS BIGINT) AS bin, round(abs(m - li), 8) AS distance FROM c JOIN g USING (c_mktsegment) WHERE c_custkey % 5 = 0""")
 def jn7(spark, d):
-    from panelkit.operators.quantiles import medians
     rows = table(spark, d, "customer").select("c_custkey", "c_mktsegment", log1p_floor("c_acctbal").alias("li"),
                                               (F.col("c_nationkey") % 4).cast("long").alias("bin"))
     groups = medians(rows.filter("c_custkey % 5 <> 0"), ["li"], ["c_mktsegment", "bin"]).select("c_mktsegment", "bin", F.col("li").alias("m"))
@@ -165,7 +163,6 @@ def jn11(spark, d):
  l AS (SELECT loan_id, label, label_date FROM panel WHERE label_date <= DATE '2001-01-31')
  SELECT loan_id, score, label, l.label_date, f.x2 FROM p LEFT JOIN l USING (loan_id) LEFT JOIN (SELECT loan_id, x2 FROM panel) f USING (loan_id)""")
 def jn12(spark, d):
-    from panelkit.plans.monitoring import known_labels
     panel = view(spark, d, "panel")
     return monitored_rows(panel.filter("label_date >= DATE '1999-01-01'").select("loan_id", "score"),
                           known_labels(panel.select("loan_id", "label", "label_date"), "2001-01-31"), panel.select("loan_id", "x2"))
@@ -255,7 +252,6 @@ def win4(spark, d):
 
 @query("win5_latest_training", """WITH @runs, @months SELECT month, (SELECT max(as_of) FROM runs WHERE as_of <= month) AS last_training FROM months""")
 def win5(spark, d):
-    from panelkit.plans.governance import latest_training
     return latest_training(months(spark, d), runs(spark, d))
 
 
@@ -354,7 +350,6 @@ def set2(spark, d):
  b AS (SELECT model, count(*) * 1e0 / sum(count(*)) OVER () AS s FROM panel WHERE month >= DATE '1996-01-01' AND model <> '1-URGENT' GROUP BY 1)
  SELECT model, round(coalesce(e, 0), 9) AS expected, round(coalesce(s, 0), 9) AS actual FROM a FULL JOIN b USING (model)""")
 def set3(spark, d):
-    from panelkit.operators.drift import shares
     panel = view(spark, d, "panel").select(F.lit("model").alias("feature"), F.col("model").alias("bin"), "month")
     e = shares(panel.filter("month < DATE '1996-01-01' AND bin <> '5-LOW'")).select("bin", F.col("share").alias("expected"))
     a = shares(panel.filter("month >= DATE '1996-01-01' AND bin <> '1-URGENT'")).select("bin", F.col("share").alias("actual"))

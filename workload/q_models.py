@@ -9,13 +9,12 @@ from panelkit.operators.drift import binned, contingency, decile_edges, informat
 from panelkit.operators.metrics import discrimination, score_summary
 from panelkit.operators.quality import metric_gaps, missing_shares
 from panelkit.plans.inference import rows_to_score
-from panelkit.plans.modelling import (coefficient_table, evaluate, expanding_folds, fit_linear_prep, fit_tree_prep, load_card, monotonicity,
-                                      save_card, score_rows, search_logreg, train_logreg, train_trees, youden_cut)
+from panelkit.plans.modelling import (coefficient_table, evaluate, expanding_folds, fit_linear_prep, fit_tree_prep, load_card,
+                                      monotonicity, save_card, score_rows, search_logreg, train_logreg, train_trees, youden_cut)
 from panelkit.session import fresh_path
 from panelkit.sources.sinks import write_partitions
 from workload.q_aggregates import split_panel
 from workload.registry import query
-from workload.views import view
 
 NUMERIC, LEVELS = ["InterestRate_x_Debt", "Delay_from_due_date", "Age_imputed"], ["Credit_Mix"]
 DIRECTIONS = {"InterestRate_x_Debt": 1, "Delay_from_due_date": 1, "Age_imputed": -1}

@@ -13,7 +13,7 @@ from panelkit.operators.profile import sample_skewness
 from panelkit.operators.quality import any_null, column_roles, rule_counts
 from panelkit.operators.quantiles import collect_quantiles
 from panelkit.plans.inference import business_key
-from panelkit.plans.silver import financial_vocabulary, silver_financials
+from panelkit.plans.silver import delinquency, financial_vocabulary, silver_financials
 from panelkit.sources.schema import enforce, prefixed, to_number, unique_columns
 from workload.registry import query
 from workload.views import as_text, table, view
@@ -259,7 +259,6 @@ def enc2(spark, d):
 # ---- dates ----------------------------------------------------------------------------------------------------------
 @query("dat1_days_past_due", """WITH @silver_loans SELECT loan_id, snapshot_date, mob, installments_missed, first_missed_date, dpd FROM silver_loans""")
 def dat1(spark, d):
-    from panelkit.plans.silver import delinquency
     return delinquency(view(spark, d, "ledger")).select("loan_id", "snapshot_date", "mob", "installments_missed", "first_missed_date", "dpd")
 
 

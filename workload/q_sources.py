@@ -11,7 +11,7 @@ from panelkit.sources.schema import LOAN_TYPES, enforce
 from panelkit.sources.sinks import append_events, event_row, fill_partitions, write_partitions, write_report, write_table
 from panelkit.streaming.landing import land_new_files
 from workload.registry import query
-from workload.views import DATA_START, TRAIN_DATE, as_text, label_keys, runs, table, view
+from workload.views import DATA_START, TRAIN_DATE, as_text, runs, view
 
 PANEL_COLUMNS = ["loan_id", "Customer_ID", "label", "label_date", "x1"]
 PANEL_TEXT = """SELECT loan_id, Customer_ID, CAST(label AS VARCHAR) AS label, CAST(label_date AS VARCHAR) AS label_date,

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from panelkit.operators.drift import (apply_woe, binned, contingency, decile_edges, evidence, information_value, psi, shares)
+from panelkit.functions.binning import level_bin, open_bin
+from panelkit.operators.drift import apply_woe, binned, contingency, decile_edges, evidence, information_value, psi, shares
 from panelkit.operators.metrics import calibration, discrimination
-from panelkit.operators.profile import (components_for, correlation_table, explained_variance,
-                                        label_correlations, sample_skewness, spearman_lookup, spearman_matrix,
-                                        spearman_with_label, vif)
+from panelkit.operators.profile import (components_for, correlation_table, explained_variance, label_correlations,
+                                        sample_skewness, spearman_lookup, spearman_matrix, spearman_with_label, vif)
 from panelkit.operators.ranking import average_ranks
 from panelkit.operators.selection import recheck, selection_base, selection_report
 from panelkit.plans.modelling import direction_table
@@ -36,7 +36,6 @@ def st1(spark, d):
 @query("st2_assigned_bins", f"""WITH @panel, e1 AS ({_edge_sql('x1')}), e3 AS ({_edge_sql('x3')})
  SELECT loan_id, {_bin_sql('x1', 'e1.e')} AS x1, {_bin_sql('x3', 'e3.e')} AS x3, coalesce(level, '__MISSING__') AS level FROM panel, e1, e3""")
 def st2(spark, d):
-    from panelkit.functions.binning import level_bin, open_bin
     panel = view(spark, d, "panel")
     edges = decile_edges(panel, ["x1", "x3"])
     return panel.select("loan_id", *[open_bin(c, e).alias(c) for c, e in edges.items()], level_bin("level").alias("level"))
@@ -212,7 +211,6 @@ def st16(spark, d):
 @query("st17_decile_trend", f"""WITH @panel, e AS ({_edge_sql('x2')}), r AS (SELECT CAST({_bin_sql('x2')} AS INT) AS bin, avg(label) AS rate FROM panel, e GROUP BY 1)
  SELECT 'x2' AS feature, round(corr(bin, k), 8) AS decile_trend FROM (SELECT bin, {_avg_rank('rate', 'r')} AS k FROM r)""")
 def st17(spark, d):
-    from panelkit.operators.ranking import average_ranks
     panel = view(spark, d, "panel")
     rates = (binned(panel, decile_edges(panel, ["x2"]), keep=["label"]).filter("bin <> '__MISSING__'")
              .groupBy("feature", F.col("bin").cast("int").alias("bin")).agg(F.avg("label").alias("rate")))
