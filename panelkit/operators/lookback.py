@@ -43,6 +43,12 @@ def daily_moments(events: DataFrame, on: Sequence[str], date: str, columns: Sequ
     return events.groupBy(*on, date).agg(*stats)
 
 
+def repeats_days(events: DataFrame, on: Sequence[str], date: str) -> bool:
+    """Whether events clearly outnumber their keys and days, so that a daily rollup shrinks them (two columns are read)."""
+    row = events.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*on, date)).alias("days")).first()
+    return row["n"] > 1.2 * row["days"]
+
+
 def _merged(column: str, inside: Column) -> dict[str, Column]:
     """Mean, extremes and sample deviation of a window from daily moments."""
     n = F.when(inside, F.col(f"{column}__n"))
@@ -66,20 +72,23 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
              columns: Sequence[str], windows: Sequence[int] = (30, 60, 90),
              stats: Sequence[str] = ("mean", "max", "min", "std"), counts: bool = True, trend: int | None = 30,
              latest: bool = False, keep: Sequence[str] | None = None, dedupe: bool = True,
-             empty_count_zero: bool = False, trend_name: str | None = None) -> DataFrame:
+             empty_count_zero: bool = False, rollup: bool | None = None) -> DataFrame:
     """All windows, statistics, counts and trends of every key date in one aggregation.
 
-    Rows on the key date itself are excluded. Without a median, events are reduced to one row per key and day
-    before the join and windows are merged from daily moments, so overlapping windows do not multiply raw
-    events. A median needs the values themselves and joins the events. ``trend`` d is the mean
+    Rows on the key date itself are excluded. Events that repeat within a day are reduced to one row of moments per key
+    and day before the join, so that a busy key does not multiply its events by the key dates near them;
+    a panel with about one row per key and day is joined as it is, as moments are wider than values. ``rollup``
+    decides without measuring. A median needs the values themselves. ``trend`` d is the mean
     of days 1..d minus the mean of days d+1..2d. ``keep`` limits the output to named features; only
     the columns and statistics they need are computed. A key date without any event in the longest window
     has no output row unless ``latest`` finds an older event.
     """
     wanted = set(keep) if keep else None
+    raw = "median" in stats
+    if not raw:
+        raw = not (repeats_days(events, on, event_date) if rollup is None else rollup)
     if dedupe:
         events = events.dropDuplicates()
-    raw = "median" in stats
     source = events if raw else daily_moments(events, on, event_date, columns)
     reach = max([*windows, 2 * trend if trend else 0])
     pairs = pair_within(source, keys, on, event_date, key_date, reach)

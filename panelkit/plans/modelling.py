@@ -252,17 +252,17 @@ def search_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequenc
         rows = materialize(prep.transform(fit).select("features", label), "fold-fit")
         held = materialize(prep.transform(score).select("features", label), "fold-score")
         n = rows.count()
-        found = _side_by_side(lambda s: _auc(_logreg(rows, label, *s, n).transform(held), label), settings, parallelism)
+        found = _side_by_side(train.sparkSession, lambda s: _auc(_logreg(rows, label, *s, n).transform(held), label), settings, parallelism)
         for s, auc in zip(settings, found):
             scores[s].append(auc)
     best = max(scores, key=lambda k: float(np.mean(scores[k])))
     return {"C": best[0], "l1": best[1], "cv_auc": float(np.mean(scores[best])), "scores": scores}
 
 
-def _side_by_side(fit, settings: Sequence, parallelism: int) -> list[float]:
+def _side_by_side(spark: SparkSession, fit, settings: Sequence, parallelism: int) -> list[float]:
     """Results in the order of the settings; the jobs of several fits share the cluster."""
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(fit), settings))
+        return list(pool.map(inheritable_thread_target(spark)(fit), settings))
 
 
 def train_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], iv: Mapping[str, float],
@@ -307,7 +307,7 @@ def train_trees(train: DataFrame, valid: DataFrame, numeric: Sequence[str], cate
             prep = fit_tree_prep(fit, numeric, categorical)
             rows = materialize(prep.transform(fit).select("features", label), "fold-fit")
             held = materialize(prep.transform(score).select("features", label), "fold-score")
-            found = _side_by_side(lambda s: _auc(GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **s).fit(rows)
+            found = _side_by_side(train.sparkSession, lambda s: _auc(GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **s).fit(rows)
                                                  .transform(held), label), settings, parallelism)
             for i, auc in enumerate(found):
                 scores[i].append(auc)

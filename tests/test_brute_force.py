@@ -168,12 +168,13 @@ def events(n=1500, seed=3):
                          "fe_1": rng.normal(size=n).round(3), "fe_2": np.where(rng.random(n) < 0.2, np.nan, rng.integers(0, 9, n))})
 
 
-@pytest.mark.parametrize("stats", [("mean", "max", "min", "std"), ("mean", "median", "max", "min", "std")])
-def test_lookback_against_pandas(spark, stats):
+@pytest.mark.parametrize("stats, rollup", [(("mean", "max", "min", "std"), True), (("mean", "max", "min", "std"), False),
+                                           (("mean", "median", "max", "min", "std"), None)])
+def test_lookback_against_pandas(spark, stats, rollup):
     pdf = events()
     keys = pdf[["who", "day"]].drop_duplicates().sample(200, random_state=1).rename(columns={"day": "at"})
     made = lookback(spark.createDataFrame(pdf).replace(float("nan"), None), spark.createDataFrame(keys), ["who"], "day", "at", ["fe_1", "fe_2"],
-                    (30, 60, 90), stats, latest=True).toPandas().set_index(["who", "at"])
+                    (30, 60, 90), stats, latest=True, rollup=rollup).toPandas().set_index(["who", "at"])
     seen = 0
     for _, k in keys.iterrows():
         before = pdf[pdf.who == k["who"]].assign(days=lambda d: [(k["at"] - x).days for x in d.day])

@@ -160,3 +160,76 @@ def test_wrong_signs_are_dropped(spark):
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named.rstrip("/")
+
+
+def test_from_raw_text_to_a_scored_month(spark):
+    """Raw text to silver, labels, features, cleaning, training, saving and scoring."""
+    from panelkit.plans.cleaning import clean_rows
+    from panelkit.plans.gold import label_store
+    from panelkit.plans.modelling import evaluate, load_card, save_card, score_rows
+    from panelkit.plans.silver import silver_all
+    from workload.q_features import raw_clicks
+    from workload.views import as_text, view
+
+    silver = silver_all({"attributes": view(spark, SF, "attributes_raw"), "financials": view(spark, SF, "financials_raw"),
+                         "loans": as_text(view(spark, SF, "ledger")), "clicks": raw_clicks(spark, SF)})
+    labels_ = label_store(silver["loans"])
+    windows = split_windows(TRAIN_DATE, DATA_START)
+    made, params = feature_store(labels_, silver["attributes"], silver["financials"], windows, silver["clicks"], TRAIN_DATE, point_in_time=False)
+    assert made.count() == labels_.filter("snapshot_date BETWEEN DATE '1995-01-01' AND DATE '2001-05-31'").count()
+    assert "fe_10_mean_90d" in made.columns and params.scalars["overall_age_median"] is not None
+    rows = clean_rows(made.join(labels_.select("loan_id", F.col("snapshot_date").alias("labels_snapshot_date"), "label")
+                                .dropDuplicates(["loan_id", "labels_snapshot_date"]), ["loan_id", "labels_snapshot_date"]))
+    assert {"Credit_Mix", "Payment_of_Min_Amount", "Num_Fin_Pdts"} <= set(rows.columns) and "Age_Bin" not in rows.columns
+    train = rows.filter("data_split = 'train'")
+    card = train_logreg(train, ["Age_imputed", "Num_Fin_Pdts"], ["Credit_Mix"], {}, 1.0, 0.0, directions={})
+    path = fresh_path(spark, "card")
+    save_card(card, spark, path)
+    again = load_card(spark, path)
+    a, b = (score_rows(c, rows, "labels_snapshot_date", "champion").select("loan_id", "model_predictions") for c in (card, again))
+    assert a.count() == rows.count() and a.exceptAll(b).isEmpty()
+    assert evaluate(card, rows).count() >= 1
+
+
+def test_tree_search_and_monotonicity(spark):
+    import numpy as np
+    from panelkit.plans.modelling import load_card, monotonicity, save_card, train_trees
+    rng = np.random.default_rng(4)
+    n = 1200
+    x, z = rng.random(n), rng.random(n)
+    y = (rng.random(n) < np.where(x < 0.5, 0.2, 0.7)).astype(int)
+    day = [dt.date(2023, 1 + i % 8, 1) for i in range(n)]
+    df = spark.createDataFrame([(str(i), float(x[i]), float(z[i]), "ab"[i % 2], int(y[i]), day[i]) for i in range(n)],
+                               "loan_id string, x double, z double, c string, label int, d date")
+    card = train_trees(df, df.filter("loan_id < '3'"), ["x", "z"], ["c"], "d", expanding_folds(df, "d", n_splits=2), rounds=5,
+                       settings=[{"maxDepth": 1, "maxIter": 2}, {"maxDepth": 3, "maxIter": 5}])
+    right = {r["model_input"]: r for r in monotonicity(card, df, df, {"x": 1}, n_rows=50, n_grid=8).collect()}
+    wrong = {r["model_input"]: r for r in monotonicity(card, df, df, {"x": -1}, n_rows=50, n_grid=8).collect()}
+    assert right["x"]["logodds_effect_min_to_max"] > 0 and wrong["x"]["rows_violating"] > right["x"]["rows_violating"]
+    path = fresh_path(spark, "card")
+    save_card(card, spark, path)
+    again = load_card(spark, path)
+    assert again.transform(df).select("model_predictions").exceptAll(card.transform(df).select("model_predictions")).isEmpty()
+
+
+def test_baseline_round_trip_and_drift(spark):
+    from panelkit.plans.monitoring import build_baseline, load_baseline, monitoring_summary
+    rows = spark.range(4000).selectExpr(
+        "CAST(id AS STRING) AS loan_id", "'m' AS model_version", "CASE WHEN id < 2000 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS snapshot_date",
+        "'champion' AS model_role", "IF(id < 2000, 'train', 'production') AS data_split", "(id % 100) / 100 AS model_predictions",
+        "CAST((id % 100) >= 50 AS INT) AS predicted_default", "CAST((id * 7) % 100 < id % 100 AS INT) AS label",
+        "IF(id < 2000, CAST(id % 50 AS DOUBLE), CAST(id % 50 + 30 AS DOUBLE)) AS f", "IF(id % 10 = 0, NULL, 'k') AS g")
+    base = build_baseline(rows.filter("data_split = 'train'"), ["f"], ["g"], 0.9)
+    path = fresh_path(spark, "baseline")
+    base.save(spark, path, "m")
+    again = load_baseline(spark, path, "m")
+    assert again.edges == base.edges and again.levels == base.levels and again.reference_auc == 0.9
+    summary, drift = monitoring_summary(rows, again)
+    months = {r["snapshot_date"].month: r for r in summary.collect()}
+    assert months[1]["score_psi"] == pytest.approx(0.0) and months[1]["max_feature_psi"] == pytest.approx(0.0)
+    assert months[2]["stability_status"] == "alert" and months[2]["max_feature_psi_name"] == "f" and months[2]["n_features_psi_alert"] == 1
+    assert months[1]["label_period"] == "train" and months[2]["n_scored"] == 2000
+    few = monitoring_summary(rows.withColumn("label", F.expr("IF(CAST(loan_id AS INT) < 99, label, NULL)")), again)[0]
+    assert {(r["snapshot_date"].month, r["auc"], r["performance_status"]) for r in few.collect()} == {
+        (1, None, "no labels yet"), (2, None, "no labels yet")}
+    assert {r["missing_rate"] for r in drift.filter("feature = 'g'").collect()} == {0.1}
