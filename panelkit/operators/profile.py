@@ -159,12 +159,22 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*stats).select(F.inline(F.array(*[F.col(f"p{i}") for i in range(len(pairs))])))
 
 
+def inflation(matrix: np.ndarray) -> np.ndarray:
+    """Variance inflation of each column of a correlation matrix; infinite for a constant or fully explained column."""
+    out = np.full(len(matrix), np.inf)
+    varies = ~np.isnan(matrix).all(axis=1) & ~np.isnan(np.diag(matrix))
+    flat = np.array([np.isnan(np.delete(matrix[i], i)).all() and len(matrix) > 1 for i in range(len(matrix))])
+    use = np.flatnonzero(varies & ~flat)
+    if len(use):
+        block = matrix[np.ix_(use, use)]
+        values = np.diag(np.linalg.inv(block + np.eye(len(use)) * 1e-12))
+        out[use] = np.where(values > 1e10, np.inf, values)
+    return out
+
+
 def vif(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Variance inflation per column: the diagonal of the inverse correlation matrix."""
-    matrix = correlation_matrix(df, columns)
-    if np.linalg.matrix_rank(matrix) < len(columns):
-        matrix = matrix + np.eye(len(columns)) * 1e-12
-    return dict(zip(columns, (float(v) for v in np.diag(np.linalg.inv(matrix)))))
+    return dict(zip(columns, (float(v) for v in inflation(correlation_matrix(df, columns)))))
 
 
 def vif_elimination(df: DataFrame, columns: Sequence[str], limit: float = 10.0) -> tuple[list[str], dict[str, float]]:
@@ -173,7 +183,7 @@ def vif_elimination(df: DataFrame, columns: Sequence[str], limit: float = 10.0)
     matrix = correlation_matrix(df, columns)
     while len(kept) > 1:
         at = [columns.index(c) for c in kept]
-        values = np.diag(np.linalg.pinv(matrix[np.ix_(at, at)], hermitian=True))
+        values = inflation(matrix[np.ix_(at, at)])
         last.update(zip(kept, (float(v) for v in values)))
         worst = int(np.argmax(values))
         if values[worst] <= limit:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 def slice_count(df: DataFrame) -> int:
     """Slices per ordered column: the session's shuffle width within fixed limits."""
-    return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), 1024)
+    return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), 4096)
 
 
 def slice_edges(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> dict[str, list[float]]:

@@ -386,16 +386,25 @@ def youden_cut(scored: DataFrame, label: str = "label", score: str = "model_pred
 
 
 def evaluate(card: Scorecard, df: DataFrame, label: str = "label", split: str = "data_split") -> DataFrame:
-    """All metrics per split."""
-    return (discrimination(card.transform(df), "model_predictions", label, [split], card.threshold)
-            .withColumns({"model": F.lit(card.name), "threshold": F.lit(float(card.threshold))}))
+    """All metrics of a model per split."""
+    return split_metrics(card.transform(df), card.name, card.threshold, label, split)
+
+
+def split_metrics(scored: DataFrame, name: str, threshold: float, label: str = "label", split: str = "data_split") -> DataFrame:
+    """All metrics of given scores per split."""
+    return (discrimination(scored, "model_predictions", label, [split], threshold)
+            .withColumns({"model": F.lit(name), "threshold": F.lit(float(threshold))}))
 
 
 def score_rows(card: Scorecard, rows: DataFrame, date: str, role: str = "adhoc") -> DataFrame:
     """Prediction rows of every month in the frame; a month or a whole history is the same job."""
-    scored = card.transform(rows)
-    source = F.col("feature_source") if "feature_source" in rows.columns else F.lit("gold_feature_store")
+    return prediction_rows(card.transform(rows), date, card.name, card.threshold, role)
+
+
+def prediction_rows(scored: DataFrame, date: str, name: str, threshold: float, role: str = "adhoc") -> DataFrame:
+    """Scored rows in the layout of the predictions table."""
+    source = F.col("feature_source") if "feature_source" in scored.columns else F.lit("gold_feature_store")
     return scored.select(
-        "Customer_ID", "loan_id", F.col(date).alias("snapshot_date"), F.lit(card.name).alias("model_name"),
-        F.lit(role).alias("model_role"), "model_predictions", F.lit(float(card.threshold)).alias("decision_threshold"),
-        source.alias("feature_source"), (F.col("model_predictions") >= card.threshold).cast("int").alias("predicted_default"))
+        "Customer_ID", "loan_id", F.col(date).alias("snapshot_date"), F.lit(name).alias("model_name"),
+        F.lit(role).alias("model_role"), "model_predictions", F.lit(float(threshold)).alias("decision_threshold"),
+        source.alias("feature_source"), (F.col("model_predictions") >= threshold).cast("int").alias("predicted_default"))

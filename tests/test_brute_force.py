@@ -275,6 +275,15 @@ def test_collinearity(spark):
     assert ratios == pytest.approx(list(want))
 
 
+def test_collinearity_of_constant_and_copied_columns(spark):
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=200)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": rng.normal(size=200), "copy": a * 3, "flat": 1.0}))
+    found = vif(df, ["a", "b", "copy", "flat"])
+    assert found["flat"] == found["a"] == found["copy"] == math.inf and found["b"] == pytest.approx(1.0, abs=0.1)
+    assert len(vif_elimination(df, ["a", "b", "copy", "flat"])[0]) == 2
+
+
 def test_selection_report(spark):
     rng = np.random.default_rng(11)
     n = 2000

@@ -10,11 +10,13 @@ from panelkit.operators.metrics import discrimination, score_summary
 from panelkit.operators.quality import metric_gaps, missing_shares
 from panelkit.plans.inference import rows_to_score
 from panelkit.plans.modelling import (coefficient_table, evaluate, expanding_folds, fit_linear_prep, fit_tree_prep, load_card,
-                                      monotonicity, save_card, score_rows, search_logreg, train_logreg, train_trees, youden_cut)
+                                      monotonicity, prediction_rows, save_card, score_rows, search_logreg, split_metrics,
+                                      train_logreg, train_trees, youden_cut)
 from panelkit.session import fresh_path
 from panelkit.sources.sinks import write_partitions
 from workload.q_aggregates import split_panel
 from workload.registry import query
+from workload.views import view
 
 NUMERIC, LEVELS = ["InterestRate_x_Debt", "Delay_from_due_date", "Age_imputed"], ["Credit_Mix"]
 DIRECTIONS = {"InterestRate_x_Debt": 1, "Delay_from_due_date": 1, "Age_imputed": -1}
@@ -122,6 +124,22 @@ def ml7(spark, d):
     return evaluate(linear(spark, d), training_rows(spark, d))
 
 
+@query("ml7_split_metrics", """WITH @split_panel, p AS (SELECT data_split AS k, score, label FROM split_panel WHERE data_split IS NOT NULL),
+ c AS (SELECT k, score, sum(label) AS b, sum(1 - label) AS g FROM p GROUP BY k, score),
+ t AS (SELECT k, score, b, g, sum(b) OVER w * 1e0 AS tp, sum(g) OVER w * 1e0 AS fp, sum(b) OVER (PARTITION BY k) * 1e0 AS nb, sum(g) OVER (PARTITION BY k) * 1e0 AS ng FROM c WINDOW w AS (PARTITION BY k ORDER BY score DESC)),
+ m AS (SELECT k, sum(b * ((ng - fp) + g / 2e0)) / (max(nb) * max(ng)) AS auc, greatest(max(tp / nb - fp / ng), 0) AS ks, sum(b * tp / (tp + fp)) / max(nb) AS ap,
+ sum(CASE WHEN score >= 0.5 THEN b END) * 1e0 AS caught, sum(CASE WHEN score >= 0.5 THEN g END) * 1e0 AS wrong, max(nb) AS nb FROM t GROUP BY k),
+ l AS (SELECT k, count(*) AS n, avg(label) AS rate, avg(score) AS mean, avg((score - label) * (score - label)) AS brier, avg(-CASE WHEN label = 1 THEN ln(score) ELSE ln(1 - score) END) AS loss FROM p GROUP BY k)
+ SELECT k AS data_split, n, round(rate, 9) AS default_rate, round(mean, 9) AS mean_score, round(auc, 8) AS auc, round(2 * auc - 1, 8) AS gini, round(ks, 9) AS ks, round(ap, 8) AS average_precision,
+ round(brier, 9) AS brier, round(loss, 8) AS log_loss, round(caught / (caught + wrong), 9) AS precision, round(caught / nb, 9) AS recall, round(2 * caught / (caught + wrong + nb), 9) AS f1,
+ 'panel' AS model, 0.5e0 AS threshold FROM m JOIN l USING (k)""")
+def ml7_metrics(spark, d):
+    made = split_metrics(split_panel(spark, d).withColumn("model_predictions", F.col("score")), "panel", 0.5)
+    digits = {"auc": 8, "gini": 8, "average_precision": 8, "log_loss": 8} | dict.fromkeys(
+        ["default_rate", "mean_score", "ks", "brier", "precision", "recall", "f1"], 9)
+    return made.drop("n_bad", "n_good", "youden_threshold").withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 @query("ml8_monotonicity")
 def ml8(spark, d):
     return monotonicity(trees(spark, d), part(spark, d, "oot"), part(spark, d, "train"), DIRECTIONS, n_rows=100, n_grid=10)
@@ -141,6 +159,12 @@ def ml10(spark, d):
     return score_rows(linear(spark, d), month, "financials_snapshot_date", "champion")
 
 
+@query("ml10_prediction_rows", """WITH @panel SELECT Customer_ID, loan_id, month AS snapshot_date, 'panel' AS model_name, 'champion' AS model_role, score AS model_predictions,
+ 0.4e0 AS decision_threshold, 'gold_feature_store' AS feature_source, CASE WHEN score >= 0.4 THEN 1 ELSE 0 END AS predicted_default FROM panel""")
+def ml10_rows(spark, d):
+    return prediction_rows(view(spark, d, "panel").withColumn("model_predictions", F.col("score")), "month", "panel", 0.4, "champion")
+
+
 @query("ml11_score_backfill", f"""WITH @split_panel SELECT month AS snapshot_date, count(*) AS n, count(*) AS n_scored FROM split_panel WHERE data_split IS NOT NULL GROUP BY 1""")
 def ml11(spark, d):
     path = fresh_path(spark, "predictions")
