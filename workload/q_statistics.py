@@ -41,11 +41,16 @@ def st2(spark, d):
     return panel.select("loan_id", *[open_bin(c, e).alias(c) for c, e in edges.items()], level_bin("level").alias("level"))
 
 
-BINNED = f"""WITH @split_panel, t AS (SELECT * FROM split_panel WHERE data_split = 'train'), e1 AS ({_edge_sql('x1', 't')}), e2 AS ({_edge_sql('x2', 't')}), e3 AS ({_edge_sql('x3', 't')}),
- b AS (SELECT loan_id, label, month, data_split, 'x1' AS feature, {_bin_sql('x1')} AS bin FROM split_panel, e1 WHERE data_split IS NOT NULL
- UNION ALL SELECT loan_id, label, month, data_split, 'x2', {_bin_sql('x2')} FROM split_panel, e2 WHERE data_split IS NOT NULL
- UNION ALL SELECT loan_id, label, month, data_split, 'x3', {_bin_sql('x3')} FROM split_panel, e3 WHERE data_split IS NOT NULL
- UNION ALL SELECT loan_id, label, month, data_split, 'level', coalesce(level, '__MISSING__') FROM split_panel WHERE data_split IS NOT NULL)"""
+def _binned_sql(ctes: str, source: str, numeric=("x1", "x2", "x3")) -> str:
+    """Training edges of each numeric column and the long table of bins, the category ``level`` among them."""
+    cuts = ", ".join(f"e_{c} AS ({_edge_sql(c, 't')})" for c in numeric)
+    parts = [f"SELECT loan_id, label, month, data_split, '{c}' AS feature, {_bin_sql(c)} AS bin FROM {source}, e_{c} WHERE data_split IS NOT NULL"
+             for c in numeric]
+    parts.append(f"SELECT loan_id, label, month, data_split, 'level', coalesce(level, '__MISSING__') FROM {source} WHERE data_split IS NOT NULL")
+    return f"WITH {ctes}, t AS (SELECT * FROM {source} WHERE data_split = 'train'), {cuts}, b AS ({' UNION ALL '.join(parts)})"
+
+
+BINNED = _binned_sql("@split_panel", "split_panel")
 IV = """tab AS (SELECT feature, bin, sum(1 - label) + 0.5e0 AS g, sum(label) + 0.5e0 AS b FROM b WHERE data_split = 'train' GROUP BY ALL),
  tot AS (SELECT feature, sum(g - 0.5e0) + 0.5e0 AS tg, sum(b - 0.5e0) + 0.5e0 AS tb FROM tab GROUP BY 1),
  iv AS (SELECT feature, sum((b / tb - g / tg) * ln((b / tb) / (g / tg))) AS iv FROM tab JOIN tot USING (feature) GROUP BY 1)"""
@@ -230,11 +235,17 @@ def st18(spark, d):
 
 
 ROLES = {"x1": "numeric", "x2": "numeric", "x3": "numeric", "level": "categorical"}
-SELECTION = f"""{BINNED}, {IV}, {SHARES},  act AS (SELECT feature, bin, count(*) * 1e0 / sum(count(*)) OVER (PARTITION BY feature) AS a FROM b WHERE data_split IN ('validation', 'test') GROUP BY feature, bin),
+
+
+def _selection_sql(ctes: str, source: str, numeric=("x1", "x2", "x3")) -> str:
+    """The checks of every feature as the table ``base``."""
+    text = " UNION ALL ".join([f"SELECT data_split, '{c}' AS feature, CAST({c} AS VARCHAR) AS v FROM {source}" for c in numeric]
+                              + [f"SELECT data_split, 'level', level FROM {source}"])
+    return f"""{_binned_sql(ctes, source, numeric)}, {IV}, {SHARES},
+ act AS (SELECT feature, bin, count(*) * 1e0 / sum(count(*)) OVER (PARTITION BY feature) AS a FROM b WHERE data_split IN ('validation', 'test') GROUP BY feature, bin),
  fb AS (SELECT feature, bin FROM exp UNION SELECT feature, bin FROM act),
  psi AS (SELECT feature, sum((coalesce(a, 0) - coalesce(e, 0)) * ln((coalesce(a, 0) + 1e-4) / (coalesce(e, 0) + 1e-4))) AS psi FROM fb LEFT JOIN act USING (feature, bin) LEFT JOIN exp USING (feature, bin) GROUP BY 1),
- u AS (SELECT data_split, 'x1' AS feature, CAST(x1 AS VARCHAR) AS v FROM split_panel UNION ALL SELECT data_split, 'x2', CAST(x2 AS VARCHAR) FROM split_panel
- UNION ALL SELECT data_split, 'x3', CAST(x3 AS VARCHAR) FROM split_panel UNION ALL SELECT data_split, 'level', level FROM split_panel),
+ u AS ({text}),
  miss AS (SELECT feature, avg(CASE WHEN v IS NULL THEN 1e0 ELSE 0 END) FILTER (data_split = 'train') AS mt, avg(CASE WHEN v IS NULL THEN 1e0 ELSE 0 END) FILTER (data_split IN ('validation', 'test')) AS mv FROM u GROUP BY 1),
  tops AS (SELECT feature, max(n) * 1e0 / sum(n) AS top FROM (SELECT feature, v, count(*) AS n FROM u WHERE data_split = 'train' GROUP BY ALL) GROUP BY 1),
  rep AS (SELECT feature, mt, mv, top, iv, psi FROM miss JOIN tops USING (feature) JOIN iv USING (feature) JOIN psi USING (feature)),
@@ -243,6 +254,9 @@ SELECTION = f"""{BINNED}, {IV}, {SHARES},  act AS (SELECT feature, bin, count(*)
  CASE WHEN iv <= 0.02 THEN 'useless' WHEN iv <= 0.1 THEN 'weak' WHEN iv <= 0.3 THEN 'medium' WHEN iv <= 0.5 THEN 'strong' ELSE 'very strong - check leakage' END AS iv_strength FROM rep)"""
 
 
+SELECTION = _selection_sql("@split_panel", "split_panel")
+
+
 @query("st19_selection_checks", f"{SELECTION} SELECT * FROM base")
 def st19(spark, d):
     made = selection_base(split_panel(spark, d), ROLES)
@@ -250,15 +264,30 @@ def st19(spark, d):
     return made.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
+RISKY = _selection_sql("""@split_panel, risky AS (SELECT * EXCLUDE (label), CASE WHEN x1 + x2 * 1000 > 300000 THEN 1 ELSE 0 END AS label, x1 * 2 + x2 AS x4
+ FROM split_panel WHERE data_split IS NOT NULL)""", "risky", ("x1", "x2", "x3", "x4"))
+REPORT = RISKY + f""", rr AS (SELECT {_avg_rank('x1', 't')} AS r1, {_avg_rank('x2', 't')} AS r2, {_avg_rank('x4', 't')} AS r4 FROM t),
+ rho AS (SELECT abs(corr(r1, r4)) AS c14, abs(corr(r1, r2)) AS c12, abs(corr(r2, r4)) AS c24 FROM rr),
+ pick AS (SELECT feature AS kept FROM base WHERE feature IN ('x1', 'x4') AND drop_reason = '' ORDER BY iv DESC, feature LIMIT 1),
+ q AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.01) AS {c}l, quantile_cont({c}, 0.99) AS {c}h" for c in ("x1", "x2", "x4")) + """ FROM t),
+ w AS (SELECT corr(least(greatest(x1, x1l), x1h), least(greatest(x2, x2l), x2h)) AS w12, corr(least(greatest(x4, x4l), x4h), least(greatest(x2, x2l), x2h)) AS w24 FROM t, q),
+ done AS (SELECT base.*, CASE WHEN drop_reason = '' AND feature IN ('x1', 'x4') AND feature <> kept AND c14 > 0.8 THEN concat('5 |rho| with ', kept) ELSE drop_reason END AS reason,
+ 1 / (1 - (CASE WHEN kept = 'x1' THEN w12 ELSE w24 END) * (CASE WHEN kept = 'x1' THEN w12 ELSE w24 END)) AS f FROM base, pick, rho, w)
+ SELECT feature, type, missing_train, missing_val_test, top_value_share, iv, psi_train_vs_valtest, reason AS drop_reason, CASE WHEN reason = '' THEN round(f, 6) END AS vif,
+ '' AS lr_drop_reason, iv_strength, reason = '' AS selected_xgb, reason = '' AS selected_lr FROM done"""
+
+
 def risky_panel(spark, d):
     """Panel whose outcome depends on the price and a collinear copy of it."""
     return split_panel(spark, d).withColumns({
         "label": F.expr("CASE WHEN x1 + x2 * 1000 > 300000 THEN 1 ELSE 0 END"), "x4": F.col("x1") * 2 + F.col("x2")})
 
 
-@query("st19_selection_report")
+@query("st19_selection_report", REPORT)
 def st19_report(spark, d):
-    return selection_report(risky_panel(spark, d), {**ROLES, "x4": "numeric"})
+    made = selection_report(risky_panel(spark, d), {**ROLES, "x4": "numeric"})
+    digits = {"missing_train": 9, "missing_val_test": 9, "top_value_share": 9, "iv": 8, "psi_train_vs_valtest": 8, "vif": 6}
+    return made.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 @query("st20_feature_recheck", f"{SELECTION} SELECT feature, type, missing_train, missing_val_test, iv, psi_train_vs_valtest FROM base")
