@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.binning import labelled_bin
 from panelkit.functions.numeric import first_method, log1p_floor, round_half_up, within
-from panelkit.operators.quantiles import (SMALL, coarser, collect_from_counts, collect_quantiles, medians, medians_of_counts,
+from panelkit.operators.quantiles import (coarser, collect_from_counts, collect_quantiles, medians, medians_of_counts,
                                           quantiles_of_counts)
-from panelkit.operators.ranking import distinct_values
+from panelkit.operators.ranking import SMALL, distinct_values
 from panelkit.session import materialize
 
 QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.ranking import packed, sliced_values
+from panelkit.operators.ranking import distinct_values, packed, slice_edges, sliced_values
 from panelkit.session import materialize
 
 
@@ -22,10 +22,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     Interpolated quantiles lie at position p * (n - 1); the others are the smallest value whose
     cumulative share reaches p. The first pass shuffles only slice counts. The slices found are written, so the planner
     sees their size; where they are few they reach the second scan as a broadcast, and only the rows inside them
-    are shuffled.
+    are shuffled. Without cut points (few rows, or a short list of values) each group is counted and ordered as it is.
     """
     group = [*keys, "feature"]
-    rows = sliced_values(df, columns, keys, edges=edges)
+    numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    edges = slice_edges(numbers, columns) if edges is None else edges
+    if not any(edges.values()):
+        return quantiles_of_counts(distinct_values(numbers, columns, keys, edges=edges), probs, keys, interpolate, small=True)
+    rows = sliced_values(numbers, columns, keys, edges=edges)
     per_slice = rows.groupBy(*group, "slice").agg(F.count(F.lit(1)).alias("slice_n"))
     needed = materialize(_located(per_slice, group, probs, interpolate), "ranks")
     inside = rows.withColumn("__k", packed(group)).join(needed.select("__k", "slice"), ["__k", "slice"], "left_semi")
@@ -38,9 +42,6 @@ def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.groupBy(*keys, "feature", "slice", "value").agg(F.sum("n").alias("n"))
 
 
-SMALL = 1_000_000  # value counts a single task orders without effort
-
-
 def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequence[str] = (),
                         interpolate: bool = True, small: bool = False) -> DataFrame:
     """Quantiles from a table with one row per keys, feature, slice and distinct value and its count ``n``.

@@ -14,20 +14,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SMALL = 1_000_000  # rows a single task orders without effort
+
+
 def slice_count(df: DataFrame) -> int:
     """Slices per ordered column: the session's shuffle width within fixed limits."""
     return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), 4096)
 
 
 def slice_edges(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> dict[str, list[float]]:
-    """Cut points giving slices of similar size, for all columns in one pass.
+    """Cut points giving slices of similar size, for all columns in one pass; none where the rows are few.
 
     The cut points only balance the work; any set of them gives the same result. They are
     fixed here, before use, so that a re-run task slices exactly as the first run did.
     """
     n = slices or slice_count(df)
-    cuts = df.approxQuantile(list(columns), [i / n for i in range(1, n)], 0.25 / n)
-    return {c: sorted(set(e)) for c, e in zip(columns, cuts)}
+    cuts = F.array(*[F.lit(i / n) for i in range(1, n)])
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.percentile_approx(F.when(~F.isnan(c), F.col(c)), cuts, 4 * n).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    if row["rows"] <= SMALL:
+        return {c: [] for c in columns}
+    return {c: sorted(set(row[f"c{i}"] or [])) for i, c in enumerate(columns)}
 
 
 def with_slices(df: DataFrame, edges: dict[str, list[float]], suffix: str = "__slice") -> DataFrame:
@@ -80,7 +87,7 @@ def sliced_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
                   edges: dict[str, list[float]] | None = None) -> DataFrame:
     """Long form (keys, summed columns, feature, value, slice) without missing values (null or NaN); part of the scan stage."""
     numbers = df.select(*keys, *sums, *[F.col(c).cast("double").alias(c) for c in columns])
-    sliced = with_slices(numbers, edges or slice_edges(numbers, columns))
+    sliced = with_slices(numbers, slice_edges(numbers, columns) if edges is None else edges)
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
                                F.col(f"{c}__slice").alias("slice")) for c in columns])
     # a slice that can not be null keeps join conditions from adding a filter to one branch only, so that
