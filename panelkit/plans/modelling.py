@@ -382,12 +382,13 @@ def monotonicity(card: Scorecard, rows: DataFrame, train: DataFrame, constraints
 # ---- scoring and evaluation -----------------------------------------------------------------------------------------
 def youden_cut(scored: DataFrame, label: str = "label", score: str = "model_predictions") -> float:
     """Threshold with the largest gap between caught bads and false alarms."""
-    return discrimination(scored, score, label).first()["youden_threshold"]
+    return discrimination(materialize(scored.select(score, label), "scores"), score, label).first()["youden_threshold"]
 
 
 def evaluate(card: Scorecard, df: DataFrame, label: str = "label", split: str = "data_split") -> DataFrame:
-    """All metrics of a model per split."""
-    return split_metrics(card.transform(df), card.name, card.threshold, label, split)
+    """All metrics of a model per split; rows are scored once and the scores written, as the metrics read them more than once."""
+    scored = materialize(card.transform(df).select(split, label, "model_predictions"), "scores")
+    return split_metrics(scored, card.name, card.threshold, label, split)
 
 
 def split_metrics(scored: DataFrame, name: str, threshold: float, label: str = "label", split: str = "data_split") -> DataFrame:

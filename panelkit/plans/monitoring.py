@@ -68,13 +68,18 @@ def load_baseline(spark: SparkSession, path: str, model_version: str) -> Baselin
 
 
 def build_baseline(train: DataFrame, numeric: Sequence[str], levels: Sequence[str], reference_auc: float) -> Baseline:
-    """Decile edges of the score and each numeric feature, shares per bin, missing rates of the features."""
+    """Decile edges of the score and each numeric feature, shares per bin, missing rates of the features.
+
+    The scored training rows are written once with the columns needed, the small results once more, as every monitoring
+    run reads them.
+    """
+    train = materialize(train.select(SCORE, *numeric, *levels), "baseline-rows")
     edges = decile_edges(train, [SCORE, *numeric])
     edges = {f: edges.get(f) for f in [SCORE, *numeric]}
-    long = binned(train, edges, levels)
-    return Baseline(edges, levels, shares(long).select("feature", "bin", "share"),
-                    missing_shares(train, [*numeric, *levels]).withColumnRenamed("missing_rate", "baseline_missing_rate"),
-                    reference_auc)
+    table = materialize(shares(binned(train, edges, levels)).select("feature", "bin", "share"), "baseline-shares")
+    missing = materialize(missing_shares(train, [*numeric, *levels]).withColumnRenamed("missing_rate", "baseline_missing_rate"),
+                          "baseline-missing")
+    return Baseline(edges, levels, table, missing, reference_auc)
 
 
 def feature_drift(rows: DataFrame, base: Baseline, keys: Sequence[str]) -> DataFrame:
