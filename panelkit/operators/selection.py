@@ -85,8 +85,9 @@ def selection_report(df: DataFrame, roles: Mapping[str, str], label: str = "labe
     spark = df.sparkSession
     rows = {r["feature"]: r.asDict() for r in selection_base(df, roles, label, split).collect()}
     train = df.filter(F.col(split) == "train")
+    # equal up to summation order counts as equal, so that a re-run keeps the same feature
     ordered = sorted((f for f, r in rows.items() if not r["drop_reason"] and r["type"] != "categorical"),
-                     key=lambda f: (-rows[f]["iv"], f))
+                     key=lambda f: (-round(rows[f]["iv"], 10), f))
     if len(ordered) > 1:
         dropped = keep_first(ordered, spearman_lookup(train, ordered), max_corr)[1]
         for f, peer in dropped.items():

@@ -269,12 +269,18 @@ RISKY = _selection_sql("""@split_panel, risky AS (SELECT * EXCLUDE (label), CASE
 REPORT = RISKY + f""", rr AS (SELECT {_avg_rank('x1', 't')} AS r1, {_avg_rank('x2', 't')} AS r2, {_avg_rank('x4', 't')} AS r4 FROM t),
  rho AS (SELECT abs(corr(r1, r4)) AS c14, abs(corr(r1, r2)) AS c12, abs(corr(r2, r4)) AS c24 FROM rr),
  pick AS (SELECT feature AS kept FROM base WHERE feature IN ('x1', 'x4') AND drop_reason = '' ORDER BY iv DESC, feature LIMIT 1),
- q AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.01) AS {c}l, quantile_cont({c}, 0.99) AS {c}h" for c in ("x1", "x2", "x4")) + """ FROM t),
- w AS (SELECT corr(least(greatest(x1, x1l), x1h), least(greatest(x2, x2l), x2h)) AS w12, corr(least(greatest(x4, x4l), x4h), least(greatest(x2, x2l), x2h)) AS w24 FROM t, q),
- done AS (SELECT base.*, CASE WHEN drop_reason = '' AND feature IN ('x1', 'x4') AND feature <> kept AND c14 > 0.8 THEN concat('5 |rho| with ', kept) ELSE drop_reason END AS reason,
- 1 / (1 - (CASE WHEN kept = 'x1' THEN w12 ELSE w24 END) * (CASE WHEN kept = 'x1' THEN w12 ELSE w24 END)) AS f FROM base, pick, rho, w)
- SELECT feature, type, missing_train, missing_val_test, top_value_share, iv, psi_train_vs_valtest, reason AS drop_reason, CASE WHEN reason = '' THEN round(f, 6) END AS vif,
- '' AS lr_drop_reason, iv_strength, reason = '' AS selected_xgb, reason = '' AS selected_lr FROM done"""
+ q AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.01) AS {c}l, quantile_cont({c}, 0.5) AS {c}m, quantile_cont({c}, 0.99) AS {c}h"
+                               for c in ("x1", "x2", "x3", "x4")) + """ FROM t),
+ f AS (SELECT """ + ", ".join(f"CASE WHEN {c} IS NULL THEN {c}m ELSE least(greatest({c}, {c}l), {c}h) END AS {c}"
+                              for c in ("x1", "x2", "x3", "x4")) + """ FROM t, q),
+ done AS (SELECT base.*, kept, CASE WHEN drop_reason = '' AND feature IN ('x1', 'x4') AND feature <> kept AND c14 > 0.8 THEN concat('5 |rho| with ', kept) ELSE drop_reason END AS reason
+ FROM base, pick, rho),
+ live AS (SELECT count(*) FILTER (reason = '' AND type = 'numeric') AS n, count(*) FILTER (reason = '' AND feature = 'x2') AS u2, count(*) FILTER (reason = '' AND feature = 'x3') AS u3, any_value(kept) AS kept FROM done),
+ w AS (SELECT u2 * corr(CASE WHEN kept = 'x1' THEN x1 ELSE x4 END, x2) AS a, u3 * corr(CASE WHEN kept = 'x1' THEN x1 ELSE x4 END, x3) AS b, u2 * u3 * corr(x2, x3) AS c, n FROM f, live GROUP BY u2, u3, n),
+ z AS (SELECT *, 1 + 2 * a * b * c - a * a - b * b - c * c AS det FROM w)
+ SELECT feature, type, missing_train, missing_val_test, top_value_share, iv, psi_train_vs_valtest, reason AS drop_reason,
+ CASE WHEN reason = '' AND type = 'numeric' AND n > 1 THEN round((CASE feature WHEN 'x2' THEN 1 - b * b WHEN 'x3' THEN 1 - a * a ELSE 1 - c * c END) / det, 6) END AS vif,
+ '' AS lr_drop_reason, iv_strength, reason = '' AS selected_xgb, reason = '' AS selected_lr FROM done, z"""
 
 
 def risky_panel(spark, d):
