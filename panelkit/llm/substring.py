@@ -156,7 +156,7 @@ def _finish(plan: Layout):
                 kept.append(b" ".join(text[begin[low + a]:stop[low + b - 1]] for a, b in zip(turn[::2], turn[1::2])).decode())
                 removed.append(n - int(stays.sum()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                                              *part.columns[5:]], names=["id", "n_words", "n_removed", "kept", *part.schema.names[5:]])
+                                              *part.columns[5:-1]], names=["id", "n_words", "n_removed", "kept", *part.schema.names[5:-1]])
     return finish
 
 
@@ -182,7 +182,7 @@ def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text
     text = F.col(text_col).cast("string")
     rest = [F.struct(*carry).alias("carried")] if carry else []
     rows = docs.select(F.col(id_col).alias("id"), F.shiftright(F.xxhash64(text), 32).alias("hash"), text.alias("text"), *rest)
-    rest = ["carried"] if carry else []  # also read where it isn't needed, so that both joins share one shuffle
+    rest = ["carried"] if carry else []  # this and ``open`` are also read where they aren't needed, so that both joins share their shuffles
     place = T.StructType([T.StructField("id", kind), T.StructField("at", T.LongType())])
     found = T.StructType([T.StructField("core", T.LongType()), T.StructField("around", T.LongType()), T.StructField("id", kind),
                           T.StructField("at", T.LongType()), T.StructField("more", T.ArrayType(place))])
@@ -199,24 +199,19 @@ def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text
     each = F.concat(F.array(F.struct("id", "at", flags.alias("flags"))),
                     F.transform("more", lambda p: F.struct(p["id"].alias("id"), p["at"].alias("at"), F.lit(1).cast("long").alias("flags"))))
     position = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
-    owner = [F.col("id"), F.shiftright("at", 32).alias("hash")]
-    known = (anchors.select(F.explode(each).alias("p")).select("p.*").groupBy(*owner)
+    # a struct key: nulls compare equal in it, and one partitioning serves the grouping and both joins
+    owner = F.struct("id", F.shiftright("at", 32).alias("hash"))
+    known = (anchors.select(F.explode(each).alias("p")).select("p.*").groupBy(owner.alias("row"))
              .agg(F.collect_list(position * 4 + F.col("flags")).alias("places"), F.max(F.col("flags") >= 2).alias("open")))
-
-    def with_places(listed: DataFrame, columns: list[str], how: str) -> DataFrame:
-        listed = listed.select(F.col("id").alias("of_id"), F.col("hash").alias("of_hash"), *columns)
-        return rows.join(listed, rows["id"].eqNullSafe(F.col("of_id")) & (rows["hash"] == F.col("of_hash")), how)
-
+    texts = rows.select(F.struct("id", "hash").alias("row"), "text", *rest)
     counted = T.StructType([T.StructField("one", T.LongType()), T.StructField("two", T.LongType()), T.StructField("n", T.LongType()),
                             T.StructField("places", T.ArrayType(place))])
-    resolved = (with_places(known.filter("open"), ["places"], "inner").select("id", "hash", "text", "places", *rest)
+    resolved = (texts.join(known.filter("open"), "row").select("row.id", "row.hash", "text", "places", *rest)
                 .mapInArrow(_windows(plan), counted)
                 .withColumn("n", F.sum("n").over(Window.partitionBy("one", "two"))).filter("n > 1")
-                .select(F.explode("places").alias("p")).select("p.*").groupBy(*owner).agg(F.collect_list(position).alias("resolved")))
-    lists = known.select("id", "hash", "places").join(
-        resolved.select(F.col("id").alias("r_id"), F.col("hash").alias("r_hash"), "resolved"),
-        F.col("id").eqNullSafe(F.col("r_id")) & (F.col("hash") == F.col("r_hash")), "left")
+                .select(F.explode("places").alias("p")).select("p.*").groupBy(owner.alias("row")).agg(F.collect_list(position).alias("resolved")))
+    lists = known.join(resolved, "row", "left")
     out = T.StructType([T.StructField("id", kind), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                         T.StructField("kept", T.StringType())] + ([rows.schema["carried"]] if carry else []))
-    done = with_places(lists, ["places", "resolved"], "left").select("id", "hash", "text", "places", "resolved", *rest).mapInArrow(_finish(plan), out)
+    done = texts.join(lists, "row", "left").select("row.id", "row.hash", "text", "places", "resolved", *rest, "open").mapInArrow(_finish(plan), out)
     return done.withColumnRenamed("id", id_col)
