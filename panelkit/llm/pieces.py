@@ -199,17 +199,10 @@ def _worker_encoder(key: str, parts: tuple) -> Encoder:
     return kept.encoder
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_col: str = "pieces") -> DataFrame:
-    """``docs`` with a column of piece ids. A null text has null ids, an empty one none; long texts are one row like any other.
-
-    Spaces become the mark and each text begins with one. Each task collects the distinct marked words of a slice of text,
-    sorts them and makes one forward pass over their trie; common words are remembered from slice to slice, up to a
-    fixed number. The vocabulary has a fixed size and is broadcast. Raises if ``docs`` has a column ``out_col`` already.
-    """
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col} is there already")
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.scores, vocabulary.ids, vocabulary.byte_ids, vocabulary.unknown, vocabulary.kind))
-    at, key = docs.columns.index(text_col), uuid.uuid4().hex
+def _encoding(spark, vocabulary: Vocabulary, at: int, out_col: str):
+    """A function over Arrow batches that appends the ids of text column number ``at``."""
+    shared = spark.sparkContext.broadcast((vocabulary.scores, vocabulary.ids, vocabulary.byte_ids, vocabulary.unknown, vocabulary.kind))
+    key = uuid.uuid4().hex
 
     def run(batches):
         encoder = _worker_encoder(key, shared.value)
@@ -220,18 +213,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
                 values, first = encoder.encode(data, offsets)
             ids = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values), mask=pc.is_null(texts))
             yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, out_col])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType()))]))
+    return run
 
 
-def decode(docs: DataFrame, vocabulary: Vocabulary, pieces_col: str = "pieces", out_col: str = "decoded") -> DataFrame:
-    """``docs`` with the texts that the ids spell; null ids give null, no ids the empty text. Bytes that are no UTF-8 become U+FFFD.
-    The mark itself, if a text holds it, comes back as a space: the only loss of a round trip."""
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col} is there already")
+def _decoding(spark, vocabulary: Vocabulary, at: int, out_col: str):
+    """A function over Arrow batches that appends the texts that the ids of column number ``at`` spell."""
     sizes = np.array([len(x) for x in vocabulary.spelling], dtype=np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(vocabulary.spelling), dtype=np.uint8), sizes))
-    at = docs.columns.index(pieces_col)
+    shared = spark.sparkContext.broadcast((np.frombuffer(b"".join(vocabulary.spelling), dtype=np.uint8), sizes))
 
     def run(batches):
         flat, sizes = shared.value
@@ -246,13 +234,44 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, pieces_col: str = "pieces",
                 ids = ids.to_numpy()
                 texts.append(flat[ranges(first[ids], sizes[ids])].tobytes().decode(errors="replace")[1:])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col])
+    return run
+
+
+def _with(docs: DataFrame, run, name: str, kind: T.DataType) -> DataFrame:
+    if name in docs.columns:
+        raise ValueError(f"column {name} is there already")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_col: str = "pieces") -> DataFrame:
+    """``docs`` with a column of piece ids. A null text has null ids, an empty one none; long texts are one row like any other.
+
+    Spaces become the mark and each text begins with one. Each task collects the distinct marked words of a slice of text,
+    sorts them and makes one forward pass over their trie; words met are remembered from slice to slice and task to task, up
+    to a fixed number (by a 64-bit hash). The vocabulary has a fixed size and is broadcast. Raises if ``docs`` has ``out_col``.
+    """
+    return _with(docs, _encoding(docs.sparkSession, vocabulary, docs.columns.index(text_col), out_col), out_col, T.ArrayType(T.IntegerType()))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.StringType())]))
+
+def decode(docs: DataFrame, vocabulary: Vocabulary, pieces_col: str = "pieces", out_col: str = "decoded") -> DataFrame:
+    """``docs`` with the texts that the ids spell; null ids give null, no ids the empty text. Bytes that are no UTF-8 become U+FFFD.
+    The mark itself, if a text holds it, comes back as a space: the only loss of a round trip."""
+    return _with(docs, _decoding(docs.sparkSession, vocabulary, docs.columns.index(pieces_col), out_col), out_col, T.StringType())
 
 
 def encode_decode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, ``pieces``, ``n_pieces``, ``decoded`` and ``lossless`` (it equals the text; null for null)."""
+    """One row per row of ``docs``: the id, ``pieces``, ``n_pieces``, ``decoded`` and ``lossless`` (it equals the text). All but the id are null for a
+    null text. Both ways in one pass; other columns are ignored; an empty table gives no rows."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    done = decode(encode(rows, vocabulary, "_text"), vocabulary)
-    return done.select(F.col("_id").alias(id_col), "pieces", F.size("pieces").cast("long").alias("n_pieces"), "decoded",
-                       (F.col("decoded") == F.col("_text")).alias("lossless"))
+    forth, back = _encoding(docs.sparkSession, vocabulary, 1, "pieces"), _decoding(docs.sparkSession, vocabulary, 2, "decoded")
+
+    def run(batches):
+        for batch in back(forth(batches)):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pc.equal(batch.column(1), batch.column(3))],
+                                             names=["_id", "pieces", "decoded", "lossless"])
+
+    schema = T.StructType([rows.schema["_id"], T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType()),
+                           T.StructField("lossless", T.BooleanType())])
+    done = rows.mapInArrow(run, schema)
+    return done.select(F.col("_id").alias(id_col), "pieces", F.when(F.col("pieces").isNotNull(), F.size("pieces").cast("long")).alias("n_pieces"),
+                       "decoded", "lossless")
