@@ -28,35 +28,35 @@ def tree_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     or doesn't exist is a root; nodes that only lead into a cycle are on no path. A null tree is a tree like any other.
 
     Paths are found by self-joins that double their reach: each node knows its ancestor 1, 2, 4, ... replies up, with the scores
-    between, until all have come to a root; chosen leaves then unfold along the same tables. So a thread of n replies takes
-    log2(n) rounds, and every join is on single nodes, however many a tree has. Each round is written to the shared folder.
+    between, until it has come to a root; chosen leaves then unfold along the same tables. So a thread of n replies takes
+    log2(n) rounds, only nodes still on their way take part, and every join is on single nodes, however many a tree has. Each round is written to the shared folder.
     """
     key = F.struct("tree", "id")
     known = nodes.select(key.alias("key"), F.struct("tree", F.col("parent").alias("id")).alias("up"), F.coalesce("score", F.lit(0.0)).cast("double").alias("weight"))
     parents = known.select(F.col("key").alias("anc"))
     first = known.join(parents, (F.col("up") == F.col("anc")) & F.col("up.id").isNotNull(), "left")
-    jumps = [materialize(first.select("key", "anc", "weight", F.lit(1).cast("long").alias("hops")), "jumps")]
-    count = jumps[0].count()
-    while (1 << (len(jumps) - 1)) <= count and jumps[-1].filter("anc is not null").limit(1).count():
-        there = jumps[-1].select(F.col("key").alias("mid"), F.col("anc").alias("far"), F.col("weight").alias("more"), F.col("hops").alias("further"))
-        next_ = jumps[-1].join(there, F.col("anc") == F.col("mid"), "left").select(
-            "key", F.col("far").alias("anc"), (F.col("weight") + F.coalesce("more", F.lit(0.0))).alias("weight"),
-            (F.col("hops") + F.coalesce("further", F.lit(0).cast("long"))).alias("hops"))
-        jumps.append(materialize(next_, "jumps"))
-    whole = jumps[-1].filter("anc is null")
-    inner = jumps[0].filter("anc is not null").select(F.col("anc").alias("key")).distinct()
+    first = materialize(first.select("key", "anc", "weight", F.lit(1).cast("long").alias("hops")), "jumps")
+    jumps, count, whole = [first.filter("anc is not null")], first.count(), first.filter("anc is null")
+    while (1 << (len(jumps) - 1)) <= count and jumps[-1].limit(1).count():
+        there = jumps[-1].unionByName(whole).select(F.col("key").alias("mid"), F.col("anc").alias("far"), F.col("weight").alias("more"),
+                                                    F.col("hops").alias("further"))
+        next_ = materialize(jumps[-1].join(there, F.col("anc") == F.col("mid")).select(
+            "key", F.col("far").alias("anc"), (F.col("weight") + F.col("more")).alias("weight"), (F.col("hops") + F.col("further")).alias("hops")), "jumps")
+        whole = whole.unionByName(next_.filter("anc is null"))
+        jumps.append(next_.filter("anc is not null"))
+    whole = materialize(whole, "depths")
+    inner = jumps[0].select(F.col("anc").alias("key")).distinct()
     leaves = whole.join(inner, "key", "left_anti").withColumn("tree", F.col("key.tree"))
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("weight") / F.col("hops")), F.col("key.id"))
     ranked = leaves.withColumn("rank", F.row_number().over(order))
     chosen = ranked if branches is None else ranked.filter(F.col("rank") <= branches)
     parts = materialize(chosen.select(F.col("key").alias("leaf"), "rank", F.col("key").alias("node"), F.col("hops").alias("left")), "paths")
-    for k in range(len(jumps) - 2, -1, -1):
+    for k in range(len(jumps) - 1, -1, -1):
         reach = 1 << k
-        split = F.when(F.col("left") > reach, F.array(F.struct("node", F.lit(reach).cast("long").alias("left")),
-                                                      F.struct(F.col("anc").alias("node"), (F.col("left") - reach).alias("left"))))
-        parts = parts.join(jumps[k].select("key", "anc"), (F.col("node") == F.col("key")) & (F.col("left") > reach), "left")
-        parts = parts.select("leaf", "rank", F.explode(F.coalesce(split, F.array(F.struct("node", "left")))).alias("p")).select("leaf", "rank", "p.*")
-        parts = materialize(parts, "paths")
+        halves = F.array(F.struct("node", F.lit(reach).cast("long").alias("left")), F.struct(F.col("anc").alias("node"), (F.col("left") - reach).alias("left")))
+        split = (parts.filter(F.col("left") > reach).join(jumps[k].select("key", "anc"), F.col("node") == F.col("key"))
+                 .select("leaf", "rank", F.explode(halves).alias("p")).select("leaf", "rank", "p.*"))
+        parts = materialize(parts.filter(F.col("left") <= reach).unionByName(split), "paths")
     depth = whole.select("key", F.col("hops").alias("step"))
     return parts.join(depth, F.col("node") == F.col("key")).select(F.col("leaf.tree").alias("tree"), F.col("leaf.id").alias("leaf"), "rank",
                                                                    F.col("node.id").alias("id"), "step")
