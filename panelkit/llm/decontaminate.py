@@ -14,7 +14,7 @@ from panelkit.session import materialize
 
 #: Characters of benchmark text that are searched for in one pass over the documents; a larger benchmark takes more passes.
 BLOCK_CHARS = 16 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 def window_table(items: list[tuple[str, str]], window: int) -> dict:
@@ -128,7 +128,7 @@ def _search(table, text: int, marked: bool):
 
 
 def mark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id",
-              item_text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+              item_text_col: str = "text", block_chars: int = BLOCK_CHARS, last=None) -> DataFrame:
     """All columns of ``docs`` and ``_words`` (number of words), ``_spans`` (ranges of words inside any occurrence of a window of a
     benchmark item, merged) and ``_items`` (ids of items with occurring windows, as text, sorted).
 
@@ -139,7 +139,8 @@ def mark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col:
     Each task cuts its documents into shards and indexes those stretches of a shard that consist of benchmark words (a
     window can't be elsewhere) as numbers: suffix order, transform, wavelet ranks. All windows are searched backward at once and
     located over sampled positions. What is sent to all tasks is at most ``block_chars`` characters of benchmark: a larger
-    one is dealt by hash into blocks, each searched in a pass of its own over the whole table, written between passes.
+    one is dealt by hash into blocks, each searched in a pass of its own over the whole table, written between passes. ``last`` is
+    applied to the marked Arrow batches in the last pass, which then returns the columns of ``docs``.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).cast("string").alias("text"))
@@ -152,7 +153,10 @@ def mark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col:
         table = spark.sparkContext.broadcast(window_table([(r["item"], r["text"]) for r in part], window))
         if block:
             marked = materialize(marked, "marked")
-        marked = marked.mapInArrow(_search(table, docs.columns.index(text_col), block > 0), schema)
+        search = _search(table, docs.columns.index(text_col), block > 0)
+        if last and block == blocks - 1:
+            return marked.mapInArrow(lambda batches: last(search(batches)), docs.schema)  # noqa: B023
+        marked = marked.mapInArrow(search, schema)
     return marked
 
 
@@ -187,5 +191,4 @@ def _cut(text: int):
 
 def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text") -> DataFrame:
     """``docs`` with the same columns, the merged spans cut out of the texts; texts without hits, null ones too, stay as they are."""
-    marked = mark_hits(docs, benchmark, window, text_col)
-    return marked.mapInArrow(_cut(docs.columns.index(text_col)), docs.schema)
+    return mark_hits(docs, benchmark, window, text_col, last=_cut(docs.columns.index(text_col)))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import sys
-import uuid
 from dataclasses import dataclass
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +14,8 @@ from pyspark.sql import types as T
 from panelkit.llm.words import hash_words, ranges, slices
 
 MARK = "▁"
-#: Words whose pieces a Python worker remembers, about 50 bytes each; beyond it starts anew.
-REMEMBERED = 1_200_000
+#: Words whose pieces a task remembers, about 50 bytes each; beyond it starts anew.
+REMEMBERED = 600_000
 
 
 @dataclass(frozen=True)
@@ -182,6 +179,8 @@ class Encoder:
         if len(self.hashes) + int((~known).sum()) > REMEMBERED:
             self._forget()
             known[:] = False
+        if len(self.forward.apart) > REMEMBERED // 2:
+            self.forward.apart.clear()
         raw, ends = data.tobytes(), np.append(starts[1:], len(data))
         new = place[~known]
         if len(new):
@@ -191,21 +190,12 @@ class Encoder:
         return self.flat[ranges(self.first[at], sizes)], np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offsets)]
 
 
-def _worker_encoder(key: str, parts: tuple) -> Encoder:
-    """The encoder that this Python worker made for an earlier task of the same call, if there was one."""
-    kept = sys.modules.setdefault("_worker_piece_encoder", ModuleType("_worker_piece_encoder"))
-    if getattr(kept, "key", None) != key:
-        kept.key, kept.encoder = key, Encoder(*parts)
-    return kept.encoder
-
-
 def _encoding(spark, vocabulary: Vocabulary, at: int, out_col: str):
     """A function over Arrow batches that appends the ids of text column number ``at``."""
     shared = spark.sparkContext.broadcast((vocabulary.scores, vocabulary.ids, vocabulary.byte_ids, vocabulary.unknown, vocabulary.kind))
-    key = uuid.uuid4().hex
 
     def run(batches):
-        encoder = _worker_encoder(key, shared.value)
+        encoder = Encoder(*shared.value)
         for part, _, _ in slices(batches, at):
             texts = pc.replace_substring(part.column(at), MARK, " ")
             marked = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(" ", texts, ""))
@@ -247,8 +237,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
     """``docs`` with a column of piece ids. A null text has null ids, an empty one none; long texts are one row like any other.
 
     Spaces become the mark and each text begins with one. Each task collects the distinct marked words of a slice of text,
-    sorts them and makes one forward pass over their trie; words met are remembered from slice to slice and task to task, up
-    to a fixed number (by a 64-bit hash). The vocabulary has a fixed size and is broadcast. Raises if ``docs`` has ``out_col``.
+    sorts them and makes one forward pass over their trie; words met are remembered from slice to slice, up to a
+    fixed number (by a 64-bit hash). The vocabulary has a fixed size and is broadcast. Raises if ``docs`` has ``out_col``.
     """
     return _with(docs, _encoding(docs.sparkSession, vocabulary, docs.columns.index(text_col), out_col), out_col, T.ArrayType(T.IntegerType()))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,15 +35,29 @@ def slices(batches: Iterable[pa.RecordBatch], text: int, limit: int = SLICE_BYTE
     """Batches cut so that column number ``text`` holds about ``limit`` bytes: the slice, its UTF-8 bytes and row offsets. Null: no
     bytes. ``lower``: bytes of the text in lower case."""
     for batch in batches:
-        texts = batch.column(text).cast(pa.large_string()).fill_null("")
-        texts = pc.utf8_lower(texts) if lower else texts
-        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1 + texts.offset)[texts.offset:] if len(texts) else np.zeros(1, np.int64)
-        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if len(texts) and texts.buffers()[2] is not None else np.zeros(0, np.uint8)
-        row = 0
-        while row < len(texts):
-            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
-            yield batch.slice(row, end - row), data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        total, row = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while row < batch.num_rows:
+            end = max(row + 1, int(np.searchsorted(total, total[row] + limit, side="right")) - 1)
+            part = batch.slice(row, end - row)
+            texts = part.column(text).cast(pa.large_string()).fill_null("")
+            yield part, *_bytes(pc.utf8_lower(texts) if lower else texts)
             row = end
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and what they keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1 + texts.offset)[texts.offset:]
+    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
 def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
