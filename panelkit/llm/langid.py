@@ -117,9 +117,9 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return has
 
 
-def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, ``lang_pred``, ``score`` (calibrated probability of it) and ``accepted``. The id may be a
-    struct of all columns.
+def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """One row per row of ``docs``: the id, ``lang_pred``, ``score`` (calibrated probability of it), ``accepted``, and the text if
+    ``with_text``. The id may be a struct of other columns.
 
     Whole texts are scored: n-grams of each distinct word of a slice once, then sums over each document's words. A text that is
     null or has no letter is ``und`` with score 0 and isn't accepted; others are accepted if the score reaches the model's
@@ -145,9 +145,10 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
             best = np.where(lettered, sure.argmax(axis=1), len(names) - 1)
             score = np.where(lettered, sure.max(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[best], pa.string()), pa.array(score),
-                                              pa.array(lettered & (score >= threshold))], names=["id", "lang_pred", "score", "accepted"])
+                                              pa.array(lettered & (score >= threshold)), *part.columns[1:1 + with_text]],
+                                             names=["id", "lang_pred", "score", "accepted", "text"][:4 + with_text])
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
+                           T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())] + [T.StructField("text", T.StringType())] * with_text)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(predict, schema).withColumnRenamed("id", id_col)

@@ -150,12 +150,12 @@ class Encoder:
             run = ""
         return out
 
-    def words(self, data: np.ndarray) -> np.ndarray:
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where marked words begin in texts that each begin with a space: at the first of several spaces, at and after a character
         of ASCII that has no piece. No piece reaches from one such word into the next, so each is encoded for itself."""
         rare, space = self.rare[data], data == 0x20
         begins = rare.copy()
-        begins[:1] = True
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
         begins[1:] |= (space[1:] & ~space[:-1]) | rare[:-1]
         return np.flatnonzero(begins)
 
@@ -173,7 +173,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, one after the other, and where those of each row begin (one more at the end)."""
-        starts = self.words(data)
+        starts = self.words(data, offsets)
         hashes, place, word = np.unique(hash_words(data, starts, np.append(starts[1:], len(data))), return_index=True, return_inverse=True)
         known = np.isin(hashes, self.hashes, assume_unique=True)
         if len(self.hashes) + int((~known).sum()) > REMEMBERED:

@@ -14,7 +14,7 @@ from panelkit.llm.subwords import Grams, sample_features, sampled, sparse, sum_r
 from panelkit.llm.words import ranges, slices
 
 #: Labelled documents of each class to learn from.
-PER_CLASS = 2500
+PER_CLASS = 1500
 GRAMS = Grams(sizes=(3, 4, 5), bits=18, once=True)
 
 
