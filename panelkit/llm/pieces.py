@@ -16,6 +16,7 @@ from panelkit.llm.words import hash_words, ranges, slices
 MARK = "▁"
 #: Words whose pieces a task remembers, about 50 bytes each; beyond it starts anew.
 REMEMBERED = 600_000
+NEVER = float("-inf")
 
 
 @dataclass(frozen=True)
@@ -60,23 +61,47 @@ class Forward:
         self.scores, self.ids, self.merging = scores, ids, kind == "bpe"
         self.longest, self.span = max(map(len, scores), default=1), max(ids.values(), default=0) + 1
         self.apart: dict[int, bool] = {}
+        self.steps: dict[str, tuple] = {}
         self.word, self.begin, self.last, self.total = "", [0], [-1], [0.0]
 
-    def merged(self, text: str) -> list[str]:
-        """What merging yields: the neighbours that form the best-scored piece join first, the leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            found = [(-self.scores[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores]
-            if not found:
-                return parts
-            k = min(found)[1]
-            parts[k:k + 2] = [parts[k] + parts[k + 1]]
-        return parts
+    def _steps(self, piece: str) -> tuple[list[float], list[str], list[str]]:
+        """How a piece merges by itself: the score of each step, and its first and last part before the steps and after each. All are
+        empty for a piece that merging does not make whole."""
+        known = self.steps.get(piece)
+        if known is None:
+            parts, scores, firsts, lasts = list(piece), [], [piece[0]], [piece[-1]]
+            while len(parts) > 1:
+                found = [(-self.scores[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores]
+                if not found:
+                    break
+                score, k = min(found)
+                parts[k:k + 2] = [parts[k] + parts[k + 1]]
+                scores.append(-score)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            known = self.steps[piece] = (scores, firsts, lasts) if len(parts) == 1 else ([], [], [])
+        return known
 
     def _stays(self, word: str, begin: int, end: int) -> bool:
-        """Whether merging leaves the piece apart from the last piece before it (or whole, at the start of a word)."""
-        before = [word[self.begin[begin]:begin]] if begin else []
-        return self.merged("".join(before) + word[begin:end]) == [*before, word[begin:end]]
+        """Whether merging leaves the piece apart from the last piece before it (or whole, at the start of a word). Both merge step by
+        step, the better step first; a merge across their border that comes before the next step of either joins them."""
+        after, firsts, _ = self._steps(word[begin:end])
+        if not firsts or not begin:
+            return bool(firsts)
+        before, _, lasts = self._steps(word[self.begin[begin]:begin])
+        i = j = 0
+        while True:
+            left = before[i] if i < len(before) else NEVER
+            right = after[j] if j < len(after) else NEVER
+            across = self.scores.get(lasts[i] + firsts[j], NEVER)
+            if across > left and across >= right:  # of equal merges the leftmost goes first
+                return False
+            if left == right == NEVER:
+                return True
+            if left >= right:
+                i += 1
+            else:
+                j += 1
 
     def _merging(self, word: str, shared: int) -> None:
         begins, last, ids, apart, span, longest = self.begin, self.last, self.ids, self.apart, self.span, self.longest
