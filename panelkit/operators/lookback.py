@@ -43,23 +43,28 @@ def daily_moments(events: DataFrame, on: Sequence[str], date: str, columns: Sequ
     return events.groupBy(*on, date).agg(*stats)
 
 
-def repeats_days(events: DataFrame, on: Sequence[str], date: str) -> bool:
-    """Whether events clearly outnumber their keys and days, so that a daily rollup shrinks them (two columns are read)."""
-    row = events.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*on, date)).alias("days")).first()
-    return row["n"] > 1.2 * row["days"]
-
-
 def _merged(column: str, inside: Column) -> dict[str, Column]:
-    """Mean, extremes and sample deviation of a window from daily moments."""
+    """Mean, extremes and sample deviation of a window from daily moments.
+
+    The squared deviation is folded day by day with the pairwise update of mean and deviation, which stays exact for values far
+    from zero; a key date has at most one row of moments for each day of the window.
+    """
     n = F.when(inside, F.col(f"{column}__n"))
     total, count = F.sum(n * F.col(f"{column}__mean")), F.sum(n)
-    mean = F.when(count > 0, total / count)
-    squares = F.sum(F.when(inside, F.col(f"{column}__m2"))) + F.sum(n * F.pow(F.col(f"{column}__mean"), 2))
-    spread = F.greatest(squares - count * F.pow(mean, 2), F.lit(0.0))
-    return {"mean": mean,
+    days = F.collect_list(F.when(inside & (F.col(f"{column}__n") > 0), F.struct(
+        F.col(f"{column}__n").cast("double").alias("n"), F.col(f"{column}__mean").cast("double").alias("mean"), F.col(f"{column}__m2").cast("double").alias("m2"))))
+
+    def add(so_far: Column, day: Column) -> Column:
+        both, apart = so_far["n"] + day["n"], day["mean"] - so_far["mean"]
+        return F.struct(both.alias("n"), (so_far["mean"] + apart * day["n"] / both).alias("mean"),
+                        (so_far["m2"] + day["m2"] + apart * apart * so_far["n"] * day["n"] / both).alias("m2"))
+
+    zero = F.lit(0.0)
+    squares = F.aggregate(days, F.struct(zero.alias("n"), zero.alias("mean"), zero.alias("m2")), add)["m2"]
+    return {"mean": F.when(count > 0, total / count),
             "max": F.max(F.when(inside, F.col(f"{column}__max"))),
             "min": F.min(F.when(inside, F.col(f"{column}__min"))),
-            "std": F.when(count > 1, F.sqrt(spread / (count - 1)))}
+            "std": F.when(count > 1, F.sqrt(squares / (count - 1)))}
 
 
 def _direct(column: str, inside: Column) -> dict[str, Column]:
@@ -72,21 +77,19 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
              columns: Sequence[str], windows: Sequence[int] = (30, 60, 90),
              stats: Sequence[str] = ("mean", "max", "min", "std"), counts: bool = True, trend: int | None = 30,
              latest: bool = False, keep: Sequence[str] | None = None, dedupe: bool = True,
-             empty_count_zero: bool = False, rollup: bool | None = None) -> DataFrame:
+             empty_count_zero: bool = False, rollup: bool = False) -> DataFrame:
     """All windows, statistics, counts and trends of every key date in one aggregation.
 
-    Rows on the key date itself are excluded. Events that repeat within a day are reduced to one row of moments per key
-    and day before the join, so that a busy key does not multiply its events by the key dates near them;
-    a panel with about one row per key and day is joined as it is, as moments are wider than values. ``rollup``
-    decides without measuring. A median needs the values themselves. ``trend`` d is the mean
+    Rows on the key date itself are excluded. With ``rollup`` events are first reduced to one row of moments per key and day,
+    so that a busy key does not multiply its events by the key dates near them; a panel with about one row per key and day
+    is better joined as it is, as moments are wider than values. Both ways give the same numbers. A median needs the
+    values themselves, so it ignores ``rollup``, and is approximate beyond 10,000 values of a window. ``trend`` d is the mean
     of days 1..d minus the mean of days d+1..2d. ``keep`` limits the output to named features; only
     the columns and statistics they need are computed. A key date without any event in the longest window
     has no output row unless ``latest`` finds an older event.
     """
     wanted = set(keep) if keep else None
-    raw = "median" in stats
-    if not raw:
-        raw = not (repeats_days(events, on, event_date) if rollup is None else rollup)
+    raw = "median" in stats or not rollup
     if dedupe:
         events = events.dropDuplicates()
     source = events if raw else daily_moments(events, on, event_date, columns)

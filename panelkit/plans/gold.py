@@ -14,7 +14,7 @@ from panelkit.operators.asof import asof_lookup
 from panelkit.operators.impute import apply_age, apply_counts, fill_from
 from panelkit.operators.lookback import lookback
 from panelkit.plans.params import COUNTS, FeatureParams, fit_params
-from panelkit.sources.schema import prefixed
+from panelkit.sources.schema import prefixed, require_columns
 
 # Lookback features the store keeps, and working columns it drops.
 CLICK_FEATURES = ["fe_10_mean_90d", "fe_5_mean_90d", "fe_4_mean_90d", "fe_9_mean_90d", "fe_3_std_60d",
@@ -85,7 +85,7 @@ def feature_store(labels: DataFrame, attributes: DataFrame, financials: DataFram
     """Feature rows of all splits and the parameters fitted on the training rows.
 
     One frame carries the split as a column, so every transform is planned once. The older variant without
-    limit imputation and clickstream is ``with_limit=False, clicks=None``.
+    limit imputation and clickstream is ``with_limit=False, clicks=None``. Raises if a click feature asked for can't be made.
     """
     labels = labels.filter(in_windows("snapshot_date", windows))
     joined = join_sources(labels, attributes, financials, point_in_time)
@@ -100,5 +100,6 @@ def feature_store(labels: DataFrame, attributes: DataFrame, financials: DataFram
         events = clicks.dropDuplicates().withColumns({c: F.col(c).cast("double") for c in needed})
         features = lookback(events, made, ["Customer_ID"], "clicks_snapshot_date", "labels_snapshot_date", needed,
                             click_windows, keep=click_features, trend=trend, dedupe=False)
+        require_columns(features, click_features)
         made = made.join(features, ["Customer_ID", "labels_snapshot_date"], "left")
     return made.drop(*drop), params

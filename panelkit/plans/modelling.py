@@ -69,9 +69,11 @@ class LinearPrep:
             **{f"x_{c}_missing": F.col(c).isNull().cast("double") for c in self.indicators},
             **{f"x_{c}_woe": F.col(f"{c}_woe") for c in self.categorical}}).drop(*[f"{c}_woe" for c in self.categorical])
 
+    def scaled(self, df: DataFrame) -> DataFrame:
+        return self.unscaled(df).withColumns({f"x_{c}": (F.col(f"x_{c}") - m) / s for c, (m, s) in self.scales.items()})
+
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.unscaled(df)
-        out = out.withColumns({f"x_{c}": (F.col(f"x_{c}") - m) / s for c, (m, s) in self.scales.items()})
+        out = self.scaled(df)
         assembler = VectorAssembler(inputCols=[f"x_{c}" for c in self.inputs], outputCol="features")
         return assembler.transform(out).drop(*[f"x_{c}" for c in self.inputs])
 
@@ -267,7 +269,10 @@ def _side_by_side(spark: SparkSession, fit, settings: Sequence, parallelism: int
 
 def train_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], iv: Mapping[str, float],
                  c: float, l1: float, label: str = "label", directions: Mapping[str, int] = EXPECTED_DIRECTION) -> Scorecard:
-    """Penalised logistic regression; a wrong-sign feature with the least information value is dropped until none is left."""
+    """Penalised logistic regression; a wrong-sign feature with the least information value is dropped until none is left.
+
+    Raises if the last feature has the wrong sign too.
+    """
     numeric, categorical, dropped = list(numeric), list(categorical), []
     while True:
         prep = fit_linear_prep(train, numeric, categorical, label)
@@ -276,7 +281,9 @@ def train_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence
         weights = dict(zip(prep.inputs, model.coefficients.toArray()))
         wrong = [f for f in numeric if f in directions and np.sign(weights[f]) not in (0, directions[f])]
         wrong += [f for f in categorical if np.sign(weights[f"{f}_woe"]) not in (0, 1)]
-        if not wrong or len(numeric) + len(categorical) == 1:
+        if wrong and len(numeric) + len(categorical) == 1:
+            raise ValueError(f"{wrong[0]} is left alone and has the wrong sign")
+        if not wrong:
             return Scorecard("logreg", prep, model, hyper={"C": c, "l1": l1}, dropped=dropped)
         worst = min(wrong, key=lambda f: iv.get(f, 0.0))
         dropped.append(worst)
@@ -354,7 +361,8 @@ def monotonicity(card: Scorecard, rows: DataFrame, train: DataFrame, constraints
     The sample of rows is the operator's own limit. Each row is repeated along a fixed grid per input by explode.
     """
     names = [f"x_{c}" for c in card.prep.inputs]
-    encoded = card.prep.encoded if isinstance(card.prep, TreePrep) else card.prep.unscaled
+    trees = isinstance(card.prep, TreePrep)
+    encoded = card.prep.encoded if trees else card.prep.scaled  # what the model was fitted on
     sample = materialize(encoded(rows.orderBy(F.xxhash64(key), key).limit(n_rows)).select(key, *names), "ice")
     wanted = [c for c in constraints if f"x_{c}" in names and constraints[c] != 0]
     base = encoded(train).select(*[F.col(f"x_{c}").alias(c) for c in wanted])
@@ -366,8 +374,8 @@ def monotonicity(card: Scorecard, rows: DataFrame, train: DataFrame, constraints
               .select(key, *names, "model_input", F.posexplode("grid").alias("step", "at")))
     spread = spread.withColumns({n: F.when(F.col("model_input") == n[2:], F.col("at")).otherwise(F.col(n)) for n in names})
     scored = card.model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(spread))
-    p = positive()
-    scored = scored.select(key, "model_input", "step", F.log(p / (1 - p)).alias("logodds"))
+    # from the margin, as a probability that has come to 1 has no odds; that of boosted trees is half the log-odds
+    scored = scored.select(key, "model_input", "step", (vector_to_array("rawPrediction")[1] * F.lit(2.0 if trees else 1.0)).alias("logodds"))
     order = Window.partitionBy(key, "model_input").orderBy("step")  # one row per grid step
     sign = F.create_map(*[F.lit(x) for kv in constraints.items() for x in kv])
     moves = scored.withColumn("against", (F.col("logodds") - F.lag("logodds").over(order))

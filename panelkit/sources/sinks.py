@@ -32,8 +32,8 @@ def fill_partitions(df: DataFrame, path: str, by: str, force: bool = False) -> N
     """Write only partitions the table does not hold yet; with ``force`` replace them."""
     spark = df.sparkSession
     if not force and path_exists(spark, path):
-        present = spark.read.parquet(path).select(by).distinct()
-        df = df.join(present, by, "left_anti")
+        present = spark.read.parquet(path).select(F.col(by).alias("__present")).distinct()
+        df = df.join(present, F.col(by).eqNullSafe(F.col("__present")), "left_anti")  # the null partition is one of them
     write_partitions(df, path, [by])
 
 

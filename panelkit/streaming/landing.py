@@ -19,12 +19,25 @@ def land_new_files(spark: SparkSession, source: str, columns: Sequence[str], typ
 
     The stream's checkpoint remembers processed files, so a restart after a lost driver goes on where it stopped.
     A delivered row replaces the landed row of its key; other landed rows of the month stay. Replaying a batch, or a file
-    delivered again, therefore changes nothing. Only delivered months are read and rewritten.
+    delivered again, therefore changes nothing. Only delivered months are read and rewritten. Of several rows of a key in one
+    delivery the one from the latest file stays, of equal times the greatest file name, in one file the greatest row.
+    Rows whose date can't be read go as text, with their file, to the table ``<target>_rejected``, in a partition for each
+    batch, so a replayed batch replaces its own.
     """
+    names = list(columns)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        new = enforce(batch, types).filter(F.col(date).isNotNull()).dropDuplicates([date, *key])
+        typed = materialize(enforce(batch.withColumn("__raw", F.struct(*names)), types), "batch")
+        bad = typed.filter(F.col(date).isNull()).select("__raw.*", F.col("__file").alias("source_file"), F.lit(batch_id).alias("batch_id"))
+        if bad.limit(1).count():
+            write_partitions(bad, f"{target.rstrip('/')}_rejected", ["batch_id"])
+        rest = [c for c in names if c not in (date, *key)]
+        row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("__none"))
+        newest = F.max_by(row, F.struct("__time", "__file", row))
+        new = (typed.filter(F.col(date).isNotNull()).groupBy(date, *key).agg(newest.alias("__row"))
+               .select(date, *key, *[F.col(f"__row.{c}") for c in rest]).select(*names))
         if path_exists(spark, target):
-            new = materialize(new, "batch")
+            new = materialize(new, "latest")
             months = new.select(date).distinct()
             landed = spark.read.schema(new.schema).parquet(target).join(months, date, "left_semi")
             kept = landed.join(new.select(date, *key), [date, *key], "left_anti")
@@ -32,6 +45,7 @@ def land_new_files(spark: SparkSession, source: str, columns: Sequence[str], typ
         write_partitions(new, target, [date])
 
     stream = (spark.readStream.schema(text_schema(columns)).option("header", "true")
-              .option("recursiveFileLookup", "true").csv(source))
+              .option("recursiveFileLookup", "true").csv(source)
+              .select("*", F.col("_metadata.file_modification_time").alias("__time"), F.col("_metadata.file_path").alias("__file")))
     (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

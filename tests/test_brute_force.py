@@ -168,8 +168,16 @@ def events(n=1500, seed=3):
                          "fe_1": rng.normal(size=n).round(3), "fe_2": np.where(rng.random(n) < 0.2, np.nan, rng.integers(0, 9, n))})
 
 
+def test_lookback_deviation_far_from_zero(spark):
+    pdf = pd.DataFrame({"who": 1, "day": [dt.date(2024, 1, 1 + k % 20) for k in range(4000)], "fe_1": [1e9 + 0.001 * (k % 7) for k in range(4000)]})
+    keys = spark.createDataFrame([(1, dt.date(2024, 1, 25))], "who long, at date")
+    for rollup in (False, True):
+        made = lookback(spark.createDataFrame(pdf), keys, ["who"], "day", "at", ["fe_1"], (30,), ("std",), trend=None, dedupe=False, rollup=rollup).first()
+        assert made["fe_1_std_30d"] == pytest.approx(pdf.fe_1.std(), rel=1e-3), rollup
+
+
 @pytest.mark.parametrize("stats, rollup", [(("mean", "max", "min", "std"), True), (("mean", "max", "min", "std"), False),
-                                           (("mean", "median", "max", "min", "std"), None)])
+                                           (("mean", "median", "max", "min", "std"), True)])
 def test_lookback_against_pandas(spark, stats, rollup):
     pdf = events()
     keys = pdf[["who", "day"]].drop_duplicates().sample(200, random_state=1).rename(columns={"day": "at"})

@@ -9,7 +9,7 @@ from panelkit.functions.dates import split_windows
 from panelkit.plans.gold import feature_store, join_sources
 from panelkit.plans.governance import promotion, rank_candidates, upsert_roles
 from panelkit.plans.inference import inference_features, rows_to_monitor, rows_to_score
-from panelkit.plans.modelling import expanding_folds, fit_linear_prep, fit_tree_prep, train_logreg
+from panelkit.plans.modelling import expanding_folds, fit_linear_prep, fit_tree_prep, monotonicity, train_logreg
 from panelkit.plans.params import load_params
 from panelkit.session import fresh_path, shared_dir
 from panelkit.sources.readers import read_text, require_source
@@ -90,6 +90,32 @@ def test_stream_merges_late_rows_and_ignores_replays(spark):
     deliver("d1", [("1", "1", "2024-01-01"), ("2", "x", "2024-01-01"), ("3", "3", "no date")])
     assert deliver("d2", [("4", "4", "2024-01-01"), ("5", "5", "2024-02-01")]) == [("1", 1, a), ("2", None, a), ("4", 4, a), ("5", 5, b)]
     assert deliver("d3", [("1", "9", "2024-01-01")]) == [("1", 9, a), ("2", None, a), ("4", 4, a), ("5", 5, b)]
+    rejected = spark.read.parquet(f"{base}/table_rejected").collect()
+    assert [(r["id"], r["v"], r["snapshot_date"]) for r in rejected] == [("3", "3", "no date")] and "d1" in rejected[0]["source_file"]
+    twice = spark.createDataFrame([("1", "3", "2024-01-01"), ("1", "7", "2024-01-01")], "id string, v string, snapshot_date string").coalesce(1)
+    twice.write.option("header", "true").csv(f"{base}/in/d4")
+    land_new_files(spark, f"{base}/in", list(types), types, f"{base}/table", f"{base}/offsets", ["id"])
+    assert [r["v"] for r in spark.read.parquet(f"{base}/table").filter("id = '1'").collect()] == [7]
+
+
+def test_landed_null_partition_stays(spark):
+    path = fresh_path(spark, "nulls")
+    write_partitions(spark.createDataFrame([("a", None), ("b", "x")], "v string, p string"), path, ["p"])
+    fill_partitions(spark.createDataFrame([("c", None), ("d", "y")], "v string, p string"), path, "p")
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == ["a", "b", "d"]
+
+
+def test_last_feature_with_the_wrong_sign_raises(spark):
+    rows = spark.createDataFrame([(float(k), int(k > 20)) for k in range(40)], "x double, label int")
+    with pytest.raises(ValueError, match="wrong sign"):
+        train_logreg(rows, ["x"], [], {}, 1.0, 0.0, directions={"x": -1})
+
+
+def test_monotonicity_of_a_linear_card(spark):
+    rows = spark.createDataFrame([(k, float(k), int(k % 7 > 3 or k > 150)) for k in range(200)], "loan_id int, x double, label int")
+    card = train_logreg(rows, ["x"], [], {}, 1.0, 0.0, directions={"x": 1})
+    found = monotonicity(card, rows, rows, {"x": 1}).first()
+    assert found["rows_violating"] == 0 and found["logodds_effect_min_to_max"] > 0
 
 
 def test_rows_to_score_and_monitor(spark):
@@ -193,7 +219,7 @@ def test_from_raw_text_to_a_scored_month(spark):
 
 def test_tree_search_and_monotonicity(spark):
     import numpy as np
-    from panelkit.plans.modelling import load_card, monotonicity, save_card, train_trees
+    from panelkit.plans.modelling import load_card, save_card, train_trees
     rng = np.random.default_rng(4)
     n = 1200
     x, z = rng.random(n), rng.random(n)

@@ -142,7 +142,7 @@ def ml7_metrics(spark, d):
 
 @query("ml8_monotonicity")
 def ml8(spark, d):
-    return monotonicity(trees(spark, d), part(spark, d, "oot"), part(spark, d, "train"), DIRECTIONS, n_rows=100, n_grid=10)
+    return monotonicity(trees(spark, d), part(spark, d, "oot"), part(spark, d, "train"), DIRECTIONS)
 
 
 @query("ml9_coefficients")
