@@ -49,6 +49,13 @@ def open_bin(column, inner: Sequence[float] | None) -> Column:
     return F.coalesce(number.cast("string"), F.lit(MISSING))
 
 
+def open_bin_by(column, inner: Column) -> Column:
+    """The same with the inner edges in an array column, null where there are none."""
+    column = _c(column)
+    number = F.size(F.filter(inner, lambda edge: column > edge)).cast("string")
+    return F.coalesce(F.when(inner.isNull() | column.isNull(), column.cast("string")).otherwise(number), F.lit(MISSING))
+
+
 def level_bin(column) -> Column:
     """A category as its own bin, a named bin for null."""
     return F.coalesce(_c(column).cast("string"), F.lit(MISSING))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.dates import calendar_months, month_start
 from panelkit.operators.asof import asof_small
+from panelkit.operators.metrics import discrimination
 
 # Refresh and promotion policy.
 MIN_LABEL_MONTHS = 11
@@ -54,20 +55,33 @@ def rank_candidates(runs: DataFrame, metric: str = "gini_test") -> DataFrame:
     return ranked.groupBy("as_of").agg(*pick, F.max(F.when(F.col("place") == 2, F.col("model_version"))).alias("runner_up"))
 
 
-def promotion(ranked: DataFrame, incumbent: DataFrame, monotone: DataFrame | None = None) -> DataFrame:
+def champion_on_window(champions: DataFrame, window: DataFrame, predictions: DataFrame, key: str = "loan_id", label: str = "label",
+                       score: str = "model_predictions") -> DataFrame:
+    """Gini of each champion on the out-of-time rows of the run that challenges it.
+
+    ``champions`` has as_of and champion; ``window`` as_of, key and label; ``predictions`` model_version, key and score.
+    """
+    rows = (window.join(champions.select("as_of", "champion"), "as_of")
+            .join(predictions.select(F.col("model_version").alias("champion"), key, score), ["champion", key]))
+    made = discrimination(rows, score, label, ["as_of", "champion"])
+    return made.select("as_of", "champion", F.col("gini").alias("champion_gini_oot"))
+
+
+def verified_models(checks: DataFrame) -> DataFrame:
+    """Models whose monotonicity check (model_version, model_input, rows_violating) found no violation in any input."""
+    return checks.groupBy("model_version").agg((F.max("rows_violating") <= 0).alias("verified"))
+
+
+def promotion(ranked: DataFrame, incumbent: DataFrame, monotone: DataFrame) -> DataFrame:
     """Gate result and resulting roles per training date.
 
-    ``incumbent`` has as_of, champion and its Gini on the same out-of-time rows (no row before the first
-    champion). ``monotone`` has model_version and verified; a model without a check counts as verified only
-    when no table is given.
+    ``incumbent`` has as_of, champion and its Gini on the candidate's out-of-time rows (no row before the first
+    champion; see ``champion_on_window``). ``monotone`` has model_version and verified, from the monotonicity check; a model without
+    a check does not pass.
     """
-    rows = ranked.join(incumbent, "as_of", "left")
-    if monotone is None:
-        rows = rows.withColumn("monotonicity_verified", F.lit(True))
-    else:
-        rows = (rows.join(monotone.select("model_version", F.col("verified").alias("monotonicity_verified")),
-                          "model_version", "left")
-                .withColumn("monotonicity_verified", F.coalesce("monotonicity_verified", F.lit(False))))
+    checked = monotone.select("model_version", F.col("verified").alias("monotonicity_verified"))
+    rows = (ranked.join(incumbent, "as_of", "left").join(checked, "model_version", "left")
+            .withColumn("monotonicity_verified", F.coalesce("monotonicity_verified", F.lit(False))))
     gates = {"min_gini_test": F.col("gini_test") >= MIN_GINI, "min_gini_oot": F.col("gini_oot") >= MIN_GINI,
              "test_oot_gap": F.abs(F.col("gini_test") - F.col("gini_oot")) <= MAX_GINI_GAP}
     rows = rows.withColumns(gates)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.functions.binning import level_bin, open_bin_by
 from panelkit.functions.numeric import status, worst_status
 from panelkit.operators.asof import latest_per_key
 from panelkit.operators.drift import binned, decile_edges, psi, shares
@@ -82,32 +84,56 @@ def build_baseline(train: DataFrame, numeric: Sequence[str], levels: Sequence[st
     return Baseline(edges, levels, table, missing, reference_auc)
 
 
-def feature_drift(rows: DataFrame, base: Baseline, keys: Sequence[str]) -> DataFrame:
-    """PSI per key group and feature, the score among them."""
-    return psi(base.table, shares(binned(rows, base.edges, base.levels, keep=keys), keys), keys)
+def _baseline_tables(spark: SparkSession, bases: Mapping[str, Baseline]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cuts per model (one row each, with its features, edges and reference AUC), shares and missing rates of all models."""
+    cuts = [(m, [SCORE, *b.features], {f: e for f, e in b.edges.items() if e is not None}, float(b.reference_auc)) for m, b in bases.items()]
+    table = spark.createDataFrame(cuts, "model_version string, __features array<string>, __edges map<string,array<double>>, reference_auc double")
+    tagged = [(b.table.withColumn("model_version", F.lit(m)), b.missing.withColumn("model_version", F.lit(m))) for m, b in bases.items()]
+    shares_, missing = (reduce(DataFrame.unionByName, parts) for parts in zip(*tagged))
+    return table, shares_, missing
 
 
-def monitoring_summary(rows: DataFrame, base: Baseline, keys: Sequence[str] = ("model_version", "snapshot_date"),
-                       label: str = "label") -> tuple[DataFrame, DataFrame]:
-    """Summary per model and month, and the feature drift behind it.
+def feature_drift(rows: DataFrame, bases: Mapping[str, Baseline], keys: Sequence[str]) -> DataFrame:
+    """PSI per key group and feature, the score among them, each model against its own baseline.
 
-    ``rows`` are predictions with their label (null until matured), split and features. The columns read are
-    written once, as the joins behind them would otherwise run for each part. Counts, rates, missing values and the
-    usual role and period come from one table with a row per key group, role and split.
+    The cuts, one row per model, are joined on the model; a row without a baseline for its model yields no feature. ``keys`` hold
+    ``model_version``.
+    """
+    cuts, expected, _ = _baseline_tables(rows.sparkSession, bases)
+    numeric = list(dict.fromkeys(f for b in bases.values() for f in b.edges))
+    levels = list(dict.fromkeys(f for b in bases.values() for f in b.levels))
+    bins = {f: open_bin_by(f, F.try_element_at("__edges", F.lit(f))) for f in numeric} | {f: level_bin(f) for f in levels}
+    items = F.array(*[F.struct(F.lit(f).alias("feature"), c.alias("bin")) for f, c in bins.items()])
+    own = F.filter(items, lambda x: F.array_contains("__features", x["feature"]))
+    long = rows.join(cuts.drop("reference_auc"), "model_version").select(*keys, F.inline(own))
+    others = [k for k in keys if k != "model_version"]
+    return psi(expected, shares(long, keys), others, ["model_version", "feature"])
+
+
+def monitoring_summary(rows: DataFrame, bases: Mapping[str, Baseline], keys: Sequence[str] = ("model_version", "snapshot_date"),
+                       label: str = "label", as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Summary per model and month, and the feature drift behind it; every model is held against its own baseline.
+
+    ``rows`` are predictions with their label (null until matured), split and features; ``keys`` hold ``model_version``. A model without
+    a baseline has counts, rates and AUC, but no PSI, reference or drop. With ``as_of`` both tables tell the date. The columns read
+    are written once, as the joins behind them would otherwise run for each part. Counts, rates, missing values and the usual role
+    and period come from one table with a row per key group, role and split.
     """
     keys = list(keys)
-    rows = materialize(rows.select(*keys, "model_role", "data_split", label, SCORE, "predicted_default", *base.features), "monitored")
+    features = list(dict.fromkeys(f for b in bases.values() for f in b.features))
+    rows = materialize(rows.select(*keys, "model_role", "data_split", label, SCORE, "predicted_default", *features), "monitored")
+    references, _, base_missing = _baseline_tables(rows.sparkSession, bases)
     y = F.col(label).cast("double")
     cells = materialize(rows.groupBy(*keys, "model_role", "data_split").agg(
         F.count(F.lit(1)).alias("n"), F.count(label).alias("n_y"), F.sum(SCORE).alias("s"), F.sum(y).alias("y"),
-        F.sum("predicted_default").alias("p"), *[F.count(F.when(F.col(f).isNull(), 1)).alias(f"null_{f}") for f in base.features]), "cells")
-    both = feature_drift(rows, base, keys)
+        F.sum("predicted_default").alias("p"), *[F.count(F.when(F.col(f).isNull(), 1)).alias(f"null_{f}") for f in features]), "cells")
+    both = feature_drift(rows, bases, keys)
     drift = both.filter(F.col("feature") != SCORE)
     score_psi = both.filter(F.col("feature") == SCORE).select(*keys, F.col("psi").alias("score_psi"))
     total = F.sum("n")
-    missing = (cells.groupBy(*keys).agg(*[(F.sum(f"null_{f}") / total).alias(f) for f in base.features])
-               .unpivot(keys, base.features, "feature", "missing_rate"))
-    drift = (drift.join(missing, [*keys, "feature"], "left").join(base.missing, "feature", "left")
+    missing = (cells.groupBy(*keys).agg(*[(F.sum(f"null_{f}") / total).alias(f) for f in features])
+               .unpivot(keys, features, "feature", "missing_rate"))
+    drift = (drift.join(missing, [*keys, "feature"], "left").join(base_missing, ["model_version", "feature"], "left")
              .withColumn("status", status("psi", PSI_WATCH, PSI_ALERT)))
     worst = drift.groupBy(*keys).agg(
         F.max("psi").alias("max_feature_psi"), F.max_by("feature", F.struct("psi", "feature")).alias("max_feature_psi_name"),
@@ -123,13 +149,25 @@ def monitoring_summary(rows: DataFrame, base: Baseline, keys: Sequence[str] = ("
         out = out.join(table, keys, "left")
     enough = F.coalesce((F.col("n_labelled") >= MIN_LABELLED) & (F.col("n_bad") > 0) & (F.col("n_good") > 0), F.lit(False))
     out = out.withColumns({c: F.when(enough, F.col(f"__{c}")) for c in ("auc", "gini", "ks", "brier")})
-    out = out.withColumn("reference_auc", F.lit(base.reference_auc))
+    out = out.join(references.select("model_version", "reference_auc"), "model_version", "left")
     out = out.withColumn("auc_drop_vs_reference", F.col("reference_auc") - F.col("auc"))
     out = out.withColumns({
         "performance_status": status("auc_drop_vs_reference", AUC_DROP_WATCH, AUC_DROP_ALERT, "no labels yet"),
         "stability_status": status(F.greatest("score_psi", "max_feature_psi"), PSI_WATCH, PSI_ALERT)})
     out = out.withColumn("overall_status", worst_status("performance_status", "stability_status"))
-    return out.drop("n_bad", "n_good", "__auc", "__gini", "__ks", "__brier"), drift
+    out = out.drop("n_bad", "n_good", "__auc", "__gini", "__ks", "__brier")
+    if as_of is not None:
+        out, drift = (t.withColumn("as_of_date", F.lit(as_of).cast("date")) for t in (out, drift))
+    return out, drift
+
+
+def monitor_as_of(predictions: DataFrame, labels: DataFrame, features: DataFrame, bases: Mapping[str, Baseline], targets: DataFrame,
+                  as_of: str, key: str = "loan_id") -> tuple[DataFrame, DataFrame]:
+    """Monitoring of the target models with what was known on a date: months up to it and labels observed by then, all targets in one job."""
+    seen = predictions.filter(F.col("snapshot_date") <= F.lit(as_of).cast("date"))
+    wanted = seen.join(targets.select("model_version").distinct(), "model_version", "left_semi")
+    rows = monitored_rows(wanted, known_labels(labels, as_of).drop("label_date"), features, key)
+    return monitoring_summary(rows, bases, as_of=as_of)
 
 
 def known_labels(labels: DataFrame, as_of, date: str = "label_date") -> DataFrame:

@@ -144,11 +144,13 @@ def test_promotion_needs_a_verified_model(spark):
                                  "as_of date, model_version string, gini_test double, gini_oot double")
     none = spark.createDataFrame([], "as_of date, champion string, champion_gini_oot double")
     ranked = rank_candidates(runs)
-    assert promotion(ranked, none).first()["champion_after"] == "a"
+    verified = spark.createDataFrame([("a", True)], "model_version string, verified boolean")
+    assert promotion(ranked, none, verified).first()["champion_after"] == "a"
+    assert not promotion(ranked, none, verified.filter("false")).first()["promoted"]  # not checked
     failed = promotion(ranked, none, spark.createDataFrame([("a", False)], "model_version string, verified boolean")).first()
     assert not failed["promoted"] and failed["reason"] == "initial candidate failed quality gates"
     better = spark.createDataFrame([(dt.date(2024, 1, 1), "old", 0.55)], "as_of date, champion string, champion_gini_oot double")
-    kept = promotion(ranked, better).first()
+    kept = promotion(ranked, better, verified).first()
     assert (kept["champion_after"], kept["challenger_after"]) == ("old", "a")
 
 
@@ -250,12 +252,21 @@ def test_baseline_round_trip_and_drift(spark):
     base.save(spark, path, "m")
     again = load_baseline(spark, path, "m")
     assert again.edges == base.edges and again.levels == base.levels and again.reference_auc == 0.9
-    summary, drift = monitoring_summary(rows, again)
+    summary, drift = monitoring_summary(rows, {"m": again})
     months = {r["snapshot_date"].month: r for r in summary.collect()}
     assert months[1]["score_psi"] == pytest.approx(0.0) and months[1]["max_feature_psi"] == pytest.approx(0.0)
     assert months[2]["stability_status"] == "alert" and months[2]["max_feature_psi_name"] == "f" and months[2]["n_features_psi_alert"] == 1
     assert months[1]["label_period"] == "train" and months[2]["n_scored"] == 2000
-    few = monitoring_summary(rows.withColumn("label", F.expr("IF(CAST(loan_id AS INT) < 99, label, NULL)")), again)[0]
+    few = monitoring_summary(rows.withColumn("label", F.expr("IF(CAST(loan_id AS INT) < 99, label, NULL)")), {"m": again})[0]
     assert {(r["snapshot_date"].month, r["auc"], r["performance_status"]) for r in few.collect()} == {
         (1, None, "no labels yet"), (2, None, "no labels yet")}
     assert {r["missing_rate"] for r in drift.filter("feature = 'g'").collect()} == {0.1}
+    # a second model that learned from the later month, without the category, and a third without a baseline
+    later = build_baseline(rows.filter("data_split = 'production'"), ["f"], [], 0.7)
+    three = rows.withColumn("model_version", F.explode(F.array(*map(F.lit, "mno"))))
+    summary, drift = monitoring_summary(three, {"m": again, "n": later}, as_of="2024-03-01")
+    found = {(r["model_version"], r["snapshot_date"].month): r for r in summary.collect()}
+    assert [found[m, t]["max_feature_psi"] < 1e-9 for m, t in (("m", 1), ("m", 2), ("n", 1), ("n", 2))] == [True, False, False, True]
+    assert (found["m", 1]["reference_auc"], found["n", 1]["reference_auc"], found["o", 1]["reference_auc"]) == (0.9, 0.7, None)
+    assert found["o", 1]["score_psi"] is None and found["o", 1]["n_scored"] == 2000 and found["o", 1]["as_of_date"] == dt.date(2024, 3, 1)
+    assert {(r["model_version"], r["feature"]) for r in drift.collect()} == {("m", "f"), ("m", "g"), ("n", "f")}
