@@ -16,7 +16,7 @@ from panelkit.plans.silver import delinquency
 from panelkit.sources.schema import require_columns
 from workload.q_joins import WINDOW_SQL, financials, labels, people
 from workload.registry import query
-from workload.views import DATA_START, TRAIN_DATE, label_keys, table, view
+from workload.views import ALL_MONTHS, DATA_START, TRAIN_DATE, label_keys, table, view
 
 
 def split_panel(spark, d):
@@ -212,11 +212,13 @@ def agg23(spark, d):
                              **{c: F.round(c, 8) for c in ("mean_score", "p10", "p50", "p90")}})
 
 
-@query("agg24_feature_by_month", """WITH @panel SELECT model, round(avg(score) FILTER (strftime(month, '%Y-%m') = '2001-01'), 8) AS "2001-01",
- round(avg(score) FILTER (strftime(month, '%Y-%m') = '2001-02'), 8) AS "2001-02" FROM panel WHERE month >= DATE '2001-01-01' GROUP BY 1""")
+MONTH_MEANS = ", ".join(f"round(avg(score) FILTER (strftime(month, '%Y-%m') = '{m}'), 8) AS \"{m}\"" for m in ALL_MONTHS)
+
+
+@query("agg24_feature_by_month", f"WITH @panel SELECT model, {MONTH_MEANS} FROM panel GROUP BY 1")
 def agg24(spark, d):
-    rows = view(spark, d, "panel").filter("month >= DATE '2001-01-01'").withColumn("m", F.date_format("month", "yyyy-MM"))
-    return rows.groupBy("model").pivot("m", ["2001-01", "2001-02"]).agg(F.round(F.avg("score"), 8))
+    rows = view(spark, d, "panel").withColumn("m", F.date_format("month", "yyyy-MM"))
+    return rows.groupBy("model").pivot("m", ALL_MONTHS).agg(F.round(F.avg("score"), 8))
 
 
 @query("agg25_unpivot", "WITH @panel SELECT loan_id, feature, value FROM (UNPIVOT (SELECT loan_id, x1, x2 FROM panel) ON x1, x2 INTO NAME feature VALUE value)")

@@ -14,7 +14,7 @@ from panelkit.plans.monitoring import (build_baseline, drift_heatmap, governance
 from panelkit.session import fresh_path, materialize
 from workload.q_statistics import _bin_sql, _edge_sql
 from workload.registry import query
-from workload.views import months, roles, runs, view
+from workload.views import ALL_MONTHS, months, roles, runs, view
 
 NUMERIC, LEVELS = ["x2", "x3"], ["level"]
 AS_OF = "2001-06-30"
@@ -154,14 +154,16 @@ def mon4_as_of(spark, d):
     return summary.select("as_of_date", "model_version", "snapshot_date", "n_scored", "n_labelled", F.round("score_psi", 7).alias("score_psi"))
 
 
-@query("mon5_drift_by_month", f"""{DRIFT} SELECT feature, round(avg(psi) FILTER (strftime(snapshot_date, '%Y-%m') = '2001-01'), 7) AS "2001-01", round(avg(psi) FILTER (strftime(snapshot_date, '%Y-%m') = '2001-02'), 7) AS "2001-02"
- FROM dr WHERE model_version = 'credit_model_a' GROUP BY 1""")
+DRIFT_BY_MONTH = ", ".join(f"round(avg(psi) FILTER (strftime(snapshot_date, '%Y-%m') = '{m}'), 7) AS \"{m}\"" for m in ALL_MONTHS)
+
+
+@query("mon5_drift_by_month", f"{DRIFT} SELECT feature, {DRIFT_BY_MONTH} FROM dr WHERE model_version = 'credit_model_a' GROUP BY 1")
 def mon5(spark, d):
     rows, bases = monitored(spark, d)
     _, drift = monitoring_summary(rows, bases)
     in_force = rows.filter("model_role = 'champion'").select("snapshot_date", "model_version")
-    made = drift_heatmap(drift, in_force, ["2001-01", "2001-02"])
-    return made.select("feature", *[F.round(m, 7).alias(m) for m in ("2001-01", "2001-02")])
+    made = drift_heatmap(drift, in_force, ALL_MONTHS)
+    return made.select("feature", *[F.round(m, 7).alias(m) for m in ALL_MONTHS])
 
 
 @query("mon5_production_and_shadow", f"""{DRIFT}, pm AS (SELECT snapshot_date, max(psi) FILTER (feature = 'model_predictions') AS score_psi, max(psi) FILTER (feature <> 'model_predictions') AS max_feature_psi

@@ -208,6 +208,10 @@ def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("runner_up").alias("challenger"), F.lit("scheduled refresh").alias("reason"))
 
 
+#: Every month of the years that the orders cover; a pivot names its columns beforehand.
+ALL_MONTHS = [f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13)]
+
+
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months with data."""
     return view(spark, sf_dir, "panel").select("month").distinct()
