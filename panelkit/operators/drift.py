@@ -28,10 +28,10 @@ def binned(df: DataFrame, edges: Mapping[str, list[float] | None], levels: Seque
     return df.select(*keep, F.inline(items))
 
 
-def shares(long: DataFrame, keys: Sequence[str] = (), feature: str = "feature", bin_col: str = "bin") -> DataFrame:
-    """Row count and share of each bin within its keys and feature."""
+def shares(long: DataFrame, keys: Sequence[str] = (), feature: str = "feature", bin_col: str = "bin", weight: str | None = None) -> DataFrame:
+    """Row count and share of each bin within its keys and feature; ``weight`` names the counts of rows already counted."""
     group = [*keys, feature]
-    counted = long.groupBy(*group, bin_col).agg(F.count(F.lit(1)).alias("n"))
+    counted = long.groupBy(*group, bin_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     totals = counted.groupBy(*group).agg(F.sum("n").alias("total"))
     return (same_keys(counted, totals, group, "inner")
             .withColumn("share", F.col("n") / F.col("total")).drop("total"))

@@ -10,6 +10,7 @@ from panelkit.operators.profile import (components_for, correlation_table, expla
 from panelkit.operators.ranking import average_ranks
 from panelkit.operators.selection import recheck, selection_base, selection_report
 from panelkit.plans.modelling import direction_table
+from panelkit.session import materialize
 from workload.q_aggregates import split_panel
 from workload.registry import query
 from workload.views import table, view
@@ -81,9 +82,11 @@ def _psi_sql(keys: str, where: str) -> str:
 @query("st4_psi_by_month", f"{BINNED}, {SHARES}, {_psi_sql('month', chr(39) + 'train' + chr(39) + ' <> data_split')} SELECT month, feature, round(psi, 8) AS psi FROM psi")
 def st4(spark, d):
     rows = split_panel(spark, d)
-    train, edges = train_edges(rows)
-    base = shares(binned(train, edges, ["level"]))
-    later = shares(binned(rows.filter("data_split <> 'train'"), edges, ["level"], keep=["month"]), ["month"])
+    _, edges = train_edges(rows)
+    counted = materialize(binned(rows, edges, ["level"], keep=["month", "data_split"]).groupBy("month", "data_split", "feature", "bin")
+                          .agg(F.count(F.lit(1)).alias("n")), "bins")  # rows are read once for both sides
+    base = shares(counted.filter("data_split = 'train'"), weight="n")
+    later = shares(counted.filter("data_split <> 'train'"), ["month"], weight="n")
     return psi(base, later, ["month"]).withColumn("psi", F.round("psi", 8))
 
 
