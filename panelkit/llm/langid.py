@@ -19,6 +19,9 @@ UNKNOWN = "und"
 PER_LANGUAGE = 1000
 #: Share of the rightly labelled calibration documents that rejection may cost.
 MISS = 0.002
+#: A language's share of documents with an n-gram is taken as if it had so many more documents without it; least share; n-grams of usual
+#: evidence added to every text, so that a few odd words don't decide; bits below the usual evidence that are never held against a text.
+DOUBT, RARE, ADDED, SLACK = 10, 0.0005, 30, 1.0
 
 
 @dataclass(frozen=True)
@@ -29,6 +32,9 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     threshold: float
+    known: np.ndarray  # evidence, one a bucket: log2 of the largest share of a language's documents with it
+    usual: float  # median evidence of the labelled documents
+    floor: float  # least evidence of a text that is accepted
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -73,14 +79,39 @@ def _logits(buckets, counts, first, weights, bias):
     return sum_rows(weights[buckets] * counts[:, None], row, len(first) - 1) / np.maximum(total, 1)[:, None] + bias
 
 
+def _shares(buckets, label, size):
+    """Evidence of every bucket, and for each row's entries their own evidence without that row (entries are distinct within a row)."""
+    n = np.bincount(label[0]) + DOUBT
+    pair, at, count = np.unique(label[1] * size + buckets, return_inverse=True, return_counts=True)
+    language, bucket = pair // size, pair % size
+    share = count / n[language]
+    order = np.lexsort((-share, bucket))
+    place = np.empty(len(order), dtype=np.int64)
+    begins = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else np.zeros(0, dtype=np.int64)
+    rank = np.arange(len(order)) - np.repeat(begins, np.diff(np.r_[begins, len(order)]))
+    place[order] = rank
+    best, second = np.zeros(size), np.zeros(size)
+    best[bucket[place == 0]], second[bucket[place == 1]] = share[place == 0], share[place == 1]
+    others = np.where(place == 0, second[bucket], best[bucket])
+    without = np.maximum((count - 1) / (n[language] - 1), others)[at]
+    return np.log2(best + RARE), np.log2(without + RARE)
+
+
+def _evidence(total, mean, usual):
+    return (total * mean + ADDED * usual) / (total + ADDED)
+
+
 def train_language_model(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
                          per_language: int = PER_LANGUAGE, grams: Grams = Grams(), width: int = 16, epochs: int = 4,
                          rate: float = 0.1, miss: float = MISS) -> LanguageModel:
     """Learn from at most about ``per_language`` documents of each language, picked by a hash of the id; whole texts.
 
-    Four fifths of the sample train, one fifth sets the temperature of the softmax (least log loss) and the threshold below which
-    a document is rejected: at most ``miss`` of the calibration documents that are labelled rightly fall below, and it is at
-    most a fifth above an even guess, so that texts in two known languages stay. Rows without language, id or text don't count. Raises if nothing is labelled.
+    Four fifths of the sample train, one fifth sets the temperature of the softmax (least log loss) and the score below which a
+    document is rejected: at most ``miss`` of the calibration documents that are labelled rightly fall below, and at most ``miss``
+    of the texts that are half one of them and half one of another language. The score only compares known languages, so a text
+    must also consist of known n-grams: its evidence is the mean over its n-grams of the log share of documents with the n-gram, in
+    the language where it is most common. Each document of the sample is measured without itself; at most ``miss`` of
+    any language fall below the floor, which is at least ``SLACK`` bits below the median. Rows without language, id or text don't count. Raises if nothing is labelled.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(lang_col, id_col, text_col)
     table = sample_features(sampled(labelled, lang_col, id_col, per_language), grams, lang_col, id_col, text_col)
@@ -105,8 +136,22 @@ def train_language_model(docs: DataFrame, lang_col: str = "lang", id_col: str =
     temperature = float(scales[int(np.argmin(losses))])
     sure = _softmax(logits / temperature)
     right = sure[np.arange(len(truth)), truth][sure.argmax(axis=1) == truth]
-    threshold = min(1.2 / len(languages), float(np.quantile(right, miss, method="lower"))) if len(right) else 0.0
-    return LanguageModel(grams, languages, weights.astype(np.float32), bias, temperature, threshold)
+    threshold = min((float(np.quantile(s, miss, method="lower")) for s in (right, _halves(logits, truth, temperature)) if len(s)), default=0.0)
+    row = np.repeat(np.arange(len(label)), np.diff(first))
+    known, own = _shares(buckets, (label, label[row]), 1 << grams.bits)
+    total = sum_rows(counts.astype(float), row, len(label))
+    mean = sum_rows(own * counts, row, len(label)) / total
+    usual = float(np.median(mean))
+    evidence = _evidence(total, mean, usual)
+    floor = min(usual - SLACK, *(float(np.quantile(evidence[label == k], miss, method="lower")) for k in range(len(languages))))
+    return LanguageModel(grams, languages, weights.astype(np.float32), bias, temperature, threshold, known.astype(np.float32), usual, floor)
+
+
+def _halves(logits, truth, temperature, pairs=20000, seed=7):
+    """Scores of texts that are half one calibration document and half one of another language: logits are means over n-grams."""
+    one, other = np.random.default_rng(seed).integers(0, max(len(truth), 1), (2, pairs if len(truth) else 0))
+    one, other = one[truth[one] != truth[other]], other[truth[one] != truth[other]]
+    return _softmax((logits[one] + logits[other]) / 2 / temperature).max(axis=1)
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -123,10 +168,11 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
 
     Whole texts are scored: n-grams of each distinct word of a slice once, then sums over each document's words. A text that is
     null or has no letter is ``und`` with score 0 and isn't accepted; others are accepted if the score reaches the model's
-    threshold. Equal scores go to the first language in order. Other columns are ignored; an empty table gives no rows. The
-    model has a fixed size (2^bits rows, one column a language) and is broadcast.
+    threshold and the evidence its floor. Equal scores go to the first language in order. Other columns are ignored; an empty table gives no rows. The
+    model has a fixed size (2^bits rows, one column a language and one of evidence) and is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
+    shared = docs.sparkSession.sparkContext.broadcast(np.column_stack([model.weights, model.known]))
+    usual, floor = model.usual, model.floor
     grams, bias, temperature, threshold = model.grams, model.bias, model.temperature, model.threshold
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
@@ -140,12 +186,13 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
             per_word = sum_rows(weights[bucket[order]], owner[order], len(starts))
             n_grams = np.bincount(owner, minlength=len(starts)).astype(float)
             total = sum_rows(n_grams[word], row, len(offsets) - 1)
-            logits = sum_rows(per_word[word], row, len(offsets) - 1) / np.maximum(total, 1)[:, None] + bias
-            sure = _softmax(logits / temperature)
+            means = sum_rows(per_word[word], row, len(offsets) - 1) / np.maximum(total, 1)[:, None]
+            sure = _softmax((means[:, :-1] + bias) / temperature)
+            known = _evidence(total, means[:, -1], usual) >= floor
             best = np.where(lettered, sure.argmax(axis=1), len(names) - 1)
             score = np.where(lettered, sure.max(axis=1), 0.0)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[best], pa.string()), pa.array(score),
-                                              pa.array(lettered & (score >= threshold)), *part.columns[1:1 + with_text]],
+                                              pa.array(lettered & (score >= threshold) & known), *part.columns[1:1 + with_text]],
                                              names=["id", "lang_pred", "score", "accepted", "text"][:4 + with_text])
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),

@@ -326,6 +326,29 @@ def test_classifiers_on_held_out_rows(spark):
         train_language_model(docs.limit(0))
 
 
+@needs_tables
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_language_rejection(spark, left_out):
+    rnd = random.Random(4)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    apart = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held = [(r.lang, r.text) for r in docs.filter(apart & F.col("lang").isNotNull()).collect()]
+    model = train_language_model(docs.filter(~apart & (F.col("lang") != left_out)))
+    texts = [("left out" if lang == left_out else "clean", text) for lang, text in held]
+    long = [(lang, text) for lang, text in held if lang != left_out and len(text or "") > 60]
+    while len(texts) < len(held) + 200:
+        (a, one), (b, other) = rnd.choice(long), rnd.choice(long)
+        size = min(len(one), len(other))
+        texts += [("two", one[:size] + "\n" + other[:size])] if a != b else []
+    texts += [("noise", " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(2, 10))) for _ in range(20))) for _ in range(100)]
+    rows = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")
+    groups = collections.defaultdict(list)
+    for r in predict_language(rows, model).collect():
+        groups[texts[r.doc_id][0]].append(r.accepted)
+    share = {k: sum(v) / len(v) for k, v in groups.items()}
+    assert share["clean"] >= 0.99 and share["two"] >= 0.98 and share["left out"] <= 0.05 and share["noise"] <= 0.05, share
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(QUERIES, key=lambda n: (len(n.split("_")[0]), n)))
 def test_query(spark, name):
