@@ -17,6 +17,8 @@ from panelkit.llm.words import LOWER, UNSPACED, find_words, single_spaced, slice
 from panelkit.session import materialize
 
 SEED = 42
+#: Fingerprints of a block outside its largest component above which the block is split again before pairs are formed.
+DENSE = 500
 
 
 def shingle_fingerprints(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
@@ -72,14 +74,50 @@ def _differ(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def link_fingerprints(prints: DataFrame, distance: int = 4, blocks: int = 7) -> DataFrame:
+def split_blocks(meeting: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """Rows of blocks (``choice``, ``bits``, ``fingerprint``) with the blocks inside the block: ``part`` and ``within``. The 64 bits
+    are dealt to ``blocks`` sets, those that are set in nearly half the block's fingerprints first, so each set tells about as much
+    apart, and keys are all choices of ``blocks - distance`` sets: close pairs share one (see ``block_masks``)."""
+    bit = lambda i: F.shiftright("fingerprint", i).bitwiseAND(F.lit(1).cast("long"))
+    ones = meeting.groupBy("choice", "bits").agg(F.count("*").alias("n"), *[F.sum(bit(i)).alias(f"bit{i}") for i in range(64)])
+    even = F.sort_array(F.array(*[F.struct(F.abs(2 * F.col(f"bit{i}") - F.col("n")).alias("odds"), F.lit(_signed(1 << i)).cast("long").alias("mask"))
+                                  for i in range(64)]))
+    sets = ones.select("choice", "bits", even.alias("even")).select("choice", "bits", *[
+        F.aggregate(F.transform(F.array(*[F.lit(k) for k in range(s, 64, blocks)]), lambda k: F.element_at("even", k + 1)["mask"]),
+                    F.lit(0).cast("long"), lambda all_, mask: all_.bitwiseOR(mask)).alias(f"set{s}") for s in range(blocks)])
+    keys = []
+    for part, chosen in enumerate(combinations(range(blocks), blocks - distance)):
+        mask = F.col(f"set{chosen[0]}")
+        for s in chosen[1:]:
+            mask = mask.bitwiseOR(F.col(f"set{s}"))
+        keys.append(F.struct(F.lit(part).cast("short").alias("part"), F.col("fingerprint").bitwiseAND(mask).alias("within")))
+    return meeting.join(materialize(sets, "sets"), ["choice", "bits"]).select(*meeting.columns, F.explode(F.array(*keys)).alias("key")).select(*meeting.columns, "key.*")
+
+
+def meeting_pairs(meeting: DataFrame, distance: int, blocks: int, dense: int = DENSE) -> DataFrame:
+    """Pairs (``fingerprint``, ``root``, ``other``, ``other_root``) of a block's members and its members outside its largest
+    component ``main``, of different components; in blocks with over ``dense`` members outside (``outside``) only pairs that share
+    a block inside the block too. No pair within the distance is lost; a pair may come several times."""
+    def pairs(rows, key):
+        others = rows.filter("root != main").select(*key, F.col("fingerprint").alias("other"), F.col("root").alias("other_root"))
+        return rows.join(others, key).filter(F.col("root") != F.col("other_root")).select("fingerprint", "root", "other", "other_root")
+
+    thick = meeting.filter(F.col("outside") > dense)
+    thin = pairs(meeting.filter(F.col("outside") <= dense), ["choice", "bits"])
+    if not thick.limit(1).count():
+        return thin
+    return thin.unionByName(pairs(split_blocks(thick, distance, blocks), ["choice", "bits", "part", "within"]))
+
+
+def link_fingerprints(prints: DataFrame, distance: int = 4, blocks: int = 7, dense: int = DENSE) -> DataFrame:
     """Components of distinct fingerprints (column ``fingerprint``), linked where they differ in at most ``distance`` bits:
     ``fingerprint``, ``root`` (a fingerprint of the component). Exact: no pair within the distance is lost.
 
     Close pairs share a block (see ``block_masks``). Pairs inside a block are not all formed. First each fingerprint is
     compared with the one before it and with the smallest of its block, which joins most of a dense block, and components are
     taken. Then only blocks in which several components meet are joined again: members outside the block's largest component
-    against its members of other components. Two members of the same component need no further link.
+    against its members of other components. Two members of the same component need no further link. Where over ``dense`` members
+    are outside (documents of one template, each far from the next), the block is first split by the bits that vary in it.
     """
     masks = block_masks(distance, blocks)
     keys = F.explode(F.array(*[F.struct(F.lit(i).cast("short").alias("choice"),
@@ -99,13 +137,11 @@ def link_fingerprints(prints: DataFrame, distance: int = 4, blocks: int = 7) ->
     members = materialize(members.join(first, F.col("fingerprint") == F.col("node"), "left")
                           .select("choice", "bits", "fingerprint", F.coalesce("root", "fingerprint").alias("root")), "blocks")
     mixed = (members.groupBy("choice", "bits", "root").agg(F.count("*").alias("n")).groupBy("choice", "bits")
-             .agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
-             .filter("roots > 1").select("choice", "bits", F.col("main.root").alias("main")))
+             .agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
+             .filter("roots > 1").select("choice", "bits", F.col("main.root").alias("main"), (F.col("n") - F.col("main.n")).alias("outside")))
     mixed = materialize(mixed, "mixed")
     meeting = materialize(members.join(mixed, ["choice", "bits"]), "meeting")
-    outside = meeting.filter("root != main").select("choice", "bits", F.col("fingerprint").alias("other"), F.col("root").alias("other_root"))
-    links = (meeting.join(outside, ["choice", "bits"]).filter(F.col("root") != F.col("other_root"))
-             .filter(_differ("fingerprint", "other") <= distance)
+    links = (meeting_pairs(meeting, distance, blocks, dense).filter(_differ("fingerprint", "other") <= distance)
              .select(F.col("root").alias("a"), F.col("other_root").alias("b")).distinct())
     second = materialize(components(links), "roots")
     merged = first.join(second.withColumnRenamed("root", "top").withColumnRenamed("node", "root"), "root", "left")

@@ -19,7 +19,7 @@ from panelkit.llm.langid import predict_language, train_language_model
 from panelkit.llm.pieces import Forward, decode, encode, encode_decode, load_vocabulary
 from panelkit.llm.queries import ORACLE, QUERIES
 from panelkit.llm.revisits import resolve_revisits
-from panelkit.llm.simhash import block_masks, keep_one, simhash_groups
+from panelkit.llm.simhash import block_masks, keep_one, link_fingerprints, meeting_pairs, simhash_groups
 from panelkit.llm.substring import remove_repeats
 from panelkit.llm.toxicity import score_toxicity, train_toxicity_model
 from panelkit.llm.urlfilter import filter_urls
@@ -326,6 +326,42 @@ def test_classifiers_on_held_out_rows(spark):
         train_language_model(docs.limit(0))
 
 
+@pytest.mark.parametrize("free", [64, 36, 24])
+def test_dense_blocks_are_split(spark, free):
+    rnd = random.Random(free)
+    prints = {0x5A5A5A5A5A5A5A5A & ~((1 << free) - 1) | rnd.getrandbits(free) for _ in range(1500)}
+    for p in rnd.sample(sorted(prints), 200):
+        for k in range(3):
+            prints.add(p := p ^ sum(1 << b for b in rnd.sample(range(free), rnd.randrange(1, 6))))
+    prints = sorted(prints)
+    close = [(a, b) for k, a in enumerate(prints) for b in prints[:k] if (a ^ b).bit_count() <= 4]
+    root = {p: p for p in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in close:
+        root[find(a)] = find(b)
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    rows = spark.createDataFrame([(signed(p),) for p in prints], "fingerprint long")
+    found = {r.fingerprint: r.root for r in link_fingerprints(rows, dense=20).collect()}
+    groups = collections.defaultdict(set)
+    for p in prints:
+        groups[find(p)].add(signed(p))
+    got = collections.defaultdict(set)
+    for p in prints:
+        got[found.get(signed(p), signed(p))].add(signed(p))
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
+    # all fingerprints single and in one block: a small part of its pairs is formed, with every close one among them
+    block = rows.selectExpr("1 as choice", "0L as bits", "fingerprint", "fingerprint as root", "0L as main", f"{len(prints)}L as outside")
+    pairs = meeting_pairs(block, 4, 7)
+    assert pairs.count() < len(prints) ** 2 * (0.05 if free > 24 else 0.6)
+    formed = {(r.fingerprint, r.other) for r in pairs.filter("bit_count(fingerprint ^ other) <= 4").collect()}
+    assert {(signed(a), signed(b)) for a, b in close} <= formed
+
+
 @needs_tables
 @pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
 def test_language_rejection(spark, left_out):
