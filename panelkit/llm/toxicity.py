@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from panelkit.llm.subwords import Grams, sample_features, sampled, sparse, sum_rows
 from panelkit.llm.words import ranges, slices
 
-#: Labelled documents of each class to learn from.
+#: Labelled documents of each class for the gradient descent.
 PER_CLASS = 1500
 GRAMS = Grams(sizes=(3, 4, 5), bits=18, once=True)
 
@@ -25,12 +25,39 @@ class ToxicityModel:
     bias: float
 
 
-def _ratios(buckets, first, toxic, size, smooth=1.0):
+def count_documents(rows: DataFrame, grams: Grams, toxic: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of classes 0 and 1 with each n-gram, over all ``rows`` (2 x 2^bits, all that comes to the driver), and of each class."""
+    size = 1 << grams.bits
+
+    def count(batches):
+        seen = np.zeros((2, size + 1), dtype=np.int64)  # the last place counts documents
+        for part, data, offsets in slices(batches, 1, lower=True):
+            side = part.column(0).to_numpy(zero_copy_only=False)
+            low, starts, ends, word, row = grams.distinct(data, offsets)
+            bucket, owner = grams.of_words(low, starts, ends)
+            order = np.argsort(owner, kind="stable")
+            bucket, first = bucket[order], np.searchsorted(owner[order], np.arange(len(starts) + 1))
+            for k, (begin, end) in enumerate(zip(*(np.searchsorted(row, np.arange(len(offsets) - 1), side=s) for s in ("left", "right")))):
+                found = word[begin:end]
+                seen[side[k], size] += 1
+                seen[side[k], np.unique(bucket[ranges(first[found], first[found + 1] - first[found])])] += 1
+        flat = seen.reshape(-1)
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], names=["at", "n"])
+
+    schema = T.StructType([T.StructField("at", T.LongType()), T.StructField("n", T.LongType())])
+    found = rows.select(F.col(toxic).cast("int").alias("toxic"), F.col(text).cast("string").alias("text")).mapInArrow(count, schema)
+    table = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(2 * (size + 1), dtype=np.int64)
+    out[table.column("at").to_numpy()] = table.column("n").to_numpy()
+    out = out.reshape(2, size + 1)
+    return out[:, :size], out[:, size]
+
+
+def _ratios(counts, documents, smooth=1.0):
     """Log ratio of the smoothed shares of documents with each n-gram in the two classes."""
-    row = np.repeat(np.arange(len(toxic)), np.diff(first))
-    with_, without = (np.bincount(buckets[toxic[row] == side], minlength=size) + smooth for side in (1, 0))
-    n, m = max(int((toxic == 1).sum()), 1), max(int((toxic == 0).sum()), 1)
-    return np.log(with_ / (n + 2 * smooth)) - np.log(without / (m + 2 * smooth))
+    without, with_ = (np.log((counts[k] + smooth) / (max(int(documents[k]), 1) + 2 * smooth)) for k in (0, 1))
+    return with_ - without
 
 
 def _train(buckets, values, first, toxic, size, epochs, rate, decay, seed=5):
@@ -57,7 +84,8 @@ def _train(buckets, values, first, toxic, size, epochs, rate, decay, seed=5):
 def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                          per_class: int = PER_CLASS, grams: Grams = GRAMS, epochs: int = 8, rate: float = 0.05,
                          decay: float = 1e-4) -> ToxicityModel:
-    """Learn from about ``per_class`` labelled documents of each class, picked by a hash of the id; whole texts.
+    """Learn from all labelled documents how common each n-gram is in each class, and its weight from about ``per_class`` labelled
+    documents of each class, picked by a hash of the id; whole texts.
 
     ``labels`` holds ids and 0 or 1; other labels and null ids don't count; an id with both labels counts as toxic. The picked
     ids are bounded by ``per_class`` and may be broadcast to find their texts. N-grams count once a document; each is scaled
@@ -67,12 +95,13 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_
         F.max(label_col).cast("int").alias("_toxic"))
     picked = F.broadcast(sampled(known, "_toxic", "_id", per_class))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(picked, "_id")
+    labelled = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(known.hint("merge"), "_id")  # labels grow with the table
     table = sample_features(rows.limit(4 * per_class), grams, "_toxic", "_id", "_text")
     toxic = np.array(table.column("label").to_pylist(), dtype=float)
     if not ((toxic == 1).any() and (toxic == 0).any()):
         raise ValueError("both classes are needed to learn from")
     buckets, _, first = sparse(table)
-    ratio = _ratios(buckets, first, toxic, 1 << grams.bits)
+    ratio = _ratios(*count_documents(labelled, grams, "_toxic", "_text"))
     weights, bias = _train(buckets, ratio[buckets], first, toxic, 1 << grams.bits, epochs, rate, decay)
     return ToxicityModel(grams, (weights * ratio).astype(np.float32), float(bias))
 

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from panelkit.llm import toxicity
 from panelkit.llm.chat import format_paths, read_back, threads, tree_paths
 from panelkit.llm.components import components
 from panelkit.llm.decontaminate import contamination, mark_hits, remove_hits
@@ -21,6 +22,7 @@ from panelkit.llm.queries import ORACLE, QUERIES
 from panelkit.llm.revisits import resolve_revisits
 from panelkit.llm.simhash import block_masks, keep_one, link_fingerprints, meeting_pairs, simhash_groups
 from panelkit.llm.substring import remove_repeats
+from panelkit.llm.subwords import Grams
 from panelkit.llm.toxicity import score_toxicity, train_toxicity_model
 from panelkit.llm.urlfilter import filter_urls
 from tests.oracle import compare, connect
@@ -362,6 +364,25 @@ def test_dense_blocks_are_split(spark, free):
     assert {(signed(a), signed(b)) for a, b in close} <= formed
 
 
+def test_toxicity_counts_all_labelled_documents(spark, monkeypatch):
+    rnd = random.Random(6)
+    data = [(k, None if k % 50 == 7 else " ".join(rnd.choice(["bad", "good", "day", "Day", "is"]) for _ in range(k % 5))) for k in range(600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0) if k % 7 else None) for k, _ in data], "doc_id long, toxic int")
+    used, ratios = [], toxicity._ratios
+    monkeypatch.setattr(toxicity, "_ratios", lambda counts, documents: used.append((counts, documents)) or ratios(counts, documents))
+    grams = Grams(sizes=(3,), bits=18, once=True)
+    train_toxicity_model(docs, labels, per_class=20, grams=grams)
+    expected = [collections.Counter(), collections.Counter()]
+    for k, text in data:
+        if k % 7:
+            words = {w.lower() for w in (text or "").split()}
+            expected[k % 3 == 0].update({f"<{w}>"[i:i + 3] for w in words for i in range(len(w))} | {("word", w) for w in words})
+    (counts, documents), = used
+    assert documents.tolist() == [sum(k % 7 > 0 and k % 3 > 0 for k, _ in data), sum(k % 7 > 0 and k % 3 == 0 for k, _ in data)]
+    assert [sorted(c[c > 0]) for c in counts] == [sorted(e.values()) for e in expected]
+
+
 @needs_tables
 @pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
 def test_language_rejection(spark, left_out):
