@@ -25,8 +25,9 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough certainty; the model learns from this stage's own labelled documents."""
-    model = train_language_model(docs)
+    """Documents whose language is told with enough certainty; the model learns from this stage's own labelled documents, and none
+    stays if none is labelled."""
+    model = train_language_model(docs, required=False)
     rows = docs.select(F.struct(*[c for c in DOCUMENTS if c != "text"]).alias("row"), "text")
     kept = predict_language(rows, model, "row", with_text=True).filter("accepted")
     return kept.select("row.*", "text").select(*DOCUMENTS)

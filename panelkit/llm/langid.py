@@ -103,7 +103,7 @@ def _evidence(total, mean, usual):
 
 def train_language_model(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
                          per_language: int = PER_LANGUAGE, grams: Grams = Grams(), width: int = 16, epochs: int = 4,
-                         rate: float = 0.1, miss: float = MISS) -> LanguageModel:
+                         rate: float = 0.1, miss: float = MISS, required: bool = True) -> LanguageModel:
     """Learn from at most about ``per_language`` documents of each language, picked by a hash of the id; whole texts.
 
     Four fifths of the sample train, one fifth sets the temperature of the softmax (least log loss) and the score below which a
@@ -111,13 +111,17 @@ def train_language_model(docs: DataFrame, lang_col: str = "lang", id_col: str =
     of the texts that are half one of them and half one of another language. The score only compares known languages, so a text
     must also consist of known n-grams: its evidence is the mean over its n-grams of the log share of documents with the n-gram, in
     the language where it is most common. Each document of the sample is measured without itself; at most ``miss`` of
-    any language fall below the floor, which is at least ``SLACK`` bits below the median. Rows without language, id or text don't count. Raises if nothing is labelled.
+    any language fall below the floor, which is at least ``SLACK`` bits below the median. Rows without language, id or text don't count. If nothing is labelled,
+    raises if ``required``, else gives a model without languages, to which every text is ``und``.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(lang_col, id_col, text_col)
     table = sample_features(sampled(labelled, lang_col, id_col, per_language), grams, lang_col, id_col, text_col)
     table = table.filter(pa.compute.greater(pa.compute.list_value_length(table.column("buckets")), 0))
     if not table.num_rows:
-        raise ValueError("no labelled text to learn from")
+        if required:
+            raise ValueError("no labelled text to learn from")
+        size = 1 << grams.bits
+        return LanguageModel(grams, [], np.zeros((size, 0), dtype=np.float32), np.zeros(0), 1.0, 0.0, np.zeros(size, dtype=np.float32), 0.0, 0.0)
     languages = sorted(set(table.column("label").to_pylist()))
     label = np.searchsorted(languages, table.column("label").to_pylist())
     buckets, counts, first = sparse(table)
@@ -167,7 +171,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     ``with_text``. The id may be a struct of other columns.
 
     Whole texts are scored: n-grams of each distinct word of a slice once, then sums over each document's words. A text that is
-    null or has no letter is ``und`` with score 0 and isn't accepted; others are accepted if the score reaches the model's
+    null or has no letter, or any text if the model has no languages, is ``und`` with score 0 and isn't accepted; others are accepted if the score reaches the model's
     threshold and the evidence its floor. Equal scores go to the first language in order. Other columns are ignored; an empty table gives no rows. The
     model has a fixed size (2^bits rows, one column a language and one of evidence) and is broadcast.
     """
@@ -179,7 +183,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     def predict(batches):
         weights = shared.value
         for part, data, offsets in slices(batches, 1, lower=True):
-            lettered = _has_letter(data, offsets)
+            lettered = _has_letter(data, offsets) & (len(names) > 1)
             low, starts, ends, word, row = grams.distinct(data, offsets)
             bucket, owner = grams.of_words(low, starts, ends)
             order = np.argsort(owner, kind="stable")
@@ -187,7 +191,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
             n_grams = np.bincount(owner, minlength=len(starts)).astype(float)
             total = sum_rows(n_grams[word], row, len(offsets) - 1)
             means = sum_rows(per_word[word], row, len(offsets) - 1) / np.maximum(total, 1)[:, None]
-            sure = _softmax((means[:, :-1] + bias) / temperature)
+            sure = _softmax((means[:, :-1] + bias) / temperature) if len(names) > 1 else np.zeros((len(offsets) - 1, 1))
             known = _evidence(total, means[:, -1], usual) >= floor
             best = np.where(lettered, sure.argmax(axis=1), len(names) - 1)
             score = np.where(lettered, sure.max(axis=1), 0.0)

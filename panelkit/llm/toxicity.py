@@ -83,13 +83,14 @@ def _train(buckets, values, first, toxic, size, epochs, rate, decay, seed=5):
 
 def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                          per_class: int = PER_CLASS, grams: Grams = GRAMS, epochs: int = 8, rate: float = 0.05,
-                         decay: float = 1e-4) -> ToxicityModel:
+                         decay: float = 1e-4, required: bool = True) -> ToxicityModel:
     """Learn from all labelled documents how common each n-gram is in each class, and its weight from about ``per_class`` labelled
     documents of each class, picked by a hash of the id; whole texts.
 
     ``labels`` holds ids and 0 or 1; other labels and null ids don't count; an id with both labels counts as toxic. The picked
     ids are bounded by ``per_class`` and may be broadcast to find their texts. N-grams count once a document; each is scaled
-    by its log-count ratio, then weighted by logistic regression. Raises unless both classes occur.
+    by its log-count ratio, then weighted by logistic regression. Unless both classes occur, raises if
+    ``required``, else gives a constant score by the classes of the documents: near 0 or 1, and near 0 if none is labelled.
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
         F.max(label_col).cast("int").alias("_toxic"))
@@ -99,7 +100,10 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_
     table = sample_features(rows.limit(4 * per_class), grams, "_toxic", "_id", "_text")
     toxic = np.array(table.column("label").to_pylist(), dtype=float)
     if not ((toxic == 1).any() and (toxic == 0).any()):
-        raise ValueError("both classes are needed to learn from")
+        if required:
+            raise ValueError("both classes are needed to learn from")
+        n, m = int((toxic == 1).sum()), int((toxic == 0).sum())
+        return ToxicityModel(grams, np.zeros(1 << grams.bits, dtype=np.float32), float(np.log((n + 0.5) / (m + 0.5))) if n + m else -30.0)
     buckets, _, first = sparse(table)
     ratio = _ratios(*count_documents(labelled, grams, "_toxic", "_text"))
     weights, bias = _train(buckets, ratio[buckets], first, toxic, 1 << grams.bits, epochs, rate, decay)

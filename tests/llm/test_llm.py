@@ -364,6 +364,22 @@ def test_dense_blocks_are_split(spark, free):
     assert {(signed(a), signed(b)) for a, b in close} <= formed
 
 
+@needs_tables
+def test_nothing_to_learn_from(spark, tmp_path):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    unnamed = docs.limit(20).withColumn("lang", F.lit(None).cast("string"))
+    for name, rows, judged in (("none", docs.limit(0), labels.limit(0)), ("unnamed", unnamed, labels.withColumn("toxic", F.lit(None).cast("int")))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        judged.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        told, scored = (QUERIES[q](spark, f"{tmp_path}/{name}").collect() for q in ("op9_language_id", "op3_toxicity"))
+        assert len(told) == len(scored) == rows.count()
+        assert {(r.lang_pred, r.score) for r in told} <= {("und", 0.0)} and {r.predicted for r in scored} <= {0}
+        assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect() == []
+    one = [train_toxicity_model(docs, labels.filter(F.col("toxic") == side), required=False) for side in (0, 1)]
+    assert [{r.predicted for r in score_toxicity(docs, m).collect()} for m in one] == [{0}, {1}]
+
+
 def test_toxicity_counts_all_labelled_documents(spark, monkeypatch):
     rnd = random.Random(6)
     data = [(k, None if k % 50 == 7 else " ".join(rnd.choice(["bad", "good", "day", "Day", "is"]) for _ in range(k % 5))) for k in range(600)]
