@@ -442,3 +442,62 @@ def test_pipeline_stages_keep_columns(spark):
         assert 0 < docs.count() <= before
         before = docs.count()
     assert docs.filter("n_chars != length(text)").count() == 0
+
+
+def test_pipeline_stages_against_plain_python(spark, tmp_path):
+    rnd = random.Random(12)
+    some = lambda n: " ".join(f"w{rnd.randrange(5000)}" for _ in range(n))
+    bench, passage = [some(25) for _ in range(6)], some(50)
+    texts = [some(rnd.randrange(1, 120)) for _ in range(30)] + ["", None, "A  line\nkept\tas it is"]
+    texts += [f"{some(60)} {passage} {some(60)}" for _ in range(4)] + [f"{some(30)}. {b.upper().replace(' ', ', ')}! {some(30)}" for b in bench]
+    texts += [f"{some(20)}\n{bench[0]} {bench[1]}  {some(5)}", texts[0], texts[1] + " \n"]
+    long = some(400)
+    texts += [long, long.replace(" ", "  ").upper(), f"{long} end"]
+    docs = {k: t for k, t in enumerate(rnd.sample(texts, len(texts)))}
+    spark.createDataFrame(enumerate(bench), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = spark.createDataFrame([(k, t, "en", f"s{k}", -1) for k, t in docs.items()], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def fingerprint(text):
+        w = spaced(lower_ascii(text))
+        hashes = [xxhash.xxh64_intdigest(" ".join(w[k:k + 4]).encode(), 42) for k in range(max(1, len(w) - 3))] if w else []
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    prints, group = {k: fingerprint(t) for k, t in docs.items()}, {k: k for k in docs}
+    for _ in docs:
+        for a in docs:
+            group[a] = min(group[b] for b in docs if (prints[a] ^ prints[b]).bit_count() <= 4)
+    near = {k: t for k, t in docs.items() if group[k] == k}
+
+    lists = {k: spaced(t) for k, t in near.items()}
+    count = collections.Counter(tuple(w[k:k + 35]) for w in lists.values() for k in range(len(w) - 34))
+    once = {}
+    for i, w in lists.items():
+        gone = {p for k in range(len(w) - 34) if count[tuple(w[k:k + 35])] > 1 for p in range(k, k + 35)}
+        once[i] = " ".join(x for k, x in enumerate(w) if k not in gone) if gone else near[i]
+
+    windows = {tuple(b.split()[k:k + 10]) for b in bench for k in range(16)}
+    clean = {}
+    for i, t in once.items():
+        found = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(t)))
+        hit = {p for k in range(len(found) - 9) if tuple(m[0] for m in found[k:k + 10]) in windows for p in range(k, k + 10)}
+        kept, at = "", 0
+        for p in sorted(hit):
+            if p - 1 not in hit:
+                kept += t[at:found[p].start()]
+            at = found[p].end()
+        clean[i] = kept + t[at:] if hit else t
+
+    assert len(near) < len(docs) and once != near and clean != once
+    for (name, stage), expected in zip(corpus_pipeline.STAGES[1:4], (near, once, clean)):
+        got = stage(spark, got, str(tmp_path))
+        rows_ = got.collect()
+        assert len(rows_) == len(expected) and {r.doc_id: r.text for r in rows_} == expected, name
+        assert all((r.lang, r.source, r.n_chars) == ("en", f"s{r.doc_id}", len(r.text or "")) for r in rows_) or name == "SimHash near-dedup"
+    if Path(corpus_pipeline.MODEL_FILE).exists():
+        import sentencepiece
+        model = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.MODEL_FILE)
+        told = {r.doc_id: r for r in corpus_pipeline.tokens(spark, got, str(tmp_path)).collect()}
+        assert set(told) == set(clean)
+        for i, t in clean.items():
+            assert told[i].pieces == (None if t is None else model.encode(t)) and told[i].lossless is (None if t is None else True)
+            assert told[i].decoded_sha256 == (None if t is None else hashlib.sha256(t.encode()).hexdigest())
