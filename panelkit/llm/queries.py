@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from panelkit.llm.bpe import encode_decode_bpe, load_byte_pairs
 from panelkit.llm.chat import format_paths, read_back, threads
 from panelkit.llm.decontaminate import contamination
 from panelkit.llm.fingerprints import fingerprints
 from panelkit.llm.langid import predict_language, train_language_model
+from panelkit.llm.periodic import periodic_runs
 from panelkit.llm.pieces import encode_decode, load_vocabulary
 from panelkit.llm.revisits import resolve_revisits
 from panelkit.llm.simhash import simhash_groups
@@ -19,8 +21,11 @@ from panelkit.llm.substring import remove_repeats
 from panelkit.llm.toxicity import score_toxicity, train_toxicity_model
 from panelkit.llm.urlfilter import filter_urls
 from panelkit.llm.urls import host, path
+from panelkit.llm.whitening import fit_whitening, identity_error, whiten, whole_vectors
 
 MODEL_FILE = corpus_pipeline.MODEL_FILE
+#: Where the byte-level tokenizer's file lies; it is read on the driver and never copied.
+BYTE_PAIRS_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -238,6 +243,47 @@ def op10(spark, sf_dir):
         F.col("tree").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def repeated_on_purpose(docs: DataFrame) -> DataFrame:
+    """Documents of which about a tenth, told by a hash of the id, repeat a stretch of their words from one place to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    docs = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", F.floor((n - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    head, unit = F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice("words", F.col("a").cast("int") + 1, F.col("p").cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - F.col("a")) / F.col("p")).cast("int"))), F.lit(1), (n - F.col("a")).cast("int"))
+    return docs.select("doc_id", F.when(n > 0, F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    found = periodic_runs(repeated_on_purpose(_table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    more = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    best = F.reduce("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), more)  # runs come by start and period
+    found = found.withColumn("best", best)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_bpe")
+def op12(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return encode_decode_bpe(docs, load_byte_pairs(BYTE_PAIRS_FILE)).select(
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("tokens").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    vectors = whole_vectors(_table(spark, sf_dir, "embeddings"))
+    model = fit_whitening(vectors, 8)
+    explained = F.element_at(F.array(*[F.lit(float(e / model.trace)) for e in model.values], F.lit(None).cast("double")), F.col("component"))
+    return whiten(vectors, model).select(
+        F.col("id").alias("vec_id"), "component", F.lit(model.n).cast("long").alias("n"), F.col("deviation").cast("long").alias("deviation"), "whitened",
+        explained.alias("explained"), F.lit(identity_error(vectors, model)).alias("identity_error"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
