@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.subwords import Grams, sample_features, sampled, sparse, sum_rows
+from panelkit.llm.subwords import Grams, by_key, sample_features, sampled, sparse, sum_rows
 from panelkit.llm.words import ranges, slices
 
 UNKNOWN = "und"
@@ -22,6 +22,8 @@ MISS = 0.002
 #: A language's share of documents with an n-gram is taken as if it had so many more documents without it; least share; n-grams of usual
 #: evidence added to every text, so that a few odd words don't decide; bits below the usual evidence that are never held against a text.
 DOUBT, RARE, ADDED, SLACK = 10, 0.0005, 30, 1.0
+#: N-grams of the sample that are measured at once.
+PIECE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -79,22 +81,29 @@ def _logits(buckets, counts, first, weights, bias):
     return sum_rows(weights[buckets] * counts[:, None], row, len(first) - 1) / np.maximum(total, 1)[:, None] + bias
 
 
-def _shares(buckets, label, size):
-    """Evidence of every bucket, and for each row's entries their own evidence without that row (entries are distinct within a row)."""
-    n = np.bincount(label[0]) + DOUBT
-    pair, at, count = np.unique(label[1] * size + buckets, return_inverse=True, return_counts=True)
-    language, bucket = pair // size, pair % size
-    share = count / n[language]
-    order = np.lexsort((-share, bucket))
-    place = np.empty(len(order), dtype=np.int64)
-    begins = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else np.zeros(0, dtype=np.int64)
-    rank = np.arange(len(order)) - np.repeat(begins, np.diff(np.r_[begins, len(order)]))
-    place[order] = rank
-    best, second = np.zeros(size), np.zeros(size)
-    best[bucket[place == 0]], second[bucket[place == 1]] = share[place == 0], share[place == 1]
-    others = np.where(place == 0, second[bucket], best[bucket])
-    without = np.maximum((count - 1) / (n[language] - 1), others)[at]
-    return np.log2(best + RARE), np.log2(without + RARE)
+def _shares(buckets, counts, first, label, languages, size):
+    """Evidence of every bucket, and of every row: the mean over its n-grams of their evidence without that row, and its n-grams. Rows
+    hold a bucket once, so a table of documents by language and bucket says it all; rows are taken in pieces."""
+    pieces = np.unique(np.searchsorted(first, np.arange(0, first[-1] + PIECE, PIECE)).clip(0, len(label)))
+    parts = [(a, b, slice(first[a], first[b])) for a, b in zip(pieces[:-1], pieces[1:])]
+    seen = np.zeros(languages * size, dtype=np.int64)
+    for a, b, at in parts:
+        seen += np.bincount(np.repeat(label[a:b], np.diff(first[a:b + 1])) * size + buckets[at], minlength=languages * size)
+    seen = seen.reshape(languages, size)
+    n = np.bincount(label, minlength=languages) + DOUBT
+    share = seen / n[:, None]
+    lead, best = share.argmax(axis=0), share.max(axis=0)
+    share[lead, np.arange(size)] = 0
+    second = share.max(axis=0)
+    total, mean = np.zeros(len(label)), np.zeros(len(label))
+    for a, b, at in parts:
+        row = np.repeat(np.arange(b - a), np.diff(first[a:b + 1]))
+        bucket, language = buckets[at], label[a:b][row]
+        others = np.where(lead[bucket] == language, second[bucket], best[bucket])
+        own = np.log2(np.maximum((seen[language, bucket] - 1) / (n[language] - 1), others) + RARE)
+        total[a:b] = sum_rows(counts[at].astype(float), row, b - a)
+        mean[a:b] = sum_rows(own * counts[at], row, b - a) / total[a:b]
+    return np.log2(best + RARE), total, mean
 
 
 def _evidence(total, mean, usual):
@@ -111,40 +120,37 @@ def train_language_model(docs: DataFrame, lang_col: str = "lang", id_col: str =
     of the texts that are half one of them and half one of another language. The score only compares known languages, so a text
     must also consist of known n-grams: its evidence is the mean over its n-grams of the log share of documents with the n-gram, in
     the language where it is most common. Each document of the sample is measured without itself; at most ``miss`` of
-    any language fall below the floor, which is at least ``SLACK`` bits below the median. Rows without language, id or text don't count. If nothing is labelled,
+    any language fall below the floor, which is at least ``SLACK`` bits below the median. A sample of fewer than 50 documents is too small to
+    divide: all of it trains and all of it calibrates. Rows without language, id or text don't count; of more than 1,000 languages
+    the 1,000 with the most documents are learnt, those of equal number in order. If nothing is labelled,
     raises if ``required``, else gives a model without languages, to which every text is ``und``.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(lang_col, id_col, text_col)
     table = sample_features(sampled(labelled, lang_col, id_col, per_language), grams, lang_col, id_col, text_col)
-    table = table.filter(pa.compute.greater(pa.compute.list_value_length(table.column("buckets")), 0))
-    if not table.num_rows:
+    order = by_key(table)
+    order = order[pa.compute.list_value_length(table.column("buckets")).to_numpy()[order] > 0]
+    if not len(order):
         if required:
             raise ValueError("no labelled text to learn from")
         size = 1 << grams.bits
         return LanguageModel(grams, [], np.zeros((size, 0), dtype=np.float32), np.zeros(0), 1.0, 0.0, np.zeros(size, dtype=np.float32), 0.0, 0.0)
-    languages = sorted(set(table.column("label").to_pylist()))
-    label = np.searchsorted(languages, table.column("label").to_pylist())
-    buckets, counts, first = sparse(table)
-    apart = np.arange(table.num_rows) % 5 == 4 if table.num_rows >= 50 else np.zeros(table.num_rows, dtype=bool)
-
-    def rows_of(mask):
-        rows = np.flatnonzero(mask)
-        picked = ranges(first[rows], first[rows + 1] - first[rows])
-        return buckets[picked], counts[picked], np.concatenate([[0], np.cumsum(first[rows + 1] - first[rows])])
-
-    weights, bias = _train(*rows_of(~apart), label[~apart], len(languages), 1 << grams.bits, width, epochs, rate)
-    held = apart if apart.any() else ~apart
-    logits, truth = _logits(*rows_of(held), weights, bias), label[held]
+    apart = np.arange(len(order)) % 5 == 4 if len(order) >= 50 else np.zeros(len(order), dtype=bool)
+    order, cut = np.r_[order[~apart], order[apart]], int((~apart).sum())  # learnt from and set apart: two stretches, no copies
+    languages, label = np.unique(table.column("label").to_numpy()[order].astype(str), return_inverse=True)
+    languages = languages.tolist()
+    buckets, counts, first = sparse(table, order)
+    del table
+
+    weights, bias = _train(buckets, counts, first[:cut + 1], label[:cut], len(languages), 1 << grams.bits, width, epochs, rate)
+    held = cut if cut < len(order) else 0
+    logits, truth = _logits(buckets[first[held]:], counts[first[held]:], first[held:] - first[held], weights, bias), label[held:]
     scales = np.geomspace(0.2, 5, 41)
     losses = [-np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in scales]
     temperature = float(scales[int(np.argmin(losses))])
     sure = _softmax(logits / temperature)
     right = sure[np.arange(len(truth)), truth][sure.argmax(axis=1) == truth]
     threshold = min((float(np.quantile(s, miss, method="lower")) for s in (right, _halves(logits, truth, temperature)) if len(s)), default=0.0)
-    row = np.repeat(np.arange(len(label)), np.diff(first))
-    known, own = _shares(buckets, (label, label[row]), 1 << grams.bits)
-    total = sum_rows(counts.astype(float), row, len(label))
-    mean = sum_rows(own * counts, row, len(label)) / total
+    known, total, mean = _shares(buckets, counts, first, label, len(languages), 1 << grams.bits)
     usual = float(np.median(mean))
     evidence = _evidence(total, mean, usual)
     floor = min(usual - SLACK, *(float(np.quantile(evidence[label == k], miss, method="lower")) for k in range(len(languages))))

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,12 +69,11 @@ def sum_rows(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
 
 def sampled(docs: DataFrame, label: str, key: str, per_class: int, classes: int = 1000) -> DataFrame:
     """About ``per_class`` rows of each label (all of a rare one), picked by a hash of the key: bounded whatever the table's size.
-    Raises beyond ``classes`` labels."""
-    counts = {r[0]: r[1] for r in docs.filter(F.col(label).isNotNull()).groupBy(label).count().limit(classes + 1).collect()}
+    Of more than ``classes`` labels, those of the most rows, of equal numbers the first in order."""
+    sizes = docs.filter(F.col(label).isNotNull()).groupBy(label).count()
+    counts = {r[0]: r[1] for r in sizes.orderBy(F.desc("count"), label).limit(classes).collect()}
     if not counts:
         return docs.limit(0)
-    if len(counts) > classes:
-        raise ValueError(f"more than {classes} labels")
     shares = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(min(UNIT, UNIT * per_class // n)))])
     picked = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(UNIT)) < F.element_at(shares, F.col(label))
     return docs.filter(picked).limit(2 * per_class * len(counts))
@@ -100,12 +100,27 @@ def sample_features(rows: DataFrame, grams: Grams, label: str, key: str, text: s
     schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("key", T.LongType()),
                            T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.FloatType()))])
     found = rows.select(F.col(label).cast("string").alias("label"), F.xxhash64(key).alias("key"), F.col(text).cast("string").alias("text"))
-    table = found.mapInArrow(features, schema).toArrow()
-    return table.sort_by([("key", "ascending"), ("label", "ascending")])
-
-
-def sparse(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets, counts and the first place of each row (one more at the end)."""
-    buckets, counts = table.column("buckets").combine_chunks(), table.column("counts").combine_chunks()
-    sizes = buckets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    return buckets.flatten().to_numpy(), counts.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
+    return found.mapInArrow(features, schema).toArrow()
+
+
+def by_key(table: pa.Table) -> np.ndarray:
+    """Rows in order of key and label, an order that doesn't depend on how the sample arrived."""
+    return pa.compute.sort_indices(table.select(["key", "label"]), [("key", "ascending"), ("label", "ascending")]).to_numpy()
+
+
+def sparse(table: pa.Table, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets, counts and the first place of each of the rows ``order`` (one more at the end), copied once."""
+    sizes = pa.compute.list_value_length(table.column("buckets")).to_numpy().astype(np.int64)[order]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.full(table.num_rows, -1, dtype=np.int64)
+    place[order] = first[:-1]
+    out = np.empty(first[-1], dtype=np.int32), np.empty(first[-1], dtype=np.float32)
+    for into, name in zip(out, ("buckets", "counts")):
+        row = 0
+        for chunk in table.column(name).chunks:
+            offsets, values = chunk.offsets.to_numpy(), chunk.values.to_numpy()
+            for at, a, b in zip(place[row:row + len(chunk)].tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                if at >= 0:
+                    into[at:at + b - a] = values[a:b]
+            row += len(chunk)
+    return *out, first

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.subwords import Grams, sample_features, sampled, sparse, sum_rows
+from panelkit.llm.subwords import Grams, by_key, sample_features, sampled, sparse, sum_rows
 from panelkit.llm.words import ranges, slices
 
 #: Labelled documents of each class for the gradient descent.
@@ -98,13 +98,15 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(picked, "_id")
     labelled = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(known.hint("merge"), "_id")  # labels grow with the table
     table = sample_features(rows.limit(4 * per_class), grams, "_toxic", "_id", "_text")
-    toxic = np.array(table.column("label").to_pylist(), dtype=float)
+    order = by_key(table)
+    toxic = table.column("label").to_numpy()[order].astype(float)
     if not ((toxic == 1).any() and (toxic == 0).any()):
         if required:
             raise ValueError("both classes are needed to learn from")
         n, m = int((toxic == 1).sum()), int((toxic == 0).sum())
         return ToxicityModel(grams, np.zeros(1 << grams.bits, dtype=np.float32), float(np.log((n + 0.5) / (m + 0.5))) if n + m else -30.0)
-    buckets, _, first = sparse(table)
+    buckets, _, first = sparse(table, order)
+    del table
     ratio = _ratios(*count_documents(labelled, grams, "_toxic", "_text"))
     weights, bias = _train(buckets, ratio[buckets], first, toxic, 1 << grams.bits, epochs, rate, decay)
     return ToxicityModel(grams, (weights * ratio).astype(np.float32), float(bias))
