@@ -1,16 +1,13 @@
-"""Preprocessing, training, evaluation and scoring with MLlib."""
+"""Preprocessing, training, evaluation and scoring of scorecards and boosted trees."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
-                                       LogisticRegressionModel)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,8 +16,10 @@ from pyspark.sql import functions as F
 from panelkit.functions.dates import month_start
 from panelkit.functions.encode import one_hot
 from panelkit.functions.numeric import clip, signed_log
+from panelkit.operators.boosting import BoostedTrees, Growing, TreeSetting, bin_rows, fit_cuts, grow_all, refreshed, stepped
 from panelkit.operators.drift import apply_woe, binned, contingency, evidence
 from panelkit.operators.metrics import discrimination
+from panelkit.operators.penalised import LinearModel, fit_all, unmet
 from panelkit.operators.profile import sample_skewness, spearman_with_label
 from panelkit.operators.quantiles import collect_quantiles
 from panelkit.session import materialize
@@ -34,9 +33,16 @@ EXPECTED_DIRECTION = {
     "Credit_Mix_Bad": +1, "Credit_Mix_Good": -1,
     "Payment_of_Min_Amount_Yes": +1, "Payment_of_Min_Amount_No": -1,
 }
+#: Most iterations of the linear solvers.
+SOLVER_LIMIT = 5000
 C_GRID = [10 ** (-3 + i / 2) for i in range(9)]
-TREE_GRID = {"maxIter": [20, 50, 100], "stepSize": [0.02, 0.05, 0.1], "maxDepth": [2, 3, 4, 5],
-             "minInstancesPerNode": [1, 5, 10, 20], "subsamplingRate": [0.7, 0.8, 1.0]}
+TREE_GRID = {"rounds": [200, 300, 500, 800], "learning_rate": [0.02, 0.05, 0.1], "max_depth": [2, 3, 4, 5], "min_child_weight": [1, 5, 10, 20],
+             "subsample": [0.7, 0.8, 1.0], "colsample": [0.7, 0.8, 1.0], "reg_lambda": [1, 5, 10], "reg_alpha": [0, 0.1, 1], "gamma": [0, 0.5, 1]}
+FREE = (-float("inf"), float("inf"))
+#: Draws of the search, most rounds of the final fit, and rounds without a better validation AUC after which it stops.
+DRAWS, MOST_ROUNDS, PATIENCE = 30, 3000, 100
+#: Most levels of a category that become model inputs.
+MOST_LEVELS = 200
 
 
 # ---- preprocessing --------------------------------------------------------------------------------------------------
@@ -107,7 +113,8 @@ def fit_linear_prep(train: DataFrame, numeric: Sequence[str], categorical: Seque
 
 @dataclass
 class TreePrep:
-    """Winsorise, median fill with indicator, one-hot of the training levels (an unseen level sets no column)."""
+    """Winsorise, fill with the median (or leave missing if no median was fitted), one-hot of the training levels (an unseen level sets
+    no column)."""
 
     numeric: list[str]
     categorical: list[str]
@@ -121,8 +128,7 @@ class TreePrep:
         return [*self.numeric, *flags]
 
     def encoded(self, df: DataFrame) -> DataFrame:
-        made = {f"x_{c}": F.coalesce(clip(F.col(c).cast("double"), *self.caps[c]), F.lit(self.medians[c]))
-                for c in self.numeric}
+        made = {f"x_{c}": F.coalesce(clip(F.col(c).cast("double"), *self.caps[c]), F.lit(self.medians.get(c, float("nan")))) for c in self.numeric}
         for c in self.categorical:
             made.update({f"x_{n}": e.cast("double") for n, e in one_hot(f"f_{c}", self.levels[c], f"{c}_").items()})
         filled = df.withColumns({f"f_{c}": F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in self.categorical}) \
@@ -131,19 +137,29 @@ class TreePrep:
 
     def transform(self, df: DataFrame) -> DataFrame:
         names = [f"x_{c}" for c in self.inputs]
-        return VectorAssembler(inputCols=names, outputCol="features").transform(self.encoded(df)).drop(*names)
+        return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(self.encoded(df)).drop(*names)
 
 
-def fit_tree_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> TreePrep:
-    """Caps, medians and the levels of each category, which become model inputs."""
-    caps = _caps(train, numeric)
-    middle = collect_quantiles(train, numeric, [0.5])
+def fit_levels(train: DataFrame, categorical: Sequence[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """The levels of each category, in order, null as "Unknown"; raises if one has more than ``most``, as each becomes a column."""
     levels: dict[str, list[str]] = {c: [] for c in categorical}
     if categorical:
-        for r in binned(train.fillna("Unknown", list(categorical)), {}, categorical).distinct().collect():
+        found = binned(train.fillna("Unknown", list(categorical)), {}, categorical).distinct()
+        for r in found.limit(most * len(levels) + 1).collect():
             levels[r["feature"]].append(r["bin"])
-    return TreePrep(list(numeric), list(categorical), caps, {c: v[0] if v else 0.0 for c, v in middle.items()},
-                    {c: sorted(v) for c, v in levels.items()})
+    for c, found in levels.items():
+        if len(found) > most:
+            raise ValueError(f"{c} has more than {most} levels")
+    return {c: sorted(v) for c, v in levels.items()}
+
+
+def fit_tree_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], fill: bool = True,
+                  levels: Mapping[str, Sequence[str]] | None = None, most: int = MOST_LEVELS) -> TreePrep:
+    """Caps, medians (if missing values are to be filled) and the levels of each category, which become model inputs; given levels are taken as
+    they are."""
+    middle = collect_quantiles(train, numeric, [0.5]) if fill else {}
+    known = fit_levels(train, categorical, most) if levels is None else {c: list(levels[c]) for c in categorical}
+    return TreePrep(list(numeric), list(categorical), _caps(train, numeric), {c: v[0] if v else 0.0 for c, v in middle.items()}, known)
 
 
 # ---- folds ----------------------------------------------------------------------------------------------------------
@@ -177,16 +193,6 @@ def _fold_parts(train: DataFrame, date: str, folds: DataFrame) -> list[tuple[Dat
     return [(train.filter(month.isin(b["fit"])), train.filter(month.isin(b["score"]))) for _, b in sorted(bounds.items())]
 
 
-def positive(column: str = "probability") -> Column:
-    """Probability of the bad class."""
-    return vector_to_array(column)[1]
-
-
-def _auc(scored: DataFrame, label: str) -> float:
-    value = discrimination(scored.withColumn("__p", positive()), "__p", label).first()["auc"]
-    return 0.5 if value is None else value
-
-
 # ---- linear model ---------------------------------------------------------------------------------------------------
 @dataclass
 class Scorecard:
@@ -205,8 +211,8 @@ class Scorecard:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``model_predictions``."""
-        scored = self.model.transform(self.prep.transform(df))
-        return scored.withColumn("model_predictions", positive()).drop("features", "rawPrediction", "probability", "prediction")
+        margin = self.model.margin(vector_to_array("features"))
+        return self.prep.transform(df).withColumn("model_predictions", 1 / (1 + F.exp(-margin))).drop("features")
 
 
 def save_card(card: Scorecard, spark: SparkSession, path: str) -> None:
@@ -217,10 +223,14 @@ def save_card(card: Scorecard, spark: SparkSession, path: str) -> None:
         numbers["logged"] = sorted(prep.logged)
         if prep.woe is not None:
             write_table(prep.woe, f"{path}/woe")
-    meta = {"kind": type(prep).__name__, "prep": numbers, "name": card.name, "threshold": card.threshold, "hyper": card.hyper,
+    if isinstance(card.model, LinearModel):
+        meta_model = asdict(card.model)
+    else:
+        meta_model = None
+        card.model.save(spark, f"{path}/model")
+    meta = {"kind": type(prep).__name__, "model": meta_model, "prep": numbers, "name": card.name, "threshold": card.threshold, "hyper": card.hyper,
             "dropped": card.dropped, "has_woe": getattr(prep, "woe", None) is not None}
     write_table(spark.createDataFrame([(json.dumps(meta),)], "meta string"), f"{path}/meta")
-    card.model.write().overwrite().save(f"{path}/model")
 
 
 def load_card(spark: SparkSession, path: str) -> Scorecard:
@@ -232,53 +242,75 @@ def load_card(spark: SparkSession, path: str) -> Scorecard:
         numbers["logged"] = set(numbers["logged"])
         numbers["scales"] = {k: tuple(v) for k, v in numbers["scales"].items()}
         prep = LinearPrep(**numbers, woe=spark.read.parquet(f"{path}/woe") if meta["has_woe"] else None)
-        model = LogisticRegressionModel.load(f"{path}/model")
+        model = LinearModel(**meta["model"])
     else:
-        prep, model = TreePrep(**numbers), GBTClassificationModel.load(f"{path}/model")
+        prep, model = TreePrep(**numbers), BoostedTrees.load(spark, f"{path}/model")
     return Scorecard(meta["name"], prep, model, meta["threshold"], meta["hyper"], meta["dropped"])
 
 
-def _logreg(rows: DataFrame, label: str, c: float, l1: float, n: int):
-    return LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=l1,
-                              standardization=False, maxIter=200).fit(rows)
+def _linear(prep: LinearPrep, train: DataFrame, label: str, c: float, l1: float, bounds: Sequence[tuple[float, float]] | None = None) -> LinearModel:
+    """One fit on prepared rows; raises if it has not come to the optimum within the solver limit."""
+    x, width = vector_to_array("features").alias("x"), len(prep.inputs)
+    rows = materialize(prep.transform(train).select(F.lit(0).alias("fold"), x, F.col(label).cast("double").alias("y")), "linear")
+    fit = fit_all(rows, [(c, l1)], width, bounds, 1e-12, SOLVER_LIMIT)[0][0]
+    if not fit.converged:
+        raise ValueError(f"not converged in {fit.passes} passes")
+    return LinearModel(prep.inputs, fit.coefficients.tolist(), fit.intercept)
 
 
 def search_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], date: str, folds: DataFrame,
-                  label: str = "label", grid: Sequence[float] = C_GRID, penalties: Sequence[float] = (0.0, 1.0),
-                  parallelism: int = 4) -> dict:
-    """Penalty strength and type with the best mean AUC over the time folds; fits of a fold run side by side."""
+                  label: str = "label", grid: Sequence[float] = C_GRID, penalties: Sequence[float] = (0.0, 1.0)) -> dict:
+    """Penalty strength and type with the best mean AUC over the time folds.
+
+    Preprocessing is fitted for each fold; the prepared rows of all folds are one table. All settings of all folds are fitted in the
+    same passes over it (see ``fit_all``), and one more job ranks the held-out rows of all of them. ``unconverged`` lists
+    (fold, C, l1) of fits that did not reach the optimum.
+    """
     settings = [(c, l1) for c in grid for l1 in penalties]
-    scores: dict[tuple[float, float], list[float]] = {s: [] for s in settings}
-    for fit, score in _fold_parts(train, date, folds):
+    fitting, scoring, preps = [], [], []
+    for fold, (fit, score) in enumerate(_fold_parts(train, date, folds)):
         prep = fit_linear_prep(fit, numeric, categorical, label)
-        rows = materialize(prep.transform(fit).select("features", label), "fold-fit")
-        held = materialize(prep.transform(score).select("features", label), "fold-score")
-        n = rows.count()
-        found = _side_by_side(train.sparkSession, lambda s: _auc(_logreg(rows, label, *s, n).transform(held), label), settings, parallelism)
-        for s, auc in zip(settings, found):
-            scores[s].append(auc)
+        preps.append(prep)
+        for part, into in ((fit, fitting), (score, scoring)):
+            into.append(prep.transform(part).select(F.lit(fold).alias("fold"), vector_to_array("features").alias("x"), F.col(label).cast("double").alias("y")))
+    width = len(preps[0].inputs)
+    if any(len(p.inputs) != width for p in preps):  # a fold without missing values has fewer indicators; they are told apart by width
+        widest = max(len(p.inputs) for p in preps)
+        fitting, scoring = ([t.withColumn("x", F.concat("x", F.array_repeat(F.lit(0.0), widest - len(p.inputs)))) for t, p in zip(tables, preps)]
+                            for tables in (fitting, scoring))
+        width = widest
+    rows = materialize(reduce(DataFrame.unionByName, fitting), "fold-fit")
+    held = materialize(reduce(DataFrame.unionByName, scoring), "fold-score")
+    fits = fit_all(rows, settings, width, max_passes=SOLVER_LIMIT)
+    weights = train.sparkSession.createDataFrame(
+        [(k, i, f.coefficients.tolist(), f.intercept) for k, found in fits.items() for i, f in enumerate(found)],
+        "fold int, setting int, w array<double>, b double")  # one row a fit
+    margin = F.aggregate(F.zip_with("x", "w", lambda x, w: x * w), F.col("b"), lambda total, v: total + v)
+    ranked = held.join(F.broadcast(weights), "fold").select("fold", "setting", "y", (1 / (1 + F.exp(-margin))).alias("p"))
+    aucs = {(r["fold"], r["setting"]): r["auc"] for r in discrimination(ranked, "p", "y", ["fold", "setting"]).collect()}
+    scores = {s: [0.5 if aucs.get((k, i)) is None else aucs[k, i] for k in sorted(fits)] for i, s in enumerate(settings)}
     best = max(scores, key=lambda k: float(np.mean(scores[k])))
-    return {"C": best[0], "l1": best[1], "cv_auc": float(np.mean(scores[best])), "scores": scores}
-
-
-def _side_by_side(spark: SparkSession, fit, settings: Sequence, parallelism: int) -> list[float]:
-    """Results in the order of the settings; the jobs of several fits share the cluster."""
-    with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(fit), settings))
+    return {"C": best[0], "l1": best[1], "cv_auc": float(np.mean(scores[best])), "scores": scores, "fits": fits, "settings": settings,
+            "passes": max(f.passes for found in fits.values() for f in found),
+            "unconverged": [(k, *settings[i]) for k, found in fits.items() for i, f in enumerate(found) if not f.converged]}
 
 
 def train_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], iv: Mapping[str, float],
-                 c: float, l1: float, label: str = "label", directions: Mapping[str, int] = EXPECTED_DIRECTION) -> Scorecard:
-    """Penalised logistic regression; a wrong-sign feature with the least information value is dropped until none is left.
+                 c: float, l1: float, label: str = "label", directions: Mapping[str, int] = EXPECTED_DIRECTION, signs: str = "drop") -> Scorecard:
+    """Penalised logistic regression whose coefficients have the expected signs.
 
-    Raises if the last feature has the wrong sign too.
+    ``signs`` "drop": a wrong-sign feature with the least information value is dropped until none is left; raises if the last
+    feature has the wrong sign too. "bounds": coefficients are held at or above (below) zero while fitting, so one fit is enough, no
+    feature is dropped, and one that would have the wrong sign gets zero.
     """
     numeric, categorical, dropped = list(numeric), list(categorical), []
+    if signs == "bounds":
+        prep = fit_linear_prep(train, numeric, categorical, label)
+        return Scorecard("logreg", prep, _linear(prep, train, label, c, l1, sign_bounds(prep, directions)), hyper={"C": c, "l1": l1, "signs": signs})
     while True:
         prep = fit_linear_prep(train, numeric, categorical, label)
-        rows = materialize(prep.transform(train).select("features", label), "linear")
-        model = _logreg(rows, label, c, l1, rows.count())
-        weights = dict(zip(prep.inputs, model.coefficients.toArray()))
+        model = _linear(prep, train, label, c, l1)
+        weights = dict(zip(prep.inputs, model.coefficients))
         wrong = [f for f in numeric if f in directions and np.sign(weights[f]) not in (0, directions[f])]
         wrong += [f for f in categorical if np.sign(weights[f"{f}_woe"]) not in (0, 1)]
         if wrong and len(numeric) + len(categorical) == 1:
@@ -290,44 +322,146 @@ def train_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence
         (numeric if worst in numeric else categorical).remove(worst)
 
 
+def sign_bounds(prep: LinearPrep, directions: Mapping[str, int]) -> list[tuple[float, float]]:
+    """Least and greatest coefficient of each model input: numbers by their direction, weights of evidence not negative, the rest free."""
+    by_sign = {1: (0.0, float("inf")), -1: (-float("inf"), 0.0)}
+    return [by_sign[1] if n.removesuffix("_woe") in prep.categorical and n.endswith("_woe") else by_sign.get(directions.get(n), FREE) for n in prep.inputs]
+
+
+def optimality(card: Scorecard, train: DataFrame, label: str = "label", directions: Mapping[str, int] | None = None) -> DataFrame:
+    """Per model input of a linear card: coefficient, slope of the penalised mean log loss there, and ``unmet``, how far it is from the
+    optimality conditions (with ``directions``, of a fit within bounds). One pass over the rows."""
+    prep, (c, l1) = card.prep, (card.hyper["C"], card.hyper["l1"])
+    x, size = vector_to_array("features"), len(prep.inputs)
+    made = prep.transform(train)
+    gap = 1 / (1 + F.exp(-card.model.margin(x))) - F.col(label).cast("double")
+    row = made.agg(F.count(F.lit(1)).alias("n"), F.avg(gap).alias(f"g{size}"), *[F.avg(gap * x[i]).alias(f"g{i}") for i in range(size)]).first()
+    bounds = [*(sign_bounds(prep, directions) if directions is not None else [FREE] * size), FREE]
+    strength = np.array([1.0 / (c * row["n"])] * size + [0.0])
+    w = np.array([*card.model.coefficients, card.model.intercept])
+    slope = np.array([row[f"g{i}"] for i in range(size + 1)]) + strength * (1 - l1) * w
+    left = unmet(w, slope, strength * l1, *(np.array([b[side] for b in bounds]) for side in (0, 1)))
+    rows = [(n, float(a), float(b), float(u)) for n, a, b, u in zip([*prep.inputs, "(intercept)"], w, slope, left)]
+    return train.sparkSession.createDataFrame(rows, "feature string, coefficient double, slope double, unmet double")
+
+
 def coefficient_table(card: Scorecard, spark) -> DataFrame:
     """Coefficient per standard deviation and odds ratio of each model input."""
-    rows = [(n, float(w), float(np.exp(w))) for n, w in zip(card.prep.inputs, card.model.coefficients.toArray())]
+    rows = [(n, float(w), float(np.exp(w))) for n, w in zip(card.prep.inputs, card.model.coefficients)]
     return spark.createDataFrame(rows, "feature string, coef_per_1sd double, odds_ratio double")
 
 
 # ---- boosted trees --------------------------------------------------------------------------------------------------
-def random_settings(n: int, seed: int = 42, grid: Mapping[str, Sequence] = TREE_GRID) -> list[dict]:
-    """Random picks from the tree grid."""
-    rng = np.random.default_rng(seed)
-    return [{k: v[int(rng.integers(len(v)))] for k, v in grid.items()} for _ in range(n)]
+def random_settings(n: int, seed: int = 42, grid: Mapping[str, Sequence] = TREE_GRID) -> list[TreeSetting]:
+    """Different random picks from the tree grid; as many as it has if ``n`` is more."""
+    rng, total = np.random.default_rng(seed), int(np.prod([len(v) for v in grid.values()]))
+    out: dict[int, TreeSetting] = {}
+    while len(out) < min(n, total):
+        k = rest = int(rng.integers(total))
+        picked = {}
+        for name, values in grid.items():
+            rest, at = divmod(rest, len(values))
+            picked[name] = values[at]
+        out.setdefault(k, TreeSetting(**picked))
+    return list(out.values())
+
+
+def _binned_fold(prep: TreePrep, fold: int, fit: DataFrame, others: Sequence[DataFrame], label: str, key: str) -> tuple[list[DataFrame], list, float]:
+    """Binned rows of the fitting part and of others by the fitting part's cut points, those points, and the log-odds of its mean label."""
+    def rows(df: DataFrame) -> DataFrame:
+        return prep.transform(df).select(F.lit(fold).alias("fold"), F.xxhash64(key).alias("r"), F.col(label).cast("double").alias("y"), vector_to_array("features").alias("x"))
+
+    fitted = rows(fit).filter("y is not null")
+    spread = fitted.select("y", *[F.when(~F.isnan(F.col("x")[i]), F.col("x")[i]).alias(f"x{i}") for i in range(len(prep.inputs))])
+    spread = materialize(spread, "tree-inputs")
+    cuts = fit_cuts(spread, [f"x{i}" for i in range(len(prep.inputs))])
+    mean = spread.agg(F.avg("y")).first()[0] or 0.5
+    mean = min(max(mean, 1e-6), 1 - 1e-6)
+    return [bin_rows(t, cuts, ["fold", "r", "y"]) for t in (fitted, *[rows(o).filter("y is not null") for o in others])], cuts, float(np.log(mean / (1 - mean)))
+
+
+def _margins_of(rows: DataFrame, fits: Mapping[tuple[int, int], Growing], sizes: Mapping[int, Sequence[int]], base: Mapping[int, float], number: int) -> DataFrame:
+    """Held-out rows with their probability under each fit: ``fold``, ``setting``, ``y``, ``p``."""
+    none = rows.select("fold", "r", "y", "bins", F.lit(None).cast("array<double>").alias("m"))
+    done = refreshed(none, fits, dict.fromkeys(fits, 0), sizes, base, number)
+    return done.select("fold", "y", F.posexplode("m").alias("setting", "z")).select("fold", "setting", "y", (1 / (1 + F.exp(-F.col("z")))).alias("p"))
+
+
+def search_trees(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], date: str, folds: DataFrame, settings: Sequence[TreeSetting],
+                 constraints: Mapping[str, int], levels: Mapping[str, Sequence[str]], label: str = "label", key: str = "loan_id",
+                 seed: int = 42) -> list[list[float]]:
+    """AUC of each setting on each fold's later months: caps and cut points are fitted in each fold, levels on the whole training set.
+    All folds and settings grow in the same passes over one table."""
+    fitting, scoring, cuts, base = [], [], {}, {}
+    for fold, (fit, score) in enumerate(_fold_parts(train, date, folds)):
+        prep = fit_tree_prep(fit, numeric, categorical, fill=False, levels=levels)
+        (rows, held), cuts[fold], base[fold] = _binned_fold(prep, fold, fit, [score], label, key)
+        fitting.append(rows)
+        scoring.append(held)
+    signs = [int(constraints.get(n, 0)) for n in prep.inputs]
+    rows, held = (materialize(reduce(DataFrame.unionByName, t), name) for t, name in ((fitting, "fold-fit"), (scoring, "fold-score")))
+    fits = grow_all(rows, settings, cuts, signs, base, seed)
+    ranked = _margins_of(held, fits, {k: [len(c) for c in v] for k, v in cuts.items()}, base, len(settings))
+    aucs = {(r["fold"], r["setting"]): r["auc"] for r in discrimination(ranked, "p", "y", ["fold", "setting"]).collect()}  # one a fit
+    return [[0.5 if aucs.get((k, i)) is None else aucs[k, i] for k in sorted(cuts)] for i in range(len(settings))]
+
+
+class _Watch:
+    """Validation AUC after every round of one fit; tells when the last better round is ``patience`` rounds ago."""
+
+    def __init__(self, rows: DataFrame, sizes: Mapping[int, Sequence[int]], base: Mapping[int, float], patience: int):
+        self.rows, self.sizes, self.base, self.patience = rows.withColumn("m", F.lit(None).cast("array<double>")), sizes, base, patience
+        self.seen, self.aucs = 0, []
+
+    def look(self, fit: Growing) -> None:
+        fresh = fit.trees[self.seen:]
+        if not fresh:
+            return
+        steps = stepped(self.rows, fresh, self.sizes[0], self.base[0])
+        found = {r["round"]: r["auc"] for r in discrimination(steps, "p", "y", ["round"]).collect()}  # one a round
+        self.aucs += [0.5 if found.get(i) is None else found[i] for i in range(len(fresh))]
+        self.rows = refreshed(self.rows, {(0, 0): fit}, {(0, 0): self.seen}, self.sizes, self.base, 1)
+        self.seen = len(fit.trees)
 
+    @property
+    def best(self) -> int:
+        return int(np.argmax(self.aucs)) if self.aucs else -1
 
-def train_trees(train: DataFrame, valid: DataFrame, numeric: Sequence[str], categorical: Sequence[str], date: str,
-                folds: DataFrame, n_iter: int = 4, label: str = "label", rounds: int = 100, seed: int = 42,
-                settings: Sequence[Mapping] | None = None, parallelism: int = 2) -> Scorecard:
-    """Boosted trees: random search over time folds, then early stopping on the validation rows."""
+    def __call__(self, fits: Mapping[tuple[int, int], Growing]) -> set:
+        self.look(fits[0, 0])
+        return {(0, 0)} if len(self.aucs) - 1 - self.best >= self.patience else set()
+
+
+def train_trees(train: DataFrame, valid: DataFrame, numeric: Sequence[str], categorical: Sequence[str], date: str, folds: DataFrame | None, n_iter: int = DRAWS,
+                label: str = "label", rounds: int = MOST_ROUNDS, seed: int = 42, settings: Sequence[TreeSetting] | None = None, key: str = "loan_id",
+                patience: int = PATIENCE, constraints: Mapping[str, int] | None = None, priors: Mapping[str, int] = EXPECTED_DIRECTION) -> Scorecard:
+    """Boosted trees with monotone constraints: random search over time folds, then early stopping by the AUC of the validation rows.
+
+    Each input is constrained to its direction: the prior one, else that of the training data (see ``direction_table``), unless
+    ``constraints`` are given. Missing numbers stay missing: each split learns where they go. ``key`` tells rows apart for
+    row sampling. ``hyper`` holds the setting, the number of rounds kept, the AUC of each round and of each searched setting.
+    """
+    levels = fit_levels(train, categorical)
+    if constraints is None:
+        table = direction_table(train.fillna("Unknown", list(categorical)), numeric, levels, label, priors).collect()  # one row an input
+        constraints = {r["model_input"]: int(r["constraint"] or 0) for r in table}
     settings = list(settings or random_settings(n_iter, seed))
-    scores = [[] for _ in settings]
-    if len(settings) > 1:
-        for fit, score in _fold_parts(train, date, folds):
-            prep = fit_tree_prep(fit, numeric, categorical)
-            rows = materialize(prep.transform(fit).select("features", label), "fold-fit")
-            held = materialize(prep.transform(score).select("features", label), "fold-score")
-            found = _side_by_side(train.sparkSession, lambda s: _auc(GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **s).fit(rows)
-                                                 .transform(held), label), settings, parallelism)
-            for i, auc in enumerate(found):
-                scores[i].append(auc)
-        best = settings[int(np.argmax([np.mean(s) for s in scores]))]
-    else:
-        best = settings[0]
-    prep = fit_tree_prep(train, numeric, categorical)
-    both = (prep.transform(train).select("features", label).withColumn("is_valid", F.lit(False))
-            .unionByName(prep.transform(valid).select("features", label).withColumn("is_valid", F.lit(True))))
-    final = {**best, "maxIter": rounds}
-    model = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, validationIndicatorCol="is_valid",
-                          **final).fit(materialize(both, "trees"))
-    return Scorecard("trees", prep, model, hyper={**best, "rounds": model.getNumTrees})
+    scores = search_trees(train, numeric, categorical, date, folds, settings, constraints, levels, label, key, seed) if len(settings) > 1 else [[0.0]]
+    best = settings[int(np.argmax([np.mean(s) for s in scores]))]
+    prep = fit_tree_prep(train, numeric, categorical, fill=False, levels=levels)
+    (rows, held), cuts, base = _binned_fold(prep, 0, train, [valid], label, key)
+    rows, held = materialize(rows, "trees"), materialize(held, "trees-valid")
+    # levels become inputs under cleaned names, so constraints may name either form
+    clean = {f"{c}_{v}": n for c in categorical for v, n in zip(levels[c], one_hot(c, levels[c], f"{c}_"))}
+    wanted = {clean.get(n, n): s for n, s in constraints.items()}
+    signs = [int(wanted.get(n, 0)) for n in prep.inputs]
+    watch = _Watch(held, {0: [len(c) for c in cuts]}, {0: base}, patience)
+    fit = grow_all(rows, [replace(best, rounds=rounds)], {0: cuts}, signs, {0: base}, seed, patience=watch)[0, 0]
+    watch.look(fit)
+    kept = watch.best + 1 if watch.aucs else len(fit.trees)
+    model = BoostedTrees(prep.inputs, [list(c) for c in cuts], fit.trees[:kept], base, signs)
+    return Scorecard("trees", prep, model, hyper={**asdict(best), "rounds": kept, "validation_auc": watch.aucs, "searched": [[asdict(s), a] for s, a in zip(settings, scores)],
+                                                  "constraints": dict(zip(prep.inputs, signs)), "gains": fit.gains[:kept]})
 
 
 def direction_table(train: DataFrame, numeric: Sequence[str], levels: Mapping[str, Sequence[str]], label: str = "label",
@@ -365,7 +499,7 @@ def monotonicity(card: Scorecard, rows: DataFrame, train: DataFrame, constraints
     encoded = card.prep.encoded if trees else card.prep.scaled  # what the model was fitted on
     sample = materialize(encoded(rows.orderBy(F.xxhash64(key), key).limit(n_rows)).select(key, *names), "ice")
     wanted = [c for c in constraints if f"x_{c}" in names and constraints[c] != 0]
-    base = encoded(train).select(*[F.col(f"x_{c}").alias(c) for c in wanted])
+    base = encoded(train).select(*[F.when(~F.isnan(f"x_{c}"), F.col(f"x_{c}")).alias(c) for c in wanted])
     grids = {c: sorted(set(v)) for c, v in
              collect_quantiles(base, wanted, [i / (n_grid - 1) for i in range(n_grid)]).items()}
     walks = F.array(*[F.struct(F.lit(c).alias("model_input"), F.array(*map(F.lit, g)).alias("grid"))
@@ -373,9 +507,8 @@ def monotonicity(card: Scorecard, rows: DataFrame, train: DataFrame, constraints
     spread = (sample.select("*", F.inline(walks))
               .select(key, *names, "model_input", F.posexplode("grid").alias("step", "at")))
     spread = spread.withColumns({n: F.when(F.col("model_input") == n[2:], F.col("at")).otherwise(F.col(n)) for n in names})
-    scored = card.model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(spread))
-    # from the margin, as a probability that has come to 1 has no odds; that of boosted trees is half the log-odds
-    scored = scored.select(key, "model_input", "step", (vector_to_array("rawPrediction")[1] * F.lit(2.0 if trees else 1.0)).alias("logodds"))
+    scored = spread.withColumn("logodds", card.model.margin(F.array(*names)))  # the margin, as a probability that has come to 1 has no odds
+    scored = scored.select(key, "model_input", "step", "logodds")
     order = Window.partitionBy(key, "model_input").orderBy("step")  # one row per grid step
     sign = F.create_map(*[F.lit(x) for kv in constraints.items() for x in kv])
     moves = scored.withColumn("against", (F.col("logodds") - F.lag("logodds").over(order))

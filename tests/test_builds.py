@@ -221,6 +221,7 @@ def test_from_raw_text_to_a_scored_month(spark):
 
 def test_tree_search_and_monotonicity(spark):
     import numpy as np
+    from panelkit.operators.boosting import TreeSetting
     from panelkit.plans.modelling import load_card, save_card, train_trees
     rng = np.random.default_rng(4)
     n = 1200
@@ -230,7 +231,7 @@ def test_tree_search_and_monotonicity(spark):
     df = spark.createDataFrame([(str(i), float(x[i]), float(z[i]), "ab"[i % 2], int(y[i]), day[i]) for i in range(n)],
                                "loan_id string, x double, z double, c string, label int, d date")
     card = train_trees(df, df.filter("loan_id < '3'"), ["x", "z"], ["c"], "d", expanding_folds(df, "d", n_splits=2), rounds=5,
-                       settings=[{"maxDepth": 1, "maxIter": 2}, {"maxDepth": 3, "maxIter": 5}])
+                       settings=[TreeSetting(max_depth=1, rounds=2), TreeSetting(max_depth=3, rounds=5)])
     right = {r["model_input"]: r for r in monotonicity(card, df, df, {"x": 1}, n_rows=50, n_grid=8).collect()}
     wrong = {r["model_input"]: r for r in monotonicity(card, df, df, {"x": -1}, n_rows=50, n_grid=8).collect()}
     assert right["x"]["logodds_effect_min_to_max"] > 0 and wrong["x"]["rows_violating"] > right["x"]["rows_violating"]
