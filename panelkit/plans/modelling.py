@@ -264,7 +264,7 @@ def search_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
     Preprocessing is fitted for each fold; the prepared rows of all folds are one table. All settings of all folds are fitted in the
     same passes over it (see ``fit_all``), and one more job ranks the held-out rows of all of them. ``unconverged`` lists
-    (fold, C, l1) of fits that did not reach the optimum.
+    (fold, C, l1) of fits that did not reach the optimum; ``rows`` and ``held`` are the prepared rows, ``fits`` the coefficients by fold.
     """
     settings = [(c, l1) for c in grid for l1 in penalties]
     fitting, scoring, preps = [], [], []
@@ -290,7 +290,7 @@ def search_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequenc
     aucs = {(r["fold"], r["setting"]): r["auc"] for r in discrimination(ranked, "p", "y", ["fold", "setting"]).collect()}
     scores = {s: [0.5 if aucs.get((k, i)) is None else aucs[k, i] for k in sorted(fits)] for i, s in enumerate(settings)}
     best = max(scores, key=lambda k: float(np.mean(scores[k])))
-    return {"C": best[0], "l1": best[1], "cv_auc": float(np.mean(scores[best])), "scores": scores, "fits": fits, "settings": settings,
+    return {"C": best[0], "l1": best[1], "cv_auc": float(np.mean(scores[best])), "scores": scores, "fits": fits, "settings": settings, "rows": rows, "held": held,
             "passes": max(f.passes for found in fits.values() for f in found),
             "unconverged": [(k, *settings[i]) for k, found in fits.items() for i, f in enumerate(found) if not f.converged]}
 
