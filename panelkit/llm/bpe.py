@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
@@ -23,7 +24,9 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: The bytes that stand for themselves in the file's spelling of tokens; the others follow from 256 on, in order.
 PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Bytes of fragments that a task remembers, each with about 200 more; beyond it starts anew.
-REMEMBERED = 64 << 20
+REMEMBERED = 32 << 20
+#: Bytes of text that are cut at once.
+PART_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -146,7 +149,7 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.slot, self.ids, self.sizes, self.held = {}, [], [], 0
+        self.slot, self.ids, self.sizes, self.held = {}, array("i"), array("i"), 0
 
     def _spans(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """Begin, end and id of added tokens, none across two rows."""
@@ -159,8 +162,7 @@ class Encoder:
         """Where fragments begin, and the ids of added tokens by where they begin."""
         spans = self._spans(raw, offsets)
         points = np.frombuffer(raw.decode().encode("utf-32-le"), dtype="<u4")
-        width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-        at = np.cumsum(width) - width
+        at = np.flatnonzero((data & 0xC0) != 0x80)  # where characters begin
         edge = np.zeros(len(points), dtype=bool)
         edges = np.r_[offsets, [x for a, b, _ in spans for x in (a, b)]].astype(np.int64)
         edge[np.searchsorted(at, edges[edges < len(data)])] = True
@@ -209,9 +211,8 @@ class Encoder:
         for k in np.searchsorted(starts, sorted(added)).tolist():
             key = ("added", added[int(starts[k])])
             slot[k] = self.slot[key] if key in self.slot else self._learn(key, b"", key[1])
-        count = np.array(self.sizes, dtype=np.int64)
-        first = np.cumsum(count) - count
-        ids = np.array(self.ids, dtype=np.int32)[ranges(first[slot], count[slot])]
+        count, known = np.array(self.sizes, dtype=np.int64), np.array(self.ids, dtype=np.int32)
+        ids = known[ranges((np.cumsum(count) - count)[slot], count[slot])]
         return ids, np.r_[0, np.cumsum(count[slot])][np.searchsorted(starts, offsets)]
 
 
@@ -221,7 +222,7 @@ def _encoding(spark, vocabulary: BytePairs, at: int, out_col: str):
 
     def run(batches):
         encoder = Encoder(*shared.value)
-        for part, data, offsets in slices(batches, at):
+        for part, data, offsets in slices(batches, at, PART_BYTES):
             ids, first = encoder.encode(data, offsets)
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids), mask=pc.is_null(part.column(at)))
             yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out_col])

@@ -270,7 +270,7 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return encode_decode_bpe(docs, load_byte_pairs(BYTE_PAIRS_FILE)).select(
-        "doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("tokens").cast("array<string>")), 256).alias("ids_sha256"),
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.sha2(F.translate(F.col("tokens").cast("string"), "[] ", ""), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
