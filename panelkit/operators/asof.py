@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from panelkit.operators.ranking import slice_count, with_slices
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -22,15 +25,22 @@ def latest_non_null(df: DataFrame, keys: Sequence[str], by: str, columns: Sequen
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(by, c))).alias(c) for c in columns])
 
 
+def _moment(df: DataFrame, column: str) -> Column:
+    """A time as a number: microseconds of dates and timestamps, numbers as they are."""
+    kind = df.schema[column].dataType
+    return F.unix_micros(F.col(column).cast("timestamp")) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.col(column)
+
+
 def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
-                columns: Sequence[str], strict: bool = False, grain: str = "MONTH") -> DataFrame:
+                columns: Sequence[str], strict: bool = False, slices: int | None = None) -> DataFrame:
     """Per distinct key and time the columns of the right row with the greatest time not after it, as one struct ``found``.
 
-    ``strict`` takes only times before the probe. Rows of a key are cut into calendar slices: within a
-    slice one ordered pass finds the last row, and the last row of all earlier slices is carried over
-    from a table with one row per key and slice. No pairs of rows are formed, and a key holding
-    a large share of the data is spread over its slices. ``grain`` must be coarse enough that a key has
-    few slices and fine enough that a slice fits a task.
+    ``strict`` takes only times before the probe. A segmented scan: time is cut at quantiles of the times of both sides, so that a slice
+    holds about the same number of rows whatever the calendar; one ordered pass inside each key and slice finds the last row,
+    and the last row of all earlier slices is carried over from a table with one row per key and slice. No pairs of rows
+    are formed. A key with a third of all rows, be it on one day, is spread over a third of the slices, and without keys (``on``
+    empty) the slices alone divide the work. A key's carried table has at most ``slices`` rows (by default the session's
+    shuffle width within limits). Null keys and times find nothing; of several right rows at a time the greatest counts.
     """
     payload = F.struct(F.col(right_time).alias("__at"), *columns)
     facts = (right.filter(F.col(right_time).isNotNull())
@@ -38,13 +48,16 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     asked = probes.filter(F.col(left_time).isNotNull()).select(*on, F.col(left_time).alias("__t")).distinct()
     empty = F.lit(None).cast(facts.schema["__row"].dataType)
     first, second = (0, 1) if strict else (1, 0)
-    both = (asked.select(*on, "__t", F.lit(first).alias("__side"), empty.alias("__row"))
-            .unionByName(facts.select(*on, "__t", F.lit(second).alias("__side"), "__row"))
-            .withColumn("__slot", F.date_trunc(grain, F.col("__t"))))
-    slots = both.groupBy(*on, "__slot").agg(F.max_by("__row", F.when(F.col("__side") == second, F.col("__t"))).alias("__row"))
-    before = Window.partitionBy(*on).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    both = (asked.select(*on, "__t", _moment(asked, "__t").cast("double").alias("__n"), F.lit(first).alias("__side"), empty.alias("__row"))
+            .unionByName(facts.select(*on, "__t", _moment(facts, "__t").cast("double").alias("__n"), F.lit(second).alias("__side"), "__row")))
+    times = probes.select(_moment(probes, left_time).cast("double").alias("__n")).unionByName(right.select(_moment(right, right_time).cast("double").alias("__n")))
+    n = slices or slice_count(probes)
+    cuts = times.agg(F.percentile_approx("__n", F.array(*[F.lit(i / n) for i in range(1, n)]), 4 * n)).first()[0] if n > 1 else []
+    both = with_slices(both, {"__n": sorted(set(cuts or []))}).withColumnRenamed("__n__slice", "__slot")
+    slots = both.groupBy(*on, "__slot").agg(F.max_by("__row", F.when(F.col("__side") == second, F.struct("__n"))).alias("__row"))
+    before = Window.partitionBy(*(on or [F.lit(0)])).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.select(*on, "__slot", F.last("__row", ignorenulls=True).over(before).alias("__carried"))
-    upto = (Window.partitionBy(*on, "__slot").orderBy("__t", "__side")
+    upto = (Window.partitionBy(*on, "__slot").orderBy("__n", "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto)).filter(F.col("__side") == first)
     return (inner.join(carried, [*on, "__slot"], "left")
@@ -52,30 +65,13 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
-              columns: Sequence[str], strict: bool = False, grain: str = "MONTH") -> DataFrame:
+              columns: Sequence[str], strict: bool = False, slices: int | None = None) -> DataFrame:
     """Adds to each left row the columns of the latest right row of its key; see ``asof_lookup``."""
-    found = asof_lookup(left, right, on, left_time, right_time, columns, strict, grain)
+    found = asof_lookup(left, right, on, left_time, right_time, columns, strict, slices)
     return left.join(found, [*on, left_time], "left").select(
         *left.columns, *[F.col(f"found.{c}").alias(c) for c in columns])
 
 
-def asof_small(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
-               columns: Sequence[str], strict: bool = False) -> DataFrame:
-    """The same in one ordered pass per key, for calendars and histories with a row per month or decision."""
-    payload = F.struct(*columns)
-    kept = F.struct(*left.columns)
-    group = list(on) or ["__all"]
-    l = left.select(*on, F.col(left_time).alias("__t"), kept.alias("__left"), F.lit(1).alias("__all"))
-    r = (right.filter(F.col(right_time).isNotNull())
-         .select(*on, F.col(right_time).alias("__t"), payload.alias("__row"), F.lit(1).alias("__all")))
-    order = ["__t", "__side"]
-    both = (l.withColumn("__side", F.lit(0 if strict else 1))
-            .unionByName(r.withColumn("__side", F.lit(1 if strict else 0)), allowMissingColumns=True))
-    upto = Window.partitionBy(*group).orderBy(*order, "__row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto)).filter(F.col("__left").isNotNull())
-    return found.select("__left.*", *[F.col(f"__found.{c}").alias(c) for c in columns])
-
-
 def role_intervals(roles: DataFrame, start: str = "effective_from") -> DataFrame:
     """Role rows with the date the next one takes effect and whether the champion changed.
 

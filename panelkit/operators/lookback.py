@@ -8,8 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.asof import asof_join
+from panelkit.operators.quantiles import located, ordered, picked
+from panelkit.operators.ranking import distinct_values, packed, slice_edges
+from panelkit.session import materialize
 
 DAY = "1970-01-01"
+#: Accuracy of the quantile sketch, and values of a window up to which it is exact however its parts were merged.
+SKETCH, FEW = 10000, 4000
 
 
 def _day(column: str) -> Column:
@@ -69,29 +74,72 @@ def _merged(column: str, inside: Column) -> dict[str, Column]:
 
 def _direct(column: str, inside: Column) -> dict[str, Column]:
     value = F.when(inside, F.col(column))
-    return {"mean": F.avg(value), "max": F.max(value), "min": F.min(value), "std": F.stddev_samp(value),
-            "median": F.percentile_approx(value, 0.5, 10000)}
+    return {"mean": F.avg(value), "max": F.max(value), "min": F.min(value), "std": F.stddev_samp(value)}
+
+
+def window_medians(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date: str, key_date: str, columns: Sequence[str], windows: Sequence[int],
+                   edges: dict[str, list[float]] | None = None) -> DataFrame:
+    """Discrete medians of the windows before each key date, exact at every size: ``on``, ``key_date``, ``feature``, ``days``, ``value``.
+
+    Events are reduced to counts per key, day, value slice and value. A key date first adds up the counts of its days' slices and
+    finds the slice of each window in which the median lies; then only the values of those slices are paired with it and
+    counted. A key with a third of all events has no group in one task: its values are divided by slice.
+    """
+    numbers = events.select(*on, event_date, *columns)
+    edges = slice_edges(numbers, columns) if edges is None else edges
+    daily = materialize(distinct_values(numbers, columns, [*on, event_date], edges=edges), "daily-values")
+    reach, group = max(windows), [*on, key_date, "feature", "days"]
+    inside = F.explode(F.filter(F.array(*map(F.lit, windows)), lambda w: F.col("days_before") <= w)).alias("days")
+    per_slice = pair_within(daily.groupBy(*on, event_date, "feature", "slice").agg(F.sum("n").alias("n")), keys, on, event_date, key_date, reach)
+    per_slice = per_slice.select(*on, key_date, "feature", "slice", "n", inside).groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
+    wanted = materialize(located(per_slice, group, [0.5], False).select("__k.*", "slice", "total", "offset", "ranks"), "median-slices")
+    part = [*on, "feature", "slice"]
+    pairs = pair_within(daily, wanted, part, event_date, key_date, reach).select(*part, key_date, "value", "n", inside)
+    counts = pairs.join(wanted.select(*group, "slice"), [*group, "slice"], "left_semi").groupBy(*group, "slice", "value").agg(F.sum("n").alias("n"))
+    needed = wanted.select(packed(group).alias("__k"), "slice", "total", "offset", "ranks")
+    return picked(ordered(counts, needed, group), group).select(*group, "value")
+
+
+def _with_exact_medians(table: DataFrame, events: DataFrame, on: Sequence[str], event_date: str, key_date: str, middle: Sequence[tuple[str, int]],
+                        few: int) -> DataFrame:
+    """The table with the medians of key dates that have over ``few`` values in a window put right, and without the counts."""
+    table = materialize(table, "lookback")
+    sizes = [f"__n_{c}_{w}" for c, w in middle]
+    busy = table.filter(F.greatest(*sizes, F.lit(0)) > few).select(*on, key_date)
+    if busy.limit(1).count():
+        found = window_medians(events, busy, on, event_date, key_date, list(dict.fromkeys(c for c, _ in middle)), sorted({w for _, w in middle}))
+        wide = found.groupBy(*on, key_date).agg(*[F.max(F.when((F.col("feature") == c) & (F.col("days") == w), F.col("value"))).alias(f"__m_{c}_{w}")
+                                                  for c, w in middle])
+        table = table.join(wide, [*on, key_date], "left").withColumns({
+            f"{c}_median_{w}d": F.when(F.col(f"__n_{c}_{w}") > few, F.col(f"__m_{c}_{w}")).otherwise(
+                F.col(f"{c}_median_{w}d") if f"{c}_median_{w}d" in table.columns else F.lit(None)) for c, w in middle}).drop(*[f"__m_{c}_{w}" for c, w in middle])
+    elif not few:
+        table = table.withColumns({f"{c}_median_{w}d": F.lit(None).cast("double") for c, w in middle})
+    return table.drop(*sizes)
 
 
 def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date: str, key_date: str,
              columns: Sequence[str], windows: Sequence[int] = (30, 60, 90),
              stats: Sequence[str] = ("mean", "max", "min", "std"), counts: bool = True, trend: int | None = 30,
              latest: bool = False, keep: Sequence[str] | None = None, dedupe: bool = True,
-             empty_count_zero: bool = False, rollup: bool = False) -> DataFrame:
+             empty_count_zero: bool = False, rollup: bool = False, few: int = FEW) -> DataFrame:
     """All windows, statistics, counts and trends of every key date in one aggregation.
 
     Rows on the key date itself are excluded. With ``rollup`` events are first reduced to one row of moments per key and day,
     so that a busy key does not multiply its events by the key dates near them; a panel with about one row per key and day
-    is better joined as it is, as moments are wider than values. Both ways give the same numbers. A median needs the
-    values themselves, so it ignores ``rollup``, and is approximate beyond 10,000 values of a window. ``trend`` d is the mean
+    is better joined as it is, as moments are wider than values. Both ways give the same numbers. ``trend`` d is the mean
     of days 1..d minus the mean of days d+1..2d. ``keep`` limits the output to named features; only
     the columns and statistics they need are computed. A key date without any event in the longest window
     has no output row unless ``latest`` finds an older event.
+
+    Medians are the discrete ones. Those of at most ``few`` values come from the same aggregation, where they are exact; key
+    dates with more values in a window are looked up by ``window_medians``.
     """
     wanted = set(keep) if keep else None
-    raw = "median" in stats or not rollup
+    raw = not rollup
     if dedupe:
         events = events.dropDuplicates()
+    middle = [(c, w) for w in windows for c in columns if "median" in stats and (wanted is None or f"{c}_median_{w}d" in wanted)]
     source = events if raw else daily_moments(events, on, event_date, columns)
     reach = max([*windows, 2 * trend if trend else 0])
     pairs = pair_within(source, keys, on, event_date, key_date, reach)
@@ -100,7 +148,7 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
     for w in windows:
         for c in columns:
             made = (_direct if raw else _merged)(c, before <= w)
-            out.update({f"{c}_{s}_{w}d": made[s] for s in stats})
+            out.update({f"{c}_{s}_{w}d": made[s] for s in stats if s != "median"})
         if counts:
             rows = F.count(F.when(before <= w, 1)) if raw else F.sum(F.when(before <= w, F.col("rows")))
             out[f"click_count_{w}d"] = F.coalesce(rows, F.lit(0)) if empty_count_zero else F.when(rows > 0, rows)
@@ -111,7 +159,17 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
                                           - make(c, before.between(trend + 1, 2 * trend))["mean"])
     if wanted is not None:
         out = {k: v for k, v in out.items() if k in wanted}
+    if middle:
+        if raw:  # exact while a window has at most as many values as the sketch keeps
+            out.update({f"{c}_median_{w}d": F.percentile_approx(F.when(before <= w, F.col(c)), 0.5, SKETCH) for c, w in middle})
+            out.update({f"__n_{c}_{w}": F.count(F.when(before <= w, F.col(c))) for c, w in middle})
+        else:
+            out.update({f"__n_{c}_{w}": F.sum(F.when(before <= w, F.col(f"{c}__n"))) for c, w in middle})
+    if latest and not out:
+        return latest_before(events, keys, on, event_date, key_date, columns)
     table = pairs.groupBy(*on, key_date).agg(*[v.alias(k) for k, v in out.items()])
+    if middle:
+        table = _with_exact_medians(table, events, on, event_date, key_date, middle, few if raw else 0)
     if not latest:
         return table
     last = latest_before(events, keys, on, event_date, key_date, columns)

@@ -31,10 +31,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         return quantiles_of_counts(distinct_values(numbers, columns, keys, edges=edges), probs, keys, interpolate, small=True)
     rows = sliced_values(numbers, columns, keys, edges=edges)
     per_slice = rows.groupBy(*group, "slice").agg(F.count(F.lit(1)).alias("slice_n"))
-    needed = materialize(_located(per_slice, group, probs, interpolate), "ranks")
+    needed = materialize(located(per_slice, group, probs, interpolate), "ranks")
     inside = rows.withColumn("__k", packed(group)).join(needed.select("__k", "slice"), ["__k", "slice"], "left_semi")
     counts = inside.groupBy(*group, "slice", "value").agg(F.count(F.lit(1)).alias("n"))
-    return _picked(_ordered(counts, needed, group), group)
+    return picked(ordered(counts, needed, group), group)
 
 
 def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,13 +53,13 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequenc
         whole = Window.partitionBy(*group)
         running = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         total = F.sum("n").over(whole)
-        return _picked(counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
+        return picked(counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
                                            "before": F.coalesce(F.sum("n").over(running), F.lit(0))}), group)
     per_slice = counts.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
-    return _picked(_ordered(counts, _located(per_slice, group, probs, interpolate), group), group)
+    return picked(ordered(counts, located(per_slice, group, probs, interpolate), group), group)
 
 
-def _located(per_slice: DataFrame, group: Sequence[str], probs: Sequence[float], interpolate: bool) -> DataFrame:
+def located(per_slice: DataFrame, group: Sequence[str], probs: Sequence[float], interpolate: bool) -> DataFrame:
     """Slices that hold a wanted rank, with the rows before them and those ranks: a few rows per group."""
     whole = Window.partitionBy("__k")
     earlier = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -72,14 +72,14 @@ def _located(per_slice: DataFrame, group: Sequence[str], probs: Sequence[float],
     return located.withColumn("ranks", ranks).filter(F.size("ranks") > 0).drop("slice_n")
 
 
-def _ordered(counts: DataFrame, needed: DataFrame, group: Sequence[str]) -> DataFrame:
+def ordered(counts: DataFrame, needed: DataFrame, group: Sequence[str]) -> DataFrame:
     """Value counts of the needed slices with the rows before each value."""
     inside = Window.partitionBy("__k", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return (counts.withColumn("__k", packed(group)).join(needed, ["__k", "slice"])
             .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))))
 
 
-def _picked(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+def picked(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     """Values at the wanted ranks."""
     hit = rows.select(*group, "total", "value", "before", (F.col("before") + F.col("n")).alias("after"), F.inline("ranks"))
     at = {end: (F.col(end) >= F.col("before")) & (F.col(end) < F.col("after")) for end in ("low", "high")}

@@ -48,7 +48,7 @@ def join_sources(labels: DataFrame, attributes: DataFrame, financials: DataFrame
     probes, out = base.select("Customer_ID", "labels_snapshot_date").distinct(), base
     for table, date in ((people, "attributes_snapshot_date"), (money, "financials_snapshot_date")):
         columns = [c for c in table.columns if c != "Customer_ID"]
-        known = asof_lookup(probes, table, ["Customer_ID"], "labels_snapshot_date", date, columns, grain="YEAR")
+        known = asof_lookup(probes, table, ["Customer_ID"], "labels_snapshot_date", date, columns)
         out = (out.join(known, ["Customer_ID", "labels_snapshot_date"], "left")
                .select(*out.columns, *[F.col(f"found.{c}").alias(c) for c in columns]))
     return out
@@ -95,11 +95,12 @@ def feature_store(labels: DataFrame, attributes: DataFrame, financials: DataFram
     made = apply_params(rows, params)
     if clicks is not None:
         columns = prefixed(clicks, "fe_")
-        needed = sorted({f.split("_mean_")[0].split("_std_")[0].split("_trend_")[0].split("_max_")[0].split("_min_")[0]
-                         .split("_median_")[0] for f in click_features} & set(columns))
+        needed = [c for c in columns if any(f.startswith(f"{c}_") for f in click_features)]
         events = clicks.dropDuplicates().withColumns({c: F.col(c).cast("double") for c in needed})
-        features = lookback(events, made, ["Customer_ID"], "clicks_snapshot_date", "labels_snapshot_date", needed,
-                            click_windows, keep=click_features, trend=trend, dedupe=False)
+        last = [c for c in needed if f"{c}_latest" in click_features]
+        features = lookback(events, made, ["Customer_ID"], "clicks_snapshot_date", "labels_snapshot_date", needed, click_windows,
+                            ("mean", "median", "max", "min", "std"), keep=click_features, trend=trend, dedupe=False, latest=bool(last))
+        features = features.drop(*[f"{c}_latest" for c in needed if c not in last])
         require_columns(features, click_features)
         made = made.join(features, ["Customer_ID", "labels_snapshot_date"], "left")
     return made.drop(*drop), params

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import calendar_months, month_start
-from panelkit.operators.asof import asof_small
+from panelkit.operators.asof import asof_join
 from panelkit.operators.metrics import discrimination
 
 # Refresh and promotion policy.
@@ -25,7 +25,7 @@ KEPT_NOT_BETTER = "kept champion: candidate not better on the same OOT window"
 
 def roles_asof(dates: DataFrame, roles: DataFrame, date: str = "month") -> DataFrame:
     """Champion and challenger in force on each date (latest row effective on or before it)."""
-    return asof_small(dates, roles, [], date, "effective_from", ["effective_from", "champion", "challenger"])
+    return asof_join(dates, roles, [], date, "effective_from", ["effective_from", "champion", "challenger"])
 
 
 def current_roles(roles: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def manual_promotion(roles: DataFrame, model: str, as_of: str, reason: str = "ma
 def latest_training(dates: DataFrame, runs: DataFrame, date: str = "month") -> DataFrame:
     """Date of the latest training run on or before each date."""
     trained = runs.select(F.col("as_of").alias("last_training")).distinct()
-    return asof_small(dates, trained, [], date, "last_training", ["last_training"])
+    return asof_join(dates, trained, [], date, "last_training", ["last_training"])
 
 
 def labelled_months(dates: DataFrame, labels: DataFrame, label_date: str, date: str = "month") -> DataFrame:
@@ -143,9 +143,9 @@ def labelled_months(dates: DataFrame, labels: DataFrame, label_date: str, date:
 def monitoring_asof(state: DataFrame, monitoring: DataFrame, date: str = "month") -> DataFrame:
     """Per date the champion's last monitoring row before it, and its last row whose performance was assessed."""
     mon = monitoring.withColumnRenamed("model_version", "champion")
-    latest = asof_small(state, mon, ["champion"], date, "snapshot_date", ["stability_status"], strict=True)
+    latest = asof_join(state, mon, ["champion"], date, "snapshot_date", ["stability_status"], strict=True)
     assessed = mon.filter(F.col("performance_status").isin("ok", "watch", "alert"))
-    return asof_small(latest, assessed, ["champion"], date, "snapshot_date", ["performance_status"], strict=True)
+    return asof_join(latest, assessed, ["champion"], date, "snapshot_date", ["performance_status"], strict=True)
 
 
 def refresh_decisions(dates: DataFrame, roles: DataFrame, runs: DataFrame, models: DataFrame, labels: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.asof import asof_small
+from panelkit.operators.asof import asof_join
 from panelkit.plans.gold import DROPPED, apply_params
 from panelkit.plans.params import FeatureParams
 
@@ -47,5 +47,5 @@ def rows_to_monitor(inference: DataFrame, gold: DataFrame, key: str = "loan_id")
 
 def params_in_force(months: DataFrame, roles: DataFrame, models: DataFrame, month: str = "month") -> DataFrame:
     """Champion of each month and the training date whose parameters it needs."""
-    champions = asof_small(months, roles, [], month, "effective_from", ["champion"])
+    champions = asof_join(months, roles, [], month, "effective_from", ["champion"])
     return champions.join(models.select(F.col("model_version").alias("champion"), "model_train_date"), "champion", "left")

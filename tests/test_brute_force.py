@@ -21,6 +21,7 @@ from panelkit.operators.quantiles import collect_quantiles, exact_quantiles
 from panelkit.operators.ranking import average_ranks, distinct_values, running_totals
 from panelkit.operators.selection import selection_report
 
+D = dt.date
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -221,14 +222,14 @@ def test_history_mean_against_pandas(spark):
     assert not found
 
 
-@pytest.mark.parametrize("grain", ["MONTH", "YEAR", "DAY"])
+@pytest.mark.parametrize("slices", [1, None, 100])
 @pytest.mark.parametrize("strict", [True, False])
-def test_asof_against_pandas(spark, grain, strict):
+def test_asof_against_pandas(spark, slices, strict):
     pdf = events(800)
     left = pdf[["who", "day"]].assign(row=range(len(pdf)))
     right = pdf.sample(150, random_state=2).rename(columns={"day": "known"})[["who", "known", "fe_1"]].drop_duplicates(["who", "known"])
     found = {r["row"]: r["fe_1"] for r in asof_join(spark.createDataFrame(left), spark.createDataFrame(right), ["who"], "day", "known",
-                                                    ["fe_1"], strict, grain).collect()}
+                                                    ["fe_1"], strict, slices).collect()}
     assert len(found) == len(left)
     for _, k in left.iterrows():
         part = right[(right.who == k["who"]) & ((right.known < k["day"]) if strict else (right.known <= k["day"]))]
@@ -326,3 +327,86 @@ def test_calibration_bins(spark):
 def test_mode_prefers_the_smallest(spark):
     df = spark.createDataFrame([("k", "b"), ("k", "a"), ("k", None), ("j", "z"), ("j", "z"), ("j", "a")], "k string, v string")
     assert dict(tuple(r) for r in mode_of(df, ["k"], "v").collect()) == {"k": "a", "j": "z"}
+
+
+def busy_day(n=6000, seed=9):
+    """Times of day of one key on one day, and a few rows of others over years."""
+    rng = np.random.default_rng(seed)
+    day = dt.datetime(2024, 5, 3)
+    hot = [("hot", day + dt.timedelta(seconds=int(s)), float(v)) for s, v in zip(rng.integers(0, 86400, n // 3), rng.random(n))]
+    rest = [(f"k{int(k)}", dt.datetime(2022, 1, 1) + dt.timedelta(hours=int(h)), float(v)) for k, h, v in
+            zip(rng.integers(0, 200, n - n // 3), rng.integers(0, 24 * 1000, n), rng.random(n))]
+    return pd.DataFrame(hot + rest, columns=["who", "at", "v"])
+
+
+@pytest.mark.parametrize("on", [["who"], []])
+def test_asof_of_a_busy_day(spark, on):
+    right, left = busy_day().drop_duplicates(["who", "at"]), busy_day(seed=10).rename(columns={"at": "asked"}).drop(columns="v").assign(row=range(6000))
+    if not on:
+        right = right.sort_values(["at", "v"]).drop_duplicates("at", keep="last")
+    made = asof_join(spark.createDataFrame(left).repartition(5), spark.createDataFrame(right).repartition(5), on, "asked", "at", ["v"], slices=32)
+    found = {r["row"]: r["v"] for r in made.collect()}
+    expected = pd.merge_asof(left.sort_values("asked"), right.sort_values("at"), left_on="asked", right_on="at", by=on or None, suffixes=("", "_r"))
+    assert len(found) == 6000 and all((found[r.row] is None) if np.isnan(r.v) else found[r.row] == r.v for r in expected.itertuples())
+
+
+def test_asof_slices_hold_alike_many_rows(spark):
+    """A key with a third of all rows on one day is spread over about a third of the slices."""
+    from panelkit.operators import asof
+    frame = spark.createDataFrame(busy_day())
+    seen = {}
+    real = asof.with_slices
+
+    def watch(df, edges):
+        out = real(df, edges)
+        seen["rows"] = [r["count"] for r in out.groupBy("who", "__n__slice").count().collect()]
+        return out
+
+    asof.with_slices = watch
+    try:
+        asof_join(frame.withColumnRenamed("at", "asked"), frame, ["who"], "asked", "at", ["v"], slices=32).count()
+    finally:
+        asof.with_slices = real
+    assert max(seen["rows"]) < 12000 / 32 * 1.5
+
+
+def test_asof_of_nulls_and_nothing(spark):
+    left = spark.createDataFrame([("a", None), (None, D(2024, 1, 2)), ("a", D(2024, 1, 2)), ("a", D(2024, 1, 2))], "k string, d date")
+    right = spark.createDataFrame([("a", D(2024, 1, 1), 1), ("a", D(2024, 1, 1), 2), ("a", None, 3), (None, D(2024, 1, 1), 4)], "k string, t date, v int")
+    assert sorted((r["k"], r["d"], r["v"]) for r in asof_join(left, right, ["k"], "d", "t", ["v"]).collect() if r["k"] and r["d"]) == [
+        ("a", D(2024, 1, 2), 2)] * 2
+    assert [r["v"] for r in asof_join(left, right, ["k"], "d", "t", ["v"]).collect() if not (r["k"] and r["d"])] == [None, None]
+    assert {r["v"] for r in asof_join(left, right.limit(0), ["k"], "d", "t", ["v"]).collect()} == {None}
+    assert asof_join(left.limit(0), right, ["k"], "d", "t", ["v"]).collect() == []
+
+
+@pytest.mark.parametrize("rollup", [False, True])
+@pytest.mark.parametrize("few, sliced", [(3, True), (3, False), (10 ** 6, False)])
+def test_window_medians_are_exact(spark, rollup, few, sliced, monkeypatch):
+    from panelkit.operators import ranking
+    if sliced:
+        monkeypatch.setattr(ranking, "SMALL", 0)
+    pdf = events(900)
+    pdf.loc[pdf.index % 3 == 0, "who"] = pdf.who.iloc[0]
+    keys = pdf[["who", "day"]].drop_duplicates().sample(60, random_state=1).rename(columns={"day": "at"})
+    made = lookback(spark.createDataFrame(pdf).replace(float("nan"), None), spark.createDataFrame(keys), ["who"], "day", "at", ["fe_1"], (30, 90),
+                    ("mean", "median"), trend=None, dedupe=False, rollup=rollup, few=few)
+    seen = 0
+    for r in made.collect():
+        part = pdf[(pdf.who == r["who"]) & (pdf.day < r["at"])]
+        days = part.day.map(lambda d: (r["at"] - d).days)
+        for w in (30, 90):
+            values = sorted(part[days <= w].fe_1.dropna())
+            assert r[f"fe_1_median_{w}d"] == (values[-(-len(values) // 2) - 1] if values else None)
+            seen += bool(values)
+    assert seen > 60
+
+
+def test_median_of_very_many_values(spark):
+    rows = spark.range(45000, numPartitions=6).selectExpr("IF(id % 3 = 0, 'b', 'a') AS who", "date_add(DATE '2024-01-01', CAST(id % 28 AS INT)) AS day",
+                                                          "CAST((id * 7919) % 45007 AS DOUBLE) AS v")
+    key = spark.createDataFrame([("a", D(2024, 2, 1)), ("b", D(2024, 1, 2))], "who string, at date")
+    found = {r["who"]: r["v_median_60d"] for r in lookback(rows, key, ["who"], "day", "at", ["v"], (60,), ("median",), trend=None, dedupe=False).collect()}
+    told = rows.toPandas()
+    a, b = sorted(told[told.who == "a"].v), sorted(told[(told.who == "b") & (told.day < D(2024, 1, 2))].v)
+    assert len(a) > 10000 and found == {"a": a[-(-len(a) // 2) - 1], "b": b[-(-len(b) // 2) - 1]}

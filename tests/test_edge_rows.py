@@ -1,6 +1,7 @@
 """Hand-written rows with the edge cases of each cleaning and feature rule."""
 
 import datetime as dt
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from panelkit.functions.binning import edge_labels, labelled_bin
 from panelkit.functions.dates import month_spine, months_back, split_of, split_windows
 from panelkit.functions.numeric import INVALID_RULES, NON_NEGATIVE, apply_rules, at_least, status, worst_status
 from panelkit.functions.text import clean_list, replace_token, spell_undefined, years_of
-from panelkit.operators.asof import asof_join, asof_small, latest_non_null, latest_per_key
+from panelkit.operators.asof import asof_join, latest_non_null, latest_per_key
 from panelkit.operators.impute import age_for_apply, age_for_fit, apply_age, apply_counts
 from panelkit.operators.lookback import lookback
 from panelkit.operators.quality import one_to_one, require_splits, with_labels
@@ -163,7 +164,7 @@ def test_latest_row_and_latest_value_differ(spark):
     assert rows(latest_non_null(df, ["k"], "d", ["a", "b"])) == [("c", 1, 20)]
 
 
-@pytest.mark.parametrize("join", [asof_join, asof_small])
+@pytest.mark.parametrize("join", [asof_join, partial(asof_join, slices=1), partial(asof_join, slices=40)])
 def test_role_change_mid_history(spark, join):
     roles = spark.createDataFrame([(D(2024, 1, 1), "m1"), (D(2024, 3, 1), "m2")], "since date, champion string")
     months = spark.createDataFrame([(D(2023, 12, 1),), (D(2024, 2, 1),), (D(2024, 3, 1),), (D(2024, 9, 1),)], "month date")

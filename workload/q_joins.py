@@ -94,7 +94,7 @@ def jn6_orders(spark, d):
         "l_orderkey", "l_linenumber", "l_partkey", "o_custkey", F.to_date("l_shipdate").alias("day"))
     right = orders.select("o_custkey", F.to_date("o_orderdate").alias("ordered"), F.col("o_orderkey").alias("last_order"),
                           F.col("o_totalprice").alias("last_price"))
-    return asof_join(left, right, ["o_custkey"], "day", "ordered", ["last_order", "last_price"], strict=True, grain="YEAR").drop("o_custkey")
+    return asof_join(left, right, ["o_custkey"], "day", "ordered", ["last_order", "last_price"], strict=True).drop("o_custkey")
 
 
 @query("jn7_group_candidates", """WITH c AS (SELECT c_custkey, c_mktsegment, ln(1 + greatest(c_acctbal, 0)) AS li, c_nationkey % 4 AS bin FROM customer),
