@@ -41,6 +41,15 @@ class BytePairs:
     inside: np.ndarray
     kinds: np.ndarray
 
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs in order, as first id << 32 | second id, the rank of each, what each rank makes, and the ids of bytes."""
+        pairs = np.array([a << 32 | b for a, b in self.merges], dtype=np.int64)
+        ranks = np.array([r for r, _ in self.merges.values()], dtype=np.int64)
+        made = np.zeros(int(ranks.max(initial=-1)) + 1, dtype=np.int64)
+        made[ranks] = [k for _, k in self.merges.values()]
+        order = np.argsort(pairs)
+        return pairs[order], ranks[order], made, np.array(self.byte_ids, dtype=np.int64)
+
 
 def letters_and_spaces() -> np.ndarray:
     """The class of every code point as the library's splitter sees it: where two sources of Unicode agree, theirs; the library itself
@@ -117,6 +126,72 @@ def merged(fragment: bytes, merges: dict, byte_ids: list[int]) -> list[int]:
     return [x for x in ids if x >= 0]
 
 
+class Merger:
+    """Ids of many short fragments at once: in each round every fragment merges its pair of lowest rank, of equal ranks the leftmost."""
+
+    #: Rank of a pair that doesn't merge, and the longest fragment in bytes that takes part; longer ones take more rounds than the heap costs.
+    NONE, LONGEST = np.int64(1) << 30, 48
+
+    def __init__(self, pairs: np.ndarray, ranks: np.ndarray, made: np.ndarray, byte_ids: np.ndarray):
+        self.pairs, self.ranks, self.made, self.byte_ids, self.merges = pairs, ranks, made, byte_ids, None
+
+    def _look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.ranks[at], self.NONE)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, fragment after fragment, and how many each has."""
+        counts, kept = np.zeros(len(starts), dtype=np.int64), []
+        long = np.flatnonzero(sizes > self.LONGEST)
+        for k in long.tolist():
+            if self.merges is None:
+                by_rank = dict(zip(self.ranks.tolist(), zip(self.pairs.tolist(), self.made[self.ranks].tolist())))
+                self.merges = {(pair >> 32, pair & 0xFFFFFFFF): (rank, made) for rank, (pair, made) in by_rank.items()}
+            ids = merged(data[starts[k]:starts[k] + sizes[k]].tobytes(), self.merges, self.byte_ids.tolist())
+            counts[k] = len(ids)
+            kept.append((np.full(len(ids), k), np.array(ids, dtype=np.int64)))
+        short = np.flatnonzero(sizes <= self.LONGEST)
+        ids, owner = self.byte_ids[data[ranges(starts[short], sizes[short])]], np.repeat(short, sizes[short])
+        last = np.r_[owner[1:] != owner[:-1], True][:len(owner)]
+        rank = np.full(len(ids), self.NONE)
+        inner = np.flatnonzero(~last)
+        rank[inner] = self._look(ids[inner], ids[inner + 1])
+        while len(ids):
+            begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(ids)), begins)
+            open_ = best >> 32 < self.NONE
+            if not open_.all():  # fragments without a pair that merges are finished
+                width = np.diff(np.r_[begins, len(ids)])
+                stays = np.repeat(open_, width)
+                counts[owner[begins[~open_]]] = width[~open_]
+                kept.append((owner[~stays], ids[~stays]))
+                shift = np.cumsum(~stays)
+                at = best[open_] & 0xFFFFFFFF
+                at -= shift[at]
+                merging = best[open_] >> 32
+                ids, owner, rank = ids[stays], owner[stays], rank[stays]
+            else:
+                at, merging = best & 0xFFFFFFFF, best >> 32
+            if not len(ids):
+                break
+            ids[at] = self.made[merging]
+            stays = np.ones(len(ids), dtype=bool)
+            stays[at + 1] = False
+            rank[at] = self.NONE
+            ids, owner, rank, at = ids[stays], owner[stays], rank[stays], at - np.arange(len(at))
+            right = at[(at + 1 < len(ids))]
+            right = right[owner[right] == owner[right + 1]]
+            left = at[at > 0]
+            left = left[owner[left] == owner[left - 1]] - 1
+            for where in (right, left):
+                rank[where] = self._look(ids[where], ids[where + 1])
+        if not kept:
+            return np.zeros(0, np.int64), counts
+        owner, ids = (np.concatenate(x) for x in zip(*kept))
+        return ids[np.argsort(owner, kind="stable")], counts
+
+
 def _tokens_begin(points: np.ndarray, kind: np.ndarray, edge: np.ndarray) -> np.ndarray:
     """Whether the splitter begins a token at each character. ``edge``: a text, or the part after an added token, begins there."""
     begins = edge.copy()
@@ -142,8 +217,8 @@ def _tokens_begin(points: np.ndarray, kind: np.ndarray, edge: np.ndarray) -> np.
 class Encoder:
     """Ids of the fragments that a task has met: short ones by their exact value as a number, longer ones by their bytes."""
 
-    def __init__(self, merges, byte_ids, added, inside, kinds):
-        self.merges, self.byte_ids, self.added, self.kinds = merges, byte_ids, added, kinds
+    def __init__(self, pairs, ranks, made, byte_ids, added, inside, kinds):
+        self.merger, self.added, self.kinds = Merger(pairs, ranks, made, byte_ids), added, kinds
         self.outside = ~inside.reshape(-1)
         self.pattern = re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))) if added else None
         self._forget()
@@ -151,6 +226,10 @@ class Encoder:
     def _forget(self):
         self.slot, self.ids, self.sizes, self.held = {}, array("i"), array("i"), 0
 
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+        self.sizes.frombytes(sizes.astype(np.int32).tobytes())
+
     def _spans(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """Begin, end and id of added tokens, none across two rows."""
         if self.pattern is None or not self.pattern.search(raw):
@@ -173,14 +252,6 @@ class Encoder:
             begins[a + 1:b] = False
         return np.flatnonzero(begins), {a: k for a, _, k in spans}
 
-    def _learn(self, key, fragment: bytes, known: int | None) -> int:
-        ids = merged(fragment, self.merges, self.byte_ids) if known is None else [known]
-        self.slot[key] = len(self.sizes)
-        self.sizes.append(len(ids))
-        self.ids.extend(ids)
-        self.held += len(fragment) + 200
-        return len(self.sizes) - 1
-
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, one after the other, and where those of each row begin (one more at the end)."""
         if not len(data):
@@ -198,19 +269,32 @@ class Encoder:
         value = (lanes[begin >> 3] >> shift) | ((lanes[(begin >> 3) + 1] << np.uint64(1)) << (np.uint64(63) - shift))
         value = value & ((np.uint64(1) << (size << np.uint64(3))) - np.uint64(1)) | size << np.uint64(56)
         distinct, place, which = np.unique(value, return_index=True, return_inverse=True)
-        found = []
+        begins, wide, found, number = [], [], [], len(self.sizes)
         for key, a in zip(distinct.tolist(), begin[place].tolist()):
-            k = self.slot.get(key)
-            found.append(self._learn(key, raw[a:a + (key >> 56)], None) if k is None else k)
+            k = self.slot.setdefault(key, number)
+            if k == number:
+                begins.append(a)
+                wide.append(key >> 56)
+                number += 1
+            found.append(k)
         slot[short] = np.array(found, dtype=np.int64)[which]
         long, found = np.flatnonzero(~short), []
         for a, n in zip(starts[long].tolist(), sizes[long].tolist()):
-            k = self.slot.get(raw[a:a + n])
-            found.append(self._learn(raw[a:a + n], raw[a:a + n], None) if k is None else k)
+            k = self.slot.setdefault(raw[a:a + n], number)
+            if k == number:
+                begins.append(a)
+                wide.append(n)
+                number += 1
+            found.append(k)
         slot[long] = found
+        self._keep(*self.merger(data, np.array(begins, dtype=np.int64), np.array(wide, dtype=np.int64)))
+        self.held += sum(wide) + 200 * len(wide)
         for k in np.searchsorted(starts, sorted(added)).tolist():
-            key = ("added", added[int(starts[k])])
-            slot[k] = self.slot[key] if key in self.slot else self._learn(key, b"", key[1])
+            token = added[int(starts[k])]
+            slot[k] = self.slot.setdefault(("added", token), number)
+            if slot[k] == number:
+                self._keep(np.array([token]), np.array([1]))
+                number += 1
         count, known = np.array(self.sizes, dtype=np.int64), np.array(self.ids, dtype=np.int32)
         ids = known[ranges((np.cumsum(count) - count)[slot], count[slot])]
         return ids, np.r_[0, np.cumsum(count[slot])][np.searchsorted(starts, offsets)]
@@ -218,7 +302,7 @@ class Encoder:
 
 def _encoding(spark, vocabulary: BytePairs, at: int, out_col: str):
     """A function over Arrow batches that appends the ids of text column number ``at``."""
-    shared = spark.sparkContext.broadcast((vocabulary.merges, vocabulary.byte_ids, vocabulary.added, vocabulary.inside, vocabulary.kinds))
+    shared = spark.sparkContext.broadcast((*vocabulary.arrays(), vocabulary.added, vocabulary.inside, vocabulary.kinds))
 
     def run(batches):
         encoder = Encoder(*shared.value)

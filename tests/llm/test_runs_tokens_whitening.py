@@ -216,10 +216,24 @@ def test_cuts_are_certain(vocabulary):
         assert sum(parts, []) == bpe.merged(text, vocabulary.merges, vocabulary.byte_ids)
 
 
+@needs_tokenizer
+@pytest.mark.parametrize("longest", [0, 5, 48, 10 ** 6])
+def test_merging_many_at_once(vocabulary, longest):
+    rnd = random.Random(longest)
+    parts = [b"".join(rnd.choice([b"ab", b"the", b" ", b"zq", bytes([rnd.randrange(256)])]) for _ in range(rnd.randrange(1, 40))) for _ in range(400)]
+    parts += [b"a" * 60, b"ab" * 40, b"x", b"\xff", b" the"]
+    merger = bpe.Merger(*vocabulary.arrays())
+    merger.LONGEST = longest
+    sizes = np.array([len(p) for p in parts])
+    ids, counts = merger(np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes)
+    expected = [bpe.merged(p, vocabulary.merges, vocabulary.byte_ids) for p in parts]
+    assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+
+
 @needs_tokenizer
 def test_a_full_memory_starts_anew(vocabulary, library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 500)
-    encoder = bpe.Encoder(vocabulary.merges, vocabulary.byte_ids, vocabulary.added, vocabulary.inside, vocabulary.kinds)
+    encoder = bpe.Encoder(*vocabulary.arrays(), vocabulary.added, vocabulary.inside, vocabulary.kinds)
     for text in odd_texts(60):
         ids, first = encoder.encode(np.frombuffer(text.encode(), dtype=np.uint8), np.array([0, len(text.encode())]))
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and first.tolist() == [0, len(ids)]
