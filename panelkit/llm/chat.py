@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from panelkit.operators.ranking import running_totals, slice_count, with_slices
 from panelkit.session import materialize
 
 HEAD, COLON, END = "### ", ": ", "</turn>\n"
@@ -23,16 +24,20 @@ CODES = {"\\": "\\", "h": "#", "l": "<", "c": ":"}
 def tree_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     """Nodes on the best root-to-leaf paths of each tree: ``tree``, ``leaf``, ``rank``, ``id`` and ``step`` (1 at the root).
 
-    ``nodes`` has ``tree``, ``id``, ``parent`` and ``score``; ids are unique in a tree. Branches rank by the mean score of their
+    ``nodes`` has ``tree``, ``id``, ``parent`` and ``score``. Branches rank by the mean score of their
     nodes (null: 0), ties by the smaller leaf id; ``branches`` of each tree are kept, all if None. A node whose parent is null
-    or doesn't exist is a root; nodes that only lead into a cycle are on no path. A null tree is a tree like any other.
+    or doesn't exist is a root; nodes that only lead into a cycle are on no path. A null tree is a tree like any other, and a null
+    id an id; of nodes that share tree and id the one with the greatest score counts, of these the smallest parent, nulls last.
 
     Paths are found by self-joins that double their reach: each node knows its ancestor 1, 2, 4, ... replies up, with the scores
     between, until it has come to a root; chosen leaves then unfold along the same tables. So a thread of n replies takes
-    log2(n) rounds, only nodes still on their way take part, and every join is on single nodes, however many a tree has. Each round is written to the shared folder.
+    log2(n) rounds, only nodes still on their way take part, and every join is on single nodes, however many a tree has. The one
+    best leaf of a tree is a minimum, which combines before the shuffle. Each round is written to the shared folder.
     """
     key = F.struct("tree", "id")
-    known = nodes.select(key.alias("key"), F.struct("tree", F.col("parent").alias("id")).alias("up"), F.coalesce("score", F.lit(0.0)).cast("double").alias("weight"))
+    best = F.struct((-F.coalesce("score", F.lit(0.0)).cast("double")).alias("less"), F.col("parent").isNull().alias("none"), "parent")
+    known = nodes.groupBy(key.alias("key")).agg(F.min(best).alias("best")).select(
+        "key", F.struct(F.col("key.tree").alias("tree"), F.col("best.parent").alias("id")).alias("up"), (-F.col("best.less")).alias("weight"))
     parents = known.select(F.col("key").alias("anc"))
     first = known.join(parents, (F.col("up") == F.col("anc")) & F.col("up.id").isNotNull(), "left")
     first = materialize(first.select("key", "anc", "weight", F.lit(1).cast("long").alias("hops")), "jumps")
@@ -47,9 +52,13 @@ def tree_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     whole = materialize(whole, "depths")
     inner = jumps[0].select(F.col("anc").alias("key")).distinct()
     leaves = whole.join(inner, "key", "left_anti").withColumn("tree", F.col("key.tree"))
-    order = Window.partitionBy("tree").orderBy(F.desc(F.col("weight") / F.col("hops")), F.col("key.id"))
-    ranked = leaves.withColumn("rank", F.row_number().over(order))
-    chosen = ranked if branches is None else ranked.filter(F.col("rank") <= branches)
+    if branches == 1:
+        first_leaf = F.min(F.struct((-F.col("weight") / F.col("hops")).alias("less"), F.col("key.id").alias("id"), F.col("hops"))).alias("best")
+        chosen = leaves.groupBy("tree").agg(first_leaf).select(F.struct("tree", "best.id").alias("key"), F.col("best.hops").alias("hops"), F.lit(1).alias("rank"))
+    else:
+        order = Window.partitionBy("tree").orderBy(F.desc(F.col("weight") / F.col("hops")), F.col("key.id"))
+        ranked = leaves.withColumn("rank", F.row_number().over(order))
+        chosen = ranked if branches is None else ranked.filter(F.col("rank") <= branches)
     parts = materialize(chosen.select(F.col("key").alias("leaf"), "rank", F.col("key").alias("node"), F.col("hops").alias("left")), "paths")
     for k in range(len(jumps) - 1, -1, -1):
         reach = 1 << k
@@ -154,9 +163,27 @@ def read_back(pieces: DataFrame) -> DataFrame:
     return ordered.mapInArrow(read, schema)
 
 
-def threads(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
-    """Conversations without branches as trees: each row answers the one before it (by turn, then role and text; nulls first)."""
-    order = Window.partitionBy(conv_col).orderBy(F.asc_nulls_first(turn_col), F.asc_nulls_first("role"), F.asc_nulls_first("text"))
-    number = F.row_number().over(order).cast("long")
-    return turns.select(F.col(conv_col).alias("tree"), number.alias("id"), "role", "text").withColumn(
+def threads(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", slices: int | None = None) -> DataFrame:
+    """Conversations without branches as trees: each row answers the one before it (by turn, nulls first, then role and a hash of the text).
+
+    Rows are numbered without their texts: rows of each conversation and turn are counted, turns are cut into slices at their quantiles,
+    each slice of a conversation is added up on its own, and slices before it come from a table with a row for each. So
+    a conversation with a third of all rows is divided by its turns. Rows that are equal in all are one row with a count until they
+    are numbered.
+    """
+    said = turns.select(F.struct(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), "role", F.xxhash64("text").alias("hash")).alias("row"), "text")
+    equal = materialize(said.groupBy("row").agg(F.count("*").alias("n")), "turns")
+    at = F.coalesce(F.col("row.turn").cast("double"), F.lit(float("-inf")))
+    by_turn = equal.groupBy(F.col("row.conv").alias("conv"), at.alias("at")).agg(F.sum("n").alias("n"))
+    count = slices or slice_count(turns)
+    cuts = by_turn.agg(F.percentile_approx("at", F.array(*[F.lit(i / count) for i in range(1, count)]), 4 * count)).first()[0] if count > 1 else []
+    inner = sorted({c for c in cuts or [] if c > float("-inf")})
+    sliced = with_slices(by_turn, {"at": inner}).withColumnRenamed("at__slice", "slice")
+    before = running_totals(sliced, ["conv"], "at", ["n"], "slice").select(F.struct("conv", "at").alias("place"), "n_before")
+    tied = Window.partitionBy("place").orderBy(F.asc_nulls_first("row.role"), "row.hash").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = (equal.withColumn("place", F.struct(F.col("row.conv").alias("conv"), at.alias("at")))
+                .withColumn("ahead", F.coalesce(F.sum("n").over(tied), F.lit(0))).join(before, "place")
+                .select("row", F.explode(F.sequence(F.col("n_before") + F.col("ahead") + 1, F.col("n_before") + F.col("ahead") + F.col("n"))).alias("id")))
+    texts = said.groupBy("row").agg(F.first("text").alias("text"))  # equal rows have equal texts
+    return numbered.join(texts, "row").select(F.col("row.conv").alias("tree"), "id", F.col("row.role").alias("role"), "text").withColumn(
         "parent", F.when(F.col("id") > 1, F.col("id") - 1)).withColumn("score", F.lit(0.0))

@@ -9,35 +9,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm.fmindex import FmIndex
-from panelkit.llm.words import ALNUM, LOWER, find_words, hash_words, slices
+from panelkit.llm.words import ALNUM, LOWER, find_words, hash_words, ranges, slices
 from panelkit.session import materialize
 
 #: Characters of benchmark text that are searched for in one pass over the documents; a larger benchmark takes more passes.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 2 << 20
 SHARD_BYTES = 4 << 20
+#: Windows that are compared with their neighbours at once.
+STEP = 1 << 16
 
 
 def window_table(items: list[tuple[str, str]], window: int) -> dict:
-    """Vocabulary (sorted word hashes, with a second hash for proof), distinct windows as word numbers and the items of each."""
+    """Vocabulary (sorted word hashes, with a second hash for proof), distinct windows as word numbers (zeros behind shorter ones) and the
+    items of each. Numbers only: a window costs four bytes a word, once more while equal ones are brought together."""
     encoded = [(text or "").encode() for _, text in items]
     data = LOWER[np.frombuffer(b"".join(encoded), dtype=np.uint8)]
     starts, ends, first = find_words(data, np.cumsum([0] + [len(x) for x in encoded]), ALNUM)
     vocabulary, place, number = np.unique(hash_words(data, starts, ends, 0), return_index=True, return_inverse=True)
     proof = hash_words(data, starts, ends, 1)[place]
-    windows: dict[tuple, set] = {}
-    for (item, _), low, high in zip(items, first[:-1], first[1:]):
-        words = (number[low:high] + 1).tolist()
-        for at in range(max(1, len(words) - window + 1) if words else 0):
-            windows.setdefault(tuple(words[at:at + window]), set()).add(item)
     names = sorted({item for item, _ in items})
-    code = {name: k for k, name in enumerate(names)}
-    sizes = np.array([len(w) for w in windows], dtype=np.int64)
-    patterns = np.zeros((len(windows), window), dtype=np.int64)
-    for row, words in enumerate(windows):
-        patterns[row, :len(words)] = words
-    owners = [sorted(code[x] for x in found) for found in windows.values()]
-    return {"vocabulary": vocabulary, "proof": proof, "patterns": patterns, "sizes": sizes, "names": names,
-            "owner_first": np.cumsum([0] + [len(x) for x in owners]), "owners": np.array([x for found in owners for x in found], dtype=np.int64)}
+    code = np.searchsorted(names, [item for item, _ in items]) if items else np.zeros(0, dtype=np.int64)
+    sizes = np.diff(first)
+    windows = np.where(sizes > 0, np.maximum(sizes - window + 1, 1), 0)
+    begin, owner = ranges(first[:-1], windows), np.repeat(np.arange(len(sizes)), windows)
+    numbers = np.r_[number + 1, np.zeros(window, dtype=number.dtype)].astype(np.int32)
+    words = np.empty((len(begin), window), dtype=np.int32)
+    for k in range(window):
+        words[:, k] = np.where(k < sizes[owner], numbers[begin + k], 0)
+    order = np.lexsort(words.T[::-1])
+    fresh = np.ones(len(order), dtype=bool)
+    for at in range(1, len(order), STEP):  # neighbours in order, some at a time
+        some = order[at - 1:at - 1 + STEP + 1]
+        fresh[at:at + STEP] = (words[some[1:]] != words[some[:-1]]).any(axis=1)
+    group = np.cumsum(fresh) - 1
+    pairs = np.unique(group * max(len(names), 1) + code[owner[order]])
+    patterns = words[order[fresh]].astype(np.int64)
+    counts = np.bincount(pairs // max(len(names), 1), minlength=len(patterns))
+    return {"vocabulary": vocabulary, "proof": proof, "patterns": patterns, "sizes": (patterns > 0).sum(axis=1), "names": names,
+            "owner_first": np.r_[0, np.cumsum(counts)], "owners": pairs % max(len(names), 1)}
 
 
 def _shard_hits(data: np.ndarray, offsets: np.ndarray, table: dict):
@@ -86,7 +95,14 @@ def _shard_hits(data: np.ndarray, offsets: np.ndarray, table: dict):
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
-MARKS = [("_words", T.LongType()), ("_spans", SPANS), ("_items", T.ArrayType(T.StringType()))]
+
+
+def mark_names(columns: list[str]) -> list[str]:
+    """Names of the three marks, with more underscores before them if ``columns`` have such names."""
+    before = "_"
+    while {before + x for x in ("words", "spans", "items")} & set(columns):
+        before += "_"
+    return [before + x for x in ("words", "spans", "items")]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -99,7 +115,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _search(table, text: int, marked: bool):
+def _search(table, text: int, marked: bool, names: list[str]):
     """Adds to each row its words, the ranges of words that are hit, merged, and the items found."""
     def search(batches):
         for part, data, offsets in slices(batches, text, SHARD_BYTES):
@@ -116,14 +132,14 @@ def _search(table, text: int, marked: bool):
                 items[k].append(table.value["names"][name])
             columns = part.columns
             if marked:
-                for k, (old, names) in enumerate(zip(columns[-2].to_pylist(), columns[-1].to_pylist())):
+                for k, (old, known) in enumerate(zip(columns[-2].to_pylist(), columns[-1].to_pylist())):
                     spans[k] = _merged(spans[k] + [(x["begin"], x["end"]) for x in old])
-                    items[k] = sorted(set(items[k]) | set(names))
+                    items[k] = sorted(set(items[k]) | set(known))
                 columns = columns[:-3]
             kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
             marks = [pa.array(np.diff(first).astype(np.int64)),
                      pa.array([[{"begin": a, "end": b} for a, b in x] for x in spans], type=kind), pa.array(items, type=pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns + marks, names=part.schema.names[:len(columns)] + [name for name, _ in MARKS])
+            yield pa.RecordBatch.from_arrays(columns + marks, names=part.schema.names[:len(columns)] + names)
     return search
 
 
@@ -134,7 +150,8 @@ def mark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col:
 
     A-Z are lower-cased; words are runs of ASCII letters, digits and non-ASCII characters. An item's windows are its runs of
     ``window`` words; a shorter item that has words is one window. Null and empty texts have no words; repeated items and rows
-    are searched and marked like any other; an item without id is found under the empty id; an empty benchmark hits nothing.
+    are searched and marked like any other; an item without id is found under the empty id; an empty benchmark hits nothing. If ``docs`` has
+    a column of a mark's name, all three marks get one more underscore before theirs.
 
     Each task cuts its documents into shards and indexes those stretches of a shard that consist of benchmark words (a
     window can't be elsewhere) as numbers: suffix order, transform, wavelet ranks. All windows are searched backward at once and
@@ -147,13 +164,14 @@ def mark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col:
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-chars // block_chars))
     marked = docs
-    schema = T.StructType(docs.schema.fields + [T.StructField(name, kind) for name, kind in MARKS])
+    names = mark_names(docs.columns)
+    schema = T.StructType(docs.schema.fields + [T.StructField(n, kind) for n, kind in zip(names, (T.LongType(), SPANS, T.ArrayType(T.StringType())))])
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).distinct().collect()
         table = spark.sparkContext.broadcast(window_table([(r["item"], r["text"]) for r in part], window))
         if block:
             marked = materialize(marked, "marked")
-        search = _search(table, docs.columns.index(text_col), block > 0)
+        search = _search(table, docs.columns.index(text_col), block > 0, names)
         if last and block == blocks - 1:
             return marked.mapInArrow(lambda batches: last(search(batches)), docs.schema)  # noqa: B023
         marked = marked.mapInArrow(search, schema)

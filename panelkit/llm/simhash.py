@@ -175,14 +175,15 @@ def simhash_groups(docs: DataFrame, size: int = 4, distance: int = 4, id_col: st
 def keep_one(docs: DataFrame, size: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row of each group of near copies: the one with the smallest id; rows without an id stay only
     in groups without any id. Of rows that share that id, the one with the smallest text hash stays, and of equal rows one."""
-    marked = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col).cast("string")))
-    narrow = marked.select(F.struct(F.col(id_col).alias("id"), F.col("_text_hash").alias("hash")).alias("row"), F.col(text_col).alias("text"))
+    text_hash = F.xxhash64(F.col(text_col).cast("string"))
+    narrow = docs.select(F.struct(F.col(id_col).alias("id"), text_hash.alias("hash")).alias("row"), F.col(text_col).alias("text"))
     prints = materialize(simhash(narrow, size, "row", "text"), "prints")
     order = F.struct(F.col("id.id").isNull().alias("none"), F.col("id").alias("row"))
     lowest = materialize(prints.groupBy("fingerprint").agg(F.min(order).alias("low")), "lowest")
     roots = link_fingerprints(lowest.select("fingerprint"), distance)
     best = (lowest.join(roots, "fingerprint", "left").groupBy(F.coalesce("root", "fingerprint").alias("root"))
             .agg(F.min("low").alias("low")).select("low.row.*"))
-    best = materialize(best.select(F.col("id").alias("_keep_id"), F.col("hash").alias("_keep_hash")), "kept")
-    kept = marked.join(best, marked[id_col].eqNullSafe(best["_keep_id"]) & (F.col("_text_hash") == F.col("_keep_hash")), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    best = materialize(best.select(F.struct("id", "hash").alias("best")), "kept")
+    # the input's columns stay inside a struct, so none can clash; equal keys, null ids too, are equal as structs
+    whole = docs.select(F.struct(F.col(id_col).alias("id"), text_hash.alias("hash")).alias("key"), F.struct(*docs.columns).alias("row"))
+    return whole.join(best, F.col("key") == F.col("best"), "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -501,3 +501,92 @@ def test_pipeline_stages_against_plain_python(spark, tmp_path):
         for i, t in clean.items():
             assert told[i].pieces == (None if t is None else model.encode(t)) and told[i].lossless is (None if t is None else True)
             assert told[i].decoded_sha256 == (None if t is None else hashlib.sha256(t.encode()).hexdigest())
+
+
+def test_rows_without_or_with_shared_ids_stay_apart(spark, monkeypatch):
+    """Two texts whose upper hash halves agree, without ids and with one id: only repeated words go."""
+    rnd, seen, pair = random.Random(21), {}, None
+    passage = " ".join(f"p{k}" for k in range(40))
+    n = 0
+    while pair is None:  # texts of one repeated passage and a different number of other words
+        texts = [f"{passage} " + " ".join(f"q{rnd.randrange(10 ** 9)}" for _ in range(14 + k % 3)) for k in range(20000)]
+        hashed = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string").selectExpr("k", "shiftright(xxhash64(t), 32) AS h").collect()
+        for k, h in hashed:
+            if h in seen and seen[h] != texts[k]:
+                pair = (seen[h], texts[k])
+            seen[h] = texts[k]
+        n += 1
+        assert n < 20
+    for i in (None, 5):
+        data = [(i, t) for t in pair]
+        lists = [spaced(t) for t in pair]
+        got = sorted((r.n_words, r.n_removed) for r in remove_repeats(table(spark, data), 35).collect())
+        assert got == sorted((len(w), 40) for w in lists)
+
+
+def test_window_table_of_blocks_and_clashing_names(spark):
+    rnd = random.Random(31)
+    bench = spark.createDataFrame([(k, " ".join(f"b{rnd.randrange(20)}" for _ in range(rnd.randrange(1, 30)))) for k in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(f"b{rnd.randrange(22)}" for _ in range(200)), k, "s", "i") for k in range(40)],
+                                 "doc_id long, text string, _words long, _spans string, __items string").repartition(3)
+    one, many = (mark_hits(docs, bench, 3, block_chars=c) for c in (1 << 30, 500))
+    assert one.columns == [*docs.columns, "___words", "___spans", "___items"]
+    key = lambda r: r.doc_id
+    assert sorted(one.collect(), key=key) == sorted(many.collect(), key=key)
+    assert remove_hits(docs, bench, 3, ).columns == docs.columns and sorted(remove_hits(docs, bench, 3).collect(), key=key) != sorted(docs.collect(), key=key)
+    for name in ("_text_hash", "key", "best"):
+        named = docs.withColumnRenamed("_spans", name)
+        assert keep_one(named).columns == named.columns
+
+
+def test_empty_and_single_rows(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six")], "doc_id long, text string")
+    assert simhash_groups(docs.limit(0)).collect() == [] and fingerprints(docs.limit(0)).collect() == [] and keep_one(docs.limit(0)).collect() == []
+    alone = fingerprints(docs).first()
+    assert (alone.edited, alone.near_next) == (docs.first().text[:14] + docs.first().text[:13], 1.0)
+    records = spark.createDataFrame([], "record_id string, kind string, url string, fetched_at string, headers map<string,string>, payload string")
+    assert resolve_revisits(records).collect() == []
+    captures = spark.createDataFrame([], "capture_id long, url string, fetched_at string")
+    entries = spark.createDataFrame([("host", "x.org", "block", "2024-01-01")], "rule string, value string, action string, listed_at string")
+    assert filter_urls(captures, entries).collect() == []
+
+
+def test_repeated_and_null_nodes(spark):
+    nodes = [("t", 1, None, .5), ("t", 2, 1, .1), ("t", 2, 1, .1), ("t", 2, None, .9), ("t", None, 1, 1.0), (None, None, None, .2)]
+    df = spark.createDataFrame([(*n, "x", "y") for n in nodes], "tree string, id int, parent int, score double, key string, up string")
+    got = sorted((order((r.tree, r.leaf, r.id)), r["rank"], r.step) for r in tree_paths(df, None).collect())
+    # node 2 has no parent, as its best row has none; the null id is a leaf below node 1
+    assert got == sorted([(order(("t", 2, 2)), 1, 1), (order(("t", None, 1)), 2, 1), (order(("t", None, None)), 2, 2), (order((None, None, None)), 1, 1)])
+    best = {(r.tree, r.leaf) for r in tree_paths(df, 1).collect()}
+    assert best == {(r.tree, r.leaf) for r in tree_paths(df, None).filter("rank = 1").collect()}
+
+
+@pytest.mark.parametrize("slices", [1, 5, 40])
+def test_a_busy_conversation_and_a_busy_url(spark, slices):
+    rnd = random.Random(slices)
+    turns = [(0, rnd.randrange(400) if rnd.random() < 0.9 else None, rnd.choice(["user", "assistant", None]), rnd.choice(["a", "b", None, "c" * 50])) for _ in range(900)]
+    turns += [(1 + k % 600, k // 600, "user", f"{k}") for k in range(1800)]
+    made = threads(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(4), slices=slices).collect()
+    assert len(made) == len(turns)
+    busy = sorted((r for r in made if r.tree == 0), key=lambda r: r.id)
+    assert [r.id for r in busy] == list(range(1, 901)) and all(r.parent == (r.id - 1 or None) for r in busy)
+    told = sorted((t for t in turns if t[0] == 0), key=lambda t: order(t[1:3]))
+    rank = {}
+    for k, t in enumerate(told):
+        rank.setdefault(t[1:3], []).append(k + 1)
+    at = collections.defaultdict(list)
+    for r in busy:
+        at[r.role, r.text].append(r.id)
+    wanted = collections.defaultdict(list)
+    for (turn, role), places in rank.items():
+        assert sorted(x for x in places) == list(range(places[0], places[-1] + 1))
+        inside = [r for r in busy if places[0] <= r.id <= places[-1]]
+        assert {r.role for r in inside} == {role}
+        assert collections.Counter(r.text for r in inside) == collections.Counter(t[3] for t in told if t[1:3] == (turn, role))
+    records = [(f"r{k}", "response", "http://x.org/a", f"2024-01-01 00:{k // 60:02d}:{k % 60:02d}", {"etag": str(k)}, f"body {k}") for k in range(0, 600, 7)]
+    records += [(f"v{k}", "revisit", "http://x.org/a", f"2024-01-01 00:{k // 60:02d}:{k % 60:02d}", {"etag": str((k - 1) // 7 * 7)}, None) for k in range(600)]
+    records += [(f"n{k}", "revisit", None, "2024-01-01", None, None) for k in range(300)]
+    df = spark.createDataFrame(records, "record_id string, kind string, url string, fetched_at string, headers map<string,string>, payload string").repartition(4)
+    got = {r.record_id: r for r in resolve_revisits(df, slices).collect()}
+    assert len(got) == 900 and all(got[f"n{k}"].outcome == "missing" for k in range(300)) and got["v0"].outcome == "missing"
+    assert all((got[f"v{k}"].source_id, got[f"v{k}"].payload) == (f"r{(k - 1) // 7 * 7}", f"body {(k - 1) // 7 * 7}") for k in range(1, 600))
