@@ -271,3 +271,66 @@ def test_baseline_round_trip_and_drift(spark):
     assert (found["m", 1]["reference_auc"], found["n", 1]["reference_auc"], found["o", 1]["reference_auc"]) == (0.9, 0.7, None)
     assert found["o", 1]["score_psi"] is None and found["o", 1]["n_scored"] == 2000 and found["o", 1]["as_of_date"] == dt.date(2024, 3, 1)
     assert {(r["model_version"], r["feature"]) for r in drift.collect()} == {("m", "f"), ("m", "g"), ("n", "f")}
+
+
+def monitored_panel(spark, n=3000):
+    return spark.range(n).selectExpr(
+        "CAST(id AS STRING) AS loan_id", "IF(id % 2 = 0, 'a', 'b') AS model_version", "add_months(DATE '2024-01-01', CAST(id % 5 AS INT)) AS snapshot_date",
+        "'champion' AS model_role", "IF(id % 5 < 2, 'train', 'production') AS data_split", "((id * 37) % 101) / 101e0 AS model_predictions",
+        "CAST((id * 37) % 101 >= 50 AS INT) AS predicted_default", "CAST((id * 7) % 100 < id % 100 AS INT) AS label",
+        "IF(id % 11 = 0, NULL, CAST((id * (1 + id % 2)) % 50 AS DOUBLE)) AS f", "IF(id % 10 = 0, NULL, IF(id % 3 = 0, 'k', 'm')) AS g", "IF(id % 2 = 0, 1e0, NULL) AS one")
+
+
+def alike(found, expected):
+    """Summaries and drift tables that hold the same, but for rounding."""
+    for a, b in zip(found, expected):
+        keys = ["model_version", "snapshot_date"] + (["feature"] if "feature" in a.columns else [])
+        left, right = a.orderBy(*keys).collect(), b.orderBy(*keys).collect()
+        assert len(left) == len(right) > 9
+        for one, other in zip(left, right):
+            for c in a.columns:
+                assert one[c] == other[c] or one[c] == pytest.approx(other[c]), (c, one, other)
+
+
+def test_baselines_of_all_models_equal_single_ones(spark):
+    from panelkit.plans.monitoring import build_baseline, build_baselines, load_baselines, monitoring_summary
+    rows = monitored_panel(spark)
+    train = rows.filter("data_split = 'train'")
+    reference = spark.createDataFrame([("a", 0.8), ("b", 0.7)], "model_version string, reference_auc double")
+    all_ = build_baselines(train, ["f", "one"], ["g"], reference)
+    single = {m: build_baseline(train.filter(F.col("model_version") == m), ["f", "one"], ["g"], auc) for m, auc in (("a", 0.8), ("b", 0.7))}
+    path = fresh_path(spark, "baselines")
+    all_.save(path)
+    again = load_baselines(spark, path, ["f", "one"], ["g"])
+    expected = monitoring_summary(rows, single)
+    for bases in (all_, again):
+        alike(monitoring_summary(rows, bases), expected)
+    only = load_baselines(spark, path, ["f", "one"], ["g"], ["b"])
+    assert {r["model_version"] for r in only.cuts.collect()} == {"b"}
+
+
+def test_stored_state_reads_the_new_month_only(spark):
+    from panelkit.plans.monitoring import build_baselines, load_state, month_state, monitoring_summary, months_touched, summarise, update_state
+    from panelkit.sources.sinks import write_partitions
+    rows = monitored_panel(spark)
+    reference = spark.createDataFrame([("a", 0.8), ("b", 0.7)], "model_version string, reference_auc double")
+    bases = build_baselines(rows.filter("data_split = 'train'"), ["f", "one"], ["g"], reference)
+    path, table = fresh_path(spark, "state"), fresh_path(spark, "predictions")
+    write_partitions(rows.select("loan_id", "model_version", "snapshot_date", "model_role", "data_split", "model_predictions", "predicted_default"), table, ["snapshot_date"])
+    made = spark.read.parquet(table)
+    labels = rows.selectExpr("loan_id", "label", "add_months(snapshot_date, 2) AS label_date")
+    features = rows.select("loan_id", "f", "one", "g")
+    update_state(path, made, labels, features, bases, ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"], "2024-04-01")
+    before = {r["snapshot_date"]: r["n_y"] for r in load_state(spark, path).cells.groupBy("snapshot_date").agg(F.sum("n_y").alias("n_y")).collect()}
+    assert before[dt.date(2024, 2, 1)] > 0 and before[dt.date(2024, 3, 1)] == 0
+    touched = months_touched(made, labels, "2024-04-01", "2024-05-01")
+    assert touched == ["2024-03-01", "2024-05-01"]  # labels of March came, May is new
+    wanted = made.filter(F.col("snapshot_date").isin([F.lit(m).cast("date") for m in touched]))
+    assert wanted.select(F.input_file_name()).distinct().count() == 2 and "PartitionFilters: [snapshot_date" in wanted._jdf.queryExecution().toString()
+    update_state(path, made, labels, features, bases, touched, "2024-05-01")
+    stored = summarise(load_state(spark, path), bases, as_of="2024-05-01")
+    known = labels.filter("label_date <= DATE '2024-05-01'").drop("label_date")
+    whole = monitoring_summary(made.join(known, "loan_id", "left").join(features, "loan_id", "left"), bases, as_of="2024-05-01")
+    alike(stored, whole)
+    update_state(path, made, labels, features, bases, touched, "2024-05-01")  # again: nothing changes
+    assert load_state(spark, path).cells.count() == month_state(made.join(known, "loan_id", "left").join(features, "loan_id", "left"), bases).cells.count()

@@ -1,16 +1,14 @@
 """Monitoring, drift, roles, refresh decisions and promotion."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.asof import role_intervals
 from panelkit.operators.metrics import discrimination
 from panelkit.plans.governance import (champion_on_window, current_roles, manual_promotion, promotion, promotion_roles, rank_candidates,
                                        refresh_decisions, roles_asof, upsert_roles, upsert_runs, verified_models)
-from panelkit.plans.monitoring import (build_baseline, drift_heatmap, governance_timeline, known_labels, load_baseline,
-                                       monitor_as_of, monitor_targets, monitored_rows, monitoring_summary, production_and_shadow)
+from panelkit.plans.monitoring import (build_baselines, drift_heatmap, governance_timeline, known_labels, load_baselines, load_state,
+                                       monitor_as_of, monitor_targets, monitored_rows, monitoring_summary, months_touched, production_and_shadow,
+                                       summarise, update_state)
 from panelkit.session import fresh_path, materialize
 from workload.q_statistics import _bin_sql, _edge_sql
 from workload.registry import query
@@ -40,12 +38,11 @@ def scored(spark, d):
 
 
 def monitored(spark, d):
-    """Monitored rows, written once, and a baseline per model from its training rows, with its AUC of the year 1999 as reference."""
+    """Monitored rows, written once, and the baselines of both models from their training rows, with their AUC of the year 1999 as reference."""
     rows = materialize(scored(spark, d), "scored")
     later = rows.filter("snapshot_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-01'")
-    reference = {r["model_version"]: r["auc"] for r in discrimination(later, "model_predictions", "label", ["model_version"]).collect()}  # one per model
-    train = rows.filter("data_split = 'train'")
-    return rows, {m: build_baseline(train.filter(F.col("model_version") == m), NUMERIC, LEVELS, auc) for m, auc in sorted(reference.items())}
+    reference = discrimination(later, "model_predictions", "label", ["model_version"]).select("model_version", F.col("auc").alias("reference_auc"))
+    return rows, build_baselines(rows.filter("data_split = 'train'"), NUMERIC, LEVELS, reference)
 
 
 SCORED = """WITH @panel, mv(model_version, w, model_role, train_end) AS (VALUES ('credit_model_a', 1e0, 'champion', DATE '1999-01-01'), ('credit_model_b', 0.5e0, 'challenger', DATE '1997-01-01')),
@@ -79,11 +76,10 @@ DRIFT = f"""{SCORED}, ep AS ({_edges_by_model('p')}), e2 AS ({_edges_by_model('x
 
 @query("mon1_baseline", f"{DRIFT} SELECT model_version, feature, bin, round(e, 9) AS share FROM ex")
 def mon1(spark, d):
-    parts = [b.table.select(F.lit(m).alias("model_version"), "feature", "bin", F.round("share", 9).alias("share")) for m, b in monitored(spark, d)[1].items()]
-    return reduce(DataFrame.unionByName, parts)
+    return monitored(spark, d)[1].shares.select("model_version", "feature", "bin", F.round("share", 9).alias("share"))
 
 
-@query("mon2_monthly_summary", f"""{DRIFT}, worst AS (SELECT model_version, snapshot_date, max(psi) AS max_feature_psi, max(struct_pack(psi := psi, feature := feature)).feature AS max_feature_psi_name,
+SUMMARY = f"""{DRIFT}, worst AS (SELECT model_version, snapshot_date, max(psi) AS max_feature_psi, max(struct_pack(psi := psi, feature := feature)).feature AS max_feature_psi_name,
  count(*) FILTER (status = 'alert') AS n_features_psi_alert FROM dr GROUP BY ALL),
  size AS (SELECT model_version, snapshot_date, any_value(model_role) AS model_role, count(*) AS n_scored, count(label) AS n_labelled, avg(p) AS mean_predicted_pd, avg(predicted_default) AS predicted_default_rate,
  avg(label) AS observed_default_rate, avg((p - label) * (p - label)) AS brier, sum(label) * 1e0 AS nb, sum(1 - label) * 1e0 AS ng, max(data_split) AS one_split FROM s GROUP BY ALL),
@@ -106,23 +102,47 @@ def mon1(spark, d):
  SELECT model_version, snapshot_date, DATE '2001-06-30' AS as_of_date, model_role, n_scored, n_labelled, label_period, round(mean_predicted_pd, 8) AS mean_predicted_pd, round(predicted_default_rate, 8) AS predicted_default_rate,
  round(observed_default_rate, 8) AS observed_default_rate, round(auc, 8) AS auc, round(2 * auc - 1, 8) AS gini, CASE WHEN enough THEN round(ks0, 8) END AS ks, CASE WHEN enough THEN round(brier, 8) END AS brier,
  round(reference_auc, 8) AS reference_auc, round(reference_auc - auc, 8) AS auc_drop_vs_reference, round(score_psi, 7) AS score_psi, round(max_feature_psi, 7) AS max_feature_psi, max_feature_psi_name, n_features_psi_alert,
- performance_status, stability_status, CASE WHEN a.place >= b.place THEN performance_status ELSE stability_status END AS overall_status FROM k JOIN ord a ON a.state = performance_status JOIN ord b ON b.state = stability_status""")
-def mon2(spark, d):
-    summary, _ = monitoring_summary(*monitored(spark, d), as_of=AS_OF)
+ performance_status, stability_status, CASE WHEN a.place >= b.place THEN performance_status ELSE stability_status END AS overall_status FROM k JOIN ord a ON a.state = performance_status JOIN ord b ON b.state = stability_status"""
+
+
+def rounded(summary):
     digits = dict.fromkeys(["mean_predicted_pd", "predicted_default_rate", "observed_default_rate", "auc", "gini", "ks", "brier", "reference_auc",
                             "auc_drop_vs_reference"], 8) | {"score_psi": 7, "max_feature_psi": 7}
     return summary.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
-@query("mon1_baseline_reloaded", f"""{DRIFT} SELECT feature, count(*) AS n_bins, round(sum(e), 9) AS total, any_value(round(baseline_missing_rate, 9)) AS missing
- FROM ex LEFT JOIN base_missing USING (model_version, feature) WHERE feature <> 'model_predictions' AND model_version = 'credit_model_b' GROUP BY feature""")
+@query("mon2_monthly_summary", SUMMARY)
+def mon2(spark, d):
+    return rounded(monitoring_summary(*monitored(spark, d), as_of=AS_OF)[0])
+
+
+@query("mon2_from_stored_state", SUMMARY)
+def mon2_state(spark, d):
+    """The same from a state that was stored a year before the date and brought up to it: only months that are new or have new labels
+    are read again."""
+    path, bases, before = fresh_path(spark, "state"), monitored(spark, d)[1], "2000-06-30"
+    panel, made = view(spark, d, "panel"), materialize(predictions(spark, d), "predictions")
+    labels, features = panel.select("loan_id", "label", "label_date"), panel.select("loan_id", *NUMERIC, *LEVELS)
+    old = [str(r[0]) for r in made.filter(F.col("snapshot_date") <= before).select("snapshot_date").distinct().collect()]
+    update_state(path, made, labels, features, bases, old, before)
+    upto = "2001-08-01"  # months are scored before their labels come
+    known = labels.filter(F.col("label_date") <= AS_OF)
+    update_state(path, made, known, features, bases, months_touched(made, known, before, upto), upto)
+    return rounded(summarise(load_state(spark, path), bases, as_of=AS_OF)[0])
+
+
+@query("mon1_baseline_reloaded", f"""{DRIFT} SELECT model_version, feature, count(*) AS n_bins, round(sum(e), 9) AS total, any_value(round(baseline_missing_rate, 9)) AS missing, any_value(round(reference_auc, 8)) AS reference_auc
+ FROM ex LEFT JOIN base_missing USING (model_version, feature) JOIN (SELECT model_version, (sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2e0) / (sum(label) * 1e0 * sum(1 - label)) AS reference_auc FROM
+ (SELECT model_version, label, rank() OVER (PARTITION BY model_version ORDER BY p) + (count(*) OVER (PARTITION BY model_version, p) - 1) / 2e0 AS r FROM s
+ WHERE label IS NOT NULL AND snapshot_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-01') GROUP BY model_version) USING (model_version) WHERE feature <> 'model_predictions' GROUP BY model_version, feature""")
 def mon1_reloaded(spark, d):
     path = fresh_path(spark, "baseline")
-    for model, made in monitored(spark, d)[1].items():
-        made.save(spark, path, model)
-    base = load_baseline(spark, path, "credit_model_b")
-    totals = base.table.filter("feature <> 'model_predictions'").groupBy("feature").agg(F.count(F.lit(1)).alias("n_bins"), F.round(F.sum("share"), 9).alias("total"))
-    return totals.join(base.missing, "feature").select("feature", "n_bins", "total", F.round("baseline_missing_rate", 9).alias("missing"))
+    monitored(spark, d)[1].save(path)
+    base = load_baselines(spark, path, NUMERIC, LEVELS)
+    totals = base.shares.filter("feature <> 'model_predictions'").groupBy("model_version", "feature").agg(
+        F.count(F.lit(1)).alias("n_bins"), F.round(F.sum("share"), 9).alias("total"))
+    return totals.join(base.missing, ["model_version", "feature"]).join(base.cuts, "model_version").select(
+        "model_version", "feature", "n_bins", "total", F.round("baseline_missing_rate", 9).alias("missing"), F.round("reference_auc", 8).alias("reference_auc"))
 
 
 @query("mon3_feature_drift", f"{DRIFT} SELECT model_version, snapshot_date, feature, round(psi, 7) AS psi, round(missing_rate, 9) AS missing_rate, round(baseline_missing_rate, 9) AS baseline_missing_rate, status FROM dr")
