@@ -32,6 +32,16 @@ def labelled_bin(column, edges: Sequence[float], labels: Sequence[str] | None =
     return chain
 
 
+def labelled_bin_by(column, edges: Column) -> Column:
+    """The same with the edges in an array column: the bin is found by counting the edges below the value."""
+    column, edges = _c(column), F.array_sort(F.array_distinct(edges))
+    below = F.size(F.filter(edges, lambda e: e < column))
+    at = F.greatest(below, F.lit(1))  # the first bin holds its lower edge too
+    low, high = F.try_element_at(edges, at), F.try_element_at(edges, at + 1)
+    label = F.concat((low.cast("long") + F.when(at > 1, 1).otherwise(0)).cast("string"), F.lit("-"), high.cast("long").cast("string"))
+    return F.when((F.size(edges) >= 2) & (column >= F.try_element_at(edges, F.lit(1))) & high.isNotNull(), label)
+
+
 def inner_edges(edges: Sequence[float]) -> list[float] | None:
     """Distinct edges without the outer two (those stand for minus and plus infinity); None below two edges."""
     distinct = sorted(set(edges))

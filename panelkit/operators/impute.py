@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.binning import labelled_bin
+from panelkit.functions.binning import labelled_bin, labelled_bin_by
 from panelkit.functions.numeric import first_method, log1p_floor, round_half_up, within
 from panelkit.operators.quantiles import (coarser, collect_from_counts, collect_quantiles, medians, medians_of_counts,
                                           quantiles_of_counts)
@@ -97,18 +97,24 @@ def fit_age(train: DataFrame, min_count: int = MIN_AGE_GROUP) -> dict:
             "overall_age_median": whole[2] if whole else None}
 
 
-def apply_age(df: DataFrame, lookup: DataFrame, occupation: DataFrame, overall: float | None,
-              edges: Sequence[float] | None = None, gap: float = MIN_GAP) -> DataFrame:
+def _value(v: Column | float | None) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def apply_age(df: DataFrame, lookup: DataFrame, occupation: DataFrame, overall: Column | float | None,
+              edges: Column | Sequence[float] | None = None, gap: float = MIN_GAP, by: Sequence[str] = ()) -> DataFrame:
     """Impute the age: own value, nearest income group of the occupation, occupation median, overall median.
 
+    ``by`` are further keys of the fitted tables, such as the date of the parameters; then ``overall`` and ``edges`` are columns.
+
     The groups of an occupation (at most one per age bin) travel as one array, so a row meets its
     candidates without being multiplied and without a row id. Ties in distance go to the smaller median
     age, then the smaller bin.
     """
-    groups = lookup.groupBy("Occupation").agg(
+    groups = lookup.groupBy(*by, "Occupation").agg(
         F.collect_list(F.struct("log_income_median", "age_median", "Age_Bin")).alias("__groups"))
-    df = (age_for_apply(df).join(groups, "Occupation", "left")
-          .join(occupation.withColumnRenamed("occupation_age_median", "__occ"), "Occupation", "left"))
+    df = (age_for_apply(df).join(groups, [*by, "Occupation"], "left")
+          .join(occupation.withColumnRenamed("occupation_age_median", "__occ"), [*by, "Occupation"], "left"))
     income = log1p_floor("Annual_Income")
     near = F.array_sort(F.transform("__groups", lambda g: F.struct(
         F.abs(g["log_income_median"] - income).alias("distance"), g["age_median"].alias("age"),
@@ -123,9 +129,9 @@ def apply_age(df: DataFrame, lookup: DataFrame, occupation: DataFrame, overall:
             [(own.isNotNull(), "original"), (strong, "occupation_income_age_bin"),
              (F.col("__occ").isNotNull(), "occupation_median")], "overall_median"),
         "Age_imputed": round_half_up(F.coalesce(own, F.when(strong, first["age"]), F.col("__occ"),
-                                                F.lit(overall).cast("double")))})
+                                                _value(overall).cast("double")))})
     if edges is not None:
-        df = df.withColumn("Age_Bin", labelled_bin("Age_imputed", edges))
+        df = df.withColumn("Age_Bin", (labelled_bin_by if isinstance(edges, Column) else labelled_bin)("Age_imputed", edges))
     return df.drop("__groups", "__near", "__occ")
 
 
@@ -164,17 +170,17 @@ def fit_counts(train: DataFrame, columns: dict[str, int]) -> dict[str, dict]:
     return out
 
 
-def apply_counts(df: DataFrame, column: str, stem: str, p95: float, group_stats: DataFrame,
-                 occupation_median: DataFrame, overall_median: float | None) -> DataFrame:
-    """Adds ``<stem>_clean``, ``_Was_Invalid``, ``_imputed`` and ``_imputation_method``."""
+def apply_counts(df: DataFrame, column: str, stem: str, p95: Column | float, group_stats: DataFrame,
+                 occupation_median: DataFrame, overall_median: Column | float | None, by: Sequence[str] = ()) -> DataFrame:
+    """Adds ``<stem>_clean``, ``_Was_Invalid``, ``_imputed`` and ``_imputation_method``; ``by`` as in ``apply_age``."""
     clean = within(column, 0, p95)
-    df = (df.join(group_stats.withColumnRenamed("median", "__group"), ["Occupation", "Age_Bin"], "left")
-          .join(occupation_median.withColumnRenamed("occupation_median", "__occ"), "Occupation", "left"))
+    df = (df.join(group_stats.withColumnRenamed("median", "__group"), [*by, "Occupation", "Age_Bin"], "left")
+          .join(occupation_median.withColumnRenamed("occupation_median", "__occ"), [*by, "Occupation"], "left"))
     return df.withColumns({
         f"{stem}_clean": clean,
         f"{stem}_Was_Invalid": (clean.isNull() & F.col(column).isNotNull()).cast("int"),
         f"{stem}_imputed": round_half_up(F.coalesce(clean.cast("double"), "__group", "__occ",
-                                                    F.lit(overall_median).cast("double"))),
+                                                    _value(overall_median).cast("double"))),
         f"{stem}_imputation_method": first_method(
             [(clean.isNotNull(), "original"), (F.col("__group").isNotNull(), "occupation_age_bin_median"),
              (F.col("__occ").isNotNull(), "occupation_median")], "overall_median"),

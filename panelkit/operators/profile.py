@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -208,3 +208,22 @@ def components_for(table: DataFrame, shares: Sequence[float] = (0.7, 0.8, 0.85,
     """Fewest components that reach each variance share."""
     return table.agg(*[F.min(F.when(F.col("cumulative_variance") >= s, F.col("component"))).alias(f"share_{int(s * 100)}")
                        for s in shares])
+
+
+def ranked_pivot(df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Mapping[str, str], places: Sequence[str]) -> DataFrame:
+    """One row per key with values of its first rows as columns ``<place>_<name>``: ``values`` maps a name to a column, ``places`` names the ranks.
+
+    Only the wanted ranks of a key are kept before the shuffle, so a busy key sends a few rows a task.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    top = df.withColumn("__place", rank).filter(F.col("__place") <= len(places))
+    return top.groupBy(*keys).agg(*[F.max(F.when(F.col("__place") == i, F.col(c))).alias(f"{place}_{name}")
+                                    for i, place in enumerate(places, 1) for name, c in values.items()])
+
+
+def method_counts(df: DataFrame, suffix: str = "_imputation_method") -> DataFrame:
+    """How often each imputation method was used for each feature: ``feature``, ``method``, ``n``, ``share``; one pass."""
+    stems = [c for c in df.columns if c.endswith(suffix)]
+    items = F.array(*[F.struct(F.lit(c.removesuffix(suffix)).alias("feature"), F.col(c).alias("method")) for c in stems])
+    counted = df.select(F.inline(items)).groupBy("feature", "method").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("feature")))  # a few methods a feature

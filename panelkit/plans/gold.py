@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.binning import labelled_bin
+from panelkit.functions.binning import labelled_bin, labelled_bin_by
 from panelkit.functions.dates import Split, in_window, in_windows, split_of
 from panelkit.functions.numeric import ratio
 from panelkit.operators.asof import asof_lookup
 from panelkit.operators.impute import apply_age, apply_counts, fill_from
 from panelkit.operators.lookback import lookback
-from panelkit.plans.params import COUNTS, FeatureParams, fit_params
+from panelkit.plans.params import COUNTS, DatedParams, FeatureParams, fit_params
 from panelkit.sources.schema import prefixed, require_columns
 
 # Lookback features the store keeps, and working columns it drops.
@@ -77,6 +77,28 @@ def apply_params(df: DataFrame, params: FeatureParams) -> DataFrame:
     return derived_ratios(df)
 
 
+def apply_dated_params(df: DataFrame, params: DatedParams, date: str = "params_date") -> DataFrame:
+    """The same with each row's parameters taken by its ``date`` column, so that months of several models are one job.
+
+    Medians, caps and edges are joined by date, bins are found by counting edges. A row whose date has no parameters keeps its own
+    values and has nulls where they would be filled.
+    """
+    renamed = date != "params_date"
+    df = df.withColumnRenamed(date, "params_date") if renamed else df
+    by, tables = ["params_date"], params.tables
+    if "changed_credit_limit" in tables:
+        df = fill_from(df, "Changed_Credit_Limit", tables["changed_credit_limit"], [*by, "Credit_Mix", "Payment_of_Min_Amount"], "Changed_Credit_Limit_Median")
+    numbers = params.numbers.columns
+    df = df.join(params.numbers, by, "left")
+    df = apply_age(df, tables["age_income_lookup"], tables["occupation_age_median"], F.col("overall_age_median"), F.col("age_edges"), by=by)
+    for kind, (column, stem, _) in COUNTS.items():
+        df = apply_counts(df, column, stem, F.col(f"{kind}_p95"), tables[f"{kind}_group_stats"], tables[f"{kind}_occupation_median"],
+                          F.col(f"{kind}_overall_median"), by)
+        df = df.withColumn(f"{stem}_Imputed_Bin", labelled_bin_by(f"{stem}_imputed", F.col(f"{kind}_edges")))
+    made = derived_ratios(df).drop(*[c for c in numbers if c != "params_date"])
+    return made.withColumnRenamed("params_date", date) if renamed else made
+
+
 def feature_store(labels: DataFrame, attributes: DataFrame, financials: DataFrame, windows: Sequence[Split],
                   clicks: DataFrame | None = None, train_date: str = "", point_in_time: bool = False,
                   with_limit: bool = True, click_windows: Sequence[int] = (30, 60, 90),

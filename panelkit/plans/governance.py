@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import calendar_months, month_start
@@ -140,17 +140,48 @@ def labelled_months(dates: DataFrame, labels: DataFrame, label_date: str, date:
     return dates.join(counted, date, "left")
 
 
+STABILITY = ["stability_status", "score_psi", "max_feature_psi"]
+PERFORMANCE = ["performance_status", "auc", "reference_auc"]
+
+
 def monitoring_asof(state: DataFrame, monitoring: DataFrame, date: str = "month") -> DataFrame:
-    """Per date the champion's last monitoring row before it, and its last row whose performance was assessed."""
+    """Per date the champion's last monitoring row before it, and its last row whose performance was assessed: statuses, figures (null if the
+    monitoring has none) and the months of both."""
     mon = monitoring.withColumnRenamed("model_version", "champion")
-    latest = asof_join(state, mon, ["champion"], date, "snapshot_date", ["stability_status"], strict=True)
+    mon = mon.withColumns({c: F.lit(None).cast("double") for c in [*STABILITY[1:], *PERFORMANCE[1:]] if c not in mon.columns})
+    mon = mon.withColumns({"stability_month": F.col("snapshot_date"), "performance_month": F.col("snapshot_date")})
+    latest = asof_join(state, mon, ["champion"], date, "snapshot_date", [*STABILITY, "stability_month"], strict=True)
     assessed = mon.filter(F.col("performance_status").isin("ok", "watch", "alert"))
-    return asof_join(latest, assessed, ["champion"], date, "snapshot_date", ["performance_status"], strict=True)
+    return asof_join(latest, assessed, ["champion"], date, "snapshot_date", [*PERFORMANCE, "performance_month"], strict=True)
+
+
+def _alert_text(kind: str, first: tuple[str, str], second: tuple[str, str]) -> Column:
+    """An alert with its month, and its two figures if both are known."""
+    month = F.date_format(f"{kind}_month", "yyyy-MM")
+    figures = F.format_string(f" ({first[0]} %.3f, {second[0]} %.3f)" if kind == "stability" else f" ({first[0]} %.3f vs {second[0]} %.3f)",
+                              F.col(first[1]).cast("double"), F.col(second[1]).cast("double"))
+    known = F.col(first[1]).isNotNull() & F.col(second[1]).isNotNull()
+    return F.when(F.col(f"{kind}_status") == "alert", F.concat(F.lit(f"{kind} alert "), month, F.when(known, figures).otherwise("")))
+
+
+def decision_detail() -> Column:
+    """Why a date's decision was made, in words."""
+    alerts = F.concat_ws("; ", _alert_text("stability", ("score PSI", "score_psi"), ("max feature PSI", "max_feature_psi")),
+                         _alert_text("performance", ("AUC", "auc"), ("ref", "reference_auc")))
+    months = F.col("labelled_months").cast("string")
+    cold = F.col("champion").isNull()
+    return (F.when(cold & (F.col("trigger") == "cooldown"), F.concat(F.lit("last attempt "), F.col("last_training").cast("string"), F.lit(" failed gates")))
+            .when(F.col("trigger") == "initial", F.concat(months, F.lit(" labelled months available")))
+            .when(F.col("trigger") == "cold_start", F.concat(months, F.lit(f"/{MIN_LABEL_MONTHS} labelled months")))
+            .when(F.col("trigger") == "scheduled", F.concat(F.lit("champion trained "), F.col("champion_age").cast("string"), F.lit(" months ago")))
+            .when(F.col("trigger") == "triggered", alerts)
+            .when(F.col("trigger") == "cooldown", F.concat(alerts, F.lit(" (trained "), F.col("months_since_training").cast("string"), F.lit("m ago)")))
+            .otherwise(F.concat(F.lit("champion "), F.col("champion"), F.lit(" age "), F.col("champion_age").cast("string"), F.lit("m, no alerts"))))
 
 
 def refresh_decisions(dates: DataFrame, roles: DataFrame, runs: DataFrame, models: DataFrame, labels: DataFrame,
                       monitoring: DataFrame, label_date: str = "snapshot_date", date: str = "month") -> DataFrame:
-    """Train or skip, with the trigger, for every date."""
+    """Train or skip, with the trigger and the reason in words, for every date."""
     state = roles_asof(dates, roles, date)
     state = latest_training(state, runs, date)
     state = labelled_months(state, labels, label_date, date)
@@ -169,6 +200,6 @@ def refresh_decisions(dates: DataFrame, roles: DataFrame, runs: DataFrame, model
                .when(alert, "cooldown").otherwise("healthy"))
     decision = F.when(F.col("trigger").isin("initial", "scheduled", "triggered"), "train").otherwise("skip")
     return (state.withColumns({"trigger": trigger, "champion_age": age, "months_since_training": since, "alert": alert})
-            .withColumn("decision", decision)
+            .withColumns({"decision": decision, "detail": decision_detail()})
             .select(date, "champion", "labelled_months", "champion_age", "months_since_training", "alert", "decision",
-                    "trigger"))
+                    "trigger", "detail"))

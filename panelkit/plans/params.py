@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,8 +88,40 @@ def load_params(spark: SparkSession, path: str, train_date: str) -> FeatureParam
     return FeatureParams(train_date, tables, scalars, edges)
 
 
+@dataclass
+class DatedParams:
+    """Parameters of several training dates as data: group tables keyed by ``params_date``, and one row a date with the single numbers and
+    the edges as arrays (``<name>_edges``)."""
+
+    tables: dict[str, DataFrame]
+    numbers: DataFrame
+
+
+def load_dated_params(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DatedParams:
+    """Saved parameters of the given dates, or of all."""
+    def part(name: str) -> DataFrame:
+        table = (spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
+                 .withColumn("params_date", F.col("params_date").cast("string")))
+        return table if dates is None else table.filter(F.col("params_date").isin(list(dates)))
+
+    group = part("params_group")
+    present = {r["param"] for r in group.select("param").distinct().collect()}  # at most the seven names above
+    tables = {}
+    for name, (keys, values) in GROUP_TABLES.items():
+        if name in present:
+            wide = group.filter(F.col("param") == name).groupBy("params_date", "key1", "key2").agg(
+                *[F.max(F.when(F.col("field") == v, F.col("value"))).alias(v) for v in values])
+            tables[name] = wide.select("params_date", *[F.col(f"key{i + 1}").alias(k) for i, k in enumerate(keys)], *values)
+    scalars = part("params_scalar").groupBy("params_date").agg(
+        *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in SCALARS])
+    edges = part("params_edges").groupBy("params_date").agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("param") == n, F.col("edge")))).alias(f"{n}_edges") for n in ("age", *COUNTS)])
+    return DatedParams(tables, scalars.join(edges, "params_date", "left"))
+
+
 # count columns: raw column, stem of the made columns, least rows of a group
 COUNTS = {"bank": ("Num_Bank_Accounts", "Bank_Accounts", 30), "card": ("Num_Credit_Card", "Credit_Cards", 10)}
+SCALARS = ["overall_age_median", *[f"{kind}_{n}" for kind in COUNTS for n in ("p95", "overall_median")]]
 # columns the fits read
 FIT_COLUMNS = ["Credit_Mix", "Payment_of_Min_Amount", "Changed_Credit_Limit", "Age", "Occupation", "Annual_Income",
                "Credit_History_Age_Years", "Num_Bank_Accounts", "Num_Credit_Card"]

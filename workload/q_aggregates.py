@@ -8,7 +8,7 @@ from panelkit.operators.drift import binned, contingency, decile_edges, shares
 from panelkit.operators.impute import QUARTILES, fill_from, fit_group_medians
 from panelkit.operators.lookback import history_mean, lookback
 from panelkit.operators.metrics import score_summary
-from panelkit.operators.profile import column_profile, mode_of, top_value_share
+from panelkit.operators.profile import column_profile, mode_of, ranked_pivot, top_value_share
 from panelkit.operators.quality import duplicate_keys, later_than, missing_shares, mostly_missing, require_splits, split_check
 from panelkit.operators.quantiles import exact_quantiles, medians
 from panelkit.plans.gold import join_sources
@@ -72,11 +72,8 @@ def agg7(spark, d):
 @query("agg8_conditional_pivot", """WITH o AS (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders)
  SELECT o_custkey, max(CASE WHEN place = 1 THEN o_totalprice END) AS best, max(CASE WHEN place = 2 THEN o_totalprice END) AS second FROM o GROUP BY 1""")
 def agg8(spark, d):
-    orders = table(spark, d, "orders")
-    top = orders.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", -F.col("o_orderkey"))).alias("first_key"))
-    ranked = orders.join(top, "o_custkey").withColumn("place", F.when(F.col("o_orderkey") == F.col("first_key"), 1).otherwise(2))
-    return ranked.groupBy("o_custkey").agg(F.max(F.when(F.col("place") == 1, F.col("o_totalprice"))).alias("best"),
-                                           F.max(F.when(F.col("place") == 2, F.col("o_totalprice"))).alias("second"))
+    made = ranked_pivot(table(spark, d, "orders"), ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], {"price": "o_totalprice"}, ["best", "second"])
+    return made.withColumnsRenamed({"best_price": "best", "second_price": "second"})
 
 
 def _window_sql(stats, windows=(7, 14, 21), features=("fe_1", "fe_3"), digits=8):
@@ -250,13 +247,6 @@ def agg28(spark, d):
     return filled.groupBy("data_split").agg(F.count(F.when(F.col("x3").isNull(), 1)).alias("remaining"))
 
 
-@query("agg29_method_counts", """WITH @attributes SELECT CASE WHEN Age IS NULL THEN 'missing' WHEN Age BETWEEN 18 AND 100 THEN 'valid' ELSE 'invalid' END AS method,
- count(*) AS n FROM attributes GROUP BY 1""")
-def agg29(spark, d):
-    method = F.when(F.col("Age").isNull(), "missing").when(within("Age", 18, 100).isNotNull(), "valid").otherwise("invalid")
-    return people(spark, d).groupBy(method.alias("method")).agg(F.count(F.lit(1)).alias("n"))
-
-
 # ---- data quality ---------------------------------------------------------------------------------------------------
 @query("dq1_rows_without_label", """WITH @panel SELECT count(*) AS n, count(*) FILTER (label IS NULL) AS n_missing FROM (SELECT l_orderkey FROM lineitem) LEFT JOIN
  (SELECT CAST(loan_id AS BIGINT) AS l_orderkey, label FROM panel WHERE label_date < DATE '2000-01-01') USING (l_orderkey)""")

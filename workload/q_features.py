@@ -7,11 +7,12 @@ from panelkit.functions.dates import month_start, split_of, split_windows, two_w
 from panelkit.operators.impute import (age_for_apply, age_for_fit, apply_age, apply_counts, fill_from, fit_age, fit_counts,
                                        fit_group_medians, integer_quartiles, quartile_edges)
 from panelkit.operators.lookback import lookback
+from panelkit.operators.profile import method_counts
 from panelkit.plans.bronze import land
 from panelkit.plans.cleaning import clean_rows
-from panelkit.plans.gold import derived_ratios, feature_store, join_sources, label_store
+from panelkit.plans.gold import CLICK_FEATURES, apply_dated_params, apply_params, derived_ratios, feature_store, join_sources, label_store
 from panelkit.plans.inference import inference_features, params_in_force
-from panelkit.plans.params import load_params
+from panelkit.plans.params import fit_params, load_dated_params, load_params
 from panelkit.plans.silver import (delinquency, financial_vocabulary, silver_all, silver_attributes, silver_clicks,
                                    silver_financials, silver_loans)
 from panelkit.session import fresh_path, materialize
@@ -284,22 +285,64 @@ def fs15(spark, d):
 FEATURES = ["loan_id", "labels_snapshot_date", "attributes_snapshot_date", "financials_snapshot_date", "data_split", "Occupation", "Annual_Income",
             "Changed_Credit_Limit", "Age_imputed", "Age_Bin", "Bank_Accounts_imputed", "Bank_Accounts_Imputed_Bin", "Credit_Cards_imputed",
             "Credit_Cards_Imputed_Bin", "Num_Fin_Pdts", "Debt_per_Credit_Account", "Delayed_Payments_per_Card", "InterestRate_x_Debt"]
-CLICKS = ["fe_3_mean_90d", "fe_3_std_60d", "fe_4_mean_90d", "fe_1_trend_30d"]
+CLICKS = list(CLICK_FEATURES)
+OTHER_CLICKS = ["fe_1_latest", "fe_4_median_60d", "fe_9_max_30d", "click_count_90d", "fe_5_min_60d"]
 
 
-@query("fs16_gold_feature_store", GOLD.replace("WITH @split_panel", "WITH @split_panel, @order_clicks") + """, c AS (SELECT DISTINCT * FROM order_clicks),
- pairs AS (SELECT k.Customer_ID, k.labels_snapshot_date, fe_1, fe_3, fe_4, date_diff('day', clicks_snapshot_date, k.labels_snapshot_date) AS days
- FROM (SELECT DISTINCT Customer_ID, labels_snapshot_date FROM joined) k JOIN c USING (Customer_ID) WHERE date_diff('day', clicks_snapshot_date, k.labels_snapshot_date) BETWEEN 1 AND 90),
- clk AS (SELECT Customer_ID, labels_snapshot_date, avg(fe_3) AS fe_3_mean_90d, stddev_samp(fe_3) FILTER (days <= 60) AS fe_3_std_60d, avg(fe_4) AS fe_4_mean_90d,
- avg(fe_1) FILTER (days <= 30) - avg(fe_1) FILTER (days BETWEEN 31 AND 60) AS fe_1_trend_30d FROM pairs GROUP BY ALL)
- SELECT """ + ", ".join(FEATURES) + ", " + ", ".join(f"round({c}, 6) AS {c}" for c in CLICKS)
-       + " FROM made LEFT JOIN clk USING (Customer_ID, labels_snapshot_date)")
+def _click_sql(name):
+    """A click feature by its name: an aggregate over the pairs of key date and click, ``days`` apart."""
+    stem, days = name.rsplit("_", 1)
+    if name.endswith("_latest"):
+        return f"max_by({name.removesuffix('_latest')}, struct_pack(d := -days, {', '.join(f'{c} := {c}' for c in CLICK_COLUMNS)})) AS {name}"
+    if "click_count" in name:
+        return f"nullif(count(*) FILTER (days <= {days[:-1]}), 0) AS {name}"
+    column, stat = stem.rsplit("_", 1)
+    if stat == "trend":
+        d = int(days[:-1])
+        return f"avg({column}) FILTER (days <= {d}) - avg({column}) FILTER (days BETWEEN {d + 1} AND {2 * d}) AS {name}"
+    made = {"mean": "avg({c})", "max": "max({c})", "min": "min({c})", "std": "stddev_samp({c})", "median": "quantile_disc({c}, 0.5)"}[stat].format(c=column)
+    return f"{made} FILTER (days <= {days[:-1]}) AS {name}"
+
+
+CLICK_COLUMNS = ("fe_1", "fe_3", "fe_4", "fe_5", "fe_8", "fe_9", "fe_10", "fe_14", "fe_16")
+
+
+def _gold_clicks(names):
+    """The click features of the gold rows in SQL, and all columns."""
+    return GOLD.replace("WITH @split_panel", "WITH @split_panel, @order_clicks") + f""", c AS (SELECT DISTINCT * FROM order_clicks),
+ pairs AS (SELECT k.Customer_ID, k.labels_snapshot_date, {", ".join(CLICK_COLUMNS)}, date_diff('day', clicks_snapshot_date, k.labels_snapshot_date) AS days
+ FROM (SELECT DISTINCT Customer_ID, labels_snapshot_date FROM joined) k JOIN c USING (Customer_ID) WHERE date_diff('day', clicks_snapshot_date, k.labels_snapshot_date) >= 1),
+ near AS (SELECT Customer_ID, labels_snapshot_date, {", ".join(_click_sql(n) for n in names if not n.endswith("_latest"))} FROM pairs WHERE days <= 90 GROUP BY ALL),
+ last AS (SELECT Customer_ID, labels_snapshot_date, {", ".join([_click_sql(n) for n in names if n.endswith("_latest")] or ["count(*) AS n_clicks"])} FROM pairs GROUP BY ALL)"""
+
+
+@query("fs16_gold_feature_store", _gold_clicks(CLICKS) + " SELECT " + ", ".join(FEATURES) + ", " + ", ".join(f"round({c}, 6) AS {c}" for c in CLICKS)
+       + " FROM made LEFT JOIN near USING (Customer_ID, labels_snapshot_date)")
 def fs16(spark, d):
-    made, _ = feature_store(labels(spark, d), people(spark, d), financials(spark, d), WINDOWS, view(spark, d, "order_clicks"), TRAIN_DATE,
-                            click_features=CLICKS)
+    made, _ = feature_store(labels(spark, d), people(spark, d), financials(spark, d), WINDOWS, view(spark, d, "order_clicks"), TRAIN_DATE)
     return made.select(*FEATURES, *[F.round(c, 6).alias(c) for c in CLICKS])
 
 
+@query("fs16_other_click_features", _gold_clicks(OTHER_CLICKS) + " SELECT loan_id, labels_snapshot_date, " + ", ".join(OTHER_CLICKS)
+       + " FROM made LEFT JOIN near USING (Customer_ID, labels_snapshot_date) LEFT JOIN last USING (Customer_ID, labels_snapshot_date)")
+def fs16_other(spark, d):
+    """Last values, medians, extremes and counts, asked for by name."""
+    made, _ = feature_store(labels(spark, d), people(spark, d), financials(spark, d), WINDOWS, view(spark, d, "order_clicks"), TRAIN_DATE,
+                            click_features=OTHER_CLICKS)
+    return made.select("loan_id", "labels_snapshot_date", *OTHER_CLICKS)
+
+
+METHODS = [("Age", "Age_imputation_method"), ("Bank_Accounts", "Bank_Accounts_imputation_method"), ("Credit_Cards", "Credit_Cards_imputation_method")]
+
+
+@query("agg29_method_counts", GOLD + ", u AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {c} AS method FROM made" for f, c in METHODS)
+       + ") SELECT feature, method, count(*) AS n, round(count(*) * 1e0 / sum(count(*)) OVER (PARTITION BY feature), 9) AS share FROM u GROUP BY feature, method")
+def agg29(spark, d):
+    """How often each method filled each imputed feature of the gold store."""
+    made, _ = feature_store(labels(spark, d), people(spark, d), financials(spark, d), WINDOWS, train_date=TRAIN_DATE, drop=())
+    return method_counts(made).withColumn("share", F.round("share", 9))
+
+
 @query("fs17_gold_without_limit_and_clicks", GOLD.replace("coalesce(Changed_Credit_Limit, lm) AS Changed_Credit_Limit", "Changed_Credit_Limit")
        + " SELECT loan_id, Changed_Credit_Limit, Age_imputed, Bank_Accounts_imputed, Credit_Cards_imputed, Debt_per_Credit_Account FROM made")
 def fs17(spark, d):
@@ -319,16 +362,24 @@ def fitted(spark, d):
  UNION ALL SELECT 'card_group_stats', Occupation, Age_Bin, 'median', g FROM card_group UNION ALL SELECT 'card_occupation_median', Occupation, NULL, 'occupation_median', o FROM card_occ
  UNION ALL SELECT 'scalar', 'bank_p95', NULL, 'value', cap FROM bank_cap UNION ALL SELECT 'scalar', 'card_p95', NULL, 'value', cap FROM card_cap
  UNION ALL SELECT 'scalar', 'overall_age_median', NULL, 'value', overall FROM age_all UNION ALL SELECT 'scalar', 'bank_overall_median', NULL, 'value', t FROM bank_all
- UNION ALL SELECT 'scalar', 'card_overall_median', NULL, 'value', t FROM card_all)
+ UNION ALL SELECT 'scalar', 'card_overall_median', NULL, 'value', t FROM card_all
+ UNION ALL SELECT 'age_income_lookup', Occupation, Age_Bin, 'log_income_median', round(log_income_median, 8) FROM age_lookup UNION ALL SELECT 'age_income_lookup', Occupation, Age_Bin, 'age_median', age_median FROM age_lookup
+ UNION ALL SELECT 'age_income_lookup', Occupation, Age_Bin, 'count', count FROM age_lookup
+ UNION ALL SELECT 'edge', 'age', CAST(i - 1 AS VARCHAR), 'value', e[i] FROM age_f, (SELECT unnest(range(1, 6)) AS i) WHERE i <= len(e)
+ UNION ALL SELECT 'edge', 'bank', CAST(i - 1 AS VARCHAR), 'value', e[i] FROM bank_e, (SELECT unnest(range(1, 6)) AS i) WHERE i <= len(e)
+ UNION ALL SELECT 'edge', 'card', CAST(i - 1 AS VARCHAR), 'value', e[i] FROM card_e, (SELECT unnest(range(1, 6)) AS i) WHERE i <= len(e))
  SELECT * FROM g WHERE key1 IS NOT NULL""")
 def fs18(spark, d):
     path = fresh_path(spark, "params")
     fitted(spark, d).save(spark, path)
     params = load_params(spark, path, TRAIN_DATE)
-    groups = params.group_rows().filter("param <> 'age_income_lookup'").select("param", "key1", "key2", "field", "value")
+    value = F.when(F.col("field") == "log_income_median", F.round("value", 8)).otherwise(F.col("value")).alias("value")
+    groups = params.group_rows().select("param", "key1", "key2", "field", value)
+    edges = params.edge_rows(spark).select(F.lit("edge").alias("param"), F.col("param").alias("key1"), F.col("pos").cast("string").alias("key2"),
+                                           F.lit("value").alias("field"), F.col("edge").alias("value"))
     scalars = params.scalar_rows(spark).select(F.lit("scalar").alias("param"), F.col("name").alias("key1"), F.lit(None).cast("string").alias("key2"),
                                                F.lit("value").alias("field"), "value")
-    return groups.unionByName(scalars).filter("key1 IS NOT NULL")
+    return groups.unionByName(scalars).unionByName(edges).filter("key1 IS NOT NULL")
 
 
 @query("fs19_inference_features", f"""{BASE}, {AGED}, {COUNTS}, {LIMIT},
@@ -355,6 +406,25 @@ def fs20(spark, d):
     return params_in_force(months(spark, d), roles(spark, d), models)
 
 
+BOTH_DATES = ("2000-06-01", TRAIN_DATE)
+
+
+@query("fs20_backfill_over_dates", f"""WITH @split_panel SELECT CASE WHEN label_date < DATE '2000-09-01' THEN '{BOTH_DATES[0]}' ELSE '{BOTH_DATES[1]}' END AS params_date, count(*) AS n, count(*) AS n_same
+ FROM split_panel WHERE data_split IS NOT NULL GROUP BY 1""")
+def fs20_backfill(spark, d):
+    """Months before and after a change of the model in force, each by the parameters of its model, in one job; against a run for each date."""
+    path, rows = fresh_path(spark, "params"), joined(spark, d)
+    rows = materialize(rows.withColumn("params_date", F.when(F.col("labels_snapshot_date") < "2000-09-01", BOTH_DATES[0]).otherwise(BOTH_DATES[1])), "rows")
+    for day in BOTH_DATES:
+        fit_params(rows.filter((F.col("data_split") == "train") & (F.col("labels_snapshot_date") < F.add_months(F.lit(day).cast("date"), -5))), day).save(spark, path)
+    once = apply_dated_params(rows, load_dated_params(spark, path))
+    names = sorted(set(once.columns) - {"params_date"})
+    key = F.xxhash64(*[F.col(c).cast("string") for c in names])
+    each = [apply_params(rows.filter(F.col("params_date") == day), load_params(spark, path, day)).select("loan_id", key.alias("expected")) for day in BOTH_DATES]
+    both = once.select("loan_id", "params_date", key.alias("got")).join(each[0].unionByName(each[1]), "loan_id")
+    return both.groupBy("params_date").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("got") == F.col("expected"), 1)).alias("n_same"))
+
+
 @query("fs22_monthly_silver", f"""WITH @financials SELECT Customer_ID, snapshot_date, Annual_Income, Type_of_Loan_Cleaned, Credit_History_Age_Years, {HOT} FROM financials
  WHERE snapshot_date BETWEEN DATE '1999-01-01' AND DATE '1999-06-01'""")
 def fs22(spark, d):

@@ -227,18 +227,23 @@ def gov_monitoring(spark, d):
     joined = champions.join(rates, "month").filter("model_version IS NOT NULL")
     return joined.select("model_version", F.col("month").alias("snapshot_date"),
                          F.when(F.col("level") > 54, "alert").otherwise("ok").alias("stability_status"),
-                         F.when(F.col("rate") > 0.37, "alert").when(F.col("rate") > 0.31, "ok").otherwise("no labels yet").alias("performance_status"))
+                         F.when(F.col("rate") > 0.37, "alert").when(F.col("rate") > 0.31, "ok").otherwise("no labels yet").alias("performance_status"),
+                         (F.col("level") / 200).alias("score_psi"), (F.col("level") / 100).alias("max_feature_psi"), (1 - F.col("rate")).alias("auc"),
+                         F.lit(0.75).alias("reference_auc"))
 
 
 GOV_STATE = """WITH @roles, @months, known_roles AS (SELECT * FROM roles WHERE effective_from <> DATE '1997-07-01' AND effective_from >= DATE '1996-07-01'),
  known_runs AS (SELECT * FROM runs WHERE as_of >= DATE '1996-01-01' AND year(as_of) <> 1999),
  r AS (SELECT month, champion FROM months ASOF LEFT JOIN known_roles ON month >= effective_from),
  rates AS (SELECT month, avg(label) AS rate, avg(x2) AS level FROM panel GROUP BY 1),
- mon AS (SELECT r.champion, r.month, CASE WHEN level > 54 THEN 'alert' ELSE 'ok' END AS stab, CASE WHEN rate > 0.37 THEN 'alert' WHEN rate > 0.31 THEN 'ok' ELSE 'no labels yet' END AS perf
+ mon AS (SELECT r.champion, r.month, level, rate, CASE WHEN level > 54 THEN 'alert' ELSE 'ok' END AS stab, CASE WHEN rate > 0.37 THEN 'alert' WHEN rate > 0.31 THEN 'ok' ELSE 'no labels yet' END AS perf
  FROM (SELECT month, champion FROM months ASOF LEFT JOIN roles ON month >= effective_from) r JOIN rates USING (month) WHERE champion IS NOT NULL),
  st AS (SELECT m.month, r.champion, (SELECT max(as_of) FROM known_runs k WHERE k.as_of <= m.month) AS lt, (SELECT count(*) FROM months p WHERE p.month < m.month) AS labelled_months,
  (SELECT min(as_of) FROM runs WHERE model_version = r.champion) AS td,
  (SELECT max_by(stab, month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month) AS stab,
+ (SELECT max(month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month) AS stab_month, (SELECT max_by(level, month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month) AS stab_level,
+ (SELECT max(month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month AND perf <> 'no labels yet') AS perf_month,
+ (SELECT max_by(rate, month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month AND perf <> 'no labels yet') AS perf_rate,
  (SELECT max_by(perf, month) FROM mon WHERE mon.champion = r.champion AND mon.month < m.month AND perf <> 'no labels yet') AS perf
  FROM months m JOIN r USING (month)),
  ag AS (SELECT *, CAST((year(month) - year(td)) * 12 + month(month) - month(td) AS INTEGER) AS age, CAST(coalesce((year(month) - year(lt)) * 12 + month(month) - month(lt), 999) AS INTEGER) AS since,
@@ -248,7 +253,12 @@ GOV_STATE = """WITH @roles, @months, known_roles AS (SELECT * FROM roles WHERE e
 
 
 @query("gov1_refresh_decisions", f"""{GOV_STATE} SELECT month, champion, CAST(labelled_months AS BIGINT) AS labelled_months, age AS champion_age, since AS months_since_training, alert,
- CASE WHEN trigger IN ('initial', 'scheduled', 'triggered') THEN 'train' ELSE 'skip' END AS decision, trigger FROM tr""")
+ CASE WHEN trigger IN ('initial', 'scheduled', 'triggered') THEN 'train' ELSE 'skip' END AS decision, trigger,
+ CASE WHEN champion IS NULL AND trigger = 'cooldown' THEN concat('last attempt ', CAST(lt AS VARCHAR), ' failed gates') WHEN trigger = 'initial' THEN concat(CAST(labelled_months AS VARCHAR), ' labelled months available')
+ WHEN trigger = 'cold_start' THEN concat(CAST(labelled_months AS VARCHAR), '/11 labelled months') WHEN trigger = 'scheduled' THEN concat('champion trained ', CAST(age AS VARCHAR), ' months ago')
+ WHEN trigger = 'triggered' THEN alerts WHEN trigger = 'cooldown' THEN concat(alerts, ' (trained ', CAST(since AS VARCHAR), 'm ago)') ELSE concat('champion ', champion, ' age ', CAST(age AS VARCHAR), 'm, no alerts') END AS detail
+ FROM (SELECT *, concat_ws('; ', CASE WHEN stab = 'alert' THEN concat('stability alert ', strftime(stab_month, '%Y-%m'), printf(' (score PSI %.3f, max feature PSI %.3f)', stab_level / 200, stab_level / 100)) END,
+ CASE WHEN perf = 'alert' THEN concat('performance alert ', strftime(perf_month, '%Y-%m'), printf(' (AUC %.3f vs ref %.3f)', 1 - perf_rate, 0.75)) END) AS alerts FROM tr)""")
 def gov1(spark, d):
     all_runs, all_roles = runs(spark, d), roles(spark, d)
     models = all_runs.select("model_version", F.col("as_of").alias("model_train_date"))

@@ -49,17 +49,21 @@ def jn1_pit(spark, d):
         "loan_id", "Age", "attributes_snapshot_date")
 
 
-@query("jn2_labels_by_key", """WITH @panel, f AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders)
- SELECT loan_id, label_date, label, o_totalprice FROM panel JOIN f ON loan_id = CAST(o_orderkey AS VARCHAR) AND label_date = day""")
+@query("jn2_labels_by_key", """WITH f AS (SELECT CAST(l_orderkey AS VARCHAR) AS loan_id, CAST(l_shipdate AS DATE) AS snapshot_date, round(sum(l_extendedprice), 2) AS balance FROM lineitem GROUP BY ALL),
+ lab AS (SELECT CAST(l_orderkey AS VARCHAR) AS loan_id, CAST(l_shipdate AS DATE) AS snapshot_date, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS label FROM lineitem GROUP BY ALL)
+ SELECT loan_id, snapshot_date, label, balance FROM f JOIN lab USING (loan_id, snapshot_date)""")
 def jn2(spark, d):
-    features = table(spark, d, "orders").selectExpr("CAST(o_orderkey AS STRING) AS loan_id", "CAST(o_orderdate AS DATE) AS label_date", "o_totalprice")
-    return with_labels(features, view(spark, d, "panel").select("loan_id", "label_date", "label"), ["loan_id", "label_date"])
+    """Balances and labels of a loan's snapshots, one table each, on loan and date."""
+    items = table(spark, d, "lineitem").selectExpr("CAST(l_orderkey AS STRING) AS loan_id", "CAST(l_shipdate AS DATE) AS snapshot_date", "l_extendedprice", "l_returnflag")
+    features = items.groupBy("loan_id", "snapshot_date").agg(F.round(F.sum("l_extendedprice"), 2).alias("balance"))
+    marks = items.groupBy("loan_id", "snapshot_date").agg(F.max((F.col("l_returnflag") == "R").cast("int")).alias("label"))
+    return with_labels(features, marks, ["loan_id", "snapshot_date"])
 
 
 @query("jn3_same_day_clicks", """WITH @panel, @order_clicks SELECT p.loan_id, p.label_date, c.fe_1, c.fe_3 FROM panel p LEFT JOIN order_clicks c
  ON p.Customer_ID = c.Customer_ID AND p.label_date = c.clicks_snapshot_date""")
 def jn3(spark, d):
-    clicks = view(spark, d, "order_clicks").withColumnRenamed("clicks_snapshot_date", "label_date").drop("fe_4")
+    clicks = view(spark, d, "order_clicks").selectExpr("Customer_ID", "clicks_snapshot_date AS label_date", "fe_1", "fe_3")
     return view(spark, d, "panel").select("loan_id", "Customer_ID", "label_date").join(clicks, ["Customer_ID", "label_date"], "left").drop("Customer_ID")
 
 
@@ -159,12 +163,12 @@ def jn11(spark, d):
             .join(events.select(F.col("user_id").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey", "c_mktsegment"))
 
 
-@query("jn12_monitored_rows", """WITH @panel, p AS (SELECT loan_id, score FROM panel WHERE label_date >= DATE '1999-01-01'),
+@query("jn12_monitored_rows", """WITH @panel, p AS (SELECT loan_id, score FROM panel),
  l AS (SELECT loan_id, label, label_date FROM panel WHERE label_date <= DATE '2001-01-31')
  SELECT loan_id, score, label, l.label_date, f.x2 FROM p LEFT JOIN l USING (loan_id) LEFT JOIN (SELECT loan_id, x2 FROM panel) f USING (loan_id)""")
 def jn12(spark, d):
     panel = view(spark, d, "panel")
-    return monitored_rows(panel.filter("label_date >= DATE '1999-01-01'").select("loan_id", "score"),
+    return monitored_rows(panel.select("loan_id", "score"),
                           known_labels(panel.select("loan_id", "label", "label_date"), "2001-01-31"), panel.select("loan_id", "x2"))
 
 
@@ -232,7 +236,7 @@ def win1(spark, d):
 @query("win2_latest_row", """WITH @order_clicks SELECT Customer_ID, clicks_snapshot_date, fe_1, fe_3 FROM (SELECT *, row_number() OVER (PARTITION BY Customer_ID
  ORDER BY clicks_snapshot_date DESC, fe_1 DESC, fe_3 DESC) AS rn FROM order_clicks) WHERE rn = 1""")
 def win2(spark, d):
-    return latest_per_key(view(spark, d, "order_clicks").drop("fe_4"), ["Customer_ID"], ["clicks_snapshot_date"])
+    return latest_per_key(view(spark, d, "order_clicks").select("Customer_ID", "clicks_snapshot_date", "fe_1", "fe_3"), ["Customer_ID"], ["clicks_snapshot_date"])
 
 
 @query("win3_latest_non_null", """WITH @panel, p AS (SELECT *, struct_pack(label_date := label_date, x3 := x3) AS o3, struct_pack(label_date := label_date, level := level) AS ol FROM panel)

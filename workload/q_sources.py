@@ -1,5 +1,8 @@
 """Sources, sinks, landing and calendar."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import calendar_months, month_spine, month_start, split_of, split_windows
@@ -53,17 +56,20 @@ def src5(spark, d):
     return dates.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src6_source_catalog", "WITH @attributes_raw, @financials_raw SELECT 'attributes' AS source, count(*) AS n, count(DISTINCT Customer_ID) "
-       "AS customers FROM attributes_raw UNION ALL SELECT 'financials', count(*), count(DISTINCT Customer_ID) FROM financials_raw")
+@query("src6_source_catalog", """WITH @attributes_raw, @financials_raw, @ledger SELECT 'attributes' AS source, count(*) AS n, count(DISTINCT Customer_ID) AS customers FROM attributes_raw
+ UNION ALL SELECT 'financials', count(*), count(DISTINCT Customer_ID) FROM financials_raw UNION ALL SELECT 'loans', count(*), count(DISTINCT Customer_ID) FROM ledger
+ UNION ALL SELECT 'clicks', count(*), count(DISTINCT user_id) FROM events""")
 def src6(spark, d):
+    """All four sources as folders of text files, read back as one catalog."""
     base, catalog = fresh_path(spark, "catalog"), {}
-    for name in ("attributes", "financials"):
-        raw = view(spark, d, f"{name}_raw")
+    raws = {"attributes": view(spark, d, "attributes_raw"), "financials": view(spark, d, "financials_raw"), "loans": as_text(view(spark, d, "ledger")),
+            "clicks": as_text(view(spark, d, "clicks"))}
+    for name, raw in raws.items():
         write_table(raw, f"{base}/{name}", "csv")
         catalog[name] = (f"{base}/{name}", raw.columns)
     parts = [t.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("n"), F.count_distinct("Customer_ID").alias("customers"))
              for name, t in read_catalog(spark, catalog).items()]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("src7_required_source", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")

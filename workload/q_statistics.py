@@ -299,11 +299,33 @@ def st19_report(spark, d):
     return made.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
-@query("st20_feature_recheck", f"{SELECTION} SELECT feature, type, missing_train, missing_val_test, iv, psi_train_vs_valtest FROM base")
+def _recheck_sql(features, filled):
+    """Collinearity of three features and the warning texts, on top of ``base`` and training rows ``t``."""
+    a, b, c = features
+    return f""", q AS (SELECT {", ".join(f"quantile_cont({x}, 0.01) AS {x}l, quantile_cont({x}, 0.5) AS {x}m, quantile_cont({x}, 0.99) AS {x}h" for x in features)} FROM {filled}),
+ f AS (SELECT {", ".join(f"CASE WHEN {x} IS NULL THEN {x}m ELSE least(greatest({x}, {x}l), {x}h) END AS {x}" for x in features)} FROM {filled}, q),
+ w AS (SELECT corr({a}, {b}) AS a, corr({a}, {c}) AS b, corr({b}, {c}) AS c FROM f), z AS (SELECT *, 1 + 2 * a * b * c - a * a - b * b - c * c AS det FROM w),
+ v AS (SELECT base.*, CASE feature WHEN '{a}' THEN (1 - c * c) / det WHEN '{b}' THEN (1 - b * b) / det WHEN '{c}' THEN (1 - a * a) / det END AS vif FROM base, z),
+ r AS (SELECT *, concat_ws(', ', CASE WHEN greatest(missing_train, missing_val_test) > 0.5 THEN 'missing' END, CASE WHEN iv < 0.02 THEN 'weak' END,
+ CASE WHEN psi_train_vs_valtest > 0.25 THEN 'unstable' END, CASE WHEN vif > 10 THEN 'collinear' END) AS warnings FROM v)"""
+
+
+CHECKED = {"missing_train": 9, "missing_val_test": 9, "iv": 8, "psi_train_vs_valtest": 8}
+
+
+@query("st20_feature_recheck", SELECTION + _recheck_sql(("x1", "x2", "x3"), "(SELECT * FROM split_panel WHERE data_split = 'train')")
+       + " SELECT feature, type, missing_train, missing_val_test, iv, psi_train_vs_valtest, round(vif, 6) AS vif, warnings FROM r")
 def st20(spark, d):
-    made = recheck(split_panel(spark, d), ROLES).drop("vif", "warnings")
-    digits = {"missing_train": 9, "missing_val_test": 9, "iv": 8, "psi_train_vs_valtest": 8}
-    return made.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    made = recheck(split_panel(spark, d), ROLES)
+    return made.withColumns({c: F.round(c, n) for c, n in {**CHECKED, "vif": 6}.items()})
+
+
+@query("st20_collinear_features", RISKY + _recheck_sql(("x1", "x2", "x4"), "(SELECT * FROM risky WHERE data_split = 'train')")
+       + " SELECT feature, type, missing_train, missing_val_test, iv, psi_train_vs_valtest, vif > 10 AS collinear, warnings FROM r WHERE feature <> 'x3'")
+def st20_collinear(spark, d):
+    """Features of which one is nearly a sum of the others; their factors are too large to compare in digits."""
+    made = recheck(risky_panel(spark, d), {k: v for k, v in {**ROLES, "x4": "numeric"}.items() if k != "x3"})
+    return made.withColumn("collinear", F.col("vif") > 10).drop("vif").withColumns({c: F.round(c, n) for c, n in CHECKED.items()})
 
 
 @query("st21_components_needed", """WITH @panel, c AS (SELECT corr(x1, x2) AS r FROM panel)

@@ -94,7 +94,8 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
     # orders seen as the clickstream of the panel's customers
     "order_clicks": ("orders", {
         "Customer_ID": "CAST(o_custkey AS STRING)", "clicks_snapshot_date": "CAST(o_orderdate AS DATE)",
-        "fe_1": "o_totalprice", "fe_3": "CAST(o_orderkey % 41 AS DOUBLE)", "fe_4": "CAST(o_orderkey % 17 AS DOUBLE)"}),
+        "fe_1": "o_totalprice", "fe_3": "CAST(o_orderkey % 41 AS DOUBLE)", "fe_4": "CAST(o_orderkey % 17 AS DOUBLE)",
+        **{f"fe_{k}": f"CAST((o_orderkey * {k}) % {30 + k} AS DOUBLE)" for k in (5, 8, 9, 10, 14, 16)}}),
 }
 
 # further views in SQL; the Spark side gets them from the package
