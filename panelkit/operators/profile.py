@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.quantiles import exact_quantiles
+from panelkit.operators.rankcorr import pairwise_spearman
 from panelkit.operators.ranking import average_ranks
-from panelkit.session import materialize
 
 
 def sample_skewness(column: str) -> Column:
@@ -45,11 +45,39 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*[F.col(c) for c in columns]))).toDF(*names)
 
 
-def top_value_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Share of the most frequent value per column, null counted as a value."""
-    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
+#: Values that the summary of a column tracks, and those whose counts are taken again.
+TRACKED, CANDIDATES = 8192, 32
+
+
+def top_value_share(df: DataFrame, columns: Sequence[str], tracked: int = TRACKED, candidates: int = CANDIDATES) -> DataFrame:
+    """Share of the most frequent value per column, null counted as a value; exact.
+
+    One pass keeps a mergeable summary of frequent items for each column, of ``tracked`` values whatever the column holds; its first
+    ``candidates`` are counted again exactly in a second pass. A value outside the summary occurs in at most 4 / ``tracked`` of the
+    rows, and one below the candidates at most as often as the last of them was estimated. Where that leaves a doubt (nearly
+    unique columns), the column's values are all counted, as only then.
+    """
+    text = lambda c: F.col(c).cast("string")
+    found = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)], *[
+        F.call_function("approx_top_k", text(c), F.lit(candidates), F.lit(tracked)).alias(f"t{i}") for i, c in enumerate(columns)]).first()
+    rows = found["rows"]
+    tops = [[e for e in (found[f"t{i}"] or []) if e["item"] is not None] for i in range(len(columns))]  # nulls are counted apart
+    again = df.agg(*[F.count(F.when(text(c) == e["item"], 1)).alias(f"c{i}_{j}") for i, c in enumerate(columns) for j, e in enumerate(tops[i])] or [F.lit(0)]).first()
+    known, open_ = [], []
+    for i, c in enumerate(columns):
+        best = max([again[f"c{i}_{j}"] for j in range(len(tops[i]))], default=0)
+        nulls = rows - found[f"n{i}"]
+        least = tops[i][-1]["count"] if len(tops[i]) >= candidates - 1 else 0
+        if max(best, nulls) >= max(least, 4 * rows / tracked) or best + nulls == rows:
+            known.append((c, max(best, nulls) / rows if rows else None))
+        else:
+            open_.append(c)
+    made = df.sparkSession.createDataFrame(known, "feature string, top_value_share double")
+    if not open_:
+        return made
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), text(c).alias("value")) for c in open_])
     counts = df.select(F.inline(items)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("top_value_share"))
+    return made.unionByName(counts.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("top_value_share")))
 
 
 def mode_of(df: DataFrame, keys: Sequence[str], column: str, out: str = "mode", weight: str | None = None) -> DataFrame:
@@ -111,43 +139,15 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     return Correlation.corr(vectors, "features", "pearson").first()[0].toArray()
 
 
-def rank_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns replaced by their average ranks.
-
-    Ranks are computed once per distinct value and joined back by value, so a value shared by many rows is one row
-    of the lookup and its rows need not meet in one task.
-    """
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    ranks = materialize(average_ranks(rows, columns).select("feature", "value", "avg_rank"), "ranks")
-    for c in columns:
-        lookup = ranks.filter(F.col("feature") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"__{c}"))
-        rows = rows.join(lookup, c, "left").withColumn(c, F.col(f"__{c}")).drop(f"__{c}")
-    return rows
-
-
 def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     """Rank correlation matrix over complete rows."""
-    return correlation_matrix(rank_columns(df.select(*columns).dropna(), columns), columns)
+    return pairwise_spearman(df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna(), columns)
 
 
-def spearman_lookup(df: DataFrame, columns: Sequence[str]):
-    """Function (a, b) -> rank correlation over the rows where both are present.
-
-    Columns without nulls are ranked together once; a pair with a nullable column is ranked on its own rows, when asked for.
-    """
-    counts = df.agg(F.count(F.lit(1)).alias("__all"), *[F.count(c).alias(c) for c in columns]).first()
-    full = [c for c in columns if counts[c] == counts["__all"]]
-    matrix = spearman_matrix(df, full) if len(full) > 1 else None
-    known: dict[frozenset, float] = {}
-
-    def pair(a: str, b: str) -> float:
-        if a in full and b in full:
-            return float(matrix[full.index(a), full.index(b)])
-        key = frozenset((a, b))
-        if key not in known:
-            known[key] = float(spearman_matrix(df, [a, b])[0, 1])
-        return known[key]
-    return pair
+def spearman_lookup(df: DataFrame, columns: Sequence[str]) -> Callable[[str, str], float]:
+    """Function (a, b) -> rank correlation over the rows where both are present; all pairs come from the same few jobs."""
+    matrix, at = pairwise_spearman(df, columns), {c: i for i, c in enumerate(columns)}
+    return lambda a, b: float(matrix[at[a], at[b]])
 
 
 def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from panelkit.operators.impute import median_fill
 from panelkit.operators.lookback import history_mean, lookback
 from panelkit.operators.metrics import calibration, discrimination
 from panelkit.operators.profile import (column_profile, explained_variance, label_correlations, mode_of, spearman_lookup,
-                                        spearman_matrix, vif, vif_elimination)
+                                        spearman_matrix, top_value_share, vif, vif_elimination)
 from panelkit.operators.quantiles import collect_quantiles, exact_quantiles
 from panelkit.operators.ranking import average_ranks, distinct_values, running_totals
 from panelkit.operators.selection import selection_report
@@ -410,3 +410,35 @@ def test_median_of_very_many_values(spark):
     told = rows.toPandas()
     a, b = sorted(told[told.who == "a"].v), sorted(told[(told.who == "b") & (told.day < D(2024, 1, 2))].v)
     assert len(a) > 10000 and found == {"a": a[-(-len(a) // 2) - 1], "b": b[-(-len(b) // 2) - 1]}
+
+
+@pytest.mark.parametrize("sliced", [False, True])
+def test_rank_correlation_of_all_pairs(spark, sliced, monkeypatch):
+    from panelkit.operators import ranking
+    from panelkit.operators.rankcorr import pairwise_spearman
+    if sliced:
+        monkeypatch.setattr(ranking, "SMALL", 0)
+    rng = np.random.default_rng(12)
+    n = 1500
+    base = rng.normal(size=n)
+    pdf = pd.DataFrame({"a": base, "b": np.round(base + rng.normal(size=n), 1), "c": np.where(rng.random(n) < 0.3, np.nan, -base + rng.normal(size=n)),
+                        "d": np.where(rng.random(n) < 0.34, 0.0, rng.integers(0, 5, n)), "e": np.where(rng.random(n) < 0.5, np.nan, np.round(rng.random(n), 1)), "f": 7.0})
+    found = pairwise_spearman(spark.createDataFrame(pdf).repartition(5).replace(float("nan"), None), list(pdf.columns))
+    expected = pdf.corr("spearman").to_numpy()
+    assert np.allclose(found, expected, atol=1e-12, equal_nan=True) and np.isnan(found[5]).all()
+    with_nan = pairwise_spearman(spark.createDataFrame(pdf), ["c", "a"])
+    assert np.allclose(with_nan, pdf[["c", "a"]].corr("spearman"), atol=1e-12)
+    assert np.isnan(pairwise_spearman(spark.createDataFrame(pdf).limit(0), ["a", "b"])).all()
+
+
+def test_top_values_from_a_small_summary(spark):
+    rng = np.random.default_rng(13)
+    n = 6000
+    pdf = pd.DataFrame({"often": np.where(rng.random(n) < 0.4, "x", rng.integers(0, 3000, n).astype(str)), "unique": [f"v{k}" for k in range(n)],
+                        "gone": [None if k % 3 else f"g{k}" for k in range(n)], "pairs": [f"p{k // 2}" for k in range(n)], "one": "z", "none": [None] * n,
+                        "even": [f"e{k % 40}" for k in range(n)]})
+    df = spark.createDataFrame(pdf, "often string, unique string, gone string, pairs string, one string, none string, even string").repartition(6)
+    for tracked, candidates in ((64, 4), (8192, 32)):
+        found = {r["feature"]: r["top_value_share"] for r in top_value_share(df, list(pdf.columns), tracked, candidates).collect()}
+        assert found == {c: pytest.approx(pdf[c].value_counts(dropna=False).iloc[0] / n) for c in pdf.columns}
+    assert [r["top_value_share"] for r in top_value_share(df.limit(0), ["often"]).collect()] in ([None], [])
