@@ -11,10 +11,11 @@ from panelkit.session import materialize
 from panelkit.sources.readers import path_exists
 from panelkit.sources.schema import enforce, text_schema
 from panelkit.sources.sinks import write_partitions
+from panelkit.sources.versions import publish_merged
 
 
 def land_new_files(spark: SparkSession, source: str, columns: Sequence[str], types: Mapping[str, str], target: str,
-                   checkpoint: str, key: Sequence[str], date: str = "snapshot_date") -> None:
+                   checkpoint: str, key: Sequence[str], date: str = "snapshot_date", versioned: bool = False) -> None:
     """Read files not seen before and merge them into the months they deliver.
 
     The stream's checkpoint remembers processed files, so a restart after a lost driver goes on where it stopped.
@@ -22,7 +23,8 @@ def land_new_files(spark: SparkSession, source: str, columns: Sequence[str], typ
     delivered again, therefore changes nothing. Only delivered months are read and rewritten. Of several rows of a key in one
     delivery the one from the latest file stays, of equal times the greatest file name, in one file the greatest row.
     Rows whose date can't be read go as text, with their file, to the table ``<target>_rejected``, in a partition for each
-    batch, so a replayed batch replaces its own.
+    batch, so a replayed batch replaces its own. ``versioned``: the target is a table in versions (see ``publish``), whose readers
+    see a delivery as a whole or not at all; a batch that was published is not published again.
     """
     names = list(columns)
 
@@ -36,6 +38,9 @@ def land_new_files(spark: SparkSession, source: str, columns: Sequence[str], typ
         newest = F.max_by(row, F.struct("__time", "__file", row))
         new = (typed.filter(F.col(date).isNotNull()).groupBy(date, *key).agg(newest.alias("__row"))
                .select(date, *key, *[F.col(f"__row.{c}") for c in rest]).select(*names))
+        if versioned:
+            publish_merged(new, target, date, key, f"{checkpoint}#{batch_id}")
+            return
         if path_exists(spark, target):
             new = materialize(new, "latest")
             months = new.select(date).distinct()

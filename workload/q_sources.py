@@ -12,6 +12,7 @@ from panelkit.session import fresh_path
 from panelkit.sources.readers import availability, read_catalog, read_table, read_text, require_source
 from panelkit.sources.schema import LOAN_TYPES, enforce
 from panelkit.sources.sinks import append_events, event_row, fill_partitions, write_partitions, write_report, write_table
+from panelkit.sources.versions import publish, read_published
 from panelkit.streaming.landing import land_new_files
 from workload.registry import query
 from workload.views import DATA_START, TRAIN_DATE, as_text, runs, view
@@ -234,3 +235,28 @@ def stm1(spark, d):
     deliver(rows.filter(f"snapshot_date >= '1999-01-01' OR ({late})"), "d2")  # adds to months landed before
     deliver(rows.filter("snapshot_date >= '2001-01-01'"), "d3")  # delivered again
     return spark.read.parquet(f"{base}/table").select(*columns)
+
+
+@query("snk5_published_versions", """WITH @panel SELECT loan_id, label, CASE WHEN month >= DATE '1999-01-01' AND month < DATE '1999-07-01' THEN round(x1 * 2, 2) ELSE round(x1, 2) END AS x1, month AS snapshot_date FROM panel""")
+def snk5_versions(spark, d):
+    """A table in versions: a first version, half a year replaced, a run that ends before its pointer moves, and the second run again."""
+    root = fresh_path(spark, "versions")
+    rows = view(spark, d, "panel").select("loan_id", "label", F.round("x1", 2).alias("x1"), F.col("month").alias("snapshot_date"))
+    publish(rows, root, "snapshot_date", "first")
+    half = rows.filter("snapshot_date >= DATE '1999-01-01' AND snapshot_date < DATE '1999-07-01'").withColumn("x1", F.round(F.col("x1") * 2, 2))
+    publish(half, root, "snapshot_date", "second")
+    half.withColumn("x1", F.lit(-1.0)).write.partitionBy("snapshot_date").parquet(f"{root}/data/version=unfinished")  # ended before its manifest
+    publish(half.withColumn("x1", F.lit(-2.0)), root, "snapshot_date", "second")  # the run is in already
+    return read_published(spark, root).select("loan_id", "label", "x1", "snapshot_date")
+
+
+@query("stm1_published_landing", "WITH @panel SELECT loan_id, label, x1, month AS snapshot_date FROM panel")
+def stm1_published(spark, d):
+    """New files landed as versions."""
+    base = fresh_path(spark, "stream")
+    rows = as_text(view(spark, d, "panel").select("loan_id", "label", "x1", F.col("month").alias("snapshot_date")))
+    columns = list(STREAM_TYPES)
+    for name, part in (("d1", rows.filter("snapshot_date < '1999-01-01'")), ("d2", rows.filter("snapshot_date >= '1998-10-01'"))):
+        part.write.option("header", "true").csv(f"{base}/incoming/{name}")
+        land_new_files(spark, f"{base}/incoming", columns, STREAM_TYPES, f"{base}/table", f"{base}/offsets", ["loan_id"], versioned=True)
+    return read_published(spark, f"{base}/table").select(*columns)
