@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import month_start
-from panelkit.functions.encode import one_hot
+from panelkit.functions.encode import MOST_LEVELS, collected_levels, one_hot
 from panelkit.functions.numeric import clip, signed_log
 from panelkit.operators.boosting import BoostedTrees, Growing, TreeSetting, bin_rows, fit_cuts, grow_all, refreshed, stepped
 from panelkit.operators.drift import apply_woe, binned, contingency, evidence
@@ -41,8 +41,6 @@ TREE_GRID = {"rounds": [200, 300, 500, 800], "learning_rate": [0.02, 0.05, 0.1],
 FREE = (-float("inf"), float("inf"))
 #: Draws of the search, most rounds of the final fit, and rounds without a better validation AUC after which it stops.
 DRAWS, MOST_ROUNDS, PATIENCE = 30, 3000, 100
-#: Most levels of a category that become model inputs.
-MOST_LEVELS = 200
 
 
 # ---- preprocessing --------------------------------------------------------------------------------------------------
@@ -142,15 +140,8 @@ class TreePrep:
 
 def fit_levels(train: DataFrame, categorical: Sequence[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
     """The levels of each category, in order, null as "Unknown"; raises if one has more than ``most``, as each becomes a column."""
-    levels: dict[str, list[str]] = {c: [] for c in categorical}
-    if categorical:
-        found = binned(train.fillna("Unknown", list(categorical)), {}, categorical).distinct()
-        for r in found.limit(most * len(levels) + 1).collect():
-            levels[r["feature"]].append(r["bin"])
-    for c, found in levels.items():
-        if len(found) > most:
-            raise ValueError(f"{c} has more than {most} levels")
-    return {c: sorted(v) for c, v in levels.items()}
+    filled = train.fillna("Unknown", list(categorical)) if categorical else train
+    return collected_levels(filled, {c: (c, None) for c in categorical}, most) if categorical else {}
 
 
 def fit_tree_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], fill: bool = True,

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.encode import multi_hot, one_hot, vocabulary
+from panelkit.functions.encode import MOST_LEVELS, collected_levels, multi_hot, one_hot
 from panelkit.functions.text import clean_list, replace_token, spell_undefined, strip_underscores, years_of
 from panelkit.sources.schema import ATTRIBUTE_TYPES, CLICK_TYPES, FINANCIAL_TYPES, LOAN_TYPES, enforce
 
@@ -23,17 +23,10 @@ def silver_attributes(raw: DataFrame) -> DataFrame:
     return enforce(raw.withColumns({c: strip_underscores(c) for c in NOISY_ATTRIBUTES}), ATTRIBUTE_TYPES)
 
 
-def financial_vocabulary(raw: DataFrame) -> dict[str, list[str]]:
-    """Levels the one-hot columns need; collected because they become column names."""
-    prepared = raw.select(clean_list("Type_of_Loan").alias("loan"), spell_undefined("Credit_Mix").alias("mix"),
-                          F.col("Payment_of_Min_Amount").alias("pay"))
-    one = (vocabulary(prepared, "loan", ",").withColumn("kind", F.lit("Loan"))
-           .unionByName(vocabulary(prepared, "mix").withColumn("kind", F.lit("Credit_Mix")))
-           .unionByName(vocabulary(prepared, "pay").withColumn("kind", F.lit("Payment_of_Min_Amount"))))
-    levels: dict[str, list[str]] = {"Loan": [], "Credit_Mix": [], "Payment_of_Min_Amount": []}
-    for row in one.collect():
-        levels[row["kind"]].append(row["level"])
-    return {k: sorted(v) for k, v in levels.items()}
+def financial_vocabulary(raw: DataFrame, most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """Levels the one-hot columns need, from one pass; raises if a column has more than ``most``, as they become column names."""
+    prepared = raw.select(clean_list("Type_of_Loan").alias("loan"), spell_undefined("Credit_Mix").alias("mix"), F.col("Payment_of_Min_Amount").alias("pay"))
+    return collected_levels(prepared, {"Loan": ("loan", ","), "Credit_Mix": ("mix", None), "Payment_of_Min_Amount": ("pay", None)}, most)
 
 
 def silver_financials(raw: DataFrame, levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

@@ -192,3 +192,15 @@ def test_checks_raise(spark):
     early = spark.createDataFrame([(D(2020, 1, 1), "train")], "d date, data_split string")
     with pytest.raises(ValueError, match="train"):
         require_splits(early, split_windows("2025-06-01"), "d")
+
+
+def test_levels_have_a_limit(spark):
+    from panelkit.functions.encode import collected_levels, one_hot
+    df = spark.createDataFrame([("a,b",), ("b",), ("c,c",), (None,), ("b",)], "v string").withColumn("w", F.col("v"))
+    assert collected_levels(df, {"v": ("v", ","), "w": ("w", None)}) == {"v": ["a", "b", "c"], "w": ["a,b", "b", "c,c"]}
+    with pytest.raises(ValueError, match="more than 2"):
+        collected_levels(df, {"v": ("v", ",")}, most=2)
+    assert collected_levels(df, {"v": ("v", ","), "w": ("w", None)}, 2, "other") == {"v": ["a", "b", "other"], "w": ["a,b", "b", "other"]}
+    flags = df.select("w", *[e.alias(n) for n, e in one_hot("w", ["b", "other"], "is_", "other").items()])
+    assert sorted(map(tuple, flags.distinct().collect()), key=str) == sorted([("a,b", 0, 1), ("b", 1, 0), ("c,c", 0, 1), (None, 0, 0)], key=str)
+    assert collected_levels(df.limit(0), {"v": ("v", ",")}) == {"v": []}

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelkit.functions.dates import month_start
-from panelkit.functions.encode import collapse, multi_hot, one_hot, vocabulary
+from panelkit.functions.encode import collapse, collected_levels, multi_hot, one_hot, vocabulary
 from panelkit.functions.numeric import (INVALID_RULES, apply_rules, at_least, clip, first_method, log1p_floor, map_codes, ratio,
                                         round_half_up, signed_log, status, within, worst_status)
 from panelkit.functions.text import (blank_to, clean_list, column_name, feature_stem, replace_token, spell_undefined,
@@ -235,7 +235,7 @@ LOANS = ["Auto Loan", "Debt-Consolidation Loan", "Home Loan", "Not Specified", "
     for v in LOANS) + " FROM financials")
 def arr3(spark, d):
     cleaned = view(spark, d, "financials_raw").select("Customer_ID", clean_list("Type_of_Loan").alias("l"))
-    levels = sorted(r["level"] for r in vocabulary(cleaned, "l", ",").collect())
+    levels = collected_levels(cleaned, {"l": ("l", ",")})["l"]
     return cleaned.withColumns(multi_hot("l", levels, "Loan_")).drop("l")
 
 
@@ -244,7 +244,7 @@ def arr3(spark, d):
        + " FROM financials")
 def enc1(spark, d):
     raw = view(spark, d, "financials_raw").select("Customer_ID", spell_undefined("Credit_Mix").alias("Credit_Mix"))
-    levels = sorted(r["level"] for r in vocabulary(raw, "Credit_Mix").collect())
+    levels = collected_levels(raw, {"mix": ("Credit_Mix", None)})["mix"]
     return raw.withColumns(one_hot("Credit_Mix", levels, "Credit_Mix_")).drop("Credit_Mix")
 
 
