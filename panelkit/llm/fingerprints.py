@@ -49,7 +49,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(hashes, F.transform(F.split(F.trim(F.coalesce(text, F.lit("")), F.lit(SPACES)), "[\\x20\\x09-\\x0D]+"), lambda w: F.xxhash64(w)))
     df = df.withColumn(two, _pairs(_head(F.col(hashes), 1), _tail(F.col(hashes), 1)))
     four = _pairs(_head(F.col(two), 2), _tail(F.col(two), 2))
-    df = df.withColumn(sorted_, F.sort_array(F.when(F.size(hashes) >= SHINGLE, _pairs(four, _tail(F.col(hashes), SHINGLE - 1)))
+    df = df.withColumn(sorted_, F.sort_array(F.when(F.size(hashes) >= SHINGLE, _pairs(_head(four, 1), _tail(F.col(hashes), SHINGLE - 1)))
                                              .otherwise(F.array(F.xxhash64(hashes)))))
     before = F.concat(F.array(F.lit(None).cast("long")), _head(F.col(sorted_), 1))
     df = df.withColumn(lows, F.filter(F.zip_with(sorted_, before, lambda h, b: F.when(b.isNull() | (bin_of(h) != bin_of(b)), h)), lambda h: h.isNotNull()))
