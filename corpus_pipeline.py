@@ -26,7 +26,8 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with enough certainty; the model learns from this stage's own labelled documents, and none
-    stays if none is labelled."""
+    stays if none is labelled. Null and empty texts, and texts without a letter, have no language and go. Rows are judged one by one, so
+    repeated ones stay or go together; a null lang is not learned from, a null id neither, but both are judged."""
     model = train_language_model(docs, required=False)
     rows = docs.select(F.struct(*[c for c in DOCUMENTS if c != "text"]).alias("row"), "text")
     kept = predict_language(rows, model, "row", with_text=True).filter("accepted")
@@ -34,25 +35,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
+    """One document of each group of near copies, the one with the smallest id. Null, empty and wordless texts are copies of each other (they
+    have the fingerprint zero), so one of them stays. Of repeated rows one stays; rows without an id stay only in groups without any."""
     return keep_one(docs.select(*DOCUMENTS), size=4, distance=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 35 words or more that occur elsewhere too; the words left are joined by spaces. Documents that lose
-    nothing keep their text as it is."""
+    nothing keep their text as it is, null and empty ones too. Every occurrence goes, the first as well; of rows that are equal in all a
+    text of 35 words or more loses its words in each."""
     found = remove_repeats(docs, 35, carry=tuple(DOCUMENTS)).select("carried.*", "n_removed", "kept")
     return _with_text(found, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words that lie in any occurrence of ten benchmark words."""
+    """Documents without the words that lie in any occurrence of ten benchmark words; all rows stay, repeated ones, null and empty texts as
+    they are."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _with_text(remove_hits(docs.select(*DOCUMENTS), benchmark, 10), F.col("text"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they spell its text."""
+    """Token ids of every document, and whether they spell its text. A null text has null ids, an empty one none; every row gives one."""
     return encode_decode(docs, load_vocabulary(MODEL_FILE)).select("doc_id", "n_pieces", "pieces", F.sha2("decoded", 256).alias("decoded_sha256"), "lossless")
 
 
