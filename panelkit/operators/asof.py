@@ -38,7 +38,7 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     ``strict`` takes only times before the probe. A segmented scan: time is cut at quantiles of the times of both sides, so that a slice
     holds about the same number of rows whatever the calendar; one ordered pass inside each key and slice finds the last row,
     and the last row of all earlier slices is carried over from a table with one row per key and slice. No pairs of rows
-    are formed. A key with a third of all rows, be it on one day, is spread over a third of the slices, and without keys (``on``
+    are formed. ``slices=1`` is for calendars and histories of decisions, which have a row a month: one pass and no measuring. A key with a third of all rows, be it on one day, is spread over a third of the slices, and without keys (``on``
     empty) the slices alone divide the work. A key's carried table has at most ``slices`` rows (by default the session's
     shuffle width within limits). Null keys and times find nothing; of several right rows at a time the greatest counts.
     """
@@ -53,13 +53,16 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     times = probes.select(_moment(probes, left_time).cast("double").alias("__n")).unionByName(right.select(_moment(right, right_time).cast("double").alias("__n")))
     n = slices or slice_count(probes)
     cuts = times.agg(F.percentile_approx("__n", F.array(*[F.lit(i / n) for i in range(1, n)]), 4 * n)).first()[0] if n > 1 else []
-    both = with_slices(both, {"__n": sorted(set(cuts or []))}).withColumnRenamed("__n__slice", "__slot")
-    slots = both.groupBy(*on, "__slot").agg(F.max_by("__row", F.when(F.col("__side") == second, F.struct("__n"))).alias("__row"))
-    before = Window.partitionBy(*(on or [F.lit(0)])).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slots.select(*on, "__slot", F.last("__row", ignorenulls=True).over(before).alias("__carried"))
+    cuts = sorted(set(cuts or []))
+    both = with_slices(both, {"__n": cuts}).withColumnRenamed("__n__slice", "__slot")
     upto = (Window.partitionBy(*on, "__slot").orderBy("__n", "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto)).filter(F.col("__side") == first)
+    if not cuts:  # one slice: nothing is carried
+        return inner.select(*on, F.col("__t").alias(left_time), F.col("__found").alias("found"))
+    slots = both.groupBy(*on, "__slot").agg(F.max_by("__row", F.when(F.col("__side") == second, F.struct("__n"))).alias("__row"))
+    before = Window.partitionBy(*(on or [F.lit(0)])).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slots.select(*on, "__slot", F.last("__row", ignorenulls=True).over(before).alias("__carried"))
     return (inner.join(carried, [*on, "__slot"], "left")
             .select(*on, F.col("__t").alias(left_time), F.coalesce("__found", "__carried").alias("found")))
 

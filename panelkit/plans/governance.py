@@ -25,7 +25,7 @@ KEPT_NOT_BETTER = "kept champion: candidate not better on the same OOT window"
 
 def roles_asof(dates: DataFrame, roles: DataFrame, date: str = "month") -> DataFrame:
     """Champion and challenger in force on each date (latest row effective on or before it)."""
-    return asof_join(dates, roles, [], date, "effective_from", ["effective_from", "champion", "challenger"])
+    return asof_join(dates, roles, [], date, "effective_from", ["effective_from", "champion", "challenger"], slices=1)
 
 
 def current_roles(roles: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def manual_promotion(roles: DataFrame, model: str, as_of: str, reason: str = "ma
 def latest_training(dates: DataFrame, runs: DataFrame, date: str = "month") -> DataFrame:
     """Date of the latest training run on or before each date."""
     trained = runs.select(F.col("as_of").alias("last_training")).distinct()
-    return asof_join(dates, trained, [], date, "last_training", ["last_training"])
+    return asof_join(dates, trained, [], date, "last_training", ["last_training"], slices=1)
 
 
 def labelled_months(dates: DataFrame, labels: DataFrame, label_date: str, date: str = "month") -> DataFrame:
@@ -150,9 +150,9 @@ def monitoring_asof(state: DataFrame, monitoring: DataFrame, date: str = "month"
     mon = monitoring.withColumnRenamed("model_version", "champion")
     mon = mon.withColumns({c: F.lit(None).cast("double") for c in [*STABILITY[1:], *PERFORMANCE[1:]] if c not in mon.columns})
     mon = mon.withColumns({"stability_month": F.col("snapshot_date"), "performance_month": F.col("snapshot_date")})
-    latest = asof_join(state, mon, ["champion"], date, "snapshot_date", [*STABILITY, "stability_month"], strict=True)
+    latest = asof_join(state, mon, ["champion"], date, "snapshot_date", [*STABILITY, "stability_month"], strict=True, slices=1)
     assessed = mon.filter(F.col("performance_status").isin("ok", "watch", "alert"))
-    return asof_join(latest, assessed, ["champion"], date, "snapshot_date", [*PERFORMANCE, "performance_month"], strict=True)
+    return asof_join(latest, assessed, ["champion"], date, "snapshot_date", [*PERFORMANCE, "performance_month"], strict=True, slices=1)
 
 
 def _alert_text(kind: str, first: tuple[str, str], second: tuple[str, str]) -> Column:

@@ -47,5 +47,5 @@ def rows_to_monitor(inference: DataFrame, gold: DataFrame, key: str = "loan_id")
 
 def params_in_force(months: DataFrame, roles: DataFrame, models: DataFrame, month: str = "month") -> DataFrame:
     """Champion of each month and the training date whose parameters it needs."""
-    champions = asof_join(months, roles, [], month, "effective_from", ["champion"])
+    champions = asof_join(months, roles, [], month, "effective_from", ["champion"], slices=1)
     return champions.join(models.select(F.col("model_version").alias("champion"), "model_train_date"), "champion", "left")
