@@ -59,11 +59,17 @@ def open_bin(column, inner: Sequence[float] | None) -> Column:
     return F.coalesce(number.cast("string"), F.lit(MISSING))
 
 
-def open_bin_by(column, inner: Column) -> Column:
-    """The same with the inner edges in an array column, null where there are none."""
+def open_bin_by(column, inner: Column, most: int | None = None) -> Column:
+    """The same with the inner edges in an array column, null where there are none. ``most`` is the greatest number of edges, if it is known:
+    then they are compared one by one in generated code, not by a function over the array."""
     column = _c(column)
-    number = F.size(F.filter(inner, lambda edge: column > edge)).cast("string")
-    return F.coalesce(F.when(inner.isNull() | column.isNull(), column.cast("string")).otherwise(number), F.lit(MISSING))
+    if most is None:
+        number = F.size(F.filter(inner, lambda edge: column > edge))
+    else:
+        number = F.lit(0)
+        for i in range(most):
+            number = number + F.coalesce((column > F.get(inner, F.lit(i))).cast("int"), F.lit(0))
+    return F.coalesce(F.when(inner.isNull() | column.isNull(), column.cast("string")).otherwise(number.cast("string")), F.lit(MISSING))
 
 
 def level_bin(column) -> Column:

@@ -53,8 +53,7 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], keys: Sequenc
         whole = Window.partitionBy(*group)
         running = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         total = F.sum("n").over(whole)
-        return picked(counts.withColumns({"total": total, "ranks": _ranks(probs, total, interpolate),
-                                           "before": F.coalesce(F.sum("n").over(running), F.lit(0))}), group)
+        return _picked_at(counts.withColumns({"total": total, "before": F.coalesce(F.sum("n").over(running), F.lit(0))}), group, probs, interpolate)
     per_slice = counts.groupBy(*group, "slice").agg(F.sum("n").alias("slice_n"))
     return picked(ordered(counts, located(per_slice, group, probs, interpolate), group), group)
 
@@ -89,15 +88,30 @@ def picked(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     return found.select(*group, "prob", (F.col("lo") + F.col("part") * (F.col("hi") - F.col("lo"))).alias("value"), "n")
 
 
+def _picked_at(rows: DataFrame, group: Sequence[str], probs: Sequence[float], interpolate: bool) -> DataFrame:
+    """The same with every value of a group at hand: one aggregate looks for all ranks, and rows are not multiplied by them."""
+    at = [_rank(p, F.col("total"), interpolate) for p in probs]
+    inside = lambda rank: F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("n")), F.col("value")))
+    wide = rows.groupBy(*group).agg(F.max("total").alias("total"), *[e for i, (low, high, _) in enumerate(at)
+                                                                    for e in (inside(low).alias(f"lo{i}"), inside(high).alias(f"hi{i}"))])
+    found = F.array(*[F.struct(F.lit(float(p)).alias("prob"), (F.col(f"lo{i}") + at[i][2] * (F.col(f"hi{i}") - F.col(f"lo{i}"))).alias("value"))
+                      for i, p in enumerate(probs)])
+    return wide.select(*group, F.inline(found), F.col("total").alias("n")).select(*group, "prob", "value", "n")
+
+
+def _rank(p: float, total, interpolate: bool):
+    """Zero-based ranks of one quantile among ``total`` values, and the share taken from the upper one."""
+    if interpolate:
+        position = F.lit(float(p)) * (total - 1)
+        return F.floor(position), F.ceil(position), position - F.floor(position)
+    low = F.greatest(F.ceil(F.lit(float(p)) * total) - 1, F.lit(0))
+    return low, low, F.lit(0.0)
+
+
 def _ranks(probs: Sequence[float], total, interpolate: bool):
     """Zero-based ranks of each quantile among ``total`` values, with the share taken from the upper one."""
     def one(p: float):
-        if interpolate:
-            position = F.lit(float(p)) * (total - 1)
-            low, high, part = F.floor(position), F.ceil(position), position - F.floor(position)
-        else:
-            low = F.greatest(F.ceil(F.lit(float(p)) * total) - 1, F.lit(0))
-            high, part = low, F.lit(0.0)
+        low, high, part = _rank(p, total, interpolate)
         return F.struct(F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high"), part.alias("part"))
     return F.array(*[one(p) for p in probs])
 

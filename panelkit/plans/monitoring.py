@@ -25,6 +25,8 @@ PSI_WATCH, PSI_ALERT = 0.10, 0.25
 AUC_DROP_WATCH, AUC_DROP_ALERT = 0.03, 0.05
 MIN_LABELLED = 100
 SCORE = "model_predictions"
+#: Inner decile edges of a feature at most.
+EDGES = 9
 
 
 class Baseline:
@@ -96,6 +98,7 @@ class Baselines:
     missing: DataFrame
     numeric: list[str]
     levels: list[str]
+    alike: bool = True  # whether all models have all features
 
     def save(self, path: str) -> None:
         """One partition per model; a re-run replaces its own."""
@@ -104,7 +107,7 @@ class Baselines:
 
 
 def load_baselines(spark: SparkSession, path: str, numeric: Sequence[str], levels: Sequence[str], models: Sequence[str] | None = None) -> Baselines:
-    """Saved baselines, of the given models only if any are given."""
+    """Saved baselines, of the given models only if any are given; all of them have the features named."""
     def part(name: str) -> DataFrame:
         table = spark.read.parquet(f"{path}/{name}")
         return table if models is None else table.filter(F.col("model_version").isin(list(models)))
@@ -129,10 +132,12 @@ def build_baselines(train: DataFrame, numeric: Sequence[str], levels: Sequence[s
     names = F.array(*[F.lit(f) for f in [*features, *levels]])
     empty = F.create_map().cast("map<string,array<double>>")
     table = materialize(known.select("model_version", names.alias("__features"), F.coalesce("__edges", empty).alias("__edges"), "reference_auc"), "baseline-cuts")
-    counts = shares(_own_bins(train, table, features, levels, ["model_version"]), ["model_version"])
     rates = missing_shares(train, [*numeric, *levels], ["model_version"]).withColumnRenamed("missing_rate", "baseline_missing_rate")
-    return Baselines(table, materialize(counts.select("model_version", "feature", "bin", "share"), "baseline-shares"),
-                     materialize(rates, "baseline-missing"), list(numeric), list(levels))
+    made = Baselines(table, table.select("model_version"), materialize(rates, "baseline-missing"), list(numeric), list(levels))
+    counts = _own_bins(train, made, ["model_version"]).groupBy("model_version", "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "baseline-counts")
+    made.shares = materialize(shares(counts, ["model_version"], weight="n").select("model_version", "feature", "bin", "share"), "baseline-shares")
+    return made
 
 
 def as_baselines(spark: SparkSession, bases: Baselines | Mapping[str, Baseline]) -> Baselines:
@@ -144,15 +149,20 @@ def as_baselines(spark: SparkSession, bases: Baselines | Mapping[str, Baseline])
     tagged = [(b.table.withColumn("model_version", F.lit(m)), b.missing.withColumn("model_version", F.lit(m))) for m, b in bases.items()]
     shares_, missing = (reduce(DataFrame.unionByName, parts) for parts in zip(*tagged))
     numeric = list(dict.fromkeys(f for b in bases.values() for f in b.edges if f != SCORE))
-    return Baselines(table, shares_, missing, numeric, list(dict.fromkeys(f for b in bases.values() for f in b.levels)))
+    levels = list(dict.fromkeys(f for b in bases.values() for f in b.levels))
+    alike = all(set(b.features) == {*numeric, *levels} for b in bases.values())
+    return Baselines(table, shares_, missing, numeric, levels, alike)
 
 
-def _own_bins(rows: DataFrame, cuts: DataFrame, numeric: Sequence[str], levels: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def _own_bins(rows: DataFrame, bases: Baselines, keys: Sequence[str]) -> DataFrame:
     """Long form (keys, feature, bin) of each row's features by the cuts of its model; rows of models without cuts yield none."""
-    bins = {f: open_bin_by(f, F.try_element_at("__edges", F.lit(f))) for f in numeric} | {f: level_bin(f) for f in levels}
+    numeric = [SCORE, *bases.numeric]
+    edges = [F.try_element_at("__edges", F.lit(f)).alias(f"__e{i}") for i, f in enumerate(numeric)]
+    cuts = bases.cuts.select("model_version", "__features", *edges)
+    bins = {f: open_bin_by(f, F.col(f"__e{i}"), EDGES) for i, f in enumerate(numeric)} | {f: level_bin(f) for f in bases.levels}
     items = F.array(*[F.struct(F.lit(f).alias("feature"), c.alias("bin")) for f, c in bins.items()])
-    own = F.filter(items, lambda x: F.array_contains("__features", x["feature"]))
-    return rows.join(cuts.select("model_version", "__features", "__edges"), "model_version").select(*keys, F.inline(own))
+    own = items if bases.alike else F.filter(items, lambda x: F.array_contains("__features", x["feature"]))
+    return rows.join(cuts, "model_version").select(*keys, F.inline(own))
 
 
 def feature_drift(rows: DataFrame, bases: Baselines | Mapping[str, Baseline], keys: Sequence[str]) -> DataFrame:
@@ -162,7 +172,7 @@ def feature_drift(rows: DataFrame, bases: Baselines | Mapping[str, Baseline], ke
     ``model_version``.
     """
     bases = as_baselines(rows.sparkSession, bases)
-    long = _own_bins(rows, bases.cuts, [SCORE, *bases.numeric], bases.levels, keys)
+    long = _own_bins(rows, bases, keys)
     return _drift(long.groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n")), bases, keys)
 
 
@@ -201,7 +211,7 @@ def month_state(rows: DataFrame, bases: Baselines | Mapping[str, Baseline], keys
     cells = rows.groupBy(*keys, "model_role", "data_split").agg(
         F.count(F.lit(1)).alias("n"), F.count(label).alias("n_y"), F.sum(SCORE).alias("s"), F.sum(y).alias("y"),
         F.sum("predicted_default").alias("p"), *[F.count(F.when(F.col(f).isNull(), 1)).alias(f"null_{f}") for f in features])
-    bins = _own_bins(rows, bases.cuts, [SCORE, *bases.numeric], bases.levels, keys).groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    bins = _own_bins(rows, bases, keys).groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     metrics = discrimination(rows, SCORE, label, keys).select(*keys, "n_bad", "n_good", "auc", "gini", "ks", "brier")
     return MonitoringState(bins, cells, metrics)
 
@@ -234,7 +244,7 @@ def monitoring_summary(rows: DataFrame, bases: Baselines | Mapping[str, Baseline
     """
     bases = as_baselines(rows.sparkSession, bases)
     state = month_state(rows, bases, keys, label)
-    return summarise(MonitoringState(state.bins, materialize(state.cells, "cells"), state.metrics), bases, keys, as_of)
+    return summarise(MonitoringState(materialize(state.bins, "bins"), materialize(state.cells, "cells"), state.metrics), bases, keys, as_of)
 
 
 def summarise(state: MonitoringState, bases: Baselines | Mapping[str, Baseline], keys: Sequence[str] = ("model_version", "snapshot_date"),
