@@ -22,6 +22,8 @@ MISS = 0.002
 #: A language's share of documents with an n-gram is taken as if it had so many more documents without it; least share; n-grams of usual
 #: evidence added to every text, so that a few odd words don't decide; bits below the usual evidence that are never held against a text.
 DOUBT, RARE, ADDED, SLACK = 10, 0.0005, 30, 1.0
+#: Bytes of text that are scored at once.
+PART_BYTES = 1 << 20
 #: N-grams of the sample that are measured at once.
 PIECE = 1 << 18
 
@@ -188,7 +190,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
 
     def predict(batches):
         weights = shared.value
-        for part, data, offsets in slices(batches, 1, lower=True):
+        for part, data, offsets in slices(batches, 1, PART_BYTES, lower=True):
             lettered = _has_letter(data, offsets) & (len(names) > 1)
             low, starts, ends, word, row = grams.distinct(data, offsets)
             bucket, owner = grams.of_words(low, starts, ends)
