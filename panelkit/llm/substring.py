@@ -55,11 +55,8 @@ def _grouped(first_key: np.ndarray, second_key: np.ndarray) -> tuple[np.ndarray,
     return order, np.r_[begins, len(a)]
 
 
-def _places(part: pa.RecordBatch, row: np.ndarray, position: np.ndarray) -> pa.StructArray:
-    """Positions of rows of a slice: the row's id, half of its text's hash beside the position, and another hash of it if asked for."""
-    rows = pa.array(row)
-    text_hash = part.column(1).to_numpy()
-    return pa.StructArray.from_arrays([part.column(0).take(rows), pa.array((text_hash[row] << 32) | position), part.column(3).take(rows)], names=["id", "at", "apart"])
+def _places(ids: pa.Array, text_hash: np.ndarray, row: np.ndarray, position: np.ndarray) -> pa.StructArray:
+    return pa.StructArray.from_arrays([ids.take(pa.array(row)), pa.array((text_hash[row] << 32) | position)], names=["id", "at"])
 
 
 def _anchors(plan: Layout):
@@ -79,12 +76,13 @@ def _anchors(plan: Layout):
             around = mix(around ^ ((before * 4096 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
             order, begins = _grouped(core, around)
             lead = order[begins[:-1]]
-            places = _places(part, row[order], position[order])
+            text_hash = part.column(1).to_numpy()
+            places = _places(part.column(0), text_hash, row[order], position[order])
             rest = np.delete(np.arange(len(order)), begins[:-1])
             head = places.take(pa.array(begins[:-1]))
             more = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.diff(begins) - 1)].astype(np.int32)), places.take(pa.array(rest)))
             yield pa.RecordBatch.from_arrays([pa.array(core[lead].view(np.int64)), pa.array(around[lead].view(np.int64)),
-                                              head.field("id"), head.field("at"), head.field("apart"), more], names=["core", "around", "id", "at", "apart", "more"])
+                                              head.field("id"), head.field("at"), more], names=["core", "around", "id", "at", "more"])
     return anchors
 
 
@@ -108,7 +106,7 @@ def _windows(plan: Layout):
         for part, data, offsets in slices(batches, 2):
             starts, ends, first, counts = _slice_words(data, offsets)
             wanted, known = [], []
-            for row, places in enumerate(_lists(part.column(4))):
+            for row, places in enumerate(_lists(part.column(3))):
                 begin = np.flatnonzero(_window_starts(plan, places, 2, int(counts[row])))
                 sure = _window_starts(plan, places, 1, int(counts[row]))
                 wanted.append(begin + first[row])
@@ -122,7 +120,7 @@ def _windows(plan: Layout):
             open_ = ~known[order]
             group = np.repeat(np.arange(len(begins) - 1), np.diff(begins))[open_]
             asked = order[open_]
-            places = _places(part, row[asked], at[asked] - first[row[asked]])
+            places = _places(part.column(0), part.column(1).to_numpy(), row[asked], at[asked] - first[row[asked]])
             held = pa.ListArray.from_arrays(pa.array(np.searchsorted(group, np.arange(len(begins))).astype(np.int32)), places)
             yield pa.RecordBatch.from_arrays([pa.array(one[lead].view(np.int64)), pa.array(two[lead].view(np.int64)),
                                               pa.array(np.diff(begins).astype(np.int64)), held], names=["one", "two", "n", "places"])
@@ -135,7 +133,7 @@ def _finish(plan: Layout):
             starts, ends, first, counts = _slice_words(data, offsets)
             text, begin, stop = single_spaced(data, starts, ends) if len(starts) else (b"", starts, ends)
             kept, removed = [], []
-            for row, (places, resolved) in enumerate(zip(_lists(part.column(4)), _lists(part.column(5)))):
+            for row, (places, resolved) in enumerate(zip(_lists(part.column(3)), _lists(part.column(4)))):
                 low, high = int(first[row]), int(first[row + 1])
                 if low == high:
                     kept.append("")
@@ -158,7 +156,7 @@ def _finish(plan: Layout):
                 kept.append(b" ".join(text[begin[low + a]:stop[low + b - 1]] for a, b in zip(turn[::2], turn[1::2])).decode())
                 removed.append(n - int(stays.sum()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                                              *part.columns[6:-1]], names=["id", "n_words", "n_removed", "kept", *part.schema.names[6:-1]])
+                                              *part.columns[5:-1]], names=["id", "n_words", "n_removed", "kept", *part.schema.names[5:-1]])
     return finish
 
 
@@ -169,8 +167,8 @@ def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text
 
     Words are separated by ASCII white space. All occurrences of a repeated window go, the first included, and windows are
     judged on the input. Null and empty texts have no words; texts of fewer than ``size`` words lose none; rows that are equal in
-    id and text count as two documents, so they lose every window. Rows without an id, and all rows if some share one, stay apart by 96
-    bits of their text's hashes; where ids are there and differ, those tell rows apart. Other columns are ignored; an empty table gives no rows.
+    id and text count as two documents, so they lose every window. If any row has no id or shares one, all rows are told apart by 96
+    bits of their text's hashes too. Other columns are ignored; an empty table gives no rows.
 
     Anchors are runs of words at difference-cover positions of each document, modulo a period: equal windows, however they
     are shifted, share an aligned anchor, so about a quarter of the positions is hashed and shuffled. Each anchor carries a
@@ -180,19 +178,19 @@ def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text
     common passages shrink before the shuffle and no pairs are formed. Texts are shuffled once.
     """
     plan = layout(size)
-    kind = docs.schema[id_col].dataType
     text = F.col(text_col).cast("string")
     rest = [F.struct(*carry).alias("carried")] if carry else []
-    rows = docs.select(F.col(id_col).alias("id"), F.shiftright(F.xxhash64(text), 32).alias("hash"), text.alias("text"), *rest)
-    shared = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").limit(1).count() > 0
-    apart = F.xxhash64(F.lit("apart"), "text") if shared else F.when(F.col("id").isNull(), F.xxhash64(F.lit("apart"), "text"))
-    rows = rows.withColumn("apart", apart)
+    lax = docs.groupBy(F.col(id_col).alias("id")).count().filter("id is null or count > 1").limit(1).count() > 0
+    named = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.lit("apart"), text).alias("apart")) if lax else F.col(id_col)
+    rows = docs.select(named.alias("id"), F.shiftright(F.xxhash64(text), 32).alias("hash"), text.alias("text"), *rest)
     rest = ["carried"] if carry else []  # this and ``open`` are also read where they aren't needed, so that both joins share their shuffles
-    place = T.StructType([T.StructField("id", kind), T.StructField("at", T.LongType()), T.StructField("apart", T.LongType())])
-    found = T.StructType([T.StructField("core", T.LongType()), T.StructField("around", T.LongType()), *place.fields, T.StructField("more", T.ArrayType(place))])
+    kind = rows.schema["id"].dataType
+    place = T.StructType([T.StructField("id", kind), T.StructField("at", T.LongType())])
+    found = T.StructType([T.StructField("core", T.LongType()), T.StructField("around", T.LongType()), T.StructField("id", kind),
+                          T.StructField("at", T.LongType()), T.StructField("more", T.ArrayType(place))])
     ordered = Window.partitionBy("core").orderBy("around")
     group = Window.partitionBy("core")
-    anchors = (rows.select("id", "hash", "text", "apart").mapInArrow(_anchors(plan), found)
+    anchors = (rows.select("id", "hash", "text").mapInArrow(_anchors(plan), found)
                .withColumn("last", F.lag("around").over(ordered)).withColumn("next", F.lead("around").over(ordered))
                .withColumn("mixed", F.min("around").over(group) != F.max("around").over(group))
                .withColumn("twins", F.size("more") > 0)
@@ -200,22 +198,22 @@ def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text
     sure = F.col("twins") | F.coalesce(F.col("last") == F.col("around"), F.lit(False)) | F.coalesce(F.col("next") == F.col("around"), F.lit(False))
     stands = F.col("mixed") & (F.col("last").isNull() | (F.col("last") != F.col("around")))
     flags = sure.cast("long") + stands.cast("long") * 2
-    each = F.concat(F.array(F.struct("id", "at", "apart", flags.alias("flags"))),
-                    F.transform("more", lambda p: F.struct(p["id"].alias("id"), p["at"].alias("at"), p["apart"].alias("apart"), F.lit(1).cast("long").alias("flags"))))
+    each = F.concat(F.array(F.struct("id", "at", flags.alias("flags"))),
+                    F.transform("more", lambda p: F.struct(p["id"].alias("id"), p["at"].alias("at"), F.lit(1).cast("long").alias("flags"))))
     position = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
     # a struct key: nulls compare equal in it, and one partitioning serves the grouping and both joins
-    owner = F.struct("id", F.shiftright("at", 32).alias("hash"), "apart")
+    owner = F.struct("id", F.shiftright("at", 32).alias("hash"))
     known = (anchors.select(F.explode(each).alias("p")).select("p.*").groupBy(owner.alias("row"))
              .agg(F.collect_list(position * 4 + F.col("flags")).alias("places"), F.max(F.col("flags") >= 2).alias("open")))
-    texts = rows.select(F.struct("id", "hash", "apart").alias("row"), "text", *rest)
+    texts = rows.select(F.struct("id", "hash").alias("row"), "text", *rest)
     counted = T.StructType([T.StructField("one", T.LongType()), T.StructField("two", T.LongType()), T.StructField("n", T.LongType()),
                             T.StructField("places", T.ArrayType(place))])
-    resolved = (texts.join(known.filter("open"), "row").select("row.id", "row.hash", "text", "row.apart", "places", *rest)
+    resolved = (texts.join(known.filter("open"), "row").select("row.id", "row.hash", "text", "places", *rest)
                 .mapInArrow(_windows(plan), counted)
                 .withColumn("n", F.sum("n").over(Window.partitionBy("one", "two"))).filter("n > 1")
                 .select(F.explode("places").alias("p")).select("p.*").groupBy(owner.alias("row")).agg(F.collect_list(position).alias("resolved")))
     lists = known.join(resolved, "row", "left")
     out = T.StructType([T.StructField("id", kind), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                         T.StructField("kept", T.StringType())] + ([rows.schema["carried"]] if carry else []))
-    done = texts.join(lists, "row", "left").select("row.id", "row.hash", "text", "row.apart", "places", "resolved", *rest, "open").mapInArrow(_finish(plan), out)
-    return done.withColumnRenamed("id", id_col)
+    done = texts.join(lists, "row", "left").select("row.id", "row.hash", "text", "places", "resolved", *rest, "open").mapInArrow(_finish(plan), out)
+    return (done.withColumn("id", F.col("id.id")) if lax else done).withColumnRenamed("id", id_col)
