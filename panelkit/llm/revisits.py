@@ -56,7 +56,7 @@ def resolve_revisits(records: DataFrame, slices: int | None = None) -> DataFrame
     placed = F.col("canonical_url").isNotNull() & F.col("at").isNotNull()
     full = (F.col("kind") == "response") & F.col("record_id").isNotNull() & placed
     n = slices or slice_count(records)
-    cuts = rows.filter(placed).agg(F.percentile_approx("at", F.array(*[F.lit(i / n) for i in range(1, n)]), 4 * n)).first()[0] if n > 1 else []
+    cuts = records.select(F.unix_micros(F.col("fetched_at").cast("timestamp")).alias("at")).agg(F.percentile_approx("at", F.array(*[F.lit(i / n) for i in range(1, n)]), 4 * n)).first()[0] if n > 1 else []
     known = rows.filter((told & placed) | full).select("record_id", "canonical_url", "fetched_at", F.col("at").cast("double").alias("at"), "kind", "etag", "modified", "digest",
                                                        F.when(told, F.col("headers")).alias("told"), F.when(full, key).alias("source"))
     known = with_slices(known, {"at": sorted(set(float(c) for c in cuts or []))}).withColumnRenamed("at__slice", "slice")
@@ -73,11 +73,12 @@ def resolve_revisits(records: DataFrame, slices: int | None = None) -> DataFrame
     found = found.select("record_id", "canonical_url", "fetched_at", outcome.alias("outcome"), F.col("answer.record_id").alias("source_id"), "told",
                          F.when(outcome == "resolved", F.col("answer")).otherwise(none).alias("answer"))
     stored = rows.filter(full).select(key.alias("of"), F.struct(F.col("headers").alias("stored"), "payload").alias("body"))
-    twice = materialize(stored.groupBy("of").count().filter("count > 1").select(F.col("of").alias("again")), "repeated")
+    again = F.struct("record_id", F.col("fetched_at").cast("timestamp"))  # responses recorded twice agree in these at least
+    twice = materialize(records.filter("kind = 'response'").groupBy(again.alias("again")).count().filter("count > 1").select("again"), "repeated")
     if twice.limit(1).count():
-        again = F.col("of") == F.col("again")
-        stored = stored.join(twice, again, "left_anti").unionByName(
-            stored.join(twice, again, "left_semi").groupBy("of").agg(F.max_by("body", F.length("body.payload")).alias("body")))
+        same_record = F.struct("of.record_id", F.timestamp_micros("of.at")) == F.col("again")
+        stored = stored.join(twice, same_record, "left_anti").unionByName(
+            stored.join(twice, same_record, "left_semi").groupBy("of").agg(F.max_by("body", F.length("body.payload")).alias("body")))
     answered = found.join(stored, F.col("answer") == F.col("of"), "left").select(
         "record_id", "canonical_url", "fetched_at", "outcome", "source_id",
         F.when(F.col("of").isNotNull(), merged_headers(F.col("body.stored"), F.col("told"))).alias("headers"), F.col("body.payload").alias("payload"))
