@@ -166,24 +166,21 @@ def read_back(pieces: DataFrame) -> DataFrame:
 def threads(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", slices: int | None = None) -> DataFrame:
     """Conversations without branches as trees: each row answers the one before it (by turn, nulls first, then role and a hash of the text).
 
-    Rows are numbered without their texts: rows of each conversation and turn are counted, turns are cut into slices at their quantiles,
-    each slice of a conversation is added up on its own, and slices before it come from a table with a row for each. So
-    a conversation with a third of all rows is divided by its turns. Rows that are equal in all are one row with a count until they
-    are numbered.
+    Rows of each conversation and turn are counted, turns are cut into slices at their quantiles, each slice of a
+    conversation is added up on its own, and slices before it come from a table with a row for each. So a conversation with a
+    third of all rows is divided by its turns, and texts are only sorted among rows of one turn. Rows that are equal in all are one
+    row with a count until they are numbered.
     """
-    said = turns.select(F.struct(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), "role", F.xxhash64("text").alias("hash")).alias("row"), "text")
-    equal = materialize(said.groupBy("row").agg(F.count("*").alias("n")), "turns")
-    at = F.coalesce(F.col("row.turn").cast("double"), F.lit(float("-inf")))
-    by_turn = equal.groupBy(F.col("row.conv").alias("conv"), at.alias("at")).agg(F.sum("n").alias("n"))
+    at = F.coalesce(F.col(turn_col).cast("double"), F.lit(float("-inf")))
+    said = turns.select(F.struct(F.col(conv_col).alias("conv"), at.alias("at")).alias("place"), "role", F.xxhash64("text").alias("hash"), "text")
+    equal = materialize(said.groupBy("place", "role", "hash").agg(F.count("*").alias("n"), F.first("text").alias("text")), "turns")  # equal rows have equal texts
+    by_turn = equal.groupBy("place").agg(F.sum("n").alias("n")).select("place.conv", "place.at", "n")
     count = slices or slice_count(turns)
     cuts = by_turn.agg(F.percentile_approx("at", F.array(*[F.lit(i / count) for i in range(1, count)]), 4 * count)).first()[0] if count > 1 else []
-    inner = sorted({c for c in cuts or [] if c > float("-inf")})
-    sliced = with_slices(by_turn, {"at": inner}).withColumnRenamed("at__slice", "slice")
+    sliced = with_slices(by_turn, {"at": sorted({c for c in cuts or [] if c > float("-inf")})}).withColumnRenamed("at__slice", "slice")
     before = running_totals(sliced, ["conv"], "at", ["n"], "slice").select(F.struct("conv", "at").alias("place"), "n_before")
-    tied = Window.partitionBy("place").orderBy(F.asc_nulls_first("row.role"), "row.hash").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = (equal.withColumn("place", F.struct(F.col("row.conv").alias("conv"), at.alias("at")))
-                .withColumn("ahead", F.coalesce(F.sum("n").over(tied), F.lit(0))).join(before, "place")
-                .select("row", F.explode(F.sequence(F.col("n_before") + F.col("ahead") + 1, F.col("n_before") + F.col("ahead") + F.col("n"))).alias("id")))
-    texts = said.groupBy("row").agg(F.first("text").alias("text"))  # equal rows have equal texts
-    return numbered.join(texts, "row").select(F.col("row.conv").alias("tree"), "id", F.col("row.role").alias("role"), "text").withColumn(
-        "parent", F.when(F.col("id") > 1, F.col("id") - 1)).withColumn("score", F.lit(0.0))
+    tied = Window.partitionBy("place").orderBy(F.asc_nulls_first("role"), "hash").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("n_before") + F.coalesce(F.col("ahead"), F.lit(0))
+    return (equal.withColumn("ahead", F.sum("n").over(tied)).join(before, "place")
+            .select(F.col("place.conv").alias("tree"), F.explode(F.sequence(ahead + 1, ahead + F.col("n"))).alias("id"), "role", "text")
+            .withColumn("parent", F.when(F.col("id") > 1, F.col("id") - 1)).withColumn("score", F.lit(0.0)))
