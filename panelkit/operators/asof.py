@@ -70,11 +70,28 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str,
               columns: Sequence[str], strict: bool = False, slices: int | None = None) -> DataFrame:
     """Adds to each left row the columns of the latest right row of its key; see ``asof_lookup``."""
+    if slices == 1:
+        return _one_pass(left, right, on, left_time, right_time, columns, strict)
     found = asof_lookup(left, right, on, left_time, right_time, columns, strict, slices)
     return left.join(found, [*on, left_time], "left").select(
         *left.columns, *[F.col(f"found.{c}").alias(c) for c in columns])
 
 
+def _one_pass(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, columns: Sequence[str],
+              strict: bool) -> DataFrame:
+    """The same in one ordered pass per key over the rows of both sides, nothing measured and nothing joined back."""
+    asked = left.select(*on, F.col(left_time).alias("__t"), F.lit(0 if strict else 1).alias("__side"), F.struct(*left.columns).alias("__left"))
+    known = right.filter(F.col(right_time).isNotNull()).select(
+        *on, F.col(right_time).alias("__t"), F.lit(1 if strict else 0).alias("__side"), F.struct(*columns).alias("__row"))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    upto = Window.partitionBy(*(on or [F.lit(0)])).orderBy("__t", "__side", "__row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    named = F.lit(True)
+    for k in on:
+        named = named & F.col(k).isNotNull()
+    found = both.withColumn("__found", F.when(named, F.last("__row", ignorenulls=True).over(upto))).filter(F.col("__left").isNotNull())
+    return found.select("__left.*", *[F.col(f"__found.{c}").alias(c) for c in columns])
+
+
 def role_intervals(roles: DataFrame, start: str = "effective_from") -> DataFrame:
     """Role rows with the date the next one takes effect and whether the champion changed.
 

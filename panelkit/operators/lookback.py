@@ -100,22 +100,19 @@ def window_medians(events: DataFrame, keys: DataFrame, on: Sequence[str], event_
     return picked(ordered(counts, needed, group), group).select(*group, "value")
 
 
-def _with_exact_medians(table: DataFrame, events: DataFrame, on: Sequence[str], event_date: str, key_date: str, middle: Sequence[tuple[str, int]],
-                        few: int) -> DataFrame:
-    """The table with the medians of key dates that have over ``few`` values in a window put right, and without the counts."""
-    table = materialize(table, "lookback")
-    sizes = [f"__n_{c}_{w}" for c, w in middle]
-    busy = table.filter(F.greatest(*sizes, F.lit(0)) > few).select(*on, key_date)
-    if busy.limit(1).count():
-        found = window_medians(events, busy, on, event_date, key_date, list(dict.fromkeys(c for c, _ in middle)), sorted({w for _, w in middle}))
-        wide = found.groupBy(*on, key_date).agg(*[F.max(F.when((F.col("feature") == c) & (F.col("days") == w), F.col("value"))).alias(f"__m_{c}_{w}")
-                                                  for c, w in middle])
-        table = table.join(wide, [*on, key_date], "left").withColumns({
-            f"{c}_median_{w}d": F.when(F.col(f"__n_{c}_{w}") > few, F.col(f"__m_{c}_{w}")).otherwise(
-                F.col(f"{c}_median_{w}d") if f"{c}_median_{w}d" in table.columns else F.lit(None)) for c, w in middle}).drop(*[f"__m_{c}_{w}" for c, w in middle])
-    elif not few:
-        table = table.withColumns({f"{c}_median_{w}d": F.lit(None).cast("double") for c, w in middle})
-    return table.drop(*sizes)
+def _with_exact_medians(table: DataFrame, events: DataFrame, keys: DataFrame, on: Sequence[str], event_date: str, key_date: str,
+                        middle: Sequence[tuple[str, int]], few: int) -> DataFrame:
+    """The table with the medians of those keys put right that have over ``few`` events, so that a window of theirs may hold more."""
+    many = materialize(events.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > few).select(*on), "busy-keys")
+    if not many.limit(1).count():
+        return table if few else table.withColumns({f"{c}_median_{w}d": F.lit(None).cast("double") for c, w in middle})
+    busy = keys.select(*on, key_date).join(many, list(on), "left_semi").distinct()
+    found = window_medians(events, busy, on, event_date, key_date, list(dict.fromkeys(c for c, _ in middle)), sorted({w for _, w in middle}))
+    exact = {(c, w): F.max(F.when((F.col("feature") == c) & (F.col("days") == w), F.col("value"))).alias(f"__m_{c}_{w}") for c, w in middle}
+    wide = busy.withColumn("__busy", F.lit(True)).join(found.groupBy(*on, key_date).agg(*exact.values()), [*on, key_date], "left")
+    made = table.join(wide, [*on, key_date], "left")
+    return made.withColumns({f"{c}_median_{w}d": F.when(F.col("__busy"), F.col(f"__m_{c}_{w}")).otherwise(
+        F.col(f"{c}_median_{w}d") if few else F.lit(None)) for c, w in middle}).drop("__busy", *[f"__m_{c}_{w}" for c, w in middle])
 
 
 def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date: str, key_date: str,
@@ -132,8 +129,8 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
     the columns and statistics they need are computed. A key date without any event in the longest window
     has no output row unless ``latest`` finds an older event.
 
-    Medians are the discrete ones. Those of at most ``few`` values come from the same aggregation, where they are exact; key
-    dates with more values in a window are looked up by ``window_medians``.
+    Medians are the discrete ones. Those of keys with at most ``few`` events come from the same aggregation, where they are exact; key
+    dates of busier keys are looked up by ``window_medians``.
     """
     wanted = set(keep) if keep else None
     raw = not rollup
@@ -159,17 +156,15 @@ def lookback(events: DataFrame, keys: DataFrame, on: Sequence[str], event_date:
                                           - make(c, before.between(trend + 1, 2 * trend))["mean"])
     if wanted is not None:
         out = {k: v for k, v in out.items() if k in wanted}
-    if middle:
-        if raw:  # exact while a window has at most as many values as the sketch keeps
-            out.update({f"{c}_median_{w}d": F.percentile_approx(F.when(before <= w, F.col(c)), 0.5, SKETCH) for c, w in middle})
-            out.update({f"__n_{c}_{w}": F.count(F.when(before <= w, F.col(c))) for c, w in middle})
-        else:
-            out.update({f"__n_{c}_{w}": F.sum(F.when(before <= w, F.col(f"{c}__n"))) for c, w in middle})
+    if middle and raw:  # exact while a window has at most as many values as the sketch keeps
+        out.update({f"{c}_median_{w}d": F.percentile_approx(F.when(before <= w, F.col(c)), 0.5, SKETCH) for c, w in middle})
+    elif middle:
+        out["__rows"] = F.sum("rows")
     if latest and not out:
         return latest_before(events, keys, on, event_date, key_date, columns)
     table = pairs.groupBy(*on, key_date).agg(*[v.alias(k) for k, v in out.items()])
     if middle:
-        table = _with_exact_medians(table, events, on, event_date, key_date, middle, few if raw else 0)
+        table = _with_exact_medians(table, events, keys, on, event_date, key_date, middle, few if raw else 0).drop("__rows")
     if not latest:
         return table
     last = latest_before(events, keys, on, event_date, key_date, columns)
