@@ -231,3 +231,25 @@ def test_search_space_and_levels(spark):
     assert fit_levels(df, ["few"]) == {"few": ["1", "2", "Unknown"]}
     with pytest.raises(ValueError):
         fit_levels(df, ["few", "many"], most=10)
+
+
+def test_rows_travel_in_blocks(spark):
+    """Passes of growing trees get no list for each row: rows are packed once, and all of them come back scored."""
+    from panelkit.operators.boosting import pack, scored
+    rng, n = np.random.default_rng(8), 500
+    x = rng.random((n, 2))
+    rows = spark.createDataFrame([(i % 2, i, float(x[i].sum() > 1), [float(x[i, 0]), None if i % 10 == 0 else float(x[i, 1])]) for i in range(n)],
+                                 "fold int, r long, y double, x array<double>").repartition(3)
+    cuts = [[0.3, 0.6], [0.5]]
+    binned, sizes, base = bin_rows(rows, cuts, ["fold", "r", "y"]), {k: [2, 1] for k in (0, 1)}, {0: 0.1, 1: -0.2}
+    blocks = pack(binned)
+    assert "array" not in str(blocks.dtypes) and blocks.count() <= 6 and blocks.filter("m is not null").isEmpty()
+    fits = grow_all(binned, [TreeSetting(rounds=3, max_depth=2), TreeSetting(rounds=2, max_depth=1)], {0: cuts, 1: cuts}, [0, 0], base, refresh=2)
+    got = sorted((r["fold"], r["setting"], r["y"], round(r["p"], 12)) for r in scored(blocks, fits, sizes, base, 2).collect())
+    wanted = []
+    for (k, i), fit in fits.items():
+        at = np.arange(n) % 2 == k
+        some = np.where((np.arange(n) % 10 == 0)[:, None] & np.array([False, True]), np.nan, x)[at]
+        z = BoostedTrees(["a", "b"], cuts, fit.trees, base[k], [0, 0]).margins(some)
+        wanted += [(k, i, float(a), round(float(p), 12)) for a, p in zip(x[at].sum(axis=1) > 1, 1 / (1 + np.exp(-z)))]
+    assert got == sorted(wanted)
