@@ -253,3 +253,13 @@ def test_rows_travel_in_blocks(spark):
         z = BoostedTrees(["a", "b"], cuts, fit.trees, base[k], [0, 0]).margins(some)
         wanted += [(k, i, float(a), round(float(p), 12)) for a, p in zip(x[at].sum(axis=1) > 1, 1 / (1 + np.exp(-z)))]
     assert got == sorted(wanted)
+
+
+def test_numbers_travel_in_blocks(spark):
+    """Passes of linear fits read packed rows, all of them, and no list for each row."""
+    from panelkit.operators.penalised import pack_numbers
+    rows = linear_rows(spark)
+    blocks = pack_numbers(rows, 4)
+    assert "array" not in str(blocks.dtypes) and blocks.count() <= 6
+    got = sorted((b["fold"], *r, y) for b in blocks.collect() for r, y in zip(np.frombuffer(b["x"]).reshape(-1, 4).tolist(), np.frombuffer(b["y"]).tolist()))
+    assert got == sorted((r["fold"], *r["x"], r["y"]) for r in rows.collect())
