@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from panelkit.operators.ranking import slice_count, with_slices
 
+#: Rows of both sides that a task of the ordered pass is to have at most, as far as keys and slices can be told apart.
+TASK_ROWS = 1_000_000
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """The last whole row per key, ordered by ``by``; combined map-side, so a hot key is not sorted in one task."""
@@ -40,7 +43,7 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
     and the last row of all earlier slices is carried over from a table with one row per key and slice. No pairs of rows
     are formed. ``slices=1`` is for calendars and histories of decisions, which have a row a month: one pass and no measuring. A key with a third of all rows, be it on one day, is spread over a third of the slices, and without keys (``on``
     empty) the slices alone divide the work. A key's carried table has at most ``slices`` rows (by default the session's
-    shuffle width within limits). Null keys and times find nothing; of several right rows at a time the greatest counts.
+    shuffle width within limits); beyond ``TASK_ROWS`` rows for each of that width there are more tasks. Null keys and times find nothing; of several right rows at a time the greatest counts.
     """
     payload = F.struct(F.col(right_time).alias("__at"), *columns)
     facts = (right.filter(F.col(right_time).isNotNull())
@@ -52,9 +55,12 @@ def asof_lookup(probes: DataFrame, right: DataFrame, on: Sequence[str], left_tim
             .unionByName(facts.select(*on, "__t", _moment(facts, "__t").cast("double").alias("__n"), F.lit(second).alias("__side"), "__row")))
     times = probes.select(_moment(probes, left_time).cast("double").alias("__n")).unionByName(right.select(_moment(right, right_time).cast("double").alias("__n")))
     n = slices or slice_count(probes)
-    cuts = times.agg(F.percentile_approx("__n", F.array(*[F.lit(i / n) for i in range(1, n)]), 4 * n)).first()[0] if n > 1 else []
+    cuts, rows = times.agg(F.percentile_approx("__n", F.array(*[F.lit(i / n) for i in range(1, n)]), 4 * n), F.count(F.lit(1))).first() if n > 1 else ([], 0)
     cuts = sorted(set(cuts or []))
     both = with_slices(both, {"__n": cuts}).withColumnRenamed("__n__slice", "__slot")
+    tasks = -(-rows // TASK_ROWS)
+    if cuts and tasks > slice_count(probes):  # a task sorts about as many rows however many there are; the pass and the table of slices share the shuffle
+        both = both.repartition(tasks, *on, "__slot")
     upto = (Window.partitionBy(*on, "__slot").orderBy("__n", "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = both.withColumn("__found", F.last("__row", ignorenulls=True).over(upto)).filter(F.col("__side") == first)

@@ -442,3 +442,19 @@ def test_top_values_from_a_small_summary(spark):
         found = {r["feature"]: r["top_value_share"] for r in top_value_share(df, list(pdf.columns), tracked, candidates).collect()}
         assert found == {c: pytest.approx(pdf[c].value_counts(dropna=False).iloc[0] / n) for c in pdf.columns}
     assert [r["top_value_share"] for r in top_value_share(df.limit(0), ["often"]).collect()] in ([None], [])
+
+
+def test_asof_rows_of_a_task_are_bounded(spark, monkeypatch):
+    """More rows make more tasks of the ordered pass, not larger ones, and the same result."""
+    from panelkit.operators import asof
+    rng, n = np.random.default_rng(5), 4000
+    left = spark.createDataFrame(pd.DataFrame({"who": rng.integers(0, 300, n), "asked": rng.integers(0, 1000, n), "row": np.arange(n)}))
+    right = spark.createDataFrame(pd.DataFrame({"who": rng.integers(0, 300, n), "at": rng.integers(0, 1000, n), "v": rng.random(n)}))
+    made = lambda: asof_join(left, right, ["who"], "asked", "at", ["v"], strict=True)
+    plain = made()
+    few = sorted(tuple(r) for r in plain.collect())
+    monkeypatch.setattr(asof, "TASK_ROWS", 100)
+    more = made()
+    told = more._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in told and ", 80" in told and "RepartitionByExpression" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert few == sorted(tuple(r) for r in more.collect())
