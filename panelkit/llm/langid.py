@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm.subwords import Grams, by_key, sample_features, sampled, sparse, sum_rows
-from panelkit.llm.words import ranges, slices
+from panelkit.llm.words import ranges, returning, slices
 
 UNKNOWN = "und"
 #: Documents of each language to learn from; a fifth of them calibrates.
@@ -210,4 +210,4 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())] + [T.StructField("text", T.StringType())] * with_text)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(predict, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(returning(predict), schema).withColumnRenamed("id", id_col)

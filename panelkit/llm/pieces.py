@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.words import hash_words, ranges, slices
+from panelkit.llm.words import hash_words, ranges, returning, slices
 
 MARK = "▁"
 #: Words whose pieces a task remembers, about 50 bytes each; beyond it starts anew.
@@ -255,7 +255,7 @@ def _decoding(spark, vocabulary: Vocabulary, at: int, out_col: str):
 def _with(docs: DataFrame, run, name: str, kind: T.DataType) -> DataFrame:
     if name in docs.columns:
         raise ValueError(f"column {name} is there already")
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+    return docs.mapInArrow(returning(run), T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_col: str = "pieces") -> DataFrame:
@@ -287,6 +287,6 @@ def encode_decode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
 
     schema = T.StructType([rows.schema["_id"], T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType()),
                            T.StructField("lossless", T.BooleanType())])
-    done = rows.mapInArrow(run, schema)
+    done = rows.mapInArrow(returning(run), schema)
     return done.select(F.col("_id").alias(id_col), "pieces", F.when(F.col("pieces").isNotNull(), F.size("pieces").cast("long")).alias("n_pieces"),
                        "decoded", "lossless")

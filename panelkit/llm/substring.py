@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from panelkit.llm.words import UNSPACED, Spans, find_words, hash_words, mix, single_spaced, slices
+from panelkit.llm.words import UNSPACED, Spans, find_words, hash_words, mix, parts, returning, single_spaced, slices
 
 #: Perfect difference sets. Modulo the period, every difference is one of two members of the set.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 
+#: Bytes of text whose words a task has at hand at once; hashes of a slice are put together from such parts.
+PART_BYTES = 1 << 20
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -62,18 +65,25 @@ def _places(ids: pa.Array, text_hash: np.ndarray, row: np.ndarray, position: np.
 def _anchors(plan: Layout):
     cover = np.isin(np.arange(plan.period), COVERS[plan.period])
 
+    def hashed(data, offsets):
+        starts, ends, first, counts = _slice_words(data, offsets)
+        row = np.repeat(np.arange(len(counts)), counts)
+        position = np.arange(len(starts)) - first[row]
+        at = np.flatnonzero(cover[position % plan.period] & (position + plan.anchor <= counts[row]) & (counts[row] >= plan.size))
+        row, position = row[at], position[at]
+        core = Spans(hash_words(data, starts, ends, 0), 1)(at, at + plan.anchor)
+        before = np.minimum(position, plan.reach)
+        after = np.minimum(counts[row] - position, plan.anchor + plan.reach)
+        around = Spans(hash_words(data, starts, ends, 1), 2)(at - before, at + after)
+        return row, position, core, mix(around ^ ((before * 4096 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
     def anchors(batches):
         for part, data, offsets in slices(batches, 2):
-            starts, ends, first, counts = _slice_words(data, offsets)
-            row = np.repeat(np.arange(len(counts)), counts)
-            position = np.arange(len(starts)) - first[row]
-            at = np.flatnonzero(cover[position % plan.period] & (position + plan.anchor <= counts[row]) & (counts[row] >= plan.size))
-            row, position = row[at], position[at]
-            core = Spans(hash_words(data, starts, ends, 0), 1)(at, at + plan.anchor)
-            before = np.minimum(position, plan.reach)
-            after = np.minimum(counts[row] - position, plan.anchor + plan.reach)
-            around = Spans(hash_words(data, starts, ends, 1), 2)(at - before, at + after)
-            around = mix(around ^ ((before * 4096 + after).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            found = []
+            for a, b in parts(offsets, PART_BYTES):
+                row, *rest = hashed(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                found.append((row + a, *rest))
+            row, position, core, around = map(np.concatenate, zip(*found))
             order, begins = _grouped(core, around)
             lead = order[begins[:-1]]
             text_hash = part.column(1).to_numpy()
@@ -83,7 +93,7 @@ def _anchors(plan: Layout):
             more = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.diff(begins) - 1)].astype(np.int32)), places.take(pa.array(rest)))
             yield pa.RecordBatch.from_arrays([pa.array(core[lead].view(np.int64)), pa.array(around[lead].view(np.int64)),
                                               head.field("id"), head.field("at"), more], names=["core", "around", "id", "at", "more"])
-    return anchors
+    return returning(anchors)
 
 
 def _window_starts(plan: Layout, places: np.ndarray, flag: int, n_words: int) -> np.ndarray:
@@ -102,34 +112,41 @@ def _lists(column: pa.Array) -> list[np.ndarray | None]:
 
 
 def _windows(plan: Layout):
+    def hashed(data, offsets, lists):
+        starts, ends, first, counts = _slice_words(data, offsets)
+        wanted, known = [], []
+        for row, places in enumerate(lists):
+            begin = np.flatnonzero(_window_starts(plan, places, 2, int(counts[row])))
+            sure = _window_starts(plan, places, 1, int(counts[row]))
+            wanted.append(begin + first[row])
+            known.append(sure[begin])
+        row = np.repeat(np.arange(len(counts)), [len(x) for x in wanted])
+        at, known = np.concatenate(wanted).astype(np.int64), np.concatenate(known).astype(bool)
+        one = Spans(hash_words(data, starts, ends, 0), 3)(at, at + plan.size)
+        return row, at - first[row], known, one, Spans(hash_words(data, starts, ends, 1), 4)(at, at + plan.size)
+
     def windows(batches):
         for part, data, offsets in slices(batches, 2):
-            starts, ends, first, counts = _slice_words(data, offsets)
-            wanted, known = [], []
-            for row, places in enumerate(_lists(part.column(3))):
-                begin = np.flatnonzero(_window_starts(plan, places, 2, int(counts[row])))
-                sure = _window_starts(plan, places, 1, int(counts[row]))
-                wanted.append(begin + first[row])
-                known.append(sure[begin])
-            row = np.repeat(np.arange(len(counts)), [len(x) for x in wanted])
-            at, known = np.concatenate(wanted).astype(np.int64), np.concatenate(known).astype(bool)
-            one = Spans(hash_words(data, starts, ends, 0), 3)(at, at + plan.size)
-            two = Spans(hash_words(data, starts, ends, 1), 4)(at, at + plan.size)
+            found, lists = [], _lists(part.column(3))
+            for a, b in parts(offsets, PART_BYTES):
+                row, *rest = hashed(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lists[a:b])
+                found.append((row + a, *rest))
+            row, position, known, one, two = map(np.concatenate, zip(*found))
             order, begins = _grouped(one, two)
             lead = order[begins[:-1]]
             open_ = ~known[order]
             group = np.repeat(np.arange(len(begins) - 1), np.diff(begins))[open_]
             asked = order[open_]
-            places = _places(part.column(0), part.column(1).to_numpy(), row[asked], at[asked] - first[row[asked]])
+            places = _places(part.column(0), part.column(1).to_numpy(), row[asked], position[asked])
             held = pa.ListArray.from_arrays(pa.array(np.searchsorted(group, np.arange(len(begins))).astype(np.int32)), places)
             yield pa.RecordBatch.from_arrays([pa.array(one[lead].view(np.int64)), pa.array(two[lead].view(np.int64)),
                                               pa.array(np.diff(begins).astype(np.int64)), held], names=["one", "two", "n", "places"])
-    return windows
+    return returning(windows)
 
 
 def _finish(plan: Layout):
     def finish(batches):
-        for part, data, offsets in slices(batches, 2):
+        for part, data, offsets in slices(batches, 2, PART_BYTES):
             starts, ends, first, counts = _slice_words(data, offsets)
             text, begin, stop = single_spaced(data, starts, ends) if len(starts) else (b"", starts, ends)
             kept, removed = [], []
@@ -157,7 +174,7 @@ def _finish(plan: Layout):
                 removed.append(n - int(stays.sum()))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
                                               *part.columns[5:-1]], names=["id", "n_words", "n_removed", "kept", *part.schema.names[5:-1]])
-    return finish
+    return returning(finish)
 
 
 def remove_repeats(docs: DataFrame, size: int = 35, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

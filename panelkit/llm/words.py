@@ -46,6 +46,23 @@ def slices(batches: Iterable[pa.RecordBatch], text: int, limit: int = SLICE_BYTE
     give_back()
 
 
+def parts(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows (first, and the one after the last) of a slice with about ``limit`` bytes each."""
+    row = 0
+    while row < len(offsets) - 1:
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
+        yield row, end
+        row = end
+
+
+def returning(run):
+    """The function over Arrow batches, after which the memory of its own arrays and tables is returned too: they are gone by then."""
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+    return whole
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers outlive their tasks, and what they keep counts against the executor."""
     pa.default_memory_pool().release_unused()

@@ -6,6 +6,8 @@ import random
 import re
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -590,3 +592,26 @@ def test_a_busy_conversation_and_a_busy_url(spark, slices):
     got = {r.record_id: r for r in resolve_revisits(df, slices).collect()}
     assert len(got) == 900 and all(got[f"n{k}"].outcome == "missing" for k in range(300)) and got["v0"].outcome == "missing"
     assert all((got[f"v{k}"].source_id, got[f"v{k}"].payload) == (f"r{(k - 1) // 7 * 7}", f"body {(k - 1) // 7 * 7}") for k in range(1, 600))
+
+
+def test_repeats_are_hashed_in_small_parts(monkeypatch):
+    """A task has the words of about a part of a slice at hand, and hashes are those of the whole slice."""
+    from panelkit.llm import substring
+    rng = np.random.default_rng(3)
+    common = [f"w{k}" for k in rng.integers(0, 500, 60)]
+    texts = [" ".join([*(f"w{k}" for k in rng.integers(0, 500, 900)), *common]) for _ in range(40)] + ["", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(42)), pa.array(range(42)), pa.array(texts, pa.string())], names=["id", "hash", "text"])
+    sizes, hash_words = [], substring.hash_words
+
+    def measured(data, *rest):
+        sizes.append(len(data))
+        return hash_words(data, *rest)
+
+    monkeypatch.setattr(substring, "hash_words", measured)
+    run, found = substring._anchors(substring.layout(35)), []
+    for part in (1 << 30, 20_000):
+        monkeypatch.setattr(substring, "PART_BYTES", part)
+        sizes.clear()
+        found.append(pa.Table.from_batches(run([batch])).to_pylist())
+    assert found[0] == found[1] and any(row["more"] for row in found[0])
+    assert max(sizes) <= 20_000
