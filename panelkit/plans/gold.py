@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions.binning import labelled_bin, labelled_bin_by
+from panelkit.functions.binning import labelled_bin, labelled_bin_at
 from panelkit.functions.dates import Split, in_window, in_windows, split_of
 from panelkit.functions.numeric import ratio
 from panelkit.operators.asof import asof_lookup
@@ -80,7 +80,7 @@ def apply_params(df: DataFrame, params: FeatureParams) -> DataFrame:
 def apply_dated_params(df: DataFrame, params: DatedParams, date: str = "params_date") -> DataFrame:
     """The same with each row's parameters taken by its ``date`` column, so that months of several models are one job.
 
-    Medians, caps and edges are joined by date, bins are found by counting edges. A row whose date has no parameters keeps its own
+    Medians, caps, edges and labels are joined by date, bins are found by counting edges. A row whose date has no parameters keeps its own
     values and has nulls where they would be filled.
     """
     renamed = date != "params_date"
@@ -89,12 +89,17 @@ def apply_dated_params(df: DataFrame, params: DatedParams, date: str = "params_d
     if "changed_credit_limit" in tables:
         df = fill_from(df, "Changed_Credit_Limit", tables["changed_credit_limit"], [*by, "Credit_Mix", "Payment_of_Min_Amount"], "Changed_Credit_Limit_Median")
     numbers = params.numbers.columns
+
+    def binned(column: str, kind: str):
+        return labelled_bin_at(column, F.col(f"{kind}_edges"), F.col(f"{kind}_labels"), params.most_edges)
+
     df = df.join(params.numbers, by, "left")
-    df = apply_age(df, tables["age_income_lookup"], tables["occupation_age_median"], F.col("overall_age_median"), F.col("age_edges"), by=by)
+    df = apply_age(df, tables["age_income_lookup"], tables["occupation_age_median"], F.col("overall_age_median"), by=by)
+    df = df.withColumn("Age_Bin", binned("Age_imputed", "age"))
     for kind, (column, stem, _) in COUNTS.items():
         df = apply_counts(df, column, stem, F.col(f"{kind}_p95"), tables[f"{kind}_group_stats"], tables[f"{kind}_occupation_median"],
                           F.col(f"{kind}_overall_median"), by)
-        df = df.withColumn(f"{stem}_Imputed_Bin", labelled_bin_by(f"{stem}_imputed", F.col(f"{kind}_edges")))
+        df = df.withColumn(f"{stem}_Imputed_Bin", binned(f"{stem}_imputed", kind))
     made = derived_ratios(df).drop(*[c for c in numbers if c != "params_date"])
     return made.withColumnRenamed("params_date", date) if renamed else made
 

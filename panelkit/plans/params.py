@@ -91,10 +91,11 @@ def load_params(spark: SparkSession, path: str, train_date: str) -> FeatureParam
 @dataclass
 class DatedParams:
     """Parameters of several training dates as data: group tables keyed by ``params_date``, and one row a date with the single numbers and
-    the edges as arrays (``<name>_edges``)."""
+    the edges as arrays (``<name>_edges``, distinct, in order, at most ``most_edges``) with the labels between them (``<name>_labels``)."""
 
     tables: dict[str, DataFrame]
     numbers: DataFrame
+    most_edges: int
 
 
 def load_dated_params(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DatedParams:
@@ -114,9 +115,13 @@ def load_dated_params(spark: SparkSession, path: str, dates: Sequence[str] | Non
             tables[name] = wide.select("params_date", *[F.col(f"key{i + 1}").alias(k) for i, k in enumerate(keys)], *values)
     scalars = part("params_scalar").groupBy("params_date").agg(
         *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in SCALARS])
-    edges = part("params_edges").groupBy("params_date").agg(
-        *[F.sort_array(F.collect_list(F.when(F.col("param") == n, F.col("edge")))).alias(f"{n}_edges") for n in ("age", *COUNTS)])
-    return DatedParams(tables, scalars.join(edges, "params_date", "left"))
+    names, saved = ("age", *COUNTS), part("params_edges")
+    edges = saved.groupBy("params_date").agg(
+        *[F.sort_array(F.collect_set(F.when(F.col("param") == n, F.struct("edge", "label")))).alias(n) for n in names])
+    edges = edges.select("params_date", *[F.transform(n, lambda e: e["edge"]).alias(f"{n}_edges") for n in names],
+                         *[F.expr(f"transform(filter({n}, (e, i) -> i > 0), e -> e.label)").alias(f"{n}_labels") for n in names])
+    most = saved.groupBy("params_date", "param").count().agg(F.max("count")).first()[0] or 0  # as many as quartiles have
+    return DatedParams(tables, scalars.join(edges, "params_date", "left"), most)
 
 
 # count columns: raw column, stem of the made columns, least rows of a group

@@ -6,7 +6,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.functions.binning import edge_labels, labelled_bin
+from panelkit.functions.binning import edge_labels, labelled_bin, labelled_bin_at
 from panelkit.functions.dates import month_spine, months_back, split_of, split_windows
 from panelkit.functions.numeric import INVALID_RULES, NON_NEGATIVE, apply_rules, at_least, status, worst_status
 from panelkit.functions.text import clean_list, replace_token, spell_undefined, years_of
@@ -204,3 +204,13 @@ def test_levels_have_a_limit(spark):
     flags = df.select("w", *[e.alias(n) for n, e in one_hot("w", ["b", "other"], "is_", "other").items()])
     assert sorted(map(tuple, flags.distinct().collect()), key=str) == sorted([("a,b", 0, 1), ("b", 1, 0), ("c,c", 0, 1), (None, 0, 0)], key=str)
     assert collected_levels(df.limit(0), {"v": ("v", ",")}) == {"v": []}
+
+
+def test_bins_of_edges_in_rows(spark):
+    """Edges and labels that come with each row give the bins of edges known beforehand, and nothing is sorted or filtered for a row."""
+    values = [None, -1.0, 0.0, 1.0, 2.0, 2.5, 5.0, 5.1, 8.0, 10.0, 11.0, float("nan")]
+    for edges in ([], [2.0], [2.0, 5.0], [0.0, 2.0, 5.0, 8.0, 10.0]):
+        rows = spark.createDataFrame([(v, edges, edge_labels(edges)) for v in values], "v double, edges array<double>, labels array<string>")
+        made = rows.select(labelled_bin("v", edges).alias("known"), labelled_bin_at("v", F.col("edges"), F.col("labels"), 5).alias("got"))
+        assert [r["got"] for r in made.collect()] == [r["known"] for r in made.collect()]
+        assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()

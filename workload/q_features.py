@@ -407,6 +407,8 @@ def fs20(spark, d):
 
 
 BOTH_DATES = ("2000-06-01", TRAIN_DATE)
+#: Bytes of a row group of the backfill's rows: a group is read by one task, and each row costs much more than reading it.
+GROUP_BYTES = 16 << 20
 
 
 @query("fs20_backfill_over_dates", f"""WITH @split_panel SELECT CASE WHEN label_date < DATE '2000-09-01' THEN '{BOTH_DATES[0]}' ELSE '{BOTH_DATES[1]}' END AS params_date, count(*) AS n, count(*) AS n_same
@@ -414,12 +416,12 @@ BOTH_DATES = ("2000-06-01", TRAIN_DATE)
 def fs20_backfill(spark, d):
     """Months before and after a change of the model in force, each by the parameters of its model, in one job; against a run for each date."""
     path, rows = fresh_path(spark, "params"), joined(spark, d)
-    rows = materialize(rows.withColumn("params_date", F.when(F.col("labels_snapshot_date") < "2000-09-01", BOTH_DATES[0]).otherwise(BOTH_DATES[1])), "rows")
+    rows = materialize(rows.withColumn("params_date", F.when(F.col("labels_snapshot_date") < "2000-09-01", BOTH_DATES[0]).otherwise(BOTH_DATES[1])), "rows", GROUP_BYTES)
     for day in BOTH_DATES:
         fit_params(rows.filter((F.col("data_split") == "train") & (F.col("labels_snapshot_date") < F.add_months(F.lit(day).cast("date"), -5))), day).save(spark, path)
     once = apply_dated_params(rows, load_dated_params(spark, path))
     names = sorted(set(once.columns) - {"params_date"})
-    key = F.xxhash64(*[F.col(c).cast("string") for c in names])
+    key = F.xxhash64(*names)
     each = [apply_params(rows.filter(F.col("params_date") == day), load_params(spark, path, day)).select("loan_id", key.alias("expected")) for day in BOTH_DATES]
     both = once.select("loan_id", "params_date", key.alias("got")).join(each[0].unionByName(each[1]), "loan_id")
     return both.groupBy("params_date").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("got") == F.col("expected"), 1)).alias("n_same"))
